@@ -8,13 +8,12 @@ the clean table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import functions as HF
-from hirelens.operators import (
-    broadcast_if_small, collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by,
-)
+from hirelens.operators import collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by
+from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_size
 from hirelens.schemas import FACT_COLUMNS, LINK_COLUMNS, POSTING_KEY
 from hirelens.session import checkpointed
 
@@ -33,13 +32,21 @@ def base_state(city: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _dimension(df: DataFrame) -> DataFrame:
-    """A reduced dimension side: written once to the checkpoint folder, then
-    broadcast only if its measured size is small."""
-    return broadcast_if_small(checkpointed(df))
+def posting_profiles(clean: DataFrame) -> DataFrame:
+    """Distinct (CITY, STATE, SENIORITY) of the clean postings: everything
+    the city, state and seniority sides are derived from, in one pass."""
+    return clean.select("CITY", "STATE", "SENIORITY").distinct()
 
 
-def fact_postings(clean: DataFrame, seniority: DataFrame, *,
+def _ranked(df: DataFrame, value: str, rank: str) -> DataFrame:
+    """Distinct non-null values of a small, measured frame with their rank
+    in byte order (Spark's string order), so MAX of the rank is MAX of the
+    string."""
+    vals = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    return vals.withColumn(rank, F.row_number().over(Window.orderBy(value)))
+
+
+def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame | None = None,
                   seniority_match: str = "exact") -> DataFrame:
     """M-3, the deduplicated fact table.
 
@@ -48,40 +55,70 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *,
     columns with independent MAX of the three standardized values), planned
     without its fan-out:
 
-    * the city side is a pure function of CITY, computed in place; the inner
-      join only removes rows whose CITY is null;
-    * the state side is reduced to one row per standardized city,
-      ``max(STATE_STANDARDIZED)``; the seniority side to one row per level;
-      MAX is idempotent and ignores nulls, so the final maxima are unchanged;
-    * both reduced sides are checkpointed and broadcast behind a size check,
-      so the postings are shuffled exactly once, by the final GROUP BY, whose
-      MAX is combined map-side (a hot posting is reduced before the shuffle).
+    * the city and state sides collapse into one row per raw CITY:
+      its standardized city (a pure function of CITY) and the MAX of the
+      standardized states of that standardized city; the seniority side
+      into one row per level. MAX is idempotent and ignores nulls, so the
+      final maxima are unchanged, and no posting row is multiplied;
+    * the rules run only on those small sides, derived from ``profiles``
+      (distinct CITY, STATE, SENIORITY; computed once and checkpointed) and
+      the seniority dictionary; the postings only do hash lookups on raw
+      CITY and SENIORITY;
+    * the profiles and the dictionary are measured; when small, the sides
+      are broadcast and each standardized string travels as its rank in
+      byte order, so the GROUP BY takes MAX of integers (a hash aggregate,
+      combined map-side, so a hot posting is reduced before the single
+      shuffle) and the ranks are decoded by broadcast lookups;
+    * beyond the size limits the sides are joined by shuffle (AQE splits a
+      hot city) and MAX runs on the strings (sort-based aggregation, which
+      spills).
 
     ``seniority_match='casefold'`` matches the posting's level lower-cased
     (the dictionary keys are lower case); the default is exact.
     """
-    city_std = HF.city_standardized("CITY")
-    state_dim = _dimension(
-        base_state(base_city(clean))
-        .filter(F.col("CITY_STANDARDIZED").isNotNull())
-        .groupBy("CITY_STANDARDIZED")
-        .agg(F.max("STATE_STANDARDIZED").alias("STATE_STANDARDIZED")))
-    sen_dim = _dimension(
-        seniority.filter(F.col("SENIORITY").isNotNull())
-        .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
-        .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
+    if profiles is None:
+        profiles = checkpointed(posting_profiles(clean))
+    state_dim = (base_state(base_city(profiles))
+                 .filter(F.col("CITY_STANDARDIZED").isNotNull())
+                 .groupBy("CITY_STANDARDIZED")
+                 .agg(F.max("STATE_STANDARDIZED").alias("STATE_STANDARDIZED")))
+    city_dim = (profiles.select("CITY").filter(F.col("CITY").isNotNull()).distinct()
+                .withColumn("CITY_STANDARDIZED", HF.city_standardized("CITY"))
+                .join(state_dim, "CITY_STANDARDIZED", "inner"))
+    sen_dim = (seniority.filter(F.col("SENIORITY").isNotNull())
+               .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
+               .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
+    # every side has at most as many rows (and bytes) as the profiles or the
+    # seniority dictionary, so measuring those two bounds them all
+    small = all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES
+                for n, b in (measured_size(profiles), measured_size(seniority)))
+
     posting_sen = F.lower("SENIORITY") if seniority_match == "casefold" else F.col("SENIORITY")
-    postings = (clean.filter(F.col("CITY").isNotNull() & F.col("SENIORITY").isNotNull())
-                     .withColumn("CITY_STANDARDIZED", city_std)
-                     .withColumn("_SEN", posting_sen))
-    joined = (postings.join(state_dim, "CITY_STANDARDIZED", "inner")
-                      .join(sen_dim, F.col("_SEN") == sen_dim["_SEN_KEY"], "inner"))
-    out = collapse_max(joined, POSTING_KEY, {
-        "CITY": "CITY_STANDARDIZED",
-        "STATE": "STATE_STANDARDIZED",
-        "SENIORITY": "SENIORITY_STANDARDIZED",
-    })
-    return out.select(*FACT_COLUMNS)
+    postings = clean.withColumn("_SEN", posting_sen)
+    if not small:
+        joined = (postings.join(city_dim, "CITY", "inner")
+                          .join(sen_dim, F.col("_SEN") == sen_dim["_SEN_KEY"], "inner"))
+        out = collapse_max(joined, POSTING_KEY, {
+            "CITY": "CITY_STANDARDIZED", "STATE": "STATE_STANDARDIZED",
+            "SENIORITY": "SENIORITY_STANDARDIZED"})
+        return out.select(*FACT_COLUMNS)
+
+    city_codes = _ranked(state_dim, "CITY_STANDARDIZED", "_c")
+    state_codes = _ranked(state_dim, "STATE_STANDARDIZED", "_s")
+    sen_codes = _ranked(sen_dim, "SENIORITY_STANDARDIZED", "_e")
+    city_side = (city_dim.join(city_codes, "CITY_STANDARDIZED")
+                         .join(state_codes, "STATE_STANDARDIZED", "left")
+                         .select("CITY", "_c", "_s"))
+    sen_side = sen_dim.join(sen_codes, "SENIORITY_STANDARDIZED").select("_SEN_KEY", "_e")
+    joined = (postings.join(F.broadcast(city_side), "CITY", "inner")
+                      .join(F.broadcast(sen_side), F.col("_SEN") == F.col("_SEN_KEY"), "inner"))
+    coded = joined.groupBy(*POSTING_KEY).agg(
+        F.max("_c").alias("_c"), F.max("_s").alias("_s"), F.max("_e").alias("_e"))
+    decoded = (coded.join(F.broadcast(city_codes.withColumnRenamed("CITY_STANDARDIZED", "CITY")), "_c", "left")
+                    .join(F.broadcast(state_codes.withColumnRenamed("STATE_STANDARDIZED", "STATE")), "_s", "left")
+                    .join(F.broadcast(sen_codes.withColumnRenamed("SENIORITY_STANDARDIZED", "SENIORITY")),
+                          "_e", "left"))
+    return decoded.select(*FACT_COLUMNS)
 
 
 def fact_postings_naive(clean: DataFrame, seniority: DataFrame) -> DataFrame:

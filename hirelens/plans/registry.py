@@ -16,6 +16,7 @@ from hirelens.operators import (
 )
 from hirelens.operators.skills import top_skills
 from hirelens.plans import enrich, ingest, models
+from hirelens.session import checkpointed
 from hirelens.sources import fixtures
 from hirelens.sources.feed import flatten_structs, tag_categories
 from hirelens.sources.tables import read_table
@@ -35,7 +36,8 @@ def _clean(spark, d):
 
 def _fact(spark, d):
     clean = _clean(spark, d)
-    return models.fact_postings(clean, enrich.seniority_dictionary(clean))
+    profiles = checkpointed(models.posting_profiles(clean))
+    return models.fact_postings(clean, enrich.seniority_dictionary(profiles), profiles=profiles)
 
 
 def _stored(spark, d):

@@ -52,6 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder and cut its
-    lineage, so a lost executor re-reads it instead of recomputing."""
+    lineage, so a lost executor re-reads it instead of recomputing.
+
+    The frame is persisted while the checkpoint is written: without it the
+    checkpoint write would compute the plan a second time."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.schemas import CLEAN_COLUMNS, RAW_COLUMNS
-from hirelens.sources.tables import read_table
+from hirelens.sources.tables import read_table, spread
 
 TITLES = ["Senior Data Engineer", "DATA SCIENTIST II", "Metadata Analyst",
           "Data Engineering Lead", "Junior data analyst", "Lead Data Scientist", None]
@@ -50,8 +50,8 @@ def _pick(values: list, key: Column) -> Column:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority")
     sp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")

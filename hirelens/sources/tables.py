@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's parallelism) when its scan yields fewer, e.g. one large file
+    with a single row group; a scan that is already wide is left as is, so
+    no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def append_table(df: DataFrame, table: str, *, check_columns: bool = True) -> None:
     """Append sink (S-8). When the table exists, its column list must equal
     the batch's, in order (P-14)."""
