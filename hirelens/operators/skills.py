@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hirelens import rules
 from hirelens.operators.topk import top_k_per_group
+from hirelens.sources.tables import spread
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 TECHNICAL = "technical"
@@ -33,26 +34,43 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT, -1), lambda w: w != F.lit(""))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
+def ngrams(tokens: Column, n: int, first_words: list[str] | None = None) -> Column:
     """Space-joined word n-grams of a token array, in one linear pass: the
     array is zipped with its shifted copies (no per-position slicing, which
-    would re-evaluate the token array for every position)."""
+    would re-evaluate the token array for every position). With
+    ``first_words`` only n-grams starting with one of them are built."""
     if n == 1:
         return tokens
     shifted = [tokens] + [F.slice(tokens, k + 1, F.greatest(F.size(tokens) - F.lit(k), F.lit(0)))
                           for k in range(1, n)]
     zipped = F.arrays_zip(*[s.alias(f"w{k}") for k, s in enumerate(shifted)])
-    full = F.filter(zipped, lambda z: z[f"w{n - 1}"].isNotNull())
-    return F.transform(full, lambda z: F.concat_ws(" ", *[z[f"w{k}"] for k in range(n)]))
+    starts = F.array(*[F.lit(w) for w in sorted(set(first_words))]) if first_words else None
+
+    def keep(z):
+        full = z[f"w{n - 1}"].isNotNull()
+        return full & F.array_contains(starts, z["w0"]) if starts is not None else full
+    return F.transform(F.filter(zipped, keep),
+                       lambda z: F.concat_ws(" ", *[z[f"w{k}"] for k in range(n)]))
 
 
 def matched_terms(text: Column, terms: list[str]) -> Column:
-    """Distinct lexicon terms present in ``text`` as whole word sequences."""
-    sizes = sorted({len(t.split(" ")) for t in terms})
+    """Distinct lexicon terms present in ``text`` as whole word sequences.
+
+    Terms are grouped by word count; n-grams are only built where the first
+    word can start an n-word term, so the cost stays one pass over the
+    tokens whatever the text length."""
+    by_size: dict[int, list[str]] = {}
+    for t in sorted(set(terms)):
+        by_size.setdefault(len(t.split(" ")), []).append(t)
     toks = words(text)
-    grams = F.concat(*[ngrams(toks, n) for n in sizes]) if len(sizes) > 1 else ngrams(toks, sizes[0])
-    lex = F.array(*[F.lit(t) for t in sorted(set(terms))])
-    return F.array_intersect(lex, grams)
+    parts = []
+    for n, group in sorted(by_size.items()):
+        grams = ngrams(toks, n, [g.split(" ")[0] for g in group] if n > 1 else None)
+        parts.append(F.array_intersect(F.array(*[F.lit(g) for g in group]), grams))
+    out = parts[0]
+    for p in parts[1:]:
+        out = F.array_union(out, p)
+    return out
 
 
 def skill_counts(df: DataFrame, group: str, text: str, doc_id: str,
@@ -60,7 +78,7 @@ def skill_counts(df: DataFrame, group: str, text: str, doc_id: str,
     """Distinct documents per (group, kind, skill)."""
     lexicon = lexicon or lexicon_terms()
     kind_of = F.create_map(*[F.lit(x) for pair in lexicon for x in pair])
-    hits = (df.select(group, doc_id, F.explode(matched_terms(F.col(text), [s for s, _ in lexicon]))
+    hits = (spread(df).select(group, doc_id, F.explode(matched_terms(F.col(text), [s for s, _ in lexicon]))
                       .alias("skill"))
               .withColumn("kind", F.element_at(kind_of, F.col("skill"))))
     return hits.groupBy(group, "kind", "skill").agg(F.countDistinct(doc_id).alias("n_docs"))

@@ -326,6 +326,10 @@ ORDER BY JOB_CATEGORY, week_start"""
                                             f"{employment_type('EMPLOYMENT_TYPE')} AS EMPLOYMENT_TYPE FROM raw"),
         "q_org_size": _with(RAW) + f"SELECT ID, LINKEDIN_ORG_SIZE, {org_size('LINKEDIN_ORG_SIZE')} AS ORG_SIZE FROM raw",
         "q_job_date": _with(RAW) + f"SELECT ID, DATE_CREATED, {job_date('DATE_CREATED')} AS JOB_DATE FROM raw",
+        # titles hold letters, digits and spaces only, where the two encoders
+        # differ just in the space ('+' in Spark, '%20' in DuckDB)
+        "q_url_encode": _with(RAW) + ("SELECT TITLE, replace(url_encode(TITLE), '%20', '+') AS TITLE_ENCODED "
+                                      "FROM (SELECT DISTINCT TITLE FROM raw WHERE TITLE IS NOT NULL)"),
         "q_json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
         "q_json_flatten": ("SELECT event_id, event_type, TRY_CAST(json_extract(props, '$.k') AS BIGINT) "
                            "AS \"props.k\" FROM events"),

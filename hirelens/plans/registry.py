@@ -104,6 +104,11 @@ def q_job_date(spark, d):
     return raw.select("ID", "DATE_CREATED", HF.date_from_text("DATE_CREATED").alias("JOB_DATE"))
 
 
+def q_url_encode(spark, d):
+    titles = fixtures.raw_feed(spark, d).select("TITLE").filter(F.col("TITLE").isNotNull()).distinct()
+    return titles.select("TITLE", HF.url_encoded("TITLE").alias("TITLE_ENCODED"))
+
+
 def q_json_path(spark, d):
     ev = read_table(spark, d, "events")
     return ev.select("event_id", HF.json_path("props", "$.k").alias("k"))
@@ -241,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "q_employment_type": q_employment_type,
     "q_org_size": q_org_size,
     "q_job_date": q_job_date,
+    "q_url_encode": q_url_encode,
     "q_json_path": q_json_path,
     "q_json_flatten": q_json_flatten,
     "q_anti_join": q_anti_join,
