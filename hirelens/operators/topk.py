@@ -28,3 +28,20 @@ def recent_capped(df: DataFrame, ts: str, partition: str, id_col: str, *,
     start = end - F.expr(f"INTERVAL {int(window_hours)} HOURS")
     recent = df.filter(F.col(ts) >= start)
     return top_k_per_group(recent, [partition], [F.col(ts).desc(), F.col(id_col).asc()], limit)
+
+
+
+def preview(df: DataFrame, n: int = 5, order: list[tuple[str, bool]] | None = None, *,
+            tail: bool = False) -> DataFrame:
+    """O-4: the first (or last) ``n`` rows by ``order`` = [(column,
+    ascending), ...]. Spark rows have no order, so a tail needs one; it is
+    the first rows of the reversed order (Spark plans order + limit as a
+    per-task top-n and one merge of n rows per task)."""
+    def cols(o, flip=False):
+        return [F.col(c).asc_nulls_last() if asc != flip else F.col(c).desc_nulls_first()
+                for c, asc in o]
+    if tail:
+        if not order:
+            raise ValueError("tail needs an explicit order")
+        return df.orderBy(*cols(order, flip=True)).limit(n).orderBy(*cols(order))
+    return (df.orderBy(*cols(order)) if order else df).limit(n)

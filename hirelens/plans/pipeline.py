@@ -45,3 +45,11 @@ def run_models(clean: DataFrame, seniority: DataFrame | None = None) -> dict[str
     materialize_view(models.jobs_wow_trend(daily), "mart_total_jobs_wow_trend")
     spark.catalog.clearCache()
     return counts
+
+
+def run_skills(descriptions: DataFrame, table: str = "mart_top_job_skills") -> int:
+    """M-12: top skills per role from the deduplicated role descriptions,
+    replacing ``table`` (S-9)."""
+    counts: dict[str, int] = {}
+    _save(enrich.top_job_skills(descriptions), table, counts)
+    return counts[table]

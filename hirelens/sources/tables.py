@@ -21,10 +21,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cluster's parallelism) when its scan yields fewer, e.g. one large file
     with a single row group; a scan that is already wide is left as is, so
     no shuffle is added at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the plan alone
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def append_table(df: DataFrame, table: str, *, check_columns: bool = True) -> None:

@@ -115,3 +115,10 @@ def test_checked_broadcast(spark):
     assert "broadcast" in plan.lower()
     big = O.broadcast_if_small(small, max_rows=5)
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_preview_head_and_tail(spark):
+    df = spark.range(0, 100).withColumnRenamed("id", "k")
+    assert [r.k for r in O.preview(df, 3, [("k", True)]).collect()] == [0, 1, 2]
+    assert [r.k for r in O.preview(df, 2, [("k", True)], tail=True).collect()] == [98, 99]
+    assert O.preview(df, 4).count() == 4

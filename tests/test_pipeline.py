@@ -38,3 +38,12 @@ def test_run_daily_appends_only_new(spark):
     bad = spark.table("clean_postings_test").select(*reversed(CLEAN_COLUMNS)).limit(1)
     with pytest.raises(ValueError):
         append_table(bad, "clean_postings_test")
+
+
+def test_run_skills(spark):
+    descs = spark.createDataFrame(
+        [("Data Analyst", "SQL and Excel; strong communication"), ("Data Engineer", "Spark and SQL")],
+        "Job_Title string, Job_Description string")
+    assert pipeline.run_skills(descs, "skills_test") == 3
+    got = {r.job_title: r["Top 5 Technical Skills"] for r in spark.table("skills_test").collect()}
+    assert got == {"Data Analyst": "excel, sql", "Data Engineer": "spark, sql", "Data Scientist": ""}
