@@ -47,3 +47,21 @@ def test_run_skills(spark):
     assert pipeline.run_skills(descs, "skills_test") == 3
     got = {r.job_title: r["Top 5 Technical Skills"] for r in spark.table("skills_test").collect()}
     assert got == {"Data Analyst": "excel, sql", "Data Engineer": "spark, sql", "Data Scientist": ""}
+
+
+def test_cli_models_and_ingest(spark, tmpdir_path):
+    import os
+    from hirelens.__main__ import main
+    from test_sources import _land
+    clean_path = os.path.join(tmpdir_path, "clean")
+    fixtures.clean_postings(spark, SF0001).write.parquet(clean_path)
+    out = os.path.join(tmpdir_path, "models")
+    main(["models", "--clean", clean_path, "--out", out])
+    by_type = spark.read.parquet(os.path.join(out, "mart_total_jobs_by_type"))
+    assert by_type.count() == 3
+    landing = os.path.join(tmpdir_path, "landing")
+    _land(landing)
+    target = os.path.join(tmpdir_path, "target")
+    main(["ingest", "--landing", landing, "--target", target])
+    main(["ingest", "--landing", landing, "--target", target])
+    assert sorted(r.ID for r in spark.read.parquet(target).collect()) == ["1", "3"]
