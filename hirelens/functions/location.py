@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from hirelens import rules
 from hirelens.functions.text import _c, strip
 
+# Python semantics for the Java regex: Unicode \s, and '.' stops only at \n.
+PY_FLAGS = "(?Ud)"
+
 
 def city_from_locations(col: Column | str) -> Column:
     """Greedy locality capture; no match -> null; Sydney spellings fixed."""
     c = _c(col)
-    pattern = "(?U)" + rules.CITY_TEXT_PATTERN
+    pattern = PY_FLAGS + rules.CITY_TEXT_PATTERN
     city = F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
     lc = F.lower(city)
     is_sydney = None
@@ -32,7 +35,7 @@ def city_from_locations(col: Column | str) -> Column:
 def state_from_locations(col: Column | str) -> Column:
     """Greedy region capture, quotes removed, stripped; no match -> null."""
     c = _c(col)
-    pattern = "(?U)" + rules.STATE_TEXT_PATTERN
+    pattern = PY_FLAGS + rules.STATE_TEXT_PATTERN
     raw = F.regexp_extract(c, pattern, 1)
     return F.when(c.rlike(pattern), strip(F.regexp_replace(raw, "'", "")))
 

@@ -108,6 +108,8 @@ LOCATION_TEXTS = [
     "[" + place("Perth", "WA") + ", " + place("Darwin", "NT") + "]",
     "[" + place("", "") + "]",
     "[{'address': {'addressLocality':'Hobart', 'addressRegion': 'TAS', 'streetAddress': '1 Main St'}}]",
+    "[" + place("Alice\rSprings", "NT") + "]",         # '.' crosses \r as in Python
+    "[" + place("Alice\nSprings", "NT") + "]",         # but not \n
 ]
 
 
