@@ -240,7 +240,7 @@ d AS (SELECT SENIORITY AS k, MAX(SENIORITY_STANDARDIZED) AS v FROM sen_dict GROU
 SELECT c.ID, {val} AS SENIORITY FROM clean c LEFT JOIN d ON c.SENIORITY = d.k"""
 
 
-def _ingest_sql() -> str:
+def _ingest_sql(variant: str = "v2") -> str:
     derived = {
         "JOB_DATE": job_date("DATE_CREATED"),
         "CITY": city_extract("LOCATIONS_RAW"),
@@ -249,10 +249,15 @@ def _ingest_sql() -> str:
         "ORG_SIZE": org_size("LINKEDIN_ORG_SIZE"),
     }
     cols = ", ".join(f"{derived.get(c, c)} AS {c}" for c in CLEAN_COLUMNS)
-    out = ", ".join(_translate_v2(c) + f" AS {c}" if c in ("CITY", "STATE", "ORGANIZATION", "SENIORITY")
+    tr = _translate_v2 if variant == "v2" else _translate_v1
+    out = ", ".join(tr(c) + f" AS {c}" if c in ("CITY", "STATE", "ORGANIZATION", "SENIORITY")
                     else c for c in CLEAN_COLUMNS)
-    return _with(RAW, CLEAN, STORED, f"""batch AS (
-  SELECT {cols} FROM raw WHERE {title_regex('TITLE')}
+    tokens = ", ".join(lit(t) for t in rules.CSV_NULL_TOKENS)
+    feed = "raw" if variant == "v2" else "feed"
+    v1_feed = ("" if variant == "v2" else ",\nfeed AS (\n  SELECT " + ", ".join(
+        f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLUMNS) + " FROM raw\n)")
+    return _with(RAW + v1_feed, CLEAN, STORED, f"""batch AS (
+  SELECT {cols} FROM {feed} WHERE {title_regex('TITLE')}
 )""") + f"""SELECT {out} FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ID IS NOT DISTINCT FROM b.ID)"""
 
@@ -358,6 +363,7 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ID IS NOT DISTINCT FROM c.ID)""
         "q_daily": FACT_BASE + _daily_sql(),
         "q_wow": wow,
         "q_ingest": _ingest_sql(),
+        "q_ingest_v1": _ingest_sql("v1"),
         "q_first_per_key": """SELECT doc_id, text, lang, source, n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS rn FROM documents
 ) WHERE rn = 1""",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens import functions as HF
+from hirelens import rules
 from hirelens.operators import anti_join_new
 from hirelens.plans.enrich import translate_columns
 from hirelens.schemas import CLEAN_COLUMNS, RAW_COLUMNS
@@ -20,9 +21,25 @@ from hirelens.sources.feed import places_text, select_strict, select_tolerant, u
 from hirelens.sources.tables import append_table
 
 
-def prepare_feed(raw: DataFrame) -> DataFrame:
-    """Steps 1-2: upper-case names, keep the raw columns that exist (P-2, P-4)."""
-    return select_tolerant(upper_columns(raw), RAW_COLUMNS)
+def prepare_feed(raw: DataFrame, variant: str = "v2") -> DataFrame:
+    """Steps 1-2: upper-case names and select the raw columns.
+
+    v2 keeps the listed columns that exist (P-4). v1 requires all of them
+    (P-3) and reads the feed back from its CSV copy, so every whole value
+    equal to a CSV null token ('NA', 'nan', 'None', ...) becomes null; the
+    round trip is applied as that column rule instead of a file write."""
+    up = upper_columns(raw)
+    if variant != "v1":
+        return select_tolerant(up, RAW_COLUMNS)
+    strict = select_strict(up, RAW_COLUMNS)
+    return strict.select(*[_csv_nulls(strict, c) for c in RAW_COLUMNS])
+
+
+def _csv_nulls(df: DataFrame, c: str):
+    col = F.col(f"`{c}`")
+    if isinstance(df.schema[c].dataType, T.StringType):
+        return F.when(col.isin(rules.CSV_NULL_TOKENS), F.lit(None).cast("string")).otherwise(col).alias(c)
+    return col
 
 
 def clean_feed(feed: DataFrame, *, token: str = "nan") -> DataFrame:
@@ -55,7 +72,7 @@ def stored_postings(stored: DataFrame) -> DataFrame:
 def ingest(raw: DataFrame, stored: DataFrame | None = None, *, variant: str = "v2",
            translate: bool = True) -> DataFrame:
     """Steps 1-8 of the daily ingest; the caller appends the result."""
-    batch = clean_feed(prepare_feed(raw))
+    batch = clean_feed(prepare_feed(raw, variant))
     if stored is not None:
         batch = anti_join_new(batch, stored_postings(stored), "ID", null_safe=True)
     if translate:

@@ -213,6 +213,11 @@ def q_ingest(spark, d):
     return ingest.ingest(raw, _stored(spark, d), variant="v2")
 
 
+def q_ingest_v1(spark, d):
+    raw = fixtures.raw_feed(spark, d).drop("_CITY", "_STATE")
+    return ingest.ingest(raw, _stored(spark, d), variant="v1")
+
+
 # --- text operators ---------------------------------------------------------------------
 
 def q_first_per_key(spark, d):
@@ -267,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "q_daily": q_daily,
     "q_wow": q_wow,
     "q_ingest": q_ingest,
+    "q_ingest_v1": q_ingest_v1,
     "q_first_per_key": q_first_per_key,
     "q_role_text": q_role_text,
     "q_top_skills": q_top_skills,
