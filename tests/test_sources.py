@@ -7,6 +7,7 @@ import json
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from hirelens.plans import ingest as I
@@ -161,17 +162,13 @@ def test_ingest_variants(spark, tmpdir_path):
     raw = feed.read_landed_json(spark, root).withColumn("seniority", F.lit("NA"))
     v2 = {r.ID: r for r in I.ingest(raw, None, variant="v2").collect()}
     assert v2["1"].SENIORITY == "NA"           # 'na' text -> 'NA'
-    # v1 needs every raw column: the landed JSON lacks most of the 44
-    try:
-        I.ingest(raw, None, variant="v1").collect()
-        raise AssertionError("v1 must reject a feed without the full raw column list")
-    except Exception as e:
-        assert "cannot be resolved" in str(e) or "UNRESOLVED_COLUMN" in str(e)
-    full = feed.upper_columns(raw)
-    for c in RAW_COLUMNS:
-        if c not in full.columns:
-            full = full.withColumn(c, F.lit(None).cast("string"))
-    full = full.withColumn("LOCATIONS_RAW", F.lit(None).cast("string"))
+    # v1 needs every raw column; v2 skips a missing one
+    short = raw.drop("linkedin_org_slug")
+    with pytest.raises(Exception, match="LINKEDIN_ORG_SLUG"):
+        I.ingest(short, None, variant="v1").collect()
+    assert I.ingest(short.withColumn("linkedin_org_slug", F.lit(None).cast("string")), None,
+                    variant="v2").count() == 2
+    full = feed.upper_columns(raw).withColumn("LOCATIONS_RAW", F.lit(None).cast("string"))
     v1 = {r.ID: r for r in I.ingest(full, None, variant="v1").collect()}
     assert v1["1"].SENIORITY == "NA" and v1["1"].CITY == "NA"   # CSV null token, then null -> 'NA'
     v2b = {r.ID: r for r in I.ingest(full, None, variant="v2").collect()}
