@@ -17,6 +17,28 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (about 100 TB of input, ~1000 executors):
+# AQE re-plans joins from runtime sizes, coalesces small shuffle partitions
+# and splits skewed ones; partitions target ~256 MiB so they fit executor
+# memory and spill rarely.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count for an expected shuffle volume; AQE
+    coalesces what turns out smaller."""
+    return max(minimum, -(-shuffle_bytes // target_bytes))
+
+
 def build_session(master: str = "local[*]", app: str = "hirelens",
                   shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
