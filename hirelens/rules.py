@@ -128,7 +128,7 @@ TOP_SKILLS = 5
 # --- skills lexicon (ours; the source asks a hosted model instead) ----------------
 TECHNICAL_SKILLS: list[str] = [
     "sql", "python", "r", "scala", "java", "spark", "hadoop", "kafka", "airflow",
-    "dbt", "snowflake", "aws", "azure", "gcp", "docker", "kubernetes", "linux",
+    "aws", "azure", "gcp", "docker", "kubernetes", "linux",
     "git", "excel", "tableau", "power bi", "statistics", "machine learning",
     "deep learning", "etl", "data modeling", "data warehousing", "pandas",
     "numpy", "tensorflow", "pytorch", "apache", "api", "json", "html",
