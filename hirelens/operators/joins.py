@@ -23,10 +23,14 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only behind a measured size; beyond the limits the
-    plain join stays (sort-merge, with AQE skew splitting)."""
-    n, b = measured_size(df)
-    return F.broadcast(df) if (n <= max_rows and b <= max_bytes) else df
+    """Write ``df`` once to the checkpoint folder, measure it, and hint a
+    broadcast only when it is under both limits; beyond them the plain join
+    stays (sort-merge, with AQE skew splitting). Either way the join reads
+    the written copy instead of recomputing ``df``."""
+    from hirelens.session import checkpointed
+    written = checkpointed(df)
+    n, b = measured_size(written)
+    return F.broadcast(written) if (n <= max_rows and b <= max_bytes) else written
 
 
 def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,

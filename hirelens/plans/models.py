@@ -15,7 +15,7 @@ from hirelens import functions as HF
 from hirelens.operators import collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by
 from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_size
 from hirelens.schemas import FACT_COLUMNS, LINK_COLUMNS, POSTING_KEY
-from hirelens.session import checkpointed
+from hirelens.session import cached_small, checkpointed
 
 
 def base_city(clean: DataFrame) -> DataFrame:
@@ -38,12 +38,23 @@ def posting_profiles(clean: DataFrame) -> DataFrame:
     return clean.select("CITY", "STATE", "SENIORITY").distinct()
 
 
-def _ranked(df: DataFrame, value: str, rank: str) -> DataFrame:
-    """Distinct non-null values of a small, measured frame with their rank
-    in byte order (Spark's string order), so MAX of the rank is MAX of the
-    string."""
-    vals = df.select(value).filter(F.col(value).isNotNull()).distinct()
-    return vals.withColumn(rank, F.row_number().over(Window.orderBy(value)))
+def _vocabulary(columns: dict[str, DataFrame]) -> DataFrame:
+    """One small table of (kind, value, code): the distinct non-null values of
+    each named column with their rank in byte order (Spark's string order),
+    so MAX of the code is MAX of the string. Only built from measured,
+    small inputs; the window is global per kind."""
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(col).alias("value"))
+             for kind, (df, col) in columns.items()]
+    vals = parts[0]
+    for p in parts[1:]:
+        vals = vals.unionByName(p)
+    vals = vals.filter(F.col("value").isNotNull()).distinct()
+    return vals.withColumn("code", F.row_number().over(Window.partitionBy("kind").orderBy("value")))
+
+
+def _codes(vocab: DataFrame, kind: str, value_as: str, code_as: str) -> DataFrame:
+    return vocab.filter(F.col("kind") == kind).select(
+        F.col("value").alias(value_as), F.col("code").alias(code_as))
 
 
 def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame | None = None,
@@ -78,6 +89,12 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
     """
     if profiles is None:
         profiles = checkpointed(posting_profiles(clean))
+    # every side has at most as many rows (and bytes) as the profiles or the
+    # seniority dictionary, so measuring those two bounds them all
+    small = all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES
+                for n, b in (measured_size(profiles), measured_size(seniority)))
+    if small:  # one task per small step instead of one per shuffle partition
+        profiles, seniority = profiles.coalesce(1), seniority.coalesce(1)
     state_dim = (base_state(base_city(profiles))
                  .filter(F.col("CITY_STANDARDIZED").isNotNull())
                  .groupBy("CITY_STANDARDIZED")
@@ -88,11 +105,6 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
     sen_dim = (seniority.filter(F.col("SENIORITY").isNotNull())
                .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
                .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
-    # every side has at most as many rows (and bytes) as the profiles or the
-    # seniority dictionary, so measuring those two bounds them all
-    small = all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES
-                for n, b in (measured_size(profiles), measured_size(seniority)))
-
     posting_sen = F.lower("SENIORITY") if seniority_match == "casefold" else F.col("SENIORITY")
     postings = clean.withColumn("_SEN", posting_sen)
     if not small:
@@ -103,21 +115,26 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
             "SENIORITY": "SENIORITY_STANDARDIZED"})
         return out.select(*FACT_COLUMNS)
 
-    city_codes = _ranked(state_dim, "CITY_STANDARDIZED", "_c")
-    state_codes = _ranked(state_dim, "STATE_STANDARDIZED", "_s")
-    sen_codes = _ranked(sen_dim, "SENIORITY_STANDARDIZED", "_e")
-    city_side = (city_dim.join(city_codes, "CITY_STANDARDIZED")
-                         .join(state_codes, "STATE_STANDARDIZED", "left")
-                         .select("CITY", "_c", "_s"))
-    sen_side = sen_dim.join(sen_codes, "SENIORITY_STANDARDIZED").select("_SEN_KEY", "_e")
+    # the sides below derive from the checkpointed profiles in a few small
+    # steps, so they are held in memory rather than written again
+    vocab = cached_small(_vocabulary({
+        "c": (state_dim, "CITY_STANDARDIZED"),
+        "s": (state_dim, "STATE_STANDARDIZED"),
+        "e": (sen_dim, "SENIORITY_STANDARDIZED")}))
+    city_side = cached_small(
+        city_dim.join(_codes(vocab, "c", "CITY_STANDARDIZED", "_c"), "CITY_STANDARDIZED")
+                .join(_codes(vocab, "s", "STATE_STANDARDIZED", "_s"), "STATE_STANDARDIZED", "left")
+                .select("CITY", "_c", "_s"))
+    sen_side = cached_small(
+        sen_dim.join(_codes(vocab, "e", "SENIORITY_STANDARDIZED", "_e"), "SENIORITY_STANDARDIZED")
+               .select("_SEN_KEY", "_e"))
     joined = (postings.join(F.broadcast(city_side), "CITY", "inner")
                       .join(F.broadcast(sen_side), F.col("_SEN") == F.col("_SEN_KEY"), "inner"))
     coded = joined.groupBy(*POSTING_KEY).agg(
         F.max("_c").alias("_c"), F.max("_s").alias("_s"), F.max("_e").alias("_e"))
-    decoded = (coded.join(F.broadcast(city_codes.withColumnRenamed("CITY_STANDARDIZED", "CITY")), "_c", "left")
-                    .join(F.broadcast(state_codes.withColumnRenamed("STATE_STANDARDIZED", "STATE")), "_s", "left")
-                    .join(F.broadcast(sen_codes.withColumnRenamed("SENIORITY_STANDARDIZED", "SENIORITY")),
-                          "_e", "left"))
+    decoded = (coded.join(F.broadcast(_codes(vocab, "c", "CITY", "_c")), "_c", "left")
+                    .join(F.broadcast(_codes(vocab, "s", "STATE", "_s")), "_s", "left")
+                    .join(F.broadcast(_codes(vocab, "e", "SENIORITY", "_e")), "_e", "left"))
     return decoded.select(*FACT_COLUMNS)
 
 

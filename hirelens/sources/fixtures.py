@@ -43,9 +43,16 @@ URL_PREFIX = "https://example.com/"
 TIME_OF_DAY = "T23:30:00"
 
 
+def _sql_string(v: str | None) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _pick(values: list, key: Column) -> Column:
-    """``values[key % len(values)]`` as a literal-array lookup."""
-    arr = F.array(*[F.lit(v).cast("string") for v in values])
+    """``values[key % len(values)]`` as a literal-array lookup (the array is
+    one SQL literal, built in a single call)."""
+    arr = F.expr("array(" + ", ".join(_sql_string(v) for v in values) + ")")
     return F.element_at(arr, (key % F.lit(len(values))).cast("int") + F.lit(1))
 
 

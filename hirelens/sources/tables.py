@@ -10,10 +10,21 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
                  "benchmark", "labels", "conversations"]
 
 
+_SCANS: dict[str, tuple[object, DataFrame]] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of a driver table; column pruning and filter pushdown
-    come from the projections and filters applied later."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    come from the projections and filters applied later. The (lazy) scan is
+    reused within a session, so the folder is listed and the footer read
+    once, not once per query; the driver tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _SCANS.get(path)
+    if hit is not None and hit[0] is spark._jsparkSession and hit[1].sparkSession is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _SCANS[path] = (spark._jsparkSession, df)
+    return df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
