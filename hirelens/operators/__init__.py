@@ -5,7 +5,7 @@ from hirelens.operators.aggregates import (
 )
 from hirelens.operators.dedupe import collapse_max, distinct_rows, first_per_key
 from hirelens.operators.joins import (
-    anti_join_new, broadcast_if_small, dictionary_lookup, measured_size,
+    anti_join_new, broadcast_if_small, dictionary_lookup, measured_size, measured_sizes,
 )
 from hirelens.operators.topk import preview, recent_capped, top_k_per_group
 from hirelens.operators.windows import lag_trend
@@ -13,6 +13,6 @@ from hirelens.operators.windows import lag_trend
 __all__ = [
     "anti_join_new", "broadcast_if_small", "collapse_max", "count_distinct_by",
     "dictionary_lookup", "distinct_rows", "first_per_key", "lag_trend",
-    "measured_size", "ordered_distinct", "ordered_distinct_concat", "preview",
+    "measured_size", "measured_sizes", "ordered_distinct", "ordered_distinct_concat", "preview",
     "recent_capped", "sum_by", "top_k_per_group",
 ]

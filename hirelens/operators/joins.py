@@ -11,14 +11,28 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Row count and an upper estimate of the in-memory bytes of ``df``,
-    measured by one distributed aggregate (no rows reach the driver)."""
+def _size_row(df: DataFrame, tag: int) -> DataFrame:
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16)
               for c in df.columns]
     row_bytes = widths[0] if len(widths) == 1 else sum(widths[1:], widths[0])
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
-    return int(r["n"] or 0), int(r["b"] or 0)
+    return df.agg(F.lit(tag).alias("t"), F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b"))
+
+
+def measured_sizes(*frames: DataFrame) -> list[tuple[int, int]]:
+    """Row count and an upper estimate of the in-memory bytes of each frame,
+    measured by distributed aggregates in one job; one small row per frame
+    reaches the driver."""
+    parts = [_size_row(df, i) for i, df in enumerate(frames)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    got = {r["t"]: (int(r["n"] or 0), int(r["b"] or 0)) for r in u.collect()}
+    return [got[i] for i in range(len(frames))]
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """:func:`measured_sizes` of one frame."""
+    return measured_sizes(df)[0]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

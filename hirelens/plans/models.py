@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.operators import collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by
-from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_size
+from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_sizes
 from hirelens.schemas import FACT_COLUMNS, LINK_COLUMNS, POSTING_KEY
 from hirelens.session import cached_small, checkpointed
 
@@ -92,7 +92,7 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
     # every side has at most as many rows (and bytes) as the profiles or the
     # seniority dictionary, so measuring those two bounds them all
     small = all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES
-                for n, b in (measured_size(profiles), measured_size(seniority)))
+                for n, b in measured_sizes(profiles, seniority))
     if small:  # one task per small step instead of one per shuffle partition
         profiles, seniority = profiles.coalesce(1), seniority.coalesce(1)
     state_dim = (base_state(base_city(profiles))
