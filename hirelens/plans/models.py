@@ -75,11 +75,13 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
       (distinct CITY, STATE, SENIORITY; computed once and checkpointed) and
       the seniority dictionary; the postings only do hash lookups on raw
       CITY and SENIORITY;
-    * the profiles and the dictionary are measured; when small, the sides
-      are broadcast and each standardized string travels as its rank in
-      byte order, so the GROUP BY takes MAX of integers (a hash aggregate,
-      combined map-side, so a hot posting is reduced before the single
-      shuffle) and the ranks are decoded by broadcast lookups;
+    * the profiles and the dictionary are measured (one job); when small,
+      the sides and a rank vocabulary are built in small jobs and held in
+      memory, so the final plan only scans them. Each standardized string
+      travels as its rank in byte order: the GROUP BY takes MAX of integers
+      (a hash aggregate, combined map-side, so a hot posting is reduced
+      before the single shuffle of posting rows) and the ranks are decoded
+      by broadcast lookups;
     * beyond the size limits the sides are joined by shuffle (AQE splits a
       hot city) and MAX runs on the strings (sort-based aggregation, which
       spills).
