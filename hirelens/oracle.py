@@ -297,6 +297,41 @@ FROM srcs s LEFT JOIN listed l ON s.source = l.source
 GROUP BY s.source"""
 
 
+def _csv_block_sql() -> str:
+    # The conversation texts hold no double quotes, so a CSV row is its
+    # comma-separated fields (an empty field is null), as Spark's from_csv
+    # reads it; the line and block rules are those of the Spark query.
+    breaks = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+    return f"""WITH t AS (
+  SELECT conv_id, turn,
+         string_split_regex({strip('text')}, '{breaks}') AS lines
+  FROM conversations WHERE role = 'assistant'
+),
+h AS (
+  SELECT *, list_position(list_transform(lines, lambda l: starts_with(lower(l), 'job_title')), true) AS hdr
+  FROM t
+),
+b AS (
+  SELECT conv_id, turn,
+         CASE WHEN hdr > 0 THEN lines[hdr:hdr + 3] ELSE lines END AS block
+  FROM h
+),
+r AS (
+  SELECT conv_id, turn,
+         list_filter(block[2:], lambda l: length({strip('l')}) > 0) AS body
+  FROM b
+),
+x AS (
+  SELECT conv_id, turn, unnest(body) AS line, unnest(generate_series(0, len(body) - 1)) AS row_no
+  FROM r WHERE len(body) > 0
+)
+SELECT conv_id, turn, CAST(row_no AS INTEGER) AS row_no,
+       NULLIF(string_split(line, ',')[1], '') AS job_title,
+       NULLIF(string_split(line, ',')[2], '') AS technical_skills,
+       NULLIF(string_split(line, ',')[3], '') AS soft_skills
+FROM x"""
+
+
 def oracle_sql() -> dict[str, str]:
     wow = FACT_BASE[:-1] + f""",
 daily AS ({_daily_sql()}),
@@ -371,4 +406,5 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ID IS NOT DISTINCT FROM c.ID)""
   SELECT *, row_number() OVER (PARTITION BY role, text ORDER BY conv_id, turn) AS rn FROM conversations
 ) WHERE rn = 1""",
         "q_top_skills": _top_skills_sql(),
+        "q_csv_block": _csv_block_sql(),
     }
