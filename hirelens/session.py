@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # checkpoint files of small sides are removed once no plan references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
