@@ -6,7 +6,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.operators import joins as J
 from hirelens.plans import enrich, models
 from hirelens.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, FACT_COLUMNS
 

@@ -2,7 +2,6 @@
 check, idempotent re-run."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from hirelens.plans import ingest, pipeline
 from hirelens.schemas import CLEAN_COLUMNS
