@@ -1,0 +1,73 @@
+"""Hot keys: one posting, city, ID or description holding a third of all
+rows. Results must stay whole and exact."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from hirelens import operators as O
+from hirelens.plans import models
+from hirelens.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
+
+N = 9000
+
+
+def skewed_postings(spark):
+    i = F.col("id")
+    hot = i % 3 == 0                                  # a third of the rows
+    cols = {c: F.lit(None).cast("string") for c in CLEAN_COLUMNS}
+    cols.update(
+        ID=F.when(hot, F.lit("hot")).otherwise((i % 500).cast("string")),
+        TITLE=F.lit("Data Engineer"),
+        JOB_CATEGORY=F.when(hot, F.lit("Data Engineer")).otherwise(
+            F.element_at(F.array(F.lit("Data Analyst"), F.lit("Data Scientist")), (i % 2 + 1).cast("int"))),
+        JOB_DATE=F.date_add(F.lit(dt.date(2025, 1, 1)), (i % 40).cast("int")),
+        CITY=F.when(hot | (i % 5 == 0), F.lit("Greater Sydney Area")).otherwise(F.lit("Perth")),
+        STATE=F.element_at(F.array(F.lit("NSW"), F.lit("of"), F.lit("WA")), (i % 3 + 1).cast("int")),
+        SENIORITY=F.when(i % 7 == 0, F.lit("executive")).otherwise(F.lit("entry level")),
+        ORGANIZATION=F.concat(F.lit("Org "), (i % 11).cast("string")),
+    )
+    df = spark.range(N).select(*[cols[c].cast(f.dataType).alias(c) for c, f in
+                                 zip(CLEAN_COLUMNS, CLEAN_SCHEMA.fields)])
+    return df
+
+
+def test_fact_table_under_skew(spark):
+    clean = skewed_postings(spark)
+    sen = spark.createDataFrame([("entry level", "Entry Level"), ("executive", "Manager/Executive")],
+                                "SENIORITY string, SENIORITY_STANDARDIZED string")
+    fast = models.fact_postings(clean, sen)
+    naive = models.fact_postings_naive(clean, sen)
+    key = sorted(fast.columns)
+    assert sorted(map(tuple, fast.select(*key).collect())) == sorted(map(tuple, naive.select(*key).collect()))
+    by_type = {r.JOB_CATEGORY: r.total_jobs for r in models.jobs_by_type(fast).collect()}
+    expected = clean.groupBy("JOB_CATEGORY").agg(F.countDistinct("ID").alias("n")).collect()
+    assert by_type == {r.JOB_CATEGORY: r.n for r in expected}
+
+
+def test_anti_join_hot_id(spark):
+    new = skewed_postings(spark).select("ID", "JOB_DATE")
+    stored = spark.createDataFrame([("hot",), ("1",)], "ID string")
+    out = O.anti_join_new(new, stored, "ID")
+    assert out.count() == N - N // 3 - sum(1 for k in range(N) if k % 3 and k % 500 == 1)
+    assert out.filter(F.col("ID") == "hot").count() == 0
+
+
+def test_first_per_key_hot_description(spark):
+    i = F.col("id")
+    df = spark.range(N).select(i.alias("row_no"), F.lit("s1").alias("sheet"),
+                               F.when(i % 3 == 0, F.lit("same text")).otherwise(
+                                   F.concat(F.lit("text "), i.cast("string"))).alias("Job_Description"))
+    out = O.first_per_key(df, ["sheet", "Job_Description"], ["row_no"])
+    assert out.count() == N - N // 3 + 1
+    assert out.filter(F.col("Job_Description") == "same text").collect()[0].row_no == 0
+
+
+def test_top_k_hot_group_whole(spark):
+    i = F.col("id")
+    df = spark.range(N).select(F.when(i % 3 == 0, F.lit("hot")).otherwise((i % 7).cast("string")).alias("g"),
+                               i.alias("v"))
+    out = O.top_k_per_group(df, ["g"], [F.col("v").desc()], 3)
+    hot = sorted((r.v for r in out.filter(F.col("g") == "hot").collect()), reverse=True)
+    assert hot == [N - 3, N - 6, N - 9]
+    assert out.count() == 3 * 8
