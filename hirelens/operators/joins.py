@@ -3,7 +3,7 @@ defaulted dictionary lookup (J-5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when a measured size is under both limits.
@@ -53,13 +53,22 @@ def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
 
     Duplicates inside ``new`` are kept. With ``null_safe`` a null key on
     both sides counts as a match (the row is dropped); otherwise a null-key
-    row is always kept. The stored side is reduced to distinct keys first,
-    which aggregates map-side and shares the join's hash partitioning.
+    row is always kept.
+
+    Planned as a plain equi anti join on the non-null stored keys (reduced
+    to distinct keys first, combined map-side), so a stored table bucketed
+    by the key is joined without reshuffling it; the null rule is a filter
+    on a scalar subquery (does the stored side hold a null key?), so the
+    new rows are read once.
     """
-    ids = stored.select(F.col(key).alias("_stored_key")).distinct()
-    cond: Column = (new[key].eqNullSafe(ids["_stored_key"]) if null_safe
-                    else new[key] == ids["_stored_key"])
-    return new.join(ids, cond, "left_anti")
+    ids = (stored.select(F.col(key).alias("_stored_key"))
+                 .filter(F.col("_stored_key").isNotNull()).distinct())
+    out = new.join(ids, new[key] == ids["_stored_key"], "left_anti")
+    if null_safe:
+        stored_has_null = stored.filter(F.col(key).isNull()).select(
+            (F.count(F.lit(1)) > 0).alias("has_null")).scalar()
+        out = out.filter(F.col(key).isNotNull() | ~stored_has_null)
+    return out
 
 
 def dictionary_lookup(df: DataFrame, column: str, dictionary: DataFrame, *,

@@ -80,11 +80,14 @@ def ingest(raw: DataFrame, stored: DataFrame | None = None, *, variant: str = "v
     return batch
 
 
-def run_daily(raw: DataFrame, table: str, *, variant: str = "v2") -> DataFrame:
+def run_daily(raw: DataFrame, table: str, *, variant: str = "v2",
+              buckets: int | None = None) -> DataFrame:
     """Steps 1-9: ingest against the stored table (when it exists) and
-    append the new postings (S-8, with the column-list check P-14)."""
+    append the new postings (S-8, with the column-list check P-14). With
+    ``buckets`` the table is kept bucketed by ID, so the anti join never
+    reshuffles the stored postings."""
     spark = raw.sparkSession
     stored = spark.table(table) if spark.catalog.tableExists(table) else None
     batch = ingest(raw, stored, variant=variant)
-    append_table(batch, table)
+    append_table(batch, table, bucket_by="ID" if buckets else None, buckets=buckets)
     return batch

@@ -40,15 +40,24 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
-def append_table(df: DataFrame, table: str, *, check_columns: bool = True) -> None:
+def append_table(df: DataFrame, table: str, *, check_columns: bool = True,
+                 bucket_by: str | None = None, buckets: int | None = None) -> None:
     """Append sink (S-8). When the table exists, its column list must equal
-    the batch's, in order (P-14)."""
+    the batch's, in order (P-14).
+
+    With ``bucket_by``/``buckets`` the table is written hash-bucketed on that
+    column. The daily anti join then reads the stored IDs already
+    partitioned by ID, so only the (small) new batch is shuffled, however
+    large the stored table grows."""
     spark = df.sparkSession
     if check_columns and spark.catalog.tableExists(table):
         stored = spark.table(table).columns
         if [c.upper() for c in stored] != [c.upper() for c in df.columns]:
             raise ValueError(f"column mismatch for {table}: {stored} != {df.columns}")
-    df.write.mode("append").saveAsTable(table)
+    w = df.write.mode("append")
+    if bucket_by and buckets:
+        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    w.saveAsTable(table)
 
 
 def replace_table(df: DataFrame, table: str) -> None:

@@ -64,3 +64,23 @@ def test_cli_models_and_ingest(spark, tmpdir_path):
     main(["ingest", "--landing", landing, "--target", target])
     main(["ingest", "--landing", landing, "--target", target])
     assert sorted(r.ID for r in spark.read.parquet(target).collect()) == ["1", "3"]
+
+
+def test_bucketed_store_shuffles_only_the_new_batch(spark):
+    import re
+    from test_plans import live_nodes
+    spark.sql("DROP TABLE IF EXISTS clean_bucketed_test")
+    raw = fixtures.raw_feed(spark, SF0001).drop("_CITY", "_STATE")
+    ingest.run_daily(raw, "clean_bucketed_test", buckets=4)
+    n1 = spark.table("clean_bucketed_test").count()
+    nxt = ingest.ingest(raw, spark.table("clean_bucketed_test"))
+    assert nxt.count() == 0                                     # idempotent
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join
+    try:
+        nodes = live_nodes(ingest.ingest(raw, spark.table("clean_bucketed_test")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    on_id = [d for n, d in nodes if n == "Exchange" and re.search(r"hashpartitioning\((ID|_stored_key)#", d)]
+    # the stored IDs come bucketed: only the new batch is shuffled by ID
+    assert len(on_id) == 1 and "(ID#" in on_id[0], on_id
+    assert spark.table("clean_bucketed_test").count() == n1
