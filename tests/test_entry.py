@@ -54,3 +54,21 @@ def test_query_matches_oracle(spark, duck, name):
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(df.columns, rows) == _bag(ocols, orows)
+
+
+@pytest.mark.parametrize("name", ["q_job_date", "q_daily", "q_wow", "q_feed_cap", "q_ingest", "q_seniority_rules"])
+def test_session_settings_do_not_change_results(spark, duck, name):
+    """The driver's session may use another time zone or ANSI off; the
+    date, window and cast logic must not depend on either."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF0001)
+        rows = [tuple(r) for r in df.collect()]
+        cols = df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("spark.sql.ansi.enabled")
+    rel = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in rel.description]
+    assert _bag(cols, rows) == _bag(ocols, rel.fetchall())
