@@ -33,7 +33,8 @@ def cmd_ingest(args) -> None:
     from hirelens.plans.ingest import ingest
     from hirelens.sources.feed import read_landed_json
     spark = _session(args)
-    stored = spark.read.parquet(args.target) if _exists(spark, args.target) else None
+    from hirelens.schemas import CLEAN_SCHEMA
+    stored = spark.read.schema(CLEAN_SCHEMA).parquet(args.target) if _exists(spark, args.target) else None
     batch = ingest(read_landed_json(spark, args.landing), stored, variant=args.variant)
     batch.write.mode("append").parquet(args.target)
 

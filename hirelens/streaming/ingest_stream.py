@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hirelens.plans.ingest import ingest
-from hirelens.schemas import LANDED_JSON_SCHEMA
+from hirelens.schemas import CLEAN_SCHEMA, LANDED_JSON_SCHEMA
 
 
 def _target_exists(spark: SparkSession, path: str) -> bool:
@@ -40,7 +40,10 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, target_path: str
             .option("basePath", landing_root).json(landing_root))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        stored = spark.read.parquet(target_path) if _target_exists(spark, target_path) else None
+        # explicit schema: a target holding only an empty first batch has no
+        # parquet footer to infer it from
+        stored = (spark.read.schema(CLEAN_SCHEMA).parquet(target_path)
+                  if _target_exists(spark, target_path) else None)
         new = ingest(batch, stored, variant=variant)
         new.write.mode("append").parquet(target_path)
 

@@ -173,3 +173,17 @@ def test_ingest_variants(spark, tmpdir_path):
     assert v1["1"].SENIORITY == "NA" and v1["1"].CITY == "NA"   # CSV null token, then null -> 'NA'
     v2b = {r.ID: r for r in I.ingest(full, None, variant="v2").collect()}
     assert v2b["1"].CITY is None                                   # v2 keeps null
+
+
+def test_streaming_ingest_empty_first_batch(spark, tmpdir_path):
+    from hirelens.streaming import start_ingest_stream
+    root = os.path.join(tmpdir_path, "landing")
+    os.makedirs(os.path.join(root, "job_category=Data Engineer"))
+    with open(os.path.join(root, "job_category=Data Engineer", "a.json"), "w") as f:
+        f.write(json.dumps(_landed_posting(1, "Metadata Analyst", "Perth", "WA")) + "\n")
+    target, chk = os.path.join(tmpdir_path, "clean"), os.path.join(tmpdir_path, "chk")
+    start_ingest_stream(spark, root, target, chk).awaitTermination(120)   # nothing matches
+    with open(os.path.join(root, "job_category=Data Engineer", "b.json"), "w") as f:
+        f.write(json.dumps(_landed_posting(2, "Data Engineer", "Perth", "WA")) + "\n")
+    start_ingest_stream(spark, root, target, chk).awaitTermination(120)
+    assert [r.ID for r in spark.read.parquet(target).collect()] == ["2"]
