@@ -5,14 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens.llm._shared import Scratch
+from hirelens.llm.byte_bpe import encode_decode
 from hirelens.llm.exact_dedup import exact_dedup
+from hirelens.llm.token_output import read_tokens, write_tokens
 from hirelens.llm.url_filter import url_filter
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, installed on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written to files in ascending doc_id order and read back."""
+    scratch = Scratch(spark, "token-output")
+    path, end, symbols = scratch.path("files"), 2, 50257
+    write_tokens(table(spark, sf_dir, "documents"), path, scratch, vocabulary("byte_bpe_50k.json"), end, symbols)
+    return read_tokens(spark, path, symbols).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def captures_and_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every page as a capture, fetched on a date that follows from its id;
     list events that follow from the pages of each host, parent domain and
@@ -47,13 +64,20 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(*captures_and_events(spark, sf_dir))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the rank file and decoded again."""
+    return encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the row of their text that stays."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
