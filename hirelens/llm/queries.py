@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens.llm._shared import Scratch
 from hirelens.llm.byte_bpe import encode_decode
+from hirelens.llm.embedding_near_dedup import embedding_near_dedup
 from hirelens.llm.exact_dedup import exact_dedup
 from hirelens.llm.token_output import read_tokens, write_tokens
 from hirelens.llm.url_filter import url_filter
@@ -74,11 +75,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with their links at cosine 0.9 and their component."""
+    return embedding_near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 _OP2_SQL = r"""

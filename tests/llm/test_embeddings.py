@@ -1,0 +1,78 @@
+"""Lattice hashing (op 10) against all pairs."""
+
+import itertools
+
+import numpy as np
+
+from hirelens.llm import queries
+from hirelens.llm.embedding_near_dedup import _roots, e8_nearest, embedding_near_dedup, hash_cells
+
+from .conftest import SF
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, threshold=0.9):
+    """rows: (vec_id, vector or None). {position: (links, component)}"""
+    good = [i for i, (_, v) in enumerate(rows) if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    links = {i: set() for i in range(len(rows))}
+    for i, j in itertools.combinations(good, 2):
+        x, y = (np.array(rows[k][1], dtype=np.float32).astype(np.float64) for k in (i, j))
+        if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+            links[i].add(j), links[j].add(i)
+    out = {}
+    for i in links:
+        seen, todo = {i}, [i]
+        while todo:
+            for k in links[todo.pop()] - seen:
+                seen.add(k), todo.append(k)
+        ids = [rows[k][0] for k in seen if rows[k][0] is not None]
+        out[i] = (len(links[i]), min(ids) if ids else None)
+    return out
+
+
+def compare(rows, df):
+    want = sorted((str(rows[i][0]), n, str(c), rows[i][0] == c) for i, (n, c) in brute(rows).items())
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in df.collect()) == want
+
+
+def test_query_op10(spark):
+    rows = [(r.vec_id, r.embedding) for r in queries.table(spark, SF, "embeddings").collect()]
+    compare(rows, queries.op10_embedding_near_dedup(spark, SF))
+
+
+def test_op10_edges(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=8).tolist()
+    rows = [(1, base), (2, base), (2, base), (3, [2 * x for x in base]), (4, [x + 1e-3 for x in base]),
+            (5, [0.0] * 8), (6, None), (7, []), (8, [float("nan")] * 8), (9, [None] + base[1:]), (10, [float("inf")] + base[1:]),
+            (None, base), (11, base[:4]), (12, base[:4]), (13, [-x for x in base]), (None, None), (14, [1e30] * 8), (15, [1e-30] * 8)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).selectExpr("*", "1 AS cid", "2 AS raw", "3 AS copies", "4 AS cell")
+    compare([(i, v) for i, v in rows], embedding_near_dedup(df.repartition(3)))
+
+
+def test_op10_empty(spark):
+    assert embedding_near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_e8_decoder_is_nearest():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 8)) * 3
+    near = e8_nearest(x)
+    d = ((x - near) ** 2).sum(1)
+    for r in _roots():  # no neighbour is nearer, which is enough in E8
+        assert (((x - near - r) ** 2).sum(1) >= d - 1e-9).all()
+    assert (np.rint(near.sum(1)) % 2 == 0).all()
+
+
+def test_recall_at_the_threshold():
+    """Pairs at cosine 0.9 exactly, the hardest ones to find."""
+    rng = np.random.default_rng(5)
+    u = rng.normal(size=(3000, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    r = rng.normal(size=u.shape)
+    r -= (r * u).sum(1, keepdims=True) * u
+    v = 0.9 * u + np.sqrt(1 - 0.81) * r / np.linalg.norm(r, axis=1, keepdims=True)
+    cu, cv = (hash_cells(x, 5, 24, 1.0, 20) for x in (u, v))
+    met = (cu[:, :, :1] == cv).any((1, 2)) | (cv[:, :, :1] == cu).any((1, 2))
+    assert met.mean() >= 0.95
