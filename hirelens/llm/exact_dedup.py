@@ -44,6 +44,7 @@ def directory(entries: DataFrame, capacity: int = CAPACITY, max_bits: int = MAX_
         .withColumn("prefix", F.expr(f"shiftright(cell, {max_bits} - depth)"))
     fits = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("held")) \
         .where((F.col("held") <= capacity) | (F.col("depth") == max_bits))
+    fits = F.broadcast(fits.select("depth", "prefix"))  # 2^(max_bits + 1) rows at most
     return (levels.join(fits, ["depth", "prefix"], "left_semi")
             .groupBy("cell").agg(F.min("depth").alias("depth"))
             .withColumn("bucket", F.expr(
