@@ -9,6 +9,10 @@ from hirelens.llm._shared import Scratch
 from hirelens.llm.byte_bpe import encode_decode
 from hirelens.llm.embedding_near_dedup import embedding_near_dedup
 from hirelens.llm.exact_dedup import exact_dedup
+from hirelens.llm.line_dedup import line_dedup
+from hirelens.llm.mixing import mix
+from hirelens.llm.ngram_join import ngram_join
+from hirelens.llm.quality_classifier import classify, train
 from hirelens.llm.token_output import read_tokens, write_tokens
 from hirelens.llm.url_filter import url_filter
 
@@ -65,6 +69,17 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(*captures_and_events(spark, sf_dir))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component of their links at Jaccard 0.8."""
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the words that the mix takes from each."""
+    got = mix(table(spark, sf_dir, "documents"), Scratch(spark, "mixing"))
+    return got.documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the rank file and decoded again."""
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
@@ -75,6 +90,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality."""
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the chunks of lines that stand elsewhere already."""
+    left = line_dedup(table(spark, sf_dir, "documents"), Scratch(spark, "line-dedup"))
+    return left.select("doc_id", "text", "n_chars", "n_lines", "n_removed")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors with their links at cosine 0.9 and their component."""
     return embedding_near_dedup(table(spark, sf_dir, "embeddings"))
@@ -83,8 +110,12 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
+    "op3_ngram_join": op3_ngram_join,
+    "op4_mixing": op4_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_line_dedup": op9_line_dedup,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
