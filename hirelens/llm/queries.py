@@ -9,6 +9,7 @@ from hirelens.llm._shared import Scratch
 from hirelens.llm.byte_bpe import encode_decode
 from hirelens.llm.embedding_near_dedup import embedding_near_dedup
 from hirelens.llm.exact_dedup import exact_dedup
+from hirelens.llm.html_extraction import extract_pages
 from hirelens.llm.line_dedup import line_dedup
 from hirelens.llm.mixing import mix
 from hirelens.llm.ngram_join import ngram_join
@@ -80,6 +81,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the rank file and decoded again."""
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
@@ -112,6 +118,7 @@ LLM_QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_ngram_join": op3_ngram_join,
     "op4_mixing": op4_mixing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_classifier": op8_quality_classifier,
