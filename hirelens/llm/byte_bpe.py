@@ -67,19 +67,22 @@ def _unpack(blob: bytes) -> bytes:
 
 
 def _words_blob(words: list[str]) -> bytes:
+    """Word lengths as planes of bytes, then the words."""
     raw = [w.encode() for w in words]
-    return _pack(np.array([len(w) for w in raw], dtype=np.uint32), np.frombuffer(b"".join(raw), dtype=np.uint8))
+    lens = np.array([len(w) for w in raw], dtype=np.uint32)
+    return _pack(lens.view(np.uint8).reshape(-1, 4).T, np.frombuffer(b"".join(raw), dtype=np.uint8))
 
 
 def _words_of(blob: bytes, n: int) -> list[bytes]:
     data = _unpack(blob)
-    ends = (np.cumsum(np.frombuffer(data, dtype=np.uint32, count=n)) + 4 * n).tolist()
+    ends = (np.cumsum(_planes(data, n)) + 4 * n).tolist()
     return [data[a:z] for a, z in zip([4 * n, *ends], ends)]
 
 
 def _segments(buckets: int, size: int):
-    """Rows of a segment: one for each bucket with its words (numbered through
-    the buckets in order), one for each text with its word numbers."""
+    """Rows of a segment: one for each bucket with its words, one for each text
+    with its word numbers, one with the bucket of each number. A word's number
+    is its rank by frequency in the segment, which packs best."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         base, count = TaskContext.get().partitionId() << 32, 0
@@ -88,13 +91,14 @@ def _segments(buckets: int, size: int):
         def flush(segment):
             codes, words = pd.factorize(np.array([w for t in texts for w in t], dtype=object), sort=False)
             words = [] if not len(codes) else list(words)
+            rank = np.empty(len(words), dtype=np.uint32)
+            by = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+            rank[by] = np.arange(len(words), dtype=np.uint32)
+            words, codes = [words[i] for i in by], rank[codes] if len(codes) else np.zeros(0, dtype=np.uint32)
             bucket = pd.util.hash_array(np.array(words, dtype=object)) % np.uint64(buckets) if words else np.zeros(0, np.uint64)
             order = np.argsort(bucket, kind="stable")
-            number = np.empty(len(words), dtype=np.uint32)
-            number[order] = np.arange(len(words), dtype=np.uint32)
-            codes = number[codes] if len(codes) else np.zeros(0, dtype=np.uint32)
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            rows = []
+            rows = [(segment, -2, None, len(words), _pack(bucket.astype(np.uint32)))]
             for k in range(buckets):
                 if cuts[k] < cuts[k + 1]:
                     own = [words[i] for i in order[cuts[k]:cuts[k + 1]]]
@@ -105,7 +109,7 @@ def _segments(buckets: int, size: int):
                 # bytes in planes: the low bytes of all numbers, then the next ones
                 rows.append((segment, -1, doc_id, len(t), _pack(part.view(np.uint8).reshape(-1, 4).T)))
                 at += len(t)
-            return pd.DataFrame(rows, columns=["segment", "bucket", "doc_id", "n", "data"]).astype({"doc_id": "Int64"})
+            return pd.DataFrame(rows, columns=["segment", "bucket", "doc_id", "n", "data"])
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
                 t = pretokens(text) if text else []
@@ -159,12 +163,15 @@ def _together(path: str, with_ids: bool):
             raw = _unpack(r.data)
             lens.append(np.frombuffer(raw, dtype=np.uint16, count=int(r.n)))
             ids.append(_planes(raw, int(r.n_ids), 2 * int(r.n)))
-        # tuples of ids and their decimal text, by word number
-        of, said = [], []
+        of, said = [], []  # a word's ids and their decimal text, by word number
         if lens:
             flat, ends = np.concatenate(ids).tolist(), np.cumsum(np.concatenate(lens)).tolist()
-            of = [flat[a:z] for a, z in zip([0, *ends], ends)]
+            bucket = np.frombuffer(_unpack(texts.loc[texts["bucket"] == -2, "data"].iloc[0]), dtype=np.uint32)
+            of = [None] * len(bucket)
+            for number, a, z in zip(np.argsort(bucket, kind="stable").tolist(), [0, *ends], ends):
+                of[number] = flat[a:z]
             said = [",".join(map(str, x)) for x in of]
+        texts = texts[texts["bucket"] == -1]
         n_of = np.array([len(x) for x in of], dtype=np.int64)
         rows = []
         for doc_id, n, data in zip(texts["doc_id"], texts["n"], texts["data"]):
@@ -175,8 +182,7 @@ def _together(path: str, with_ids: bool):
                    hashlib.sha256(",".join(map(said.__getitem__, codes)).encode()).hexdigest(),
                    hashlib.sha256(b"".join(map(token, full))).hexdigest()]
             rows.append(row + [full] * with_ids)
-        return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids) \
-            .astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
     return run
 
 
@@ -187,9 +193,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text
     scratch = Scratch(spark, "byte-bpe")
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or max(LEAST_BUCKETS, 2 * shuffle)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     name = f"byte_bpe_{uuid.uuid4().hex}"
-    (rows.mapInPandas(_segments(buckets, segment), "segment long, bucket int, doc_id long, n long, data binary")
+    (rows.mapInPandas(_segments(buckets, segment), "segment long, bucket int, doc_id string, n long, data binary")
      .write.option("compression", "uncompressed").option("path", scratch.path("segments"))
      .bucketBy(shuffle, "segment").sortBy("segment").saveAsTable(name))
     try:
@@ -197,12 +203,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text
         words = (table.where("bucket >= 0").select("segment", "bucket", "n", "data")
                  .repartition(buckets, "bucket").sortWithinPartitions("bucket")
                  .mapInPandas(_encode(ranks_path), "segment long, bucket int, n long, n_ids long, data binary"))
-        schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
         return scratch.save(
-            table.where("bucket < 0").select("segment", "doc_id", "n", "data").groupBy("segment")
+            table.where("bucket < 0").select("segment", "bucket", "doc_id", "n", "data").groupBy("segment")
             .cogroup(words.groupBy("segment"))
-            .applyInPandas(_together(ranks_path, with_ids), schema + (", ids array<bigint>" if with_ids else "")),
-            "result")
+            .applyInPandas(_together(ranks_path, with_ids), schema + (", ids array<bigint>" if with_ids else ""))
+            .withColumn("doc_id", F.col("doc_id").cast("long")), "result")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         scratch.drop("segments")
