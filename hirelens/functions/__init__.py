@@ -3,7 +3,7 @@ a native Spark expression."""
 
 from hirelens.functions.dates import date_from_text, month_of, week_start, year_of
 from hirelens.functions.location import (
-    city_from_locations, city_from_places, state_from_locations,
+    city_from_locations, state_from_locations,
 )
 from hirelens.functions.standardize import (
     city_standardized, seniority_category, seniority_label, state_standardized,
@@ -15,7 +15,7 @@ from hirelens.functions.text import (
 )
 
 __all__ = [
-    "city_from_locations", "city_from_places", "city_standardized",
+    "city_from_locations", "city_standardized",
     "date_from_text", "employment_type_from_array", "employment_type_text",
     "json_path", "json_path_or", "missing_as_na", "month_of", "org_size_text",
     "seniority_category", "seniority_label", "state_from_locations",

@@ -38,10 +38,3 @@ def state_from_locations(col: Column | str) -> Column:
     pattern = PY_FLAGS + rules.STATE_TEXT_PATTERN
     raw = F.regexp_extract(c, pattern, 1)
     return F.when(c.rlike(pattern), strip(F.regexp_replace(raw, "'", "")))
-
-
-def city_from_places(col: Column | str) -> Column:
-    """Alternative for a real ``array<struct<address: ...>>``: first place's
-    locality. Not the default, since it differs from the greedy text rule
-    when a posting lists several places."""
-    return _c(col).getItem(0).getField("address").getField("addressLocality")

@@ -65,10 +65,12 @@ def seniority_category(col: Column | str) -> Column:
     c = _c(col)
     norm = F.lower(F.regexp_replace(c, "_", " "))
     has_years = norm.rlike(rules.YEARS_PATTERN)
-    years = F.when(has_years, F.regexp_extract(norm, rules.YEARS_PATTERN, 1).try_cast("int"))
+    # 38 digits hold any number of years that a text can mean
+    years = F.when(has_years, F.regexp_extract(norm, rules.YEARS_PATTERN, 1).try_cast("decimal(38,0)"))
     pairs: list[tuple[Column, str]] = [(c.isNull() | (c == ""), rules.SENIORITY_DEFAULT)]
     pairs += [(norm.contains(t), label) for t, label in rules.SENIORITY_CONTAINS_RULES]
     pairs += [(norm == t, label) for t, label in rules.SENIORITY_EXAMPLES]
     pairs += [(norm == cat.lower(), cat) for cat in rules.SENIORITY_CATEGORIES]
-    pairs += [(years.between(lo, hi), label) for lo, hi, label in rules.SENIORITY_YEAR_BANDS]
+    pairs += [((years >= lo) if hi is None else years.between(lo, hi), label)
+              for lo, hi, label in rules.SENIORITY_YEAR_BANDS]
     return _chain(pairs, F.lit(rules.SENIORITY_DEFAULT))

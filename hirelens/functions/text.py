@@ -44,7 +44,7 @@ def employment_type_from_array(col: Column | str, token: str = rules.NAN_TOKEN)
     """Same result as :func:`employment_type_text` for an ``array<string>``."""
     c = _c(col)
     return F.when(c.isNull(), F.lit(token)).otherwise(
-        strip(F.regexp_replace(F.array_join(c, ", "), r"[\[\]']", "")))
+        strip(F.regexp_replace(F.array_join(c, ", ", rules.NONE_TOKEN), r"[\[\]']", "")))
 
 
 def org_size_text(col: Column | str, token: str = rules.NAN_TOKEN) -> Column:
@@ -98,5 +98,11 @@ def json_path_or(col: Column | str, path: str, default: str) -> Column:
 
 
 def url_encoded(col: Column | str) -> Column:
-    """Form encoding of a filter value (F-15): space becomes '+'."""
-    return F.url_encode(_c(col))
+    """Percent encoding of a filter value in a URL (F-15): letters, digits and
+    ``_.-~/`` stay, every other UTF-8 byte becomes ``%XX`` (a space ``%20``).
+
+    Spark's encoder is the one for forms, which differs in five characters."""
+    c = F.url_encode(_c(col))
+    for form, plain in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        c = F.replace(c, F.lit(form), F.lit(plain))
+    return c

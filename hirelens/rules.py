@@ -95,10 +95,10 @@ SENIORITY_EXAMPLES: list[tuple[str, str]] = [
     ("first job", "Entry Level"),
 ]
 # years of experience: 0-2 Entry Level, 3-5 Intermediate, 6+ Senior
-SENIORITY_YEAR_BANDS: list[tuple[int, int, str]] = [
+SENIORITY_YEAR_BANDS: list[tuple[int, int | None, str]] = [
     (0, 2, "Entry Level"),
     (3, 5, "Intermediate"),
-    (6, 10**9, "Senior"),
+    (6, None, "Senior"),
 ]
 YEARS_PATTERN = r"(\d+)\s*(?:-\s*\d+\s*)?\+?\s*years?"
 

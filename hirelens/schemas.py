@@ -1,4 +1,7 @@
-"""Column lists and StructTypes of the posting tables."""
+"""Column lists and StructTypes of the posting tables.
+
+FIXED VALUES: the column lists must equal the source project's, in its order.
+"""
 
 from __future__ import annotations
 
