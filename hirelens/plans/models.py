@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.operators import collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by
-from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_sizes
+from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small, measured_sizes
 from hirelens.schemas import FACT_COLUMNS, LINK_COLUMNS, POSTING_KEY
-from hirelens.session import cached_small, checkpointed
+from hirelens.session import checkpointed
 
 
 def base_city(clean: DataFrame) -> DataFrame:
@@ -57,7 +57,36 @@ def _codes(vocab: DataFrame, kind: str, value_as: str, code_as: str) -> DataFram
         F.col("value").alias(value_as), F.col("code").alias(code_as))
 
 
-def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame | None = None,
+def _matching(clean: DataFrame, seniority: DataFrame | None, seniority_match: str) -> DataFrame:
+    """The postings that the inner joins of M-3 keep.
+
+    The city and state sides are built from the same postings, so they keep
+    every posting with a CITY. A dictionary derived from the same postings
+    (``seniority`` None) holds lower(x) of every level x, so it has a level
+    exactly if that level is lower case already; with lower-cased matching it
+    has every level. Another dictionary is a semi join to its levels.
+    """
+    rows = clean.filter(F.col("CITY").isNotNull())
+    level = F.lower("SENIORITY") if seniority_match == "casefold" else F.col("SENIORITY")
+    if seniority is None:
+        return rows.filter(level == F.lower("SENIORITY"))
+    levels = seniority.select(F.col("SENIORITY").alias("_SEN_KEY")).filter(F.col("_SEN_KEY").isNotNull()).distinct()
+    return rows.join(broadcast_if_small(levels), level == F.col("_SEN_KEY"), "left_semi")
+
+
+def fact_rows(clean: DataFrame, columns: list[str], seniority: DataFrame | None = None, *,
+              seniority_match: str = "exact") -> DataFrame:
+    """Distinct values of posting columns over the fact table, without its
+    sides: the fact table groups by all posting columns, so for a mart that
+    reads none of CITY, STATE and SENIORITY only the postings kept matter.
+    With a derived dictionary this is a scan and a filter, and nothing runs
+    before the plan does."""
+    if set(columns) - set(POSTING_KEY):
+        raise ValueError(f"not posting columns: {sorted(set(columns) - set(POSTING_KEY))}")
+    return _matching(clean, seniority, seniority_match).select(*columns)
+
+
+def fact_postings(clean: DataFrame, seniority: DataFrame | None = None, *, profiles: DataFrame | None = None,
                   seniority_match: str = "exact") -> DataFrame:
     """M-3, the deduplicated fact table.
 
@@ -71,45 +100,42 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
       standardized states of that standardized city; the seniority side
       into one row per level. MAX is idempotent and ignores nulls, so the
       final maxima are unchanged, and no posting row is multiplied;
-    * the rules run only on those small sides, derived from ``profiles``
-      (distinct CITY, STATE, SENIORITY; computed once and checkpointed) and
-      the seniority dictionary; the postings only do hash lookups on raw
-      CITY and SENIORITY;
-    * the profiles and the dictionary are measured (one job); when small,
-      the sides and a rank vocabulary are built in small jobs and held in
-      memory, so the final plan only scans them. Each standardized string
-      travels as its rank in byte order: the GROUP BY takes MAX of integers
-      (a hash aggregate, combined map-side, so a hot posting is reduced
-      before the single shuffle of posting rows) and the ranks are decoded
-      by broadcast lookups;
+    * the sides come from ``profiles`` (distinct CITY, STATE, SENIORITY;
+      written once) and the dictionary (None: derived from the profiles;
+      another one is written once, so an external classifier runs once);
+    * the two sides themselves are measured. When both are small, they and a
+      rank vocabulary are held in memory: each standardized string travels as
+      its rank in byte order, the GROUP BY takes MAX of integers (a hash
+      aggregate, combined map-side, so a hot posting is reduced before the
+      single shuffle of posting rows), and the ranks are decoded by broadcast
+      lookups; a null label has no rank and stays null;
     * beyond the size limits the sides are joined by shuffle (AQE splits a
       hot city) and MAX runs on the strings (sort-based aggregation, which
       spills).
 
+    Both ways give the rows of :func:`fact_postings_naive`.
     ``seniority_match='casefold'`` matches the posting's level lower-cased
     (the dictionary keys are lower case); the default is exact.
     """
+    from hirelens.plans.enrich import seniority_dictionary
     if profiles is None:
         profiles = checkpointed(posting_profiles(clean))
-    # every side has at most as many rows (and bytes) as the profiles or the
-    # seniority dictionary, so measuring those two bounds them all
-    small = all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES
-                for n, b in measured_sizes(profiles, seniority))
-    if small:  # one task per small step instead of one per shuffle partition
-        profiles, seniority = profiles.coalesce(1), seniority.coalesce(1)
+    seniority = seniority_dictionary(profiles) if seniority is None else checkpointed(seniority)
     state_dim = (base_state(base_city(profiles))
                  .filter(F.col("CITY_STANDARDIZED").isNotNull())
                  .groupBy("CITY_STANDARDIZED")
                  .agg(F.max("STATE_STANDARDIZED").alias("STATE_STANDARDIZED")))
-    city_dim = (profiles.select("CITY").filter(F.col("CITY").isNotNull()).distinct()
-                .withColumn("CITY_STANDARDIZED", HF.city_standardized("CITY"))
-                .join(state_dim, "CITY_STANDARDIZED", "inner"))
-    sen_dim = (seniority.filter(F.col("SENIORITY").isNotNull())
-               .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
-               .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
+    city_dim = checkpointed(
+        profiles.select("CITY").filter(F.col("CITY").isNotNull()).distinct()
+        .withColumn("CITY_STANDARDIZED", HF.city_standardized("CITY"))
+        .join(state_dim, "CITY_STANDARDIZED", "inner").select("CITY", "CITY_STANDARDIZED", "STATE_STANDARDIZED"))
+    sen_dim = checkpointed(
+        seniority.filter(F.col("SENIORITY").isNotNull())
+        .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
+        .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
     posting_sen = F.lower("SENIORITY") if seniority_match == "casefold" else F.col("SENIORITY")
     postings = clean.withColumn("_SEN", posting_sen)
-    if not small:
+    if not all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES for n, b in measured_sizes(city_dim, sen_dim)):
         joined = (postings.join(city_dim, "CITY", "inner")
                           .join(sen_dim, F.col("_SEN") == sen_dim["_SEN_KEY"], "inner"))
         out = collapse_max(joined, POSTING_KEY, {
@@ -117,19 +143,15 @@ def fact_postings(clean: DataFrame, seniority: DataFrame, *, profiles: DataFrame
             "SENIORITY": "SENIORITY_STANDARDIZED"})
         return out.select(*FACT_COLUMNS)
 
-    # the sides below derive from the checkpointed profiles in a few small
-    # steps, so they are held in memory rather than written again
-    vocab = cached_small(_vocabulary({
-        "c": (state_dim, "CITY_STANDARDIZED"),
-        "s": (state_dim, "STATE_STANDARDIZED"),
+    vocab = checkpointed(_vocabulary({
+        "c": (city_dim, "CITY_STANDARDIZED"),
+        "s": (city_dim, "STATE_STANDARDIZED"),
         "e": (sen_dim, "SENIORITY_STANDARDIZED")}))
-    city_side = cached_small(
-        city_dim.join(_codes(vocab, "c", "CITY_STANDARDIZED", "_c"), "CITY_STANDARDIZED")
-                .join(_codes(vocab, "s", "STATE_STANDARDIZED", "_s"), "STATE_STANDARDIZED", "left")
-                .select("CITY", "_c", "_s"))
-    sen_side = cached_small(
-        sen_dim.join(_codes(vocab, "e", "SENIORITY_STANDARDIZED", "_e"), "SENIORITY_STANDARDIZED")
-               .select("_SEN_KEY", "_e"))
+    city_side = (city_dim.join(F.broadcast(_codes(vocab, "c", "CITY_STANDARDIZED", "_c")), "CITY_STANDARDIZED", "left")
+                 .join(F.broadcast(_codes(vocab, "s", "STATE_STANDARDIZED", "_s")), "STATE_STANDARDIZED", "left")
+                 .select("CITY", "_c", "_s"))
+    sen_side = (sen_dim.join(F.broadcast(_codes(vocab, "e", "SENIORITY_STANDARDIZED", "_e")), "SENIORITY_STANDARDIZED", "left")
+                .select("_SEN_KEY", "_e"))
     joined = (postings.join(F.broadcast(city_side), "CITY", "inner")
                       .join(F.broadcast(sen_side), F.col("_SEN") == F.col("_SEN_KEY"), "inner"))
     coded = joined.groupBy(*POSTING_KEY).agg(
@@ -159,8 +181,7 @@ def fact_postings_naive(clean: DataFrame, seniority: DataFrame) -> DataFrame:
 
 def job_links(clean: DataFrame) -> DataFrame:
     """M-4: distinct links, sorted by (category, ID, title); nulls last."""
-    return (distinct_rows(clean, LINK_COLUMNS)
-            .orderBy(*[F.col(c).asc_nulls_last() for c in ("JOB_CATEGORY", "ID", "TITLE")]))
+    return distinct_rows(clean, LINK_COLUMNS).orderBy(*_asc("JOB_CATEGORY", "ID", "TITLE"))
 
 
 def _asc(*cols: str):

@@ -28,7 +28,6 @@ def run_models(clean: DataFrame, seniority: DataFrame | None = None) -> dict[str
     """Build every model from the clean postings table. Without a seniority
     table, the dictionary is derived from the postings (M-11) and saved as
     ``job_seniority``. Returns the row count of each table written."""
-    spark = clean.sparkSession
     counts: dict[str, int] = {}
     profiles = checkpointed(models.posting_profiles(clean))
     city = _save(models.base_city(profiles), "base_city", counts)
@@ -43,7 +42,6 @@ def run_models(clean: DataFrame, seniority: DataFrame | None = None) -> dict[str
     materialize_view(models.jobs_by_state(fact), "mart_total_jobs_by_state")
     materialize_view(models.jobs_by_type(fact), "mart_total_jobs_by_type")
     materialize_view(models.jobs_wow_trend(daily), "mart_total_jobs_wow_trend")
-    spark.catalog.clearCache()
     return counts
 
 

@@ -87,13 +87,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return held.checkpoint(eager=True)
     finally:
         held.unpersist()
-
-
-def cached_small(df: DataFrame) -> DataFrame:
-    """Keep a small frame with a short lineage (for example derived from a
-    checkpointed one) in memory, materialized now. A lost block is
-    recomputed from that short lineage."""
-    from pyspark import StorageLevel
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    held.count()
-    return held

@@ -68,6 +68,51 @@ def test_fact_large_side_fallback(spark, clean, seniority, monkeypatch):
     assert as_set(slow) == as_set(models.fact_postings_naive(clean, seniority))
 
 
+def nulls_everywhere(spark):
+    """Postings and a dictionary with nulls on every side."""
+    rows = [posting(i, city=city, state=state, sen=sen)
+            for i, (city, state, sen) in enumerate(
+                (c, s, e) for c in ("Perth", "Nowhere", None) for s in ("WA", "na", None)
+                for e in ("entry level", "unlabelled", "half", "Mid-Senior level", None))]
+    clean = spark.createDataFrame(rows + rows[:7], CLEAN_SCHEMA)
+    dictionary = spark.createDataFrame(
+        [("entry level", "Entry Level"), ("unlabelled", None), ("half", None), ("half", "Senior"), (None, "Senior"), (None, None)],
+        "SENIORITY string, SENIORITY_STANDARDIZED string")
+    return clean, dictionary
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_fact_rows_do_not_depend_on_size(spark, monkeypatch, limit):
+    clean, dictionary = nulls_everywhere(spark)
+    monkeypatch.setattr(models, "BROADCAST_MAX_ROWS", limit)
+    for sen in (dictionary, None):
+        naive = models.fact_postings_naive(clean, enrich.seniority_dictionary(clean) if sen is None else sen)
+        got = models.fact_postings(clean, sen)
+        key = lambda df: sorted(map(str, df.select(*FACT_COLUMNS).collect()))
+        assert key(got) == key(naive)
+        want = naive.select("JOB_CATEGORY", "ID").distinct().collect()
+        assert set(models.fact_rows(clean, ["JOB_CATEGORY", "ID"], sen).collect()) == set(want)
+
+
+def test_marts_without_sides_run_nothing_early(spark):
+    clean, _ = nulls_everywhere(spark)
+    plan = models.fact_rows(clean, ["JOB_CATEGORY", "ID"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    with pytest.raises(ValueError):
+        models.fact_rows(clean, ["CITY"])
+
+
+def test_external_classifier_runs_once_per_level(spark, clean, tmp_path):
+    def classify(values):
+        import uuid
+        for v in values:
+            (tmp_path / f"{v.replace(' ', '_')}-{uuid.uuid4().hex}").touch()
+        return values.map(lambda v: "senior")
+    models.fact_postings(clean, enrich.seniority_dictionary(clean, classify)).collect()
+    calls = [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()]
+    assert len(calls) == len(set(calls)) > 0
+
+
 def test_casefold_seniority(spark, clean, seniority):
     fact = models.fact_postings(clean, seniority, seniority_match="casefold")
     got = {r.ID: r.SENIORITY for r in fact.collect()}
