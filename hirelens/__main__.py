@@ -6,7 +6,7 @@
     python -m hirelens skills   --sheets DIR --out PATH [--master FILE]
 
 Paths are parquet folders (``--target`` is appended to); ``--master`` is
-the sheet file to skip. The session comes from ``spark-submit`` settings;
+the sheet file to skip (by default the first sheet). The session comes from ``spark-submit`` settings;
 ``--master`` URL and shuffle partitions can be given for local runs.
 """
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.operators.dedupe import first_per_key
+
 
 def count_distinct_by(df: DataFrame, keys: list[str], col: str = "ID",
                       alias: str = "total_jobs") -> DataFrame:
@@ -19,6 +21,13 @@ def sum_by(df: DataFrame, keys: list[str], col: str, alias: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(col).cast("bigint").alias(alias))
 
 
+def row_counts(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """(step, rows): how many rows meet each condition, in one pass (A-9)."""
+    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(steps.values())])
+    pairs = F.array(*[F.struct(F.lit(name).alias("step"), F.col(f"c{i}").alias("rows")) for i, name in enumerate(steps)])
+    return counts.select(F.explode(pairs).alias("s")).select("s.*")
+
+
 def ordered_distinct(df: DataFrame, group: str, text: str, order: list[str]) -> DataFrame:
     """Unique texts per group with the order key of their first appearance
     (A-7, long form): one row per (group, text) carrying ``first_<order>``.
@@ -27,26 +36,5 @@ def ordered_distinct(df: DataFrame, group: str, text: str, order: list[str]) ->
     newline gives the concatenated text; that string is never built in one
     task, since a group's text is unbounded.
     """
-    first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
-    out = df.groupBy(group, text).agg(first)
-    return out.select(group, text, *[F.col(f"_first.{c}").alias(f"first_{c}") for c in order])
-
-
-def ordered_distinct_concat(df: DataFrame, group: str, text: str, order: list[str],
-                            groups: list[str] | None = None, sep: str = "\n",
-                            alias: str = "text") -> DataFrame:
-    """A-7 string form, for groups whose text is known to be bounded (for
-    example one posting sheet): unique texts in first-appearance order
-    joined by ``sep``. With ``groups`` every listed group appears, an empty
-    one with an empty string."""
-    firsts = ordered_distinct(df, group, text, order)
-    key = F.struct(*[F.col(f"first_{c}") for c in order], F.col(text))
-    joined = (firsts.groupBy(group)
-                    .agg(F.array_join(F.transform(F.sort_array(F.collect_list(key)),
-                                                  lambda s: s[text]), sep).alias(alias)))
-    if groups is None:
-        return joined
-    spark = df.sparkSession
-    names = spark.createDataFrame([(g,) for g in groups], f"`{group}` string")
-    return (names.join(joined, group, "left")
-                 .select(group, F.coalesce(F.col(alias), F.lit("")).alias(alias)))
+    first = first_per_key(df.select(group, text, *order), [group, text], order)
+    return first.select(group, text, *[F.col(f"`{c}`").alias(f"first_{c}") for c in order])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,17 +20,60 @@ def collapse_max(df: DataFrame, keys: list[str], maxima: dict[str, str]) -> Data
     return df.groupBy(*keys).agg(*[F.max(src).alias(out) for out, src in maxima.items()])
 
 
+# bits of the integral types
+_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def digest(*cols: str) -> Column:
+    """SHA-256 of several values; null differs from every text, and lengths
+    keep neighbouring values apart."""
+    parts = []
+    for c in cols:
+        text = F.col(f"`{c}`").cast("string")
+        parts += [F.coalesce(F.octet_length(text).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))]
+    return F.sha2(F.concat(*parts), 256)
+
+
+def order_key(df: DataFrame, order: list[str]) -> Column | None:
+    """Several whole-number columns as one decimal in the same order (nulls
+    first), which a hash aggregate can take the MIN of; None if they are of
+    other types or too wide."""
+    bits = [_BITS.get(dict(df.dtypes)[c]) for c in order]
+    if None in bits or sum(b + 1 for b in bits) > 124:
+        return None
+    out = None
+    for c, b in zip(order, bits):
+        # 0 for null, else 1 more than the distance from the type's least value
+        part = F.coalesce(F.col(f"`{c}`").cast("decimal(20,0)") + F.lit(str(2 ** (b - 1) + 1)).cast("decimal(20,0)"),
+                          F.lit(0).cast("decimal(21,0)"))
+        out = part.cast("decimal(38,0)") if out is None else \
+            (out * F.lit(str(2 ** (b + 1))).cast("decimal(38,0)") + part).cast("decimal(38,0)")
+    return out
+
+
+def first_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """(_key, _first): the digest of each key and its least order value. The
+    shuffle carries digests and numbers, never a text; both are combined
+    map-side, by a hash aggregate where the order is of whole numbers."""
+    packed = order_key(df, order)
+    first = F.min(F.struct(*[F.col(f"`{c}`") for c in order])) if packed is None else F.min("_order")
+    return (df.select(digest(*keys).alias("_key"), *([packed.alias("_order")] if packed is not None else
+                                                      [F.col(f"`{c}`") for c in order]))
+            .groupBy("_key").agg(first.alias("_first")))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the first row per ``keys`` by ``order`` (A-6, pandas
     ``drop_duplicates(keep='first')`` with an explicit row order).
 
-    Expressed as a MIN over a struct led by the order columns: partial
-    aggregation keeps one row per key and map task, so a duplicate-heavy
-    key never lands whole in one task. Order columns must be unique within
-    a key for a deterministic result.
+    The least order value of each key is found on digests (see
+    :func:`first_keys`), and the rows that have it are joined back, so a text
+    is neither sorted nor carried through an aggregate, and a duplicate-heavy
+    key never lands whole in one task. Order columns must be unique within a
+    key for a deterministic result.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_first")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c)
-                        for c in df.columns])
+    packed = order_key(df, order)
+    mine = packed if packed is not None else F.struct(*[F.col(f"`{c}`") for c in order])
+    rows = df.withColumns({"_key": digest(*keys), "_first": mine})
+    first = first_keys(df, keys, order).withColumnsRenamed({"_key": "_k", "_first": "_f"})
+    return rows.join(first, (F.col("_key") == F.col("_k")) & F.col("_first").eqNullSafe(F.col("_f")), "left_semi").select(*df.columns)

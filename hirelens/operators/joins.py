@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.session import checkpointed
+
 # A side is broadcast only when a measured size is under both limits.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -41,7 +43,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     broadcast only when it is under both limits; beyond them the plain join
     stays (sort-merge, with AQE skew splitting). Either way the join reads
     the written copy instead of recomputing ``df``."""
-    from hirelens.session import checkpointed
     written = checkpointed(df)
     n, b = measured_size(written)
     return F.broadcast(written) if (n <= max_rows and b <= max_bytes) else written
@@ -55,19 +56,29 @@ def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
     both sides counts as a match (the row is dropped); otherwise a null-key
     row is always kept.
 
-    Planned as a plain equi anti join on the non-null stored keys (reduced
-    to distinct keys first, combined map-side), so a stored table bucketed
-    by the key is joined without reshuffling it; the null rule is a filter
-    on a scalar subquery (does the stored side hold a null key?), so the
-    new rows are read once.
+    The batch is written once, and its distinct keys are measured. When they
+    are few (the usual daily batch), they are broadcast to one scan of the
+    stored side, which yields the matching keys only; nothing of the stored
+    side is shuffled, however large it grows. A larger batch joins the
+    distinct stored keys by shuffle, without one where the stored table is
+    bucketed by the key.
     """
-    ids = (stored.select(F.col(key).alias("_stored_key"))
-                 .filter(F.col("_stored_key").isNotNull()).distinct())
-    out = new.join(ids, new[key] == ids["_stored_key"], "left_anti")
+    batch = checkpointed(new)
+    ids = batch.select(F.col(key).alias("_id")).distinct()
+    n, size = measured_size(ids)
+    found = stored.select(F.col(key).alias("_stored_key"))
+    if n <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
+        same = F.col("_stored_key").eqNullSafe(F.col("_id"))
+        hits = found.join(F.broadcast(ids), same, "left_semi").distinct()
+        match = F.col(f"`{key}`").eqNullSafe(F.col("_stored_key")) if null_safe \
+            else F.col(f"`{key}`") == F.col("_stored_key")
+        return batch.join(F.broadcast(hits), match, "left_anti")  # no more rows than ``ids``
+    out = batch.join(found.filter(F.col("_stored_key").isNotNull()).distinct(),
+                     F.col(f"`{key}`") == F.col("_stored_key"), "left_anti")
     if null_safe:
-        stored_has_null = stored.filter(F.col(key).isNull()).select(
+        stored_has_null = found.filter(F.col("_stored_key").isNull()).select(
             (F.count(F.lit(1)) > 0).alias("has_null")).scalar()
-        out = out.filter(F.col(key).isNotNull() | ~stored_has_null)
+        out = out.filter(F.col(f"`{key}`").isNotNull() | ~stored_has_null)
     return out
 
 

@@ -5,7 +5,7 @@ soft skills per role. Re-aimed as a distributed count: each description is
 tokenized once, its word n-grams are intersected with a skills lexicon (a
 literal array, so no join and no cross product), distinct descriptions are
 counted per (role, kind, skill), the top k per (role, kind) are kept with a
-partial group limit, and the two kinds are pivoted into columns.
+partial group limit, and each kind becomes one column.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from hirelens import rules
 from hirelens.operators.topk import top_k_per_group
-from hirelens.sources.tables import spread
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 TECHNICAL = "technical"
@@ -75,13 +74,25 @@ def matched_terms(text: Column, terms: list[str]) -> Column:
 
 def skill_counts(df: DataFrame, group: str, text: str, doc_id: str,
                  lexicon: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Distinct documents per (group, kind, skill)."""
+    """Distinct documents per (group, kind, skill), and one row with a null
+    skill for each group.
+
+    A row is reduced to its matched terms before anything moves; the rows of a
+    document are merged, so a document gives a term once and the count is a
+    plain one, combined map-side. The hits themselves are never shuffled."""
     lexicon = lexicon or lexicon_terms()
     kind_of = F.create_map(*[F.lit(x) for pair in lexicon for x in pair])
-    hits = (spread(df).select(group, doc_id, F.explode(matched_terms(F.col(text), [s for s, _ in lexicon]))
-                      .alias("skill"))
-              .withColumn("kind", F.element_at(kind_of, F.col("skill"))))
-    return hits.groupBy(group, "kind", "skill").agg(F.countDistinct(doc_id).alias("n_docs"))
+    found = df.select(F.col(f"`{group}`").alias("_group"), F.col(f"`{doc_id}`").alias("_doc"),
+                      F.coalesce(matched_terms(F.col(f"`{text}`"), [s for s, _ in lexicon]),
+                                 F.array().cast("array<string>")).alias("terms"))
+    merged = (found.groupBy("_group", "_doc")
+              .agg(F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms")))
+    # the null stands for the group itself
+    hits = merged.select("_group", F.when(F.col("_doc").isNull(), F.lit(0)).otherwise(1).alias("one"),
+                         F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("skill"))
+    kind = F.when(F.col("skill").isNotNull(), F.try_element_at(kind_of, F.coalesce("skill", F.lit(""))))
+    return (hits.groupBy("_group", "skill").agg(F.sum("one").alias("n_docs"))
+            .select(F.col("_group").alias(group), kind.alias("kind"), "skill", "n_docs"))
 
 
 def top_skills(df: DataFrame, group: str, text: str, doc_id: str, *, k: int = rules.TOP_SKILLS,
@@ -89,18 +100,14 @@ def top_skills(df: DataFrame, group: str, text: str, doc_id: str, *, k: int = ru
                sep: str = ", ") -> DataFrame:
     """One row per group: ``job_title``, ``Top k Technical Skills``,
     ``Top k Soft Skills`` (most documents first, ties by skill name; an
-    absent kind gives an empty string)."""
-    counts = skill_counts(df, group, text, doc_id, lexicon)
+    absent kind gives an empty string). The table is read once: the groups
+    come with the counts."""
+    counts = skill_counts(df, group, text, doc_id, lexicon).filter("skill IS NULL OR n_docs > 0")
     top = top_k_per_group(counts, [group, "kind"],
                           [F.col("n_docs").desc(), F.col("skill").asc()], k, rank_col="rank")
-    listed = (top.groupBy(group, "kind")
-                 .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "skill"))),
-                                               lambda s: s["skill"]), sep).alias("skills")))
-    wide = listed.groupBy(group).pivot("kind", [TECHNICAL, SOFT]).agg(F.first("skills"))
-    groups = df.select(group).distinct()
-    out = groups.join(wide, group, "left")
-    return out.select(
-        F.col(group).alias(group_alias),
-        F.coalesce(F.col(TECHNICAL), F.lit("")).alias(f"Top {k} Technical Skills"),
-        F.coalesce(F.col(SOFT), F.lit("")).alias(f"Top {k} Soft Skills"),
-    )
+
+    def listed(kind: str) -> Column:
+        mine = F.collect_list(F.when(F.col("kind") == kind, F.struct("rank", "skill")))  # k rows at most
+        return F.array_join(F.transform(F.sort_array(mine), lambda s: s["skill"]), sep)
+    return (top.groupBy(F.col(f"`{group}`").alias(group_alias))
+            .agg(listed(TECHNICAL).alias(f"Top {k} Technical Skills"), listed(SOFT).alias(f"Top {k} Soft Skills")))

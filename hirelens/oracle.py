@@ -60,12 +60,13 @@ def seniority_label(c: str) -> str:
 def seniority_category(c: str) -> str:
     n = f"lower(replace({c}, '_', ' '))"
     pat = lit(rules.YEARS_PATTERN)
-    years = f"(CASE WHEN regexp_matches({n}, {pat}) THEN TRY_CAST(regexp_extract({n}, {pat}, 1) AS INTEGER) END)"
+    years = f"(CASE WHEN regexp_matches({n}, {pat}) THEN TRY_CAST(regexp_extract({n}, {pat}, 1) AS DECIMAL(38, 0)) END)"
     pairs = [(f"{c} IS NULL OR {c} = ''", rules.SENIORITY_DEFAULT)]
     pairs += [(f"contains({n}, {lit(t)})", lab) for t, lab in rules.SENIORITY_CONTAINS_RULES]
     pairs += [(f"{n} = {lit(t)}", lab) for t, lab in rules.SENIORITY_EXAMPLES]
     pairs += [(f"{n} = {lit(cat.lower())}", cat) for cat in rules.SENIORITY_CATEGORIES]
-    pairs += [(f"{years} BETWEEN {lo} AND {hi}", lab) for lo, hi, lab in rules.SENIORITY_YEAR_BANDS]
+    pairs += [(f"{years} >= {lo}" if hi is None else f"{years} BETWEEN {lo} AND {hi}", lab)
+              for lo, hi, lab in rules.SENIORITY_YEAR_BANDS]
     return case(pairs, lit(rules.SENIORITY_DEFAULT))
 
 
@@ -107,8 +108,6 @@ def job_date(c: str) -> str:
 def _raw_cte() -> str:
     place = (f"{lit(fx.PLACE_PREFIX)} || coalesce(_CITY, '') || {lit(fx.PLACE_MIDDLE)} || "
              f"coalesce(_STATE, '') || {lit(fx.PLACE_SUFFIX)}")
-    sen = case([(f"o_orderpriority = {lit(p)}", lvl) for p, lvl in fx.SENIORITY_BY_PRIORITY],
-               lit(fx.SENIORITY_OTHER))
     values = {
         "ID": "CAST(l_orderkey AS VARCHAR)",
         "DATE_CREATED": (f"CASE WHEN l_partkey % {fx.NULL_DATE_MODULUS} = 0 THEN NULL ELSE "
@@ -122,11 +121,11 @@ def _raw_cte() -> str:
         "EMPLOYMENT_TYPE": pick(fx.EMPLOYMENT_TYPES, "l_linenumber"),
         "URL": f"{lit(fx.URL_PREFIX)} || CAST(l_orderkey AS VARCHAR)",
         "LINKEDIN_ORG_SIZE": pick(fx.ORG_SIZES, "l_suppkey"),
-        "SENIORITY": sen,
+        "SENIORITY": pick(fx.SENIORITIES, "l_orderkey"),
     }
     cols = ",\n    ".join(f"{values.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in RAW_COLUMNS)
     return f"""j AS (
-  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, o.o_orderdate, o.o_orderpriority,
+  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, o.o_orderdate,
          s.s_name,
          {pick(fx.CITIES, "l.l_partkey")} AS _CITY,
          {pick(fx.STATES, "l.l_partkey + l.l_linenumber")} AS _STATE
@@ -262,12 +261,14 @@ def _ingest_sql(variant: str = "v2") -> str:
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ID IS NOT DISTINCT FROM b.ID)"""
 
 
-def _top_skills_sql() -> str:
+def _top_skills_sql(docs: str = "SELECT doc_id, source, text FROM documents",
+                    groups: str = "SELECT DISTINCT source FROM documents") -> str:
     lex = ", ".join(f"({lit(s)}, {lit(k)})" for s, k in lexicon_terms())
-    return f"""WITH toks AS (
+    return f"""WITH docs AS ({docs}),
+toks AS (
   SELECT doc_id, source,
          list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
-  FROM documents
+  FROM docs
 ),
 grams AS (
   SELECT doc_id, source, unnest(list_distinct(list_concat(
@@ -289,7 +290,7 @@ listed AS (
   SELECT source, kind, string_agg(skill, ', ' ORDER BY rk) AS skills
   FROM ranked WHERE rk <= {rules.TOP_SKILLS} GROUP BY source, kind
 ),
-srcs AS (SELECT DISTINCT source FROM documents)
+srcs AS ({groups})
 SELECT s.source AS job_title,
        COALESCE(MAX(CASE WHEN l.kind = '{TECHNICAL}' THEN l.skills END), '') AS "Top {rules.TOP_SKILLS} Technical Skills",
        COALESCE(MAX(CASE WHEN l.kind = '{SOFT}' THEN l.skills END), '') AS "Top {rules.TOP_SKILLS} Soft Skills"
@@ -305,7 +306,9 @@ def _csv_block_sql() -> str:
     return f"""WITH t AS (
   SELECT conv_id, turn,
          string_split_regex({strip('text')}, '{breaks}') AS lines
-  FROM conversations WHERE role = 'assistant'
+  FROM (SELECT conv_id, CAST(turn AS INTEGER) AS turn, text FROM conversations
+        UNION ALL SELECT conv_id, CAST(-1 - turn AS INTEGER), {lit(fx.ANSWER_HEAD)} || conv_id || ',' || role || {lit(fx.ANSWER_TAIL)}
+        FROM conversations)
 ),
 h AS (
   SELECT *, list_position(list_transform(lines, lambda l: starts_with(lower(l), 'job_title')), true) AS hdr
@@ -332,6 +335,27 @@ SELECT conv_id, turn, CAST(row_no AS INTEGER) AS row_no,
 FROM x"""
 
 
+def _top_job_skills_sql() -> str:
+    titles = ", ".join(f"({lit(t)})" for t in rules.TARGET_TITLES)
+    return _top_skills_sql(
+        f"""SELECT row_number() OVER () AS doc_id, title AS source, text FROM (
+    SELECT DISTINCT title, text FROM (
+      SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS rn FROM (
+        SELECT doc_id, source, text, {pick(fx.DESCRIPTION_TITLES, "doc_id")} AS title FROM documents))
+    WHERE rn = 1 AND text IS NOT NULL)""",
+        f"SELECT * FROM (VALUES {titles}) t(source)")
+
+
+def _csv_text_sql() -> str:
+    def shown(c):
+        return (f"CASE WHEN {c} IS NULL THEN '' WHEN {c} = '' THEN '\"\"' WHEN regexp_matches({c}, '[,\"\\n]') "
+                f"THEN '\"' || replace({c}, '\"', '\"\"') || '\"' ELSE {c} END")
+    tokens = ", ".join(lit(t) for t in rules.CSV_NULL_TOKENS)
+    fields = ["ID", "TITLE", "CITY", "SENIORITY"]
+    back = ", ".join(f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE {c} END AS {c}" for c in fields[1:])
+    return POSTINGS + f"SELECT ID, {' || chr(44) || '.join(shown(c) for c in fields)} AS line, {back} FROM clean"
+
+
 def oracle_sql() -> dict[str, str]:
     wow = FACT_BASE[:-1] + f""",
 daily AS ({_daily_sql()}),
@@ -366,9 +390,7 @@ ORDER BY JOB_CATEGORY, week_start"""
                                             f"{employment_type('EMPLOYMENT_TYPE')} AS EMPLOYMENT_TYPE FROM raw"),
         "q_org_size": _with(RAW) + f"SELECT ID, LINKEDIN_ORG_SIZE, {org_size('LINKEDIN_ORG_SIZE')} AS ORG_SIZE FROM raw",
         "q_job_date": _with(RAW) + f"SELECT ID, DATE_CREATED, {job_date('DATE_CREATED')} AS JOB_DATE FROM raw",
-        # titles hold letters, digits and spaces only, where the two encoders
-        # differ just in the space ('+' in Spark, '%20' in DuckDB)
-        "q_url_encode": _with(RAW) + ("SELECT TITLE, replace(url_encode(TITLE), '%20', '+') AS TITLE_ENCODED "
+        "q_url_encode": _with(RAW) + ("SELECT TITLE, replace(url_encode(TITLE), '%2F', '/') AS TITLE_ENCODED "
                                       "FROM (SELECT DISTINCT TITLE FROM raw WHERE TITLE IS NOT NULL)"),
         "q_json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
         "q_json_flatten": ("SELECT event_id, event_type, TRY_CAST(json_extract(props, '$.k') AS BIGINT) "
@@ -407,4 +429,17 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ID IS NOT DISTINCT FROM c.ID)""
 ) WHERE rn = 1""",
         "q_top_skills": _top_skills_sql(),
         "q_csv_block": _csv_block_sql(),
+        "q_top_job_skills": _top_job_skills_sql(),
+        "q_union_aligned": _with(RAW) + f"""SELECT ID, TITLE, NULL AS ORGANIZATION, NULL AS URL FROM raw WHERE JOB_CATEGORY = {lit(fx.CATEGORIES[0])}
+UNION ALL SELECT ID, TITLE, ORGANIZATION, NULL FROM raw WHERE JOB_CATEGORY = {lit(fx.CATEGORIES[1])}
+UNION ALL SELECT ID, NULL, NULL, URL FROM raw WHERE JOB_CATEGORY = {lit(fx.CATEGORIES[2])}""",
+        "q_json_default": ("SELECT event_id, coalesce(json_extract_string(props, '$.k'), 'none') AS k, "
+                           "coalesce(json_extract_string(props, '$.absent'), 'none') AS absent, "
+                           "'none' AS invalid FROM events"),
+        "q_csv_text": _csv_text_sql(),
+        "q_row_counts": _with(RAW) + f"""SELECT 'feed' AS step, count(*) AS rows FROM raw
+UNION ALL SELECT 'titled', count(*) FROM raw WHERE {title_regex()}
+UNION ALL SELECT 'titled_with_date', count(*) FROM raw WHERE {title_regex()} AND {job_date('DATE_CREATED')} IS NOT NULL""",
+        "q_distinct_function": POSTINGS + ("SELECT DISTINCT CITY, CASE WHEN CITY = 'Canberra' THEN 'none' ELSE upper(left(CITY, 3)) END "
+                                           "AS code, CITY = 'Canberra' AS failed FROM clean WHERE CITY IS NOT NULL"),
     }

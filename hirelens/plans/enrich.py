@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens import rules
-from hirelens.operators import dictionary_lookup, first_per_key
+from hirelens.operators import broadcast_if_small, digest, first_per_key
 from hirelens.operators.skills import top_skills
+from hirelens.session import checkpointed
 
 
 def seniority_levels(clean: DataFrame) -> DataFrame:
@@ -25,18 +26,27 @@ def apply_to_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.S
                       out_col: str, *, default: str | None = None) -> DataFrame:
     """U-2 / U-3: run ``fn`` once per distinct non-null value of ``column``
     (Arrow batches through ``mapInPandas``) and return the value → result
-    dictionary. A batch whose call fails gets ``default`` for its values."""
+    dictionary with ``failed``. When the call for a batch raises, its values
+    are tried one by one, and only those that raise get ``default`` and
+    ``failed``; ``failed`` can be counted, so no failure is silent."""
     values = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
 
+    def one(value):
+        try:
+            return pd.Series(fn(pd.Series([value]))).iloc[0], False
+        except Exception:  # the source keeps going with a default label
+            return default, True
+
     def run(batches):
         for pdf in batches:
             try:
-                out = pd.Series(fn(pdf["value"]), index=pdf.index).astype(object)
-            except Exception:  # the source keeps going with a default label
-                out = pd.Series([default] * len(pdf), index=pdf.index, dtype=object)
-            yield pd.DataFrame({"value": pdf["value"], out_col: out})
+                out = list(pd.Series(fn(pdf["value"])).astype(object))
+                failed = [False] * len(pdf)
+            except Exception:  # some value of the batch failed
+                out, failed = zip(*map(one, pdf["value"]))
+            yield pd.DataFrame({"value": pdf["value"].to_numpy(), out_col: pd.Series(list(out), dtype=object), "failed": list(failed)})
 
-    return values.mapInPandas(run, f"value string, `{out_col}` string")
+    return values.mapInPandas(run, f"value string, `{out_col}` string, failed boolean")
 
 
 def seniority_dictionary(clean: DataFrame,
@@ -97,17 +107,24 @@ def translate_columns(df: DataFrame, columns: list[str] | None = None, *, varian
         out[skip] = rules.NA_TOKEN
         return out
 
-    out = df
+    # one dictionary for all columns: the batch is written once, the columns
+    # are stacked, and each distinct value is translated once
+    batch = checkpointed(df)
+    stacked = batch.select(F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("value"))
+    known = apply_to_distinct(stacked, "value", guarded, "translated").filter(~F.col("failed")).select("value", "translated")
+    known = broadcast_if_small(known.withColumnsRenamed({"value": "_dk", "translated": "_dv"}))
+    out = batch
     for c in columns:
-        d = apply_to_distinct(out, c, guarded, "translated")
-        out = dictionary_lookup(out, c, d, default="na" if variant == "v1" else "keep")
+        fallback = F.lit(rules.NA_TOKEN) if variant == "v1" else F.col(f"`{c}`")
+        j = out.join(known, F.col(f"`{c}`") == F.col("_dk"), "left")
+        out = j.select(*[F.coalesce("_dv", fallback).alias(x) if x == c else F.col(f"`{x}`") for x in df.columns])
     return out
 
 
 def role_descriptions(sheets: DataFrame, *, sheet: str = "sheet_no", row: str = "row_no",
                       text: str = "Job_Description") -> DataFrame:
     """M-12 input: per sheet, the first row of each description (A-6); the
-    later sheet first (U-PRE) is kept as explicit order columns."""
+    later sheet first (U-PRE) stays in the order columns."""
     return first_per_key(sheets, [sheet, text], [row])
 
 
@@ -119,8 +136,9 @@ def top_job_skills(descriptions: DataFrame, *, role: str = "Job_Title", text: st
     without descriptions gets empty strings."""
     roles = roles or rules.TARGET_TITLES
     spark = descriptions.sparkSession
-    d = descriptions.filter(F.col(role).isin(roles))
-    skills = top_skills(d, role, text, text)
+    d = descriptions.filter(F.col(role).isin(roles)).filter(F.col(text).isNotNull())
+    # a description is counted by its digest, so texts never move
+    skills = top_skills(d.select(role, text, digest(text).alias("_description")), role, text, "_description")
     names = spark.createDataFrame([(r,) for r in roles], "job_title string")
     return (names.join(skills, "job_title", "left")
                  .select("job_title",

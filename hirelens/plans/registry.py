@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from hirelens import functions as HF
 from hirelens import rules
 from hirelens.operators import (
-    anti_join_new, dictionary_lookup, first_per_key, ordered_distinct, recent_capped,
+    anti_join_new, dictionary_lookup, first_per_key, ordered_distinct, recent_capped, row_counts,
 )
 from hirelens.operators.skills import top_skills
 from hirelens.plans import enrich, ingest, models
 from hirelens.session import checkpointed
 from hirelens.sources import fixtures
-from hirelens.sources.feed import flatten_structs, tag_categories
+from hirelens.sources.feed import csv_fields, csv_line, flatten_structs, tag_categories, union_aligned
 from hirelens.sources.tables import read_table
 from hirelens.sources.textblock import csv_block_rows
 
@@ -37,7 +37,11 @@ def _clean(spark, d):
 def _fact(spark, d):
     clean = _clean(spark, d)
     profiles = checkpointed(models.posting_profiles(clean))
-    return models.fact_postings(clean, enrich.seniority_dictionary(profiles), profiles=profiles)
+    return models.fact_postings(clean, profiles=profiles)
+
+
+def _fact_rows(spark, d, *columns):
+    return models.fact_rows(_clean(spark, d), list(columns))
 
 
 def _stored(spark, d):
@@ -189,7 +193,7 @@ def q_by_city(spark, d):
 
 
 def q_by_org(spark, d):
-    return models.jobs_by_org(_fact(spark, d))
+    return models.jobs_by_org(_fact_rows(spark, d, "ORGANIZATION", "JOB_CATEGORY", "ID"))
 
 
 def q_by_state(spark, d):
@@ -197,15 +201,15 @@ def q_by_state(spark, d):
 
 
 def q_by_type(spark, d):
-    return models.jobs_by_type(_fact(spark, d))
+    return models.jobs_by_type(_fact_rows(spark, d, "JOB_CATEGORY", "ID"))
 
 
 def q_daily(spark, d):
-    return models.jobs_daily(_fact(spark, d))
+    return models.jobs_daily(_fact_rows(spark, d, "JOB_CATEGORY", "JOB_DATE", "ID"))
 
 
 def q_wow(spark, d):
-    return models.jobs_wow_trend(models.jobs_daily(_fact(spark, d)))
+    return models.jobs_wow_trend(q_daily(spark, d))
 
 
 def q_ingest(spark, d):
@@ -236,8 +240,50 @@ def q_top_skills(spark, d):
 
 
 def q_csv_block(spark, d):
-    conv = read_table(spark, d, "conversations").filter(F.col("role") == "assistant")
-    return csv_block_rows(conv.select("conv_id", "turn", "text"), ["conv_id", "turn"], "text")
+    return csv_block_rows(fixtures.answers(spark, d), ["conv_id", "turn"], "text")
+
+
+def q_top_job_skills(spark, d):
+    return enrich.top_job_skills(enrich.role_descriptions(fixtures.descriptions(spark, d)))
+
+
+# --- whole-operator checks ---------------------------------------------------------------
+
+def q_union_aligned(spark, d):
+    raw = fixtures.raw_feed(spark, d)
+    parts = [raw.filter(F.col("JOB_CATEGORY") == c).select("ID", *extra)
+             for c, extra in zip(fixtures.CATEGORIES, (["TITLE"], ["ORGANIZATION", "TITLE"], ["URL"]))]
+    return union_aligned(parts)
+
+
+def q_json_default(spark, d):
+    ev = read_table(spark, d, "events")
+    return ev.select("event_id", HF.json_path_or("props", "$.k", "none").alias("k"),
+                     HF.json_path_or("props", "$.absent", "none").alias("absent"),
+                     HF.json_path_or("event_type", "$.k", "none").alias("invalid"))
+
+
+def q_csv_text(spark, d):
+    fields = ["ID", "TITLE", "CITY", "SENIORITY"]
+    rows = _clean(spark, d).select(*fields)
+    lines = rows.select("ID", csv_line(fields).alias("line"))
+    return lines.select("ID", "line", *csv_fields("line", fields[1:], skip=1))
+
+
+def q_row_counts(spark, d):
+    raw = fixtures.raw_feed(spark, d).select("ID", "TITLE", "DATE_CREATED")
+    titled = HF.title_matches("TITLE")
+    return row_counts(raw, {"feed": F.lit(True), "titled": titled,
+                            "titled_with_date": titled & HF.date_from_text("DATE_CREATED").isNotNull()})
+
+
+def q_distinct_function(spark, d):
+    def code(cities):
+        if (cities == "Canberra").any():
+            raise ValueError("no code")
+        return cities.str.upper().str[:3]
+    out = enrich.apply_to_distinct(_clean(spark, d), "CITY", code, "code", default="none")
+    return out.select(F.col("value").alias("CITY"), "code", "failed")
 
 
 QUERIES: dict[str, Query] = {
@@ -277,4 +323,10 @@ QUERIES: dict[str, Query] = {
     "q_role_text": q_role_text,
     "q_top_skills": q_top_skills,
     "q_csv_block": q_csv_block,
+    "q_top_job_skills": q_top_job_skills,
+    "q_union_aligned": q_union_aligned,
+    "q_json_default": q_json_default,
+    "q_csv_text": q_csv_text,
+    "q_row_counts": q_row_counts,
+    "q_distinct_function": q_distinct_function,
 }

@@ -14,17 +14,35 @@ from hirelens import rules
 from hirelens.schemas import LANDED_JSON_SCHEMA
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_landed_json(spark: SparkSession, root: str, schema: T.StructType = LANDED_JSON_SCHEMA,
-                     category_col: str = "job_category") -> DataFrame:
+                     category_col: str = "job_category", corrupt_col: str | None = None) -> DataFrame:
     """S-1: one scan of a landing folder laid out as
     ``<root>/<category_col>=<title>/*.json``; the category comes from the
     folder name (partition discovery), so filters on it prune folders.
-    Malformed records become nulls (PERMISSIVE) instead of failing the run.
+    A malformed record doesn't fail the run: its columns are null, and with
+    ``corrupt_col`` its text is kept in that column; :func:`corrupt_counts`
+    reports how many a category has.
     """
     full = schema.add(T.StructField(category_col, T.StringType(), True)) \
         if category_col not in schema.fieldNames() else schema
-    return (spark.read.schema(full).option("mode", "PERMISSIVE")
-            .option("basePath", root).json(root))
+    reader = spark.read.option("mode", "PERMISSIVE").option("basePath", root)
+    if corrupt_col:
+        full = T.StructType(full.fields + [T.StructField(corrupt_col, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    return reader.schema(full).json(root)
+
+
+def corrupt_counts(spark: SparkSession, root: str, schema: T.StructType = LANDED_JSON_SCHEMA,
+                   category_col: str = "job_category") -> DataFrame:
+    """Per category of a landing folder: records, and malformed ones."""
+    # text lines, since the JSON reader doesn't answer for malformed records alone
+    lines = spark.read.option("basePath", root).text(root).filter(F.trim("value") != "")
+    fields = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    record = F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.groupBy(category_col).agg(F.count("*").alias("records"), F.count(record[CORRUPT]).alias("malformed"))
 
 
 def union_aligned(frames: list[DataFrame]) -> DataFrame:
@@ -76,20 +94,31 @@ def select_tolerant(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols if c in present])
 
 
+def python_repr(v: Column) -> Column:
+    """A text as Python prints it inside a list: in single quotes, in double
+    quotes if it has a single and no double quote, with backslash escapes for
+    backslashes, the quote used and the common control characters."""
+    text = v.cast("string")
+    for raw, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(raw), F.lit(shown))
+    single, double = F.contains(v, F.lit("'")), F.contains(v, F.lit('"'))
+    return (F.when(v.isNull(), F.lit("None"))
+            .when(single & ~double, F.concat(F.lit('"'), text, F.lit('"')))
+            .otherwise(F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+
+
 def places_text(col: Column | str) -> Column:
     """Text form of an ``array<struct<@type, address<...>>>`` as a Python
     list of dicts prints it (None for nulls), so the text-form city/state
     rules apply to landed arrays too."""
     c = F.col(col) if isinstance(col, str) else col
-
-    def q(v: Column) -> Column:
-        return F.when(v.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), v, F.lit("'")))
+    q = python_repr
 
     def place(p: Column) -> Column:
         a = p["address"]
-        return F.concat(F.lit("{'@type': "), q(p["@type"]), F.lit(", 'address': {'addressLocality': "),
+        return F.when(p.isNull(), F.lit("None")).otherwise(F.concat(F.lit("{'@type': "), q(p["@type"]), F.lit(", 'address': {'addressLocality': "),
                         q(a["addressLocality"]), F.lit(", 'addressRegion': "), q(a["addressRegion"]),
-                        F.lit(", 'streetAddress': "), q(a["streetAddress"]), F.lit("}}"))
+                        F.lit(", 'streetAddress': "), q(a["streetAddress"]), F.lit("}}")))
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("["), F.array_join(F.transform(c, place), ", "), F.lit("]")))
 
@@ -115,3 +144,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     strings are quoted so they stay distinct from nulls."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
        .option("quoteAll", False).csv(path))
+
+
+CSV_OPTIONS = {"escape": '"'}
+
+
+def csv_line(cols: list[str]) -> Column:
+    """One row as a line of CSV text, as :func:`write_csv` writes it (S-5)."""
+    return F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cols]), CSV_OPTIONS)
+
+
+def csv_fields(line: str, names: list[str], skip: int = 0, null_tokens: list[str] | None = None) -> list[Column]:
+    """The text fields of a CSV line after the first ``skip``, null tokens as
+    null, as :func:`read_csv` reads them (S-4)."""
+    tokens = rules.CSV_NULL_TOKENS if null_tokens is None else null_tokens
+    schema = ", ".join(f"`f{i}` string" for i in range(skip + len(names)))
+    row = F.from_csv(F.col(line), schema, CSV_OPTIONS)
+    return [F.when(~row[f"f{skip + i}"].isin(tokens), row[f"f{skip + i}"]).alias(n) for i, n in enumerate(names)]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.schemas import CLEAN_COLUMNS, RAW_COLUMNS
-from hirelens.sources.tables import read_table, spread
+from hirelens.sources.tables import read_table
 
 TITLES = ["Senior Data Engineer", "DATA SCIENTIST II", "Metadata Analyst",
           "Data Engineering Lead", "Junior data analyst", "Lead Data Scientist", None]
@@ -32,9 +32,9 @@ CITIES = ["New South Wales", "Capital Australia", "Barzbin", "Queensland",
 STATES = ["NA", "of", "on", "Australia", "NSW", "Queensland", None]
 EMPLOYMENT_TYPES = ["['FULL_TIME']", "['FULL_TIME', 'CONTRACTOR']", "['PART_TIME']", None]
 ORG_SIZES = ["51-200 employees", "10,001+ employees", None]
-SENIORITY_BY_PRIORITY = [("1-URGENT", "executive"), ("2-HIGH", "Mid-Senior level"),
-                         ("3-MEDIUM", "entry level"), ("4-NOT SPECIFIED", "associate")]
-SENIORITY_OTHER = "NA"
+SENIORITIES = ["executive", "Mid-Senior level", "entry level", "associate", "NA", "1 year", "3-5 years of experience",
+               "10+ years", "99999999999 years", "minimum_experience", "first job", "association_level", "internship",
+               "medium-high level", "senior", "manager/executive", "no experience", "", None]
 NULL_DATE_MODULUS = 97
 PLACE_PREFIX = "{'@type': 'Place', 'address': {'addressLocality': '"
 PLACE_MIDDLE = "', 'addressRegion': '"
@@ -57,10 +57,9 @@ def _pick(values: list, key: Column) -> Column:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    od = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_orderpriority")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     sp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     # Plain equi-joins: Spark picks broadcast from file statistics when a
     # side is small and sort-merge otherwise; AQE splits skewed keys.
@@ -86,11 +85,6 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     locations = (F.when(ok % 11 == 0, F.lit(None).cast("string"))
                   .when(ok % 11 == 1, F.concat(F.lit("["), place, F.lit(", "), place, F.lit("]")))
                   .otherwise(F.concat(F.lit("["), place, F.lit("]"))))
-    seniority = None
-    for prio, level in SENIORITY_BY_PRIORITY:
-        cond = F.col("o_orderpriority") == prio
-        seniority = F.when(cond, F.lit(level)) if seniority is None else seniority.when(cond, F.lit(level))
-    seniority = seniority.otherwise(F.lit(SENIORITY_OTHER))
     date_created = F.when(pk % NULL_DATE_MODULUS == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(TIME_OF_DAY)))
     values = {
@@ -103,7 +97,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "EMPLOYMENT_TYPE": _pick(EMPLOYMENT_TYPES, ln),
         "URL": F.concat(F.lit(URL_PREFIX), id_),
         "LINKEDIN_ORG_SIZE": _pick(ORG_SIZES, F.col("l_suppkey")),
-        "SENIORITY": seniority,
+        "SENIORITY": _pick(SENIORITIES, ok),
     }
     cols = [values.get(c, F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS]
     return j.select(*cols, city.alias("_CITY"), state.alias("_STATE"))
@@ -121,3 +115,28 @@ def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ORG_SIZE": HF.org_size_text("LINKEDIN_ORG_SIZE"),
     }
     return raw.select(*[derived.get(c, F.col(c)).alias(c) for c in CLEAN_COLUMNS])
+
+
+# A job description's title by its document; one target title has none.
+DESCRIPTION_TITLES = ["Data Engineer", "Data Scientist", "Web Developer"]
+
+
+def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a description row: one sheet per source, rows in
+    document order."""
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("source").alias("sheet_no"), F.col("doc_id").alias("row_no"),
+                       _pick(DESCRIPTION_TITLES, F.col("doc_id")).alias("Job_Title"), F.col("text").alias("Job_Description"))
+
+
+ANSWER_HEAD = "Here it is:\nJob_Title,technical_skills,soft_skills\nData Analyst,"
+ANSWER_TAIL = "\nData Engineer,spark,\nData Scientist,python,curiosity\nThanks, all"
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation turn, and for each one an answer that holds a CSV
+    block between other lines (with a negative turn number)."""
+    conv = read_table(spark, sf_dir, "conversations")
+    block = F.concat(F.lit(ANSWER_HEAD), F.col("conv_id").cast("string"), F.lit(","), F.col("role"), F.lit(ANSWER_TAIL))
+    return (conv.select("conv_id", F.col("turn").cast("int").alias("turn"), "text")
+            .union(conv.select("conv_id", (-1 - F.col("turn")).cast("int").alias("turn"), block.alias("text"))))

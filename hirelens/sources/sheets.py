@@ -1,32 +1,60 @@
-"""Multi-sheet description source (S-10): a folder of CSV files, one per
-sheet; the first (master) sheet is skipped; each sheet is deduplicated on
-the description (A-6) and later sheets come first (U-PRE), kept as
-explicit order columns since Spark rows have no order."""
+"""Multi-sheet description source (S-10): one CSV file per sheet, in workbook
+order; the first (master) sheet is skipped unless told otherwise; each file's
+columns are read by its own header, by name; each sheet is deduplicated on the
+description (A-6); later sheets come first (U-PRE), kept as explicit order
+columns, since Spark rows have no order."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators import first_per_key
+from hirelens.sources.feed import union_aligned
+
+
+def natural_order(path: str) -> list:
+    """Sort key of a file name in which 2 comes before 10."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return [(0, int(p), "") if p.isdigit() else (1, 0, p) for p in re.split(r"(\d+)", name) if p] + [(1, 0, path)]
+
 
+def list_sheets(spark: SparkSession, folder: str) -> list[str]:
+    """CSV files below ``folder`` in workbook order (numbers by value)."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(top, True)
+    found = []
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().lower().endswith(".csv"):
+            found.append(path.toString())
+    return sorted(found, key=natural_order)
 
-def read_sheets(spark: SparkSession, folder: str, *, master: str | None = None,
+
+def read_sheets(spark: SparkSession, sheets: str | list[str], *, skip: int = 1, master: str | None = None,
                 text: str = "Job_Description") -> DataFrame:
-    """Rows of every sheet file but the master, all values text, with
-    ``sheet`` (file name) and ``row_no`` (row order within the file);
-    :func:`sheet_order` gives the U-PRE ordering."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .csv(folder)
-          .withColumn("sheet", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)))
-    if master:
-        df = df.filter(F.col("sheet") != master)
-    # row order inside one file: files are read whole (multiLine), so the
-    # generated id grows with the row position within a file
-    df = df.withColumn("row_no", F.monotonically_increasing_id())
-    return first_per_key(df, ["sheet", text], ["row_no"])
-
-
-def sheet_order(df: DataFrame) -> list:
-    """Order columns for U-PRE: later sheet (by name) first, then row order."""
-    return [F.col("sheet").desc(), F.col("row_no").asc()]
+    """Rows of every sheet but the first ``skip`` (or but the file named
+    ``master``), all values text, a column that a sheet lacks null, with
+    ``sheet`` (the whole path), ``sheet_no`` (place in the workbook) and
+    ``row_no`` (grows with the row order inside a sheet).
+
+    ``sheets`` is a list of files in workbook order, or a folder, whose files
+    are taken in the order of :func:`list_sheets`. Each file is one sheet that
+    people keep by hand, so it is read by one task (quoted line breaks)."""
+    paths = list_sheets(spark, sheets) if isinstance(sheets, str) else list(sheets)
+    taken = [(no, p) for no, p in enumerate(paths) if (no >= skip if master is None else p.rsplit("/", 1)[-1] != master)]
+    if not taken:
+        raise ValueError(f"no sheet left to read of {len(paths)}")
+    frames = []
+    for no, path in taken:
+        one = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path))
+        frames.append(one.withColumns({"sheet": F.lit(path), "sheet_no": F.lit(no), "row_no": F.monotonically_increasing_id()}))
+    return first_per_key(union_aligned(frames), ["sheet", text], ["row_no"])
+
+
+def later_first(df: DataFrame) -> DataFrame:
+    """U-PRE: later sheets first, rows of a sheet in their order."""
+    return df.orderBy(F.col("sheet_no").desc(), F.col("row_no").asc())

@@ -63,7 +63,7 @@ def test_op3_empty(spark, empty):
     assert ngram_join.ngram_join(empty).count() == 0
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_op3_groups_of_near_copies(spark, seed, monkeypatch):
     """Chains of near copies, where many links are not with the hub, around a
     passage that unrelated texts share."""

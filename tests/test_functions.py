@@ -181,10 +181,25 @@ def test_dates(spark):
 
 
 def test_url_encoding(spark):
-    assert one_col(spark, ["Data Engineer", "a&b"], HF.url_encoded) == ["Data+Engineer", "a%26b"]
+    from urllib.parse import quote
+    texts = ["Data Engineer", "a&b", "/~*-._", "1+1=2?", "é 数", "", "%2F%7E+", "'\"<>\n"]
+    assert one_col(spark, texts, HF.url_encoded) == [quote(t) for t in texts]
 
 
 @pytest.mark.parametrize("kind,text,out", rules.CITY_RULES)
 def test_each_city_rule_alone(spark, kind, text, out):
     value = text.upper() if kind == "equals" else f"xx {text.upper()} yy"
     assert one_col(spark, [value], HF.city_standardized) == [out]
+
+
+def test_date_texts(spark):
+    texts = ["2025-01-06T23:30:00", "2025-01-06", "2025-01-06 10:00:00+05:00", "2025/1/6", "1/6/2025 10:00", "20250106", "6 Jan 2025",
+             "Jan 6, 2025 9:00", "2025-13-01", "2025-01-06x", "x", "", None]
+    got = one_col(spark, texts, HF.date_from_text)
+    day = dt.date(2025, 1, 6)
+    assert got == [day] * 8 + [None] * 5
+
+
+def test_year_bands_have_no_upper_end(spark):
+    texts = ["6 years", "2147483648 years", "99999999999999999999 years", "2 years"]
+    assert one_col(spark, texts, HF.seniority_category) == ["Senior", "Senior", "Senior", "Entry Level"]

@@ -56,13 +56,30 @@ def test_first_per_key_keeps_first(spark):
     assert O.first_per_key(df, ["sheet", "Job_Description"], ["row_no"]).columns == df.columns
 
 
-def test_ordered_distinct_concat(spark):
+def test_first_per_key_nulls_and_orders(spark):
+    """Against a plain loop: null keys, null and negative order values, order
+    columns that fit one number and ones that don't."""
+    import itertools
+    import random
+    rnd = random.Random(2)
+    rows_ = [(i, rnd.choice(["a", "ab", "", None]), rnd.choice(["b", "", "c", None]), rnd.choice([None, -5, 0, 7]), rnd.choice("xyz"))
+             for i in range(200)]
+    df = spark.createDataFrame(rows_, "id long, k string, t string, o int, w string").repartition(4)
+    for order in (["o", "id"], ["w", "id"], ["id"]):
+        pos = [df.columns.index(c) for c in order]
+        key = lambda r: [(r[p] is not None, r[p] if r[p] is not None else 0) for p in pos]
+        want = {}
+        for r in rows_:
+            if (r[1], r[2]) not in want or key(r) < key(want[r[1], r[2]]):
+                want[r[1], r[2]] = r
+        got = O.first_per_key(df, ["k", "t"], order).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.values()))
+
+
+def test_ordered_distinct(spark):
     df = spark.createDataFrame(
         [("Data Analyst", "b", 2), ("Data Analyst", "a", 1), ("Data Analyst", "b", 3),
          ("Data Scientist", "z", 5)], "role string, text string, pos long")
-    got = dict(rows(O.ordered_distinct_concat(df, "role", "text", ["pos"],
-                                              groups=["Data Analyst", "Data Scientist", "Data Engineer"])))
-    assert got == {"Data Analyst": "a\nb", "Data Scientist": "z", "Data Engineer": ""}
     long_form = rows(O.ordered_distinct(df, "role", "text", ["pos"]))
     assert long_form == [("Data Analyst", "a", 1), ("Data Analyst", "b", 2), ("Data Scientist", "z", 5)]
 
@@ -122,3 +139,17 @@ def test_preview_head_and_tail(spark):
     assert [r.k for r in O.preview(df, 3, [("k", True)]).collect()] == [0, 1, 2]
     assert [r.k for r in O.preview(df, 2, [("k", True)], tail=True).collect()] == [98, 99]
     assert O.preview(df, 4).count() == 4
+
+
+def test_anti_join_large_batch_gives_the_same_rows(spark, monkeypatch):
+    from hirelens.operators import joins
+    new = spark.createDataFrame([("1", 1), ("2", 2), ("2", 3), (None, 4), ("9", 5)], "ID string, n int")
+    for stored_ids in ([("1",), (None,), ("1",), ("7",)], [("1",)], []):
+        stored = spark.createDataFrame(stored_ids, "ID string")
+        for null_safe in (True, False):
+            got = []
+            for limit in (10**6, 0):
+                monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", limit)
+                got.append(rows(O.anti_join_new(new, stored, "ID", null_safe=null_safe)))
+            known = {i for i, in stored_ids if null_safe or i is not None}
+            assert got[0] == got[1] == sorted([r for r in [("1", 1), ("2", 2), ("2", 3), (None, 4), ("9", 5)] if r[0] not in known], key=str)

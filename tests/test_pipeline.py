@@ -66,8 +66,9 @@ def test_cli_models_and_ingest(spark, tmpdir_path):
     assert sorted(r.ID for r in spark.read.parquet(target).collect()) == ["1", "3"]
 
 
-def test_bucketed_store_shuffles_only_the_new_batch(spark):
+def test_bucketed_store_shuffles_only_the_new_batch(spark, monkeypatch):
     import re
+    from hirelens.operators import joins
     from test_plans import live_nodes
     spark.sql("DROP TABLE IF EXISTS clean_bucketed_test")
     raw = fixtures.raw_feed(spark, SF0001).drop("_CITY", "_STATE")
@@ -75,12 +76,18 @@ def test_bucketed_store_shuffles_only_the_new_batch(spark):
     n1 = spark.table("clean_bucketed_test").count()
     nxt = ingest.ingest(raw, spark.table("clean_bucketed_test"))
     assert nxt.count() == 0                                     # idempotent
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join
-    try:
+
+    def on_id(limit):
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", limit)
         nodes = live_nodes(ingest.ingest(raw, spark.table("clean_bucketed_test")))
+        return [d for n, d in nodes if n == "Exchange" and re.search(r"hashpartitioning\((ID|_stored_key|_id)#", d)]
+    # a small batch is broadcast to the stored scan: neither side's rows are shuffled by ID
+    assert not any("(ID#" in d for d in on_id(10**6))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a large one is joined by shuffle
+    try:
+        large = on_id(0)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    on_id = [d for n, d in nodes if n == "Exchange" and re.search(r"hashpartitioning\((ID|_stored_key)#", d)]
     # the stored IDs come bucketed: only the new batch is shuffled by ID
-    assert len(on_id) == 1 and "(ID#" in on_id[0], on_id
+    assert len(large) == 1 and "(ID#" in large[0], large
     assert spark.table("clean_bucketed_test").count() == n1

@@ -129,6 +129,73 @@ def test_sheets_first_per_description(spark, tmpdir_path):
     assert top["Data Scientist"] == ("", "")
 
 
+def test_sheets_by_name_in_workbook_order(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "book")
+    for sub in ("x", "y"):
+        os.makedirs(os.path.join(folder, sub))
+    write = lambda path, **cols: pd.DataFrame(cols).to_csv(os.path.join(folder, path), index=False)
+    write("sheet_1.csv", Job_Title=["m"], Job_Description=["master"])
+    write("sheet_2.csv", Job_Description=["d2", "d2", "line\nbreak"], Job_Title=["t2", "t2b", "t3"])
+    write("x/sheet_3.csv", Job_Title=["t3"], Job_Description=["d3"], Extra=["e"])
+    write("y/sheet_3.csv", Job_Title=["t3y"], Job_Description=["d3"])
+    write("sheet_10.csv", Job_Title=["t10"], Job_Description=["d10"])
+    got = [(r.sheet_no, r.Job_Title, r.Job_Description, r.Extra) for r in sheets.later_first(sheets.read_sheets(spark, folder)).collect()]
+    assert got == [(4, "t10", "d10", None), (3, "t3y", "d3", None), (2, "t3", "d3", "e"), (1, "t2", "d2", None), (1, "t3", "line\nbreak", None)]
+    listed = [os.path.join(folder, "sheet_10.csv"), os.path.join(folder, "sheet_2.csv")]
+    assert [r.Job_Title for r in sheets.read_sheets(spark, listed, skip=1).collect()] != ["t10"]
+    assert {r.Job_Title for r in sheets.read_sheets(spark, listed, skip=0).collect()} == {"t10", "t2", "t3"}
+
+
+def test_malformed_records_are_counted(spark, tmpdir_path):
+    from hirelens.sources.feed import corrupt_counts
+    folder = os.path.join(tmpdir_path, "feed", "job_category=Data Engineer")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write(json.dumps(_landed_posting(1, "Data Engineer", "Perth", "WA")) + "\n{broken\n")
+    got = corrupt_counts(spark, os.path.dirname(folder)).collect()
+    assert [(r.job_category, r.records, r.malformed) for r in got] == [("Data Engineer", 2, 1)]
+
+
+def test_arrays_print_as_python_lists(spark):
+    import re
+    from hirelens import functions as HF
+    from hirelens import rules
+    from hirelens.sources.feed import places_text
+    names = ["Perth", "O'Connor", 'a "b"', "it's \"x\"", "back\\slash", "tab\tnl\n", None, ""]
+    places = [[{"@type": "Place", "address": {"addressLocality": n, "addressRegion": r, "streetAddress": None}}]
+              for n in names for r in ("WA", "O'x", None)] + [None, [], [None]]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(places)],
+                               "i int, p array<struct<`@type`:string,address:struct<addressLocality:string,addressRegion:string,streetAddress:string>>>")
+    text = places_text("p")
+    got = df.select("i", text.alias("t"), HF.city_from_locations(text).alias("c")).orderBy("i").collect()
+    for r, p in zip(got, places):
+        want = None if p is None else str(p)
+        assert r.t == want
+        m = re.search(rules.CITY_TEXT_PATTERN, want or "")
+        assert r.c == (m[1] if m else None)
+    lists = [["FULL_TIME", None], ["A", "B"], [], None]
+    e = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, e array<string>")
+    assert [r[0] for r in e.orderBy("i").select(HF.employment_type_from_array("e")).collect()] == ["FULL_TIME, None", "A, B", "", "nan"]
+
+
+def test_only_the_failing_value_gets_the_default(spark):
+    from hirelens.plans.enrich import apply_to_distinct, translate_columns
+    calls = []
+
+    def fn(s):
+        if (s == "bad").any():
+            raise ValueError(calls)
+        return s.str.upper()
+    df = spark.createDataFrame([("a",), ("bad",), ("c",), ("a",), (None,)], "v string").coalesce(1)
+    got = {r.value: (r.out, r.failed) for r in apply_to_distinct(df, "v", fn, "out", default="none").collect()}
+    assert got == {"a": ("A", False), "bad": ("none", True), "c": ("C", False)}
+    two = spark.createDataFrame([("a", "bad"), ("", None), ("na", "c")], "CITY string, STATE string")
+    kept = [tuple(r) for r in translate_columns(two, ["CITY", "STATE"], variant="v2", translator=fn).collect()]
+    assert sorted(kept, key=str) == sorted([("A", "bad"), ("NA", None), ("NA", "C")], key=str)
+    v1 = [tuple(r) for r in translate_columns(two, ["CITY", "STATE"], variant="v1", translator=fn).collect()]
+    assert sorted(v1, key=str) == sorted([("A", "NA"), ("NA", "NA"), ("NA", "C")], key=str)
+
+
 def py_csv_block(text, prefix="job_title", n=3):
     """Brute force with Python's own line splitting and csv module."""
     lines = text.strip().splitlines()
