@@ -3,8 +3,8 @@ to executors, fixed-size key filters and connected components."""
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -17,22 +17,37 @@ from hirelens.session import ensure_checkpoint_dir
 _SHIPPED: set[str] = set()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+
+
+def _at(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that
-    functions run in Python workers can be imported there."""
+    """Send this package to the executors once per application, through the
+    shared folder, so that functions run in Python workers can be imported
+    there."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    if top.endswith((".zip", ".egg")):
+    if sc.applicationId in _SHIPPED or not os.path.isdir(top):  # imported from a shipped archive
         return
-    path = os.path.join(tempfile.mkdtemp(prefix="hirelens-pkg-"), "hirelens_pkg.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for d, _, names in os.walk(os.path.join(top, "hirelens")):
             for n in names:
                 if n.endswith(".py"):
                     z.write(os.path.join(d, n), os.path.relpath(os.path.join(d, n), top))
-    sc.addPyFile(path)
+    fs, path = _at(spark, f"{_shared_folder(spark)}/hirelens-{uuid.uuid4().hex}.zip")
+    fs.deleteOnExit(path)
+    out = fs.create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(sc.applicationId)
 
 
@@ -45,14 +60,10 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         ship_package(spark)
-        base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
         self.spark = spark
-        self.name = name
-        self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path(self.root)
-        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.deleteOnExit(self._path)
+        self.root = f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self._fs, path = _at(spark, self.root)
+        self._fs.deleteOnExit(path)
 
     def path(self, tag: str) -> str:
         return f"{self.root}/{tag}"
@@ -67,7 +78,7 @@ class Scratch:
 
     def drop(self, tag: str) -> None:
         """Remove a table that no later plan reads."""
-        self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(tag)), True)
+        self._fs.delete(_at(self.spark, self.path(tag))[1], True)
 
 
 FILTER_BITS = 24

@@ -33,3 +33,11 @@ def edge(spark):
 @pytest.fixture()
 def empty(spark):
     return spark.createDataFrame([], EDGE_SCHEMA)
+
+
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    """Small tables need few tasks; no result depends on the number."""
+    from hirelens.llm import byte_bpe, ngram_join
+    monkeypatch.setattr(byte_bpe, "LEAST_BUCKETS", 4)
+    monkeypatch.setattr(ngram_join, "LEAST_BUCKETS", 4)
