@@ -10,14 +10,18 @@ classes of documents that links connect.
    same everywhere). Two sets that link share a shingle among the first
    n - ceil(0.8 n) + 1 of each (prefix positions); the rest of the index is
    skipped. The index lists hold classes by prefix shingle, laid out in blocks
-   by size, and a set looks only at blocks whose sizes can link with it.
+   by size, and a set looks only at blocks whose sizes can link with it. An
+   entry keeps its position: two sets of n and n' shingles whose first common
+   one stands at positions p and p' (from 0) share min(n - p, n' - p') at most,
+   so entries where that is less than a link needs, 4/9 (n + n'), are skipped.
 3. Answers by relation. In each list the sets are first compared with one hub
-   only. Sets that link with the hub are its highly similar sets: their
-   answers contain the hub's, so within the hub's component nothing more is
-   compared. Only lists that still hold several components are looked at
-   again, and there the pairs across components are compared until none is
-   left. So no link between components is lost, and a group of n near copies
-   costs about n comparisons in place of n^2 / 2.
+   only, the set that has the list's shingle first. Sets that link with the
+   hub are its highly similar sets: their answers contain the hub's, so within
+   the hub's component nothing more is compared. Only lists that still hold
+   several components are looked at again, and there the pairs across
+   components are compared until none is left. So no link between components
+   is lost, and a group of n near copies costs about n comparisons in place of
+   n^2 / 2.
 
 A map task keeps one hub for each shingle, so the shuffle gets at most one
 entry of a shingle from each task, however many documents hold it.
@@ -47,7 +51,8 @@ WORDS = 5
 SKETCH_BITS = 22
 SLOT_BITS = 12
 FLUSH = 4_000_000  # postings that a map task holds
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+MAY_LINK = "9 * least(n - pos, n2 - pos2) >= 4 * (n + n2) AND 5 * least(n, n2) >= 4 * greatest(n, n2)"
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,19 +161,20 @@ def _tokens(five: bytes) -> np.ndarray:
     return out.view(np.uint64)[:, 0]
 
 
-def _runs(tokens: np.ndarray, cids: np.ndarray):
+def _runs(tokens: np.ndarray, cids: np.ndarray, at: np.ndarray):
     """Postings sorted by token and class, and where each token's run starts."""
     by = np.lexsort((cids, tokens))
-    tokens, cids = tokens[by], cids[by]
+    tokens, cids, at = tokens[by], cids[by], at[by]
     new = np.ones(len(tokens), dtype=bool)
     new[1:] = tokens[1:] != tokens[:-1]
-    return tokens, cids, new
+    return tokens, cids, at, new
 
 
-def _live(tokens: np.ndarray, cids: np.ndarray, new: np.ndarray) -> pd.DataFrame:
+def _live(tokens: np.ndarray, cids: np.ndarray, at: np.ndarray, new: np.ndarray) -> pd.DataFrame:
     """The postings of tokens that several classes hold."""
     alone = new & np.append(new[1:], True)
-    return pd.DataFrame({"bucket": np.int32(-1), "token": tokens[~alone].view(np.int64), "cid": cids[~alone], "data": None})
+    return pd.DataFrame({"bucket": np.int32(-1), "token": tokens[~alone].view(np.int64), "cid": cids[~alone],
+                         "pos": at[~alone], "data": None})
 
 
 def _postings(buckets: int):
@@ -176,28 +182,29 @@ def _postings(buckets: int):
     smallest class is the task's hub, and the others of its run are known to
     share the token already."""
     def run(batches):
-        tokens, cids, held = [], [], 0
+        tokens, cids, at, held = [], [], [], 0
 
         def flush():
-            t, c, new = _runs(np.concatenate(tokens), np.concatenate(cids))
-            yield _live(t, c, new)
-            t, c = t[new], c[new]
+            t, c, p, new = _runs(np.concatenate(tokens), np.concatenate(cids), np.concatenate(at))
+            yield _live(t, c, p, new)
+            t, c, p = t[new], c[new], p[new]
             bucket = (_mix(t) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            rows = [(k, len(own), _pack(np.diff(t[own], prepend=np.uint64(0)), c[own]))
+            rows = [(k, len(own), _pack(np.diff(t[own], prepend=np.uint64(0)), c[own], p[own]))
                     for k, own in ((k, by[cuts[k]:cuts[k + 1]]) for k in range(buckets)) if len(own)]
             yield pd.DataFrame({"bucket": np.array([r[0] for r in rows], dtype=np.int32), "token": np.int64(0),
-                                "cid": np.array([r[1] for r in rows], dtype=np.int64), "data": [r[2] for r in rows]})
+                                "cid": np.array([r[1] for r in rows], dtype=np.int64), "pos": np.int32(0), "data": [r[2] for r in rows]})
         for b in batches:
             for cid, five in zip(b["cid"], b["prefix"]):
                 t = _tokens(five)
                 tokens.append(t)
                 cids.append(np.full(len(t), cid, dtype=np.int64))
+                at.append(np.arange(len(t), dtype=np.int32))
                 held += len(t)
                 if held >= FLUSH:
                     yield from flush()
-                    tokens, cids, held = [], [], 0
+                    tokens, cids, at, held = [], [], [], 0
         if held:
             yield from flush()
     return run
@@ -205,19 +212,20 @@ def _postings(buckets: int):
 
 def _meet(batches):
     """The tokens of a bucket that come from several tasks (rows sorted by bucket)."""
-    bucket, tokens, cids = None, [], []
+    bucket, tokens, cids, at = None, [], [], []
 
     def out():
-        return _live(*_runs(np.concatenate(tokens), np.concatenate(cids)))[["token", "cid"]]
+        return _live(*_runs(np.concatenate(tokens), np.concatenate(cids), np.concatenate(at)))[["token", "cid", "pos"]]
     for b in batches:
         for k, n, data in zip(b["bucket"], b["cid"], b["data"]):
             if k != bucket:
                 if tokens:
                     yield out()
-                bucket, tokens, cids = k, [], []
+                bucket, tokens, cids, at = k, [], [], []
             raw = _unpack(data)
             tokens.append(np.cumsum(np.frombuffer(raw, dtype=np.uint64, count=n), dtype=np.uint64))
-            cids.append(np.frombuffer(raw, dtype=np.int64, offset=8 * n))
+            cids.append(np.frombuffer(raw, dtype=np.int64, count=n, offset=8 * n))
+            at.append(np.frombuffer(raw, dtype=np.int32, offset=16 * n))
     if tokens:
         yield out()
 
@@ -230,7 +238,8 @@ def _fetch(bitmap: np.ndarray, null_too: bool):
             b = b[keep]
             f = [_fingerprint(shingles(t)) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "f0": np.array([x[0] for x in f], dtype=np.int64),
-                                "f1": np.array([x[1] for x in f], dtype=np.int64), "text": b["text"]})
+                                "f1": np.array([x[1] for x in f], dtype=np.int64),
+                                "text": [_pack(np.frombuffer((t or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)) for t in b["text"]]})
     return run
 
 
@@ -241,14 +250,15 @@ def _compare(batches):
         if cid not in known:
             if len(known) >= 512:
                 known.clear()
-            known[cid] = shingles(text)
+            known[cid] = shingles(_unpack(text).decode("utf-8", "surrogatepass"))
         return known[cid]
     for b in batches:
-        both = []
+        linked = []
         for a, ta, z, tz in zip(b["a"], b["ta"], b["b"], b["tb"]):
             x, y = of(a, ta), of(z, tz)
-            both.append(len(np.intersect1d(x, y, assume_unique=True)))
-        yield pd.DataFrame({"a": b["a"], "b": b["b"], "shared": np.array(both, dtype=np.int64)})
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            linked.append(100 * shared >= 80 * (len(x) + len(y) - shared))
+        yield pd.DataFrame({"a": b["a"], "b": b["b"], "linked": np.array(linked, dtype=bool)})
 
 
 class _Join:
@@ -265,16 +275,15 @@ class _Join:
         grouped = (self.sets.where("n > 0").groupBy("f0", "f1", "n")
                    .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
         self.all = self.scratch.save(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        self.size = self.all.select("cid", "n")
 
     def lists(self) -> None:
-        """(token, cid, n) of every token that several classes hold."""
+        """(token, cid, pos, n) of every token that several classes hold."""
         rows = self.scratch.save(self.all.select("cid", "prefix").mapInPandas(
-            _postings(self.buckets), "bucket int, token long, cid long, data binary"), "postings")
+            _postings(self.buckets), "bucket int, token long, cid long, pos int, data binary"), "postings")
         met = (rows.where("bucket >= 0").select("bucket", "cid", "data")
-               .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "token long, cid long"))
-        live = rows.where("bucket < 0").select("token", "cid").union(met).distinct().join(self.size, "cid")
-        self.live = self.scratch.save(live, "live")
+               .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "token long, cid long, pos int"))
+        live = rows.where("bucket < 0").select("token", "cid", "pos").union(met).distinct()
+        self.live = self.scratch.save(live.join(self.all.select("cid", "n"), "cid"), "live")
         self.scratch.drop("postings")
 
     def compare(self, pairs: DataFrame, tag: str) -> DataFrame:
@@ -284,16 +293,13 @@ class _Join:
         need = self.scratch.save(self.all.select("cid", "rep", "f0", "f1").join(need, "cid", "left_semi"), f"{tag}-need")
         found = (self.texts.mapInPandas(_fetch(key_filter(need.where("rep IS NOT NULL"), "rep"),
                                                need.where("rep IS NULL").limit(1).count() > 0),
-                                        "doc_id string, f0 long, f1 long, text string"))
+                                        "doc_id string, f0 long, f1 long, text binary"))
         on = [found["f0"] == need["f0"], found["f1"] == need["f1"], found["doc_id"].cast("long").eqNullSafe(need["rep"])]
-        texts = self.scratch.save(found.join(need, on).groupBy("cid").agg(F.first("text").alias("text")), f"{tag}-texts")
-        side = lambda c, t, n: texts.join(self.size, "cid").select(F.col("cid").alias(c), F.col("text").alias(t), F.col("n").alias(n))
-        got = pairs.join(side("a", "ta", "na"), "a").join(side("b", "tb", "nb"), "b")
-        shared = got.mapInPandas(_compare, "a long, b long, shared long")
-        sized = (shared.join(self.size.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a")
-                 .join(self.size.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b"))
-        out = self.scratch.save(sized.select("a", "b", (100 * F.col("shared") >= 80 * (F.col("na") + F.col("nb") - F.col("shared")))
-                                             .alias("linked")), f"{tag}-compared")
+        # rows that repeat id and text give a class several times; the answers are the same
+        texts = self.scratch.save(found.join(need, on).select("cid", "text"), f"{tag}-texts")
+        got = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+               .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"))
+        out = self.scratch.save(got.mapInPandas(_compare, "a long, b long, linked boolean").distinct(), f"{tag}-compared")
         self.scratch.drop(f"{tag}-texts")
         return out
 
@@ -306,25 +312,23 @@ class _Join:
 
     def stars(self, rows: DataFrame) -> DataFrame:
         """For each class the hub of another component that it meets in most
-        lists, sizes permitting: the smallest class of a list's first or last
-        component."""
-        hubs = (rows.groupBy("token").agg(F.min(F.struct("comp", "cid", "n")).alias("x"), F.max(F.struct("comp", "cid", "n")).alias("y")))
-        met = (rows.join(hubs, "token")
-               .withColumn("hub", F.when(F.col("comp") == F.col("x.comp"), F.col("y")).otherwise(F.col("x")))
-               .where("5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
-               .groupBy("cid", F.col("hub.cid").alias("hub")).agg(F.count("*").alias("times")))
+        lists: the class of a list that has it first."""
+        hubs = rows.groupBy("token").agg(F.min(F.struct("pos", "cid", "n", "comp")).alias("x"))
+        met = (rows.join(hubs, "token").where("comp <> x.comp")
+               .withColumns({"n2": F.col("x.n"), "pos2": F.col("x.pos")}).where(MAY_LINK)
+               .groupBy("cid", F.col("x.cid").alias("hub")).agg(F.count("*").alias("times")))
         best = met.groupBy("cid").agg(F.max(F.struct("times", (-F.col("hub")).alias("h"))).alias("best"))
         hub = -F.col("best.h")
         return best.select(F.least("cid", hub).alias("a"), F.greatest("cid", hub).alias("b")).distinct()
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs across components that share a list and whose sizes permit
-        a link, by blocks of size: a block meets itself and the next one."""
+        """All pairs across components that share a list and may link, by
+        blocks of size: a block meets itself and the ones next to it."""
         block = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1.25))))
-        x = rows.select("token", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), block.alias("block"))
-        y = (rows.select("token", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"),
-                         F.explode(F.array(block, block + 1, block - 1)).alias("block")))
-        return (x.join(y, ["token", "block"]).where("cx < cy AND 5 * least(nx, ny) >= 4 * greatest(nx, ny)")
+        x = rows.select("token", F.col("cid").alias("x"), F.col("comp").alias("cx"), "n", "pos", block.alias("block"))
+        y = rows.select("token", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("n2"), F.col("pos").alias("pos2"),
+                        F.explode(F.array(block, block + 1, block - 1)).alias("block"))
+        return (x.join(y, ["token", "block"]).where("cx < cy").where(MAY_LINK)
                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -337,7 +341,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     label, done = None, None
     for r in range(STAR_ROUNDS + 1):
         rows = scratch.save(j.open_lists(label), f"open-{r}")
-        pairs = j.stars(rows) if r < STAR_ROUNDS else j.across(rows)
+        pairs = scratch.save(j.stars(rows) if r < STAR_ROUNDS else j.across(rows), f"met-{r}")
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         found = j.compare(pairs, f"round-{r}")
