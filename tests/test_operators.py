@@ -59,7 +59,6 @@ def test_first_per_key_keeps_first(spark):
 def test_first_per_key_nulls_and_orders(spark):
     """Against a plain loop: null keys, null and negative order values, order
     columns that fit one number and ones that don't."""
-    import itertools
     import random
     rnd = random.Random(2)
     rows_ = [(i, rnd.choice(["a", "ab", "", None]), rnd.choice(["b", "", "c", None]), rnd.choice([None, -5, 0, 7]), rnd.choice("xyz"))
