@@ -36,7 +36,6 @@ import html as entities
 import json
 import re
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame

@@ -193,7 +193,6 @@ def accepted(docs: DataFrame, machine: Machine, text_col: str = "text", length_c
              threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, unchanged."""
     ship_package(docs.sparkSession)
-
     length = F.col(length_col).cast("double") if length_col in docs.columns else F.lit(None).cast("double")
     score = F.pandas_udf(_scorer(machine), "double")
     return docs.where(score(F.col(text_col), length) >= threshold)
