@@ -2,7 +2,7 @@
 
 Texts become ids with the tokenizers library; the ids of all documents, in
 ascending doc_id order, are stored in blocks. One frequency table, counted
-over the whole corpus and scaled to 2^20, serves every block. A block holds
+over the whole corpus and scaled to 2^18, serves every block. A block holds
 whole documents, ``BLOCK_TOKENS`` ids or more; token i belongs to lane
 i mod LANES, each lane is a 64-bit rANS state, and all lanes of a block share
 one stream of 32-bit words. Every ``STEPS`` steps a checkpoint keeps the lane
@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,70 +35,123 @@ from pyspark.sql import functions as F
 from hirelens.llm._pretokens import is_plain, pretokens
 from hirelens.llm._shared import Scratch
 
-BITS = 20
-LANES = 1024
+BITS = 18
+LANES = 2048
 STEPS = 64
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 PART_TOKENS = 1 << 23
-WORDS_KEPT = 1_000_000  # words a worker remembers; beyond, it starts anew
+WORDS_KEPT = 500_000  # words that a worker remembers
+GROUP_CHARS = 4_000_000
+COUNTS = -1  # in place of a document's length: a task's counts of all symbols
 LOW = np.uint64(1 << 31)
 
 _workers: dict = {}
 
 
 class _Encoder:
-    """Whole texts to ids. A text's ids are those of its pre-tokens, one after
-    the other, so each worker has the library encode a word once. A text with
-    characters outside the plain set goes to the library whole."""
-
-    def __init__(self, path: str):
+    """Whole texts to ids, the end id after each. A text's ids are those of its
+    pre-tokens, one after the other, so the library encodes each word once:
+    texts are taken in groups, a group's distinct words are looked up among
+    those known, new ones go to the library together, and the ids are laid out
+    by word number. A text with characters outside the plain set goes to the
+    library whole."""
+
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        enc = self.lib.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(enc.ids, dtype=np.uint32)
-        of = np.array(enc.word_ids, dtype=np.int64)
-        cuts = np.searchsorted(of, np.arange(len(words) + 1))
-        for i, w in enumerate(words):
-            self.known[w] = ids[cuts[i]:cuts[i + 1]].tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not is_plain(text):
-            return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
-        words = pretokens(text)
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            distinct = set(words)
-            self._learn([w for w in distinct if w not in self.known])
-            if not distinct <= self.known.keys():
-                self._learn(list(distinct))
-            return b"".join(map(self.known.__getitem__, words))
-
-
-def _encoder(path: str) -> _Encoder:
-    if path not in _workers:
-        _workers[path] = _Encoder(path)
-    return _workers[path]
+        self.feed = self._ids("\n")[0]
+        self.end = np.uint32(end_id)
+        self._forget()
+
+    def _forget(self) -> None:
+        # no pre-token is empty: the empty word stands for the end of a text
+        self.known: dict[str, bytes] = {"": self.end.tobytes()}
+        self.unkept = 0
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Pre-tokens that are not blank hold no line feed, and a line feed
+        between them is a pre-token of its own, so one text of all of them
+        gives their ids, parted by the line feed's."""
+        blank = [w for w in words if w.isspace()]
+        out = {w: self._ids(w).tobytes() for w in blank}
+        solid = [w for w in words if w not in out] if blank else words
+        ids = self._ids("\n".join(solid))
+        cuts = np.flatnonzero(ids == self.feed)
+        if solid and len(cuts) != len(solid) - 1:
+            out.update((w, self._ids(w).tobytes()) for w in solid)
+        elif solid:
+            raw = ids.tobytes()
+            out.update(zip(solid, [raw[a:z] for a, z in zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)])]))
+        return out
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        parts = list(map(self.known.get, words))
+        new = [w for w, p in zip(words, parts) if p is None]
+        if new:
+            got = self._encode(new)
+            if len(self.known) < WORDS_KEPT:
+                self.known.update(got)
+            else:  # rare words, mostly: the frequent ones came early
+                self.unkept += len(got)
+                if self.unkept > 8 * WORDS_KEPT:  # the texts have changed
+                    self._forget()
+            parts = [got[w] if p is None else p for w, p in zip(words, parts)]
+        return parts
+
+    def group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's ids end)."""
+        words = [[*pretokens(t), ""] if is_plain(t) else t for t in (t or "" for t in texts)]
+        plain = [w for w in words if type(w) is list]
+        coded = pa.array(list(chain.from_iterable(plain)), type=pa.string()).dictionary_encode()
+        parts = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        flat = np.frombuffer(b"".join(parts), dtype=np.uint32)
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        of = size[codes]  # ids of each word of the group
+        ends = np.cumsum(of)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(size) - size)[codes] - ends + of, of)]
+        last = np.cumsum([len(w) for w in plain], dtype=np.int64) - 1
+        if len(plain) == len(texts):
+            return ids, ends[last]
+        cut = iter(np.split(ids, ends[last])[:-1])
+        every = [next(cut) if type(w) is list else np.append(self._ids(w), self.end) for w in words]
+        return np.concatenate(every), np.cumsum([len(x) for x in every])
+
+    def __call__(self, texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The texts' ids group by group; a group has GROUP_CHARS characters or
+        a text more."""
+        sizes = texts.str.len().fillna(0).to_numpy().cumsum()
+        cuts = np.flatnonzero(np.diff(sizes // GROUP_CHARS, append=np.inf)) + 1
+        for a, z in zip([0, *cuts.tolist()], cuts.tolist()):
+            yield self.group(texts.iloc[a:z].tolist())
+
+
+def _encoder(path: str, end_id: int) -> _Encoder:
+    if (path, end_id) not in _workers:
+        _workers[path, end_id] = _Encoder(path, end_id)
+    return _workers[path, end_id]
 
 
 def _ids_of(path: str, end_id: int, n_symbols: int):
     kind = np.uint16 if n_symbols <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, end, pack = _encoder(path), np.uint32(end_id).tobytes(), zstandard.ZstdCompressor(level=1).compress
+        enc, pack = _encoder(path, end_id), zstandard.ZstdCompressor(level=1).compress
+        columns, total = ["doc_id", "n_tokens", "crc", "ids"], np.zeros(n_symbols, dtype=np.int64)
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                raw = enc(text or "") + end
-                rows.append((doc_id, len(raw) // 4, zlib.crc32(raw),
-                             pack(np.frombuffer(raw, dtype=np.uint32).astype(kind).tobytes())))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "crc", "ids"]).astype({"doc_id": "Int64"})
+            rows, doc_ids = [], iter(b["doc_id"])
+            for ids, ends in enc(b["text"]) if len(b) else ():
+                total += np.bincount(ids, minlength=n_symbols)
+                whole, small = memoryview(ids.astype("<u4").tobytes()), memoryview(ids.astype(kind).tobytes())
+                wide, ends = np.dtype(kind).itemsize, ends.tolist()
+                for a, z in zip([0, *ends], ends):
+                    rows.append((next(doc_ids), z - a, zlib.crc32(whole[4 * a:4 * z]), pack(small[wide * a:wide * z])))
+            yield pd.DataFrame(rows, columns=columns)
+        yield pd.DataFrame([(None, COUNTS, 0, pack(total.tobytes()))], columns=columns)
     return run
 
 
@@ -105,15 +160,12 @@ def _unpack(blob: bytes, n_symbols: int) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=kind)
 
 
-def _counts(n_symbols: int):
-    def run(batches):
-        total = np.zeros(n_symbols, dtype=np.int64)
-        for b in batches:
-            if len(b):
-                total += np.bincount(np.concatenate([_unpack(x, n_symbols) for x in b["ids"]]), minlength=n_symbols)
-        sym = np.flatnonzero(total)
-        yield pd.DataFrame({"sym": sym.astype(np.int32), "n": total[sym]})
-    return run
+def _counts(batches):
+    for b in batches:
+        for blob in b["ids"]:
+            total = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.int64)
+            sym = np.flatnonzero(total)
+            yield pd.DataFrame({"sym": sym.astype(np.int32), "n": total[sym]})
 
 
 def scaled(counts: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -141,7 +193,7 @@ class Coder:
         self.freq = freq.astype(np.uint64)
         ends = np.cumsum(freq)
         self.start = (ends - freq).astype(np.uint64)
-        self.slot = np.repeat(np.arange(len(freq)), freq).astype(np.int64)
+        self.slot = np.repeat(np.arange(len(freq)), freq).astype(np.uint16 if len(freq) <= 1 << 16 else np.uint32)
         self.most = int(np.argmax(freq))
 
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,7 +231,7 @@ class Coder:
             out[:live, t] = sym
             y = self.freq[sym] * (y >> self.bits) + low - self.start[sym]
             need = y < LOW
-            rank = np.cumsum(need, axis=1)
+            rank = np.cumsum(need, axis=1, dtype=np.int32)
             take = (at[:live, None] + rank - 1)[need]
             y[need] = (y[need] << np.uint64(32)) | words[take]
             at[:live] += rank[:, -1]
@@ -201,7 +253,7 @@ def _blocks(freq: np.ndarray, n_symbols: int):
                                 columns=["part", "block", "doc_ids", "lens", "n_tokens", "states", "words_at", "words", "crc"])
         for b in batches:
             for doc_id, n, blob in zip(b["doc_id"], b["n_tokens"], b["ids"]):
-                docs.append((None if pd.isna(doc_id) else int(doc_id), int(n), _unpack(blob, n_symbols)))
+                docs.append((doc_id, int(n), _unpack(blob, n_symbols)))
                 held += int(n)
                 if held >= BLOCK_TOKENS:
                     yield flush()
@@ -214,10 +266,11 @@ def _blocks(freq: np.ndarray, n_symbols: int):
 def write_tokens(docs: DataFrame, path: str, scratch: Scratch, vocabulary: str, end_id: int,
                  n_symbols: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the files of ``docs`` under ``path``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     ids = scratch.save(rows.mapInPandas(_ids_of(vocabulary, end_id, n_symbols),
-                                        "doc_id long, n_tokens long, crc long, ids binary"), "ids")
-    count = ids.select("ids").mapInPandas(_counts(n_symbols), "sym int, n long").groupBy("sym").agg(F.sum("n").alias("n"))
+                                        "doc_id string, n_tokens long, crc long, ids binary")
+                       .withColumn("doc_id", F.col("doc_id").cast("long")), "ids")
+    count = ids.where(F.col("n_tokens") == COUNTS).select("ids").mapInPandas(_counts, "sym int, n long").groupBy("sym").agg(F.sum("n").alias("n"))
     got = count.toPandas()  # a row for each symbol of the vocabulary at most
     counts = np.zeros(n_symbols, dtype=np.int64)
     counts[got["sym"].to_numpy()] = got["n"].to_numpy()
@@ -227,10 +280,12 @@ def write_tokens(docs: DataFrame, path: str, scratch: Scratch, vocabulary: str,
         [(int(s), int(freq[s])) for s in used], "sym int, freq long").coalesce(1).write.parquet(f"{path}/freq")
     parts = max(1, -(-int(counts.sum()) // PART_TOKENS))
     order = [F.col("doc_id").asc_nulls_last(), F.col("n_tokens"), F.col("crc")]
-    (ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    (ids.where(F.col("n_tokens") > 0).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+     .withColumn("doc_id", F.col("doc_id").cast("string"))
      .mapInPandas(_blocks(freq, n_symbols),
-                  "part int, block int, doc_ids array<bigint>, lens array<bigint>, n_tokens long, "
+                  "part int, block int, doc_ids array<string>, lens array<bigint>, n_tokens long, "
                   "states binary, words_at binary, words binary, crc long")
+     .withColumn("doc_ids", F.col("doc_ids").cast("array<bigint>"))
      .write.parquet(f"{path}/blocks"))
     scratch.drop("ids")
 
@@ -255,14 +310,15 @@ def read_tokens(spark: SparkSession, path: str, n_symbols: int, with_ids: bool =
                 ends = np.cumsum(np.asarray(r.lens, dtype=np.int64))
                 starts = ends - np.asarray(r.lens, dtype=np.int64)
                 out = pd.DataFrame({"part": r.part, "block": r.block, "pos": np.arange(len(ends), dtype=np.int32),
-                                    "doc_id": pd.array([None if x is None or x != x else int(x) for x in r.doc_ids], dtype="Int64"),
+                                    "doc_id": list(r.doc_ids),
                                     "n_tokens": ends - starts, "before": starts,
                                     "ids_crc32": [zlib.crc32(raw[4 * a:4 * z]) for a, z in zip(starts.tolist(), ends.tolist())]})
                 if with_ids:
                     out["ids"] = [ids[a:z].tolist() for a, z in zip(starts, ends)]
                 yield out
     blocks = spark.read.parquet(f"{path}/blocks")
-    docs = blocks.mapInPandas(decode, "part int, block int, pos int, doc_id long, n_tokens long, before long, "
+    docs = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(
+        decode, "part int, block int, pos int, doc_id string, n_tokens long, before long, "
                               "ids_crc32 long" + (", ids array<bigint>" if with_ids else ""))
     sizes = blocks.select("part", "block", "n_tokens")
     by_part = sizes.groupBy("part").agg(F.sum("n_tokens").alias("held"))  # a row for each file
@@ -271,4 +327,5 @@ def read_tokens(spark: SparkSession, path: str, n_symbols: int, with_ids: bool =
     starts = (sizes.withColumn("within", F.sum("n_tokens").over(w) - F.col("n_tokens"))
               .join(ahead, "part").select("part", "block", (F.col("within") + F.col("ahead")).alias("first")))
     return (docs.join(starts, ["part", "block"])
+            .withColumn("doc_id", F.col("doc_id").cast("long"))
             .withColumn("start", F.col("first") + F.col("before")).drop("first", "before"))
