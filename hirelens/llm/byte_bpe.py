@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ from hirelens.llm._pretokens import PATTERN, pretokens
 from hirelens.llm._shared import Scratch
 
 SEGMENT = 1_000_000
+PART = 100_000  # pre-tokens held as text at once, or one text
 LEAST_BUCKETS = 64
 
 _cache: dict = {}
@@ -86,44 +88,64 @@ def _segments(buckets: int, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         base, count = TaskContext.get().partitionId() << 32, 0
-        texts, ids, held = [], [], 0
-
-        def flush(segment):
-            codes, words = pd.factorize(np.array([w for t in texts for w in t], dtype=object), sort=False)
-            words = [] if not len(codes) else list(words)
-            rank = np.empty(len(words), dtype=np.uint32)
-            by = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-            rank[by] = np.arange(len(words), dtype=np.uint32)
-            words, codes = [words[i] for i in by], rank[codes] if len(codes) else np.zeros(0, dtype=np.uint32)
-            bucket = pd.util.hash_array(np.array(words, dtype=object)) % np.uint64(buckets) if words else np.zeros(0, np.uint64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            rows = [(segment, -2, None, len(words), _pack(bucket.astype(np.uint32)))]
-            for k in range(buckets):
-                if cuts[k] < cuts[k + 1]:
-                    own = [words[i] for i in order[cuts[k]:cuts[k + 1]]]
-                    rows.append((segment, k, None, len(own), _words_blob(own)))
-            at = 0
-            for doc_id, t in zip(ids, texts):
-                part = codes[at:at + len(t)]
-                # bytes in planes: the low bytes of all numbers, then the next ones
-                rows.append((segment, -1, doc_id, len(t), _pack(part.view(np.uint8).reshape(-1, 4).T)))
-                at += len(t)
-            return pd.DataFrame(rows, columns=["segment", "bucket", "doc_id", "n", "data"])
+        seg = _Segment(buckets)
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
-                t = pretokens(text) if text else []
-                texts.append(t)
-                ids.append(doc_id)
-                held += len(t) + 1
-                if held >= size:
-                    yield flush(base + count)
-                    texts, ids, held, count = [], [], 0, count + 1
-        if texts:
-            yield flush(base + count)
+                seg.add(doc_id, text)
+                if seg.held >= size:
+                    yield seg.rows(base + count)
+                    seg, count = _Segment(buckets), count + 1
+        if seg.ids:
+            yield seg.rows(base + count)
     return run
 
 
+class _Segment:
+    """The texts of a segment as numbers of its words, in order of appearance."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.number, self.codes, self.ids, self.sizes, self.held = buckets, {}, [], [], [], 0
+        self.waiting: list[str] = []
+
+    def add(self, doc_id, text: str | None) -> None:
+        words = pretokens(text) if text else []
+        self.ids.append(doc_id)
+        self.sizes.append(len(words))
+        self.held += len(words) + 1
+        self.waiting += words
+        if len(self.waiting) >= PART:
+            self._number()
+
+    def _number(self) -> None:
+        coded = pa.array(self.waiting, type=pa.string()).dictionary_encode()
+        self.waiting = []
+        known = self.number
+        own = [known.setdefault(w, len(known)) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        self.codes.append(np.array(own, dtype=np.uint32)[coded.indices.to_numpy(zero_copy_only=False)])
+
+    def rows(self, segment: int) -> pd.DataFrame:
+        self._number()
+        codes, words = np.concatenate(self.codes), list(self.number)
+        by = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), dtype=np.uint32)
+        rank[by] = np.arange(len(words), dtype=np.uint32)
+        words, codes = [words[i] for i in by.tolist()], rank[codes]
+        bucket = pd.util.hash_array(np.array(words, dtype=object)) % np.uint64(self.buckets) if words else np.zeros(0, np.uint64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(self.buckets + 1, dtype=np.uint64))
+        rows = [(segment, -2, None, len(words), _pack(bucket.astype(np.uint32)))]
+        for k in range(self.buckets):
+            if cuts[k] < cuts[k + 1]:
+                own = [words[i] for i in order[cuts[k]:cuts[k + 1]]]
+                rows.append((segment, k, None, len(own), _words_blob(own)))
+        at = 0
+        for doc_id, n in zip(self.ids, self.sizes):
+            # bytes in planes: the low bytes of all numbers, then the next ones
+            rows.append((segment, -1, doc_id, n, _pack(codes[at:at + n].view(np.uint8).reshape(-1, 4).T)))
+            at += n
+        return pd.DataFrame(rows, columns=["segment", "bucket", "doc_id", "n", "data"])
+
+
 def _encode(path: str):
     """Each distinct word of a bucket once; the rows come sorted by bucket."""
     def run(batches):
