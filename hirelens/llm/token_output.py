@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,7 +40,8 @@ STEPS = 64
 BLOCK_TOKENS = 1 << 19
 PART_TOKENS = 1 << 23
 WORDS_KEPT = 500_000  # words that a worker remembers
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 6_000_000
+PART_WORDS = 100_000
 COUNTS = -1  # in place of a document's length: a task's counts of all symbols
 LOW = np.uint64(1 << 31)
 
@@ -104,21 +104,35 @@ class _Encoder:
 
     def group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids end)."""
-        words = [[*pretokens(t), ""] if is_plain(t) else t for t in (t or "" for t in texts)]
-        plain = [w for w in words if type(w) is list]
-        coded = pa.array(list(chain.from_iterable(plain)), type=pa.string()).dictionary_encode()
-        parts = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes, odd, parts, waiting = [], {}, [], []
+        for t in texts:
+            t = t or ""
+            if not is_plain(t):
+                odd[len(sizes) + len(odd)] = t
+                continue
+            words = pretokens(t)
+            sizes.append(len(words) + 1)
+            waiting += words
+            waiting.append("")
+            if len(waiting) >= PART_WORDS:  # then as packed text
+                parts.append(pa.array(waiting, type=pa.string()))
+                waiting = []
+        parts.append(pa.array(waiting, type=pa.string()))
+        coded = pa.chunked_array(parts).combine_chunks().dictionary_encode()
+        of_word = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        flat = np.frombuffer(b"".join(parts), dtype=np.uint32)
-        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        flat = np.frombuffer(b"".join(of_word), dtype=np.uint32)
+        size = np.fromiter(map(len, of_word), dtype=np.int64, count=len(of_word)) // 4
         of = size[codes]  # ids of each word of the group
         ends = np.cumsum(of)
-        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(size) - size)[codes] - ends + of, of)]
-        last = np.cumsum([len(w) for w in plain], dtype=np.int64) - 1
-        if len(plain) == len(texts):
-            return ids, ends[last]
-        cut = iter(np.split(ids, ends[last])[:-1])
-        every = [next(cut) if type(w) is list else np.append(self._ids(w), self.end) for w in words]
+        at = np.repeat((np.cumsum(size) - size)[codes] - ends + of, of)
+        at += np.arange(len(at))
+        ids = flat[at]
+        last = ends[np.cumsum(sizes, dtype=np.int64) - 1]
+        if not odd:
+            return ids, last
+        cut = iter(np.split(ids, last)[:-1])
+        every = [np.append(self._ids(odd[k]), self.end) if k in odd else next(cut) for k in range(len(texts))]
         return np.concatenate(every), np.cumsum([len(x) for x in every])
 
     def __call__(self, texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
