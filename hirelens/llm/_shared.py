@@ -61,6 +61,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         ship_package(spark)
         self.spark = spark
+        self.tags: set[str] = set()
         self.root = f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._fs, path = _at(spark, self.root)
         self._fs.deleteOnExit(path)
@@ -70,14 +71,23 @@ class Scratch:
 
     def save(self, df: DataFrame, tag: str) -> DataFrame:
         df.write.option("compression", "zstd").mode("overwrite").parquet(self.path(tag))
+        self.tags.add(tag)
         return self.read(tag, df.schema)
 
     def read(self, tag: str, schema=None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(tag))
 
+    def finish(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write a last (small) table and remove all others of this run."""
+        out = self.save(df, tag)
+        for other in self.tags - {tag}:
+            self.drop(other)
+        return out
+
     def drop(self, tag: str) -> None:
         """Remove a table that no later plan reads."""
+        self.tags.discard(tag)
         self._fs.delete(_at(self.spark, self.path(tag))[1], True)
 
 

@@ -172,4 +172,4 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
         "vec_id",
         F.when(F.col("good"), F.col("others") + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"),
         F.when(F.col("good"), F.coalesce("component_id", "rep")).otherwise(F.col("vec_id")).alias("component_id"))
-    return by_row.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return scratch.finish(by_row.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))), "answer")

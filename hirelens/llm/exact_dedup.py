@@ -66,7 +66,9 @@ def build_index(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
              .repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "size", "sha")
              .select("bucket", "depth", "key", "size", "sha", "keep_id", "group_size"))
     chain = Window.partitionBy("key", "size").orderBy("sha")
-    return scratch.save(index, "index").withColumn("chain", F.row_number().over(chain) - 1)
+    index = scratch.save(index, "index")
+    scratch.drop("entries")
+    return index.withColumn("chain", F.row_number().over(chain) - 1)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

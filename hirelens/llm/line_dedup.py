@@ -109,8 +109,10 @@ def line_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_c
         .join(first, [*same, "p"]).groupBy(*same).agg(F.first("chunk_text").alias("head"), F.first("p").alias("p")), "heads")
     here = F.struct(F.coalesce("at.id", F.lit(0)).alias("id"), "at.mark", "at.chunk", "at.no_id")
     again = texts.join(heads, same).where((F.col("chunk_text") == F.col("head")) & (here != F.col("p")))
-    gone = (again.select("at.id", "at.mark", "at.chunk").groupBy("id", "mark").agg(F.collect_set("chunk").alias("gone"))
-            .withColumnRenamed("id", "_i").withColumnRenamed("mark", "_m"))
+    gone = again.select("at.id", "at.mark", "at.chunk").groupBy("id", "mark").agg(F.collect_set("chunk").alias("gone"))
+    gone = scratch.save(gone, "gone").withColumnsRenamed({"id": "_i", "mark": "_m"})
+    for done in ("places", "repeated", "texts", "heads"):
+        scratch.drop(done)
     own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("_d"), mark.alias("_k"))
     joined = own.join(gone, (F.coalesce("_d", F.lit(-1)) == F.coalesce("_i", F.lit(-1))) & F.col("_d").eqNullSafe(F.col("_i"))
                       & (F.col("_k") == F.col("_m")), "left")

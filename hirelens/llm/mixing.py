@@ -187,11 +187,16 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
                length_col: str | None = "n_chars", seed: int = 4, shards: int = 64) -> DataFrame:
     """The mix as rows of ``docs``: one for each piece drawn, its text cut to
     the piece, dealt out by shard and in seeded order there."""
-    drawn = (m.documents.where("taken > 0").groupBy("doc_id", "source", "mark", "size")
-             .agg(F.flatten(F.collect_list("pieces")).alias("pieces")))
-    keys = [F.col(id_col).cast("long").alias("i"), F.col(source_col).cast("string").alias("s"), mark(F.col(text_col)).alias("k")]
-    once = docs.select(*keys, F.struct(*docs.columns).alias("row")).groupBy("i", "s", "k").agg(F.first("row").alias("row"))
-    joined = once.join(drawn, F.col("i").eqNullSafe(F.col("doc_id")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("k") == F.col("mark")))
+    def key(doc_id, source, text_mark):
+        """Null-free parts of a row's key, so that grouping and join share one shuffle."""
+        return [F.coalesce(doc_id, F.lit(0)).alias("i"), doc_id.isNull().alias("ni"), F.coalesce(source, F.lit("")).alias("s"),
+                source.isNull().alias("ns"), text_mark.alias("k")]
+    parts = ["i", "ni", "s", "ns", "k"]
+    drawn = (m.documents.where("taken > 0").select(*key(F.col("doc_id"), F.col("source"), F.col("mark")), "size", "pieces")
+             .groupBy(*parts, "size").agg(F.flatten(F.collect_list("pieces")).alias("pieces")))
+    own = key(F.col(id_col).cast("long"), F.col(source_col).cast("string"), mark(F.col(text_col)))
+    once = docs.select(*own, F.struct(*docs.columns).alias("row")).groupBy(*parts).agg(F.first("row").alias("row"))
+    joined = once.join(drawn, parts)
     x = joined.select("row", "size", F.explode("pieces").alias("x"))
     text = F.pandas_udf(_cut, "string")(F.col("row").getField(text_col), "size", "x.from", "x.to")
     order = F.xxhash64(F.lit(seed), F.col("row").getField(source_col), "x.pass", "x.block")

@@ -52,6 +52,7 @@ SKETCH_BITS = 22
 SLOT_BITS = 12
 FLUSH = 4_000_000  # postings that a map task holds
 STAR_ROUNDS = 2
+LEAST_BUCKETS = 64
 MAY_LINK = "9 * least(n - pos, n2 - pos2) >= 4 * (n + n2) AND 5 * least(n, n2) >= 4 * greatest(n, n2)"
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -95,9 +96,9 @@ def _count_cells(batches):
     total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     mask = np.uint64((1 << SKETCH_BITS) - 1)
     for b in batches:
-        got = [shingles(t) for t in b["text"]]
-        if got:
-            total += np.bincount((np.concatenate(got) & mask).astype(np.int64), minlength=len(total))
+        for lo in range(0, len(b), 1000):  # bounds the hashes held at once
+            got = np.concatenate([shingles(t) for t in b["text"].iloc[lo:lo + 1000]])
+            np.add.at(total, (got & mask).astype(np.int64), 1)
     slots = total.reshape(-1, 1 << SLOT_BITS)
     used = np.flatnonzero(slots.any(axis=1))
     for lo in range(0, len(used), 64):
@@ -265,7 +266,7 @@ class _Join:
     def __init__(self, docs: DataFrame, scratch: Scratch, id_col: str, text_col: str):
         self.scratch = scratch
         self.texts = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-        self.buckets = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        self.buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def classes(self) -> None:
         order = _global_order(self.texts, self.buckets)
@@ -275,11 +276,16 @@ class _Join:
         grouped = (self.sets.where("n > 0").groupBy("f0", "f1", "n")
                    .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
         self.all = self.scratch.save(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+        # the prefixes are with the classes now, and soon in the lists
+        self.sets = self.scratch.save(self.sets.drop("prefix"), "rows")
+        self.scratch.drop("sets")
 
     def lists(self) -> None:
         """(token, cid, pos, n) of every token that several classes hold."""
         rows = self.scratch.save(self.all.select("cid", "prefix").mapInPandas(
             _postings(self.buckets), "bucket int, token long, cid long, pos int, data binary"), "postings")
+        self.all = self.scratch.save(self.all.drop("prefix"), "names")
+        self.scratch.drop("classes")
         met = (rows.where("bucket >= 0").select("bucket", "cid", "data")
                .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "token long, cid long, pos int"))
         live = rows.where("bucket < 0").select("token", "cid", "pos").union(met).distinct()
@@ -300,7 +306,8 @@ class _Join:
         got = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
                .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"))
         out = self.scratch.save(got.mapInPandas(_compare, "a long, b long, linked boolean").distinct(), f"{tag}-compared")
-        self.scratch.drop(f"{tag}-texts")
+        for part in ("texts", "need", "pairs"):
+            self.scratch.drop(f"{tag}-{part}")
         return out
 
     def open_lists(self, label: DataFrame | None) -> DataFrame:
@@ -352,5 +359,6 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     answer = named.join(least, "comp").select("f0", "f1", "n", "component_id")
     rows = j.sets.select("doc_id", "f0", "f1", "n").join(answer, ["f0", "f1", "n"], "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"),
-                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return scratch.finish(rows.select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "answer")
