@@ -53,6 +53,7 @@ SLOT_BITS = 12
 FLUSH = 4_000_000  # postings that a map task holds
 STAR_ROUNDS = 2
 LEAST_BUCKETS = 64
+BROADCAST_ROWS = 1_000_000  # of two longs
 MAY_LINK = "9 * least(n - pos, n2 - pos2) >= 4 * (n + n2) AND 5 * least(n, n2) >= 4 * greatest(n, n2)"
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -171,28 +172,29 @@ def _runs(tokens: np.ndarray, cids: np.ndarray, at: np.ndarray):
     return tokens, cids, at, new
 
 
-def _live(tokens: np.ndarray, cids: np.ndarray, at: np.ndarray, new: np.ndarray) -> pd.DataFrame:
-    """The postings of tokens that several classes hold."""
-    alone = new & np.append(new[1:], True)
-    return pd.DataFrame({"bucket": np.int32(-1), "token": tokens[~alone].view(np.int64), "cid": cids[~alone],
-                         "pos": at[~alone], "data": None})
+def _shared(new: np.ndarray) -> np.ndarray:
+    """Which postings have a token that several classes hold."""
+    return ~(new & np.append(new[1:], True))
 
 
 def _postings(buckets: int):
     """Postings by bucket of the token, one for each token and task: the
-    smallest class is the task's hub, and the others of its run are known to
-    share the token already."""
+    smallest class is the task's hub. Where a task holds several classes of a
+    token, all of them are known to share it and come out at once, and the
+    hub is marked as out."""
     def run(batches):
         tokens, cids, at, held = [], [], [], 0
 
         def flush():
             t, c, p, new = _runs(np.concatenate(tokens), np.concatenate(cids), np.concatenate(at))
-            yield _live(t, c, p, new)
-            t, c, p = t[new], c[new], p[new]
+            several = _shared(new)
+            yield pd.DataFrame({"bucket": np.int32(-1), "token": t[several].view(np.int64), "cid": c[several],
+                                "pos": p[several], "data": None})
+            t, c, p, out = t[new], c[new], p[new], several[new]
             bucket = (_mix(t) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            rows = [(k, len(own), _pack(np.diff(t[own], prepend=np.uint64(0)), c[own], p[own]))
+            rows = [(k, len(own), _pack(np.diff(t[own], prepend=np.uint64(0)), c[own], p[own], out[own]))
                     for k, own in ((k, by[cuts[k]:cuts[k + 1]]) for k in range(buckets)) if len(own)]
             yield pd.DataFrame({"bucket": np.array([r[0] for r in rows], dtype=np.int32), "token": np.int64(0),
                                 "cid": np.array([r[1] for r in rows], dtype=np.int64), "pos": np.int32(0), "data": [r[2] for r in rows]})
@@ -212,11 +214,15 @@ def _postings(buckets: int):
 
 
 def _meet(batches):
-    """The tokens of a bucket that come from several tasks (rows sorted by bucket)."""
+    """The tokens of a bucket that come from several tasks (rows sorted by
+    bucket), without the postings that are out already."""
     bucket, tokens, cids, at = None, [], [], []
 
     def out():
-        return _live(*_runs(np.concatenate(tokens), np.concatenate(cids), np.concatenate(at)))[["token", "cid", "pos"]]
+        # the mark is the lowest bit of the position
+        t, c, p, new = _runs(np.concatenate(tokens), np.concatenate(cids), np.concatenate(at))
+        keep = _shared(new) & (p & 1 == 0)
+        return pd.DataFrame({"token": t[keep].view(np.int64), "cid": c[keep], "pos": (p[keep] >> 1).astype(np.int32)})
     for b in batches:
         for k, n, data in zip(b["bucket"], b["cid"], b["data"]):
             if k != bucket:
@@ -226,7 +232,8 @@ def _meet(batches):
             raw = _unpack(data)
             tokens.append(np.cumsum(np.frombuffer(raw, dtype=np.uint64, count=n), dtype=np.uint64))
             cids.append(np.frombuffer(raw, dtype=np.int64, count=n, offset=8 * n))
-            at.append(np.frombuffer(raw, dtype=np.int32, offset=16 * n))
+            pos = np.frombuffer(raw, dtype=np.int32, count=n, offset=16 * n).astype(np.int64)
+            at.append(2 * pos + np.frombuffer(raw, dtype=np.bool_, count=n, offset=20 * n))
     if tokens:
         yield out()
 
@@ -288,7 +295,7 @@ class _Join:
         self.scratch.drop("classes")
         met = (rows.where("bucket >= 0").select("bucket", "cid", "data")
                .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "token long, cid long, pos int"))
-        live = rows.where("bucket < 0").select("token", "cid", "pos").union(met).distinct()
+        live = rows.where("bucket < 0").select("token", "cid", "pos").union(met)
         self.live = self.scratch.save(live.join(self.all.select("cid", "n"), "cid"), "live")
         self.scratch.drop("postings")
 
@@ -311,17 +318,23 @@ class _Join:
         return out
 
     def open_lists(self, label: DataFrame | None) -> DataFrame:
-        """The postings of tokens whose classes are in several components."""
-        rows = self.live if label is None else self.live.join(label.withColumnRenamed("node", "cid"), "cid", "left")
-        rows = rows.withColumn("comp", F.col("cid") if label is None else F.coalesce("comp", "cid"))
-        several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        return rows.join(several, "token")
+        """The postings of tokens whose classes are in several components, each
+        with the list's hub ``x``: the class that has the token first."""
+        if label is None:
+            rows = self.live.withColumn("comp", F.col("cid"))
+        else:
+            label = label.withColumnRenamed("node", "cid")
+            if label.count() <= BROADCAST_ROWS:  # beyond it, the join shuffles
+                label = F.broadcast(label)
+            rows = self.live.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                            F.min(F.struct("pos", "cid", "n", "comp")).alias("x")).where("lo < hi")
+        return rows.join(several.drop("lo", "hi"), "token")
 
     def stars(self, rows: DataFrame) -> DataFrame:
         """For each class the hub of another component that it meets in most
-        lists: the class of a list that has it first."""
-        hubs = rows.groupBy("token").agg(F.min(F.struct("pos", "cid", "n", "comp")).alias("x"))
-        met = (rows.join(hubs, "token").where("comp <> x.comp")
+        lists."""
+        met = (rows.where("comp <> x.comp")
                .withColumns({"n2": F.col("x.n"), "pos2": F.col("x.pos")}).where(MAY_LINK)
                .groupBy("cid", F.col("x.cid").alias("hub")).agg(F.count("*").alias("times")))
         best = met.groupBy("cid").agg(F.max(F.struct("times", (-F.col("hub")).alias("h"))).alias("best"))
