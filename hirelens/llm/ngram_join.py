@@ -14,6 +14,8 @@ classes of documents that links connect.
    entry keeps its position: two sets of n and n' shingles whose first common
    one stands at positions p and p' (from 0) share min(n - p, n' - p') at most,
    so entries where that is less than a link needs, 4/9 (n + n'), are skipped.
+   For the smaller set of a pair that leaves the first ninth of its positions,
+   and a list without such an entry is skipped whole.
 3. Answers by relation. In each list the sets are first compared with one hub
    only, the set that has the list's shingle first. Sets that link with the
    hub are its highly similar sets: their answers contain the hub's, so within
@@ -52,8 +54,9 @@ SKETCH_BITS = 22
 SLOT_BITS = 12
 FLUSH = 4_000_000  # postings that a map task holds
 STAR_ROUNDS = 2
+SMALLER = "9 * pos <= n"
 LEAST_BUCKETS = 64
-BROADCAST_ROWS = 1_000_000  # of two longs
+BROADCAST_ROWS = 1_000_000  # of four longs at most
 MAY_LINK = "9 * least(n - pos, n2 - pos2) >= 4 * (n + n2) AND 5 * least(n, n2) >= 4 * greatest(n, n2)"
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -307,6 +310,8 @@ class _Join:
         found = (self.texts.mapInPandas(_fetch(key_filter(need.where("rep IS NOT NULL"), "rep"),
                                                need.where("rep IS NULL").limit(1).count() > 0),
                                         "doc_id string, f0 long, f1 long, text binary"))
+        if need.count() <= BROADCAST_ROWS:  # beyond it, the join shuffles
+            need = F.broadcast(need)
         on = [found["f0"] == need["f0"], found["f1"] == need["f1"], found["doc_id"].cast("long").eqNullSafe(need["rep"])]
         # rows that repeat id and text give a class several times; the answers are the same
         texts = self.scratch.save(found.join(need, on).select("cid", "text"), f"{tag}-texts")
@@ -327,9 +332,10 @@ class _Join:
             if label.count() <= BROADCAST_ROWS:  # beyond it, the join shuffles
                 label = F.broadcast(label)
             rows = self.live.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                            F.min(F.struct("pos", "cid", "n", "comp")).alias("x")).where("lo < hi")
-        return rows.join(several.drop("lo", "hi"), "token")
+        several = rows.groupBy("token").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.expr(SMALLER)).alias("early"),
+            F.min(F.struct("pos", "cid", "n", "comp")).alias("x")).where("lo < hi AND early")
+        return rows.join(several.select("token", "x"), "token")
 
     def stars(self, rows: DataFrame) -> DataFrame:
         """For each class the hub of another component that it meets in most
@@ -342,13 +348,14 @@ class _Join:
         return best.select(F.least("cid", hub).alias("a"), F.greatest("cid", hub).alias("b")).distinct()
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs across components that share a list and may link, by
-        blocks of size: a block meets itself and the ones next to it."""
+        """All pairs across components that share a list and may link: the
+        early entries of smaller sets meet larger sets of their own block of
+        sizes and of the next one."""
         block = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1.25))))
         x = rows.select("token", F.col("cid").alias("x"), F.col("comp").alias("cx"), "n", "pos", block.alias("block"))
-        y = rows.select("token", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("n2"), F.col("pos").alias("pos2"),
-                        F.explode(F.array(block, block + 1, block - 1)).alias("block"))
-        return (x.join(y, ["token", "block"]).where("cx < cy").where(MAY_LINK)
+        y = rows.where(SMALLER).select("token", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("n2"),
+                                       F.col("pos").alias("pos2"), F.explode(F.array(block, block + 1)).alias("block"))
+        return (x.join(y, ["token", "block"]).where("cx <> cy AND (n2 < n OR n2 = n AND y < x)").where(MAY_LINK)
                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
