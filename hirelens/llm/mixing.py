@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,16 +174,21 @@ def mark(text):
 
 def _cut(text: pd.Series, size: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
     """The words from ``start`` to ``end`` of each text, with what stands
-    between them; a whole text stays as it is."""
-    out = []
+    between them, packed for the shuffle; a whole text stays as it is."""
+    out, pack = [], zstandard.ZstdCompressor(level=3).compress
     for t, n, a, z in zip(text, size, start, end):
         if a > 0 or z < n:
             spans = [m.span() for i, m in enumerate(re.finditer(WORD, t)) if i in (a, z - 1)]
             t = t[spans[0][0]:spans[-1][1]]
-        out.append(t)
+        out.append(pack(t.encode("utf-8", "surrogatepass")))
     return pd.Series(out, dtype=object)
 
 
+def _unpacked(text: pd.Series) -> pd.Series:
+    plain = zstandard.ZstdDecompressor().decompress
+    return pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
+
+
 def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                length_col: str | None = "n_chars", seed: int = 4, shards: int = 64) -> DataFrame:
     """The mix as rows of ``docs``: one for each piece drawn, its text cut to
@@ -198,11 +204,13 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
     once = docs.select(*own, F.struct(*docs.columns).alias("row")).groupBy(*parts).agg(F.first("row").alias("row"))
     joined = once.join(drawn, parts)
     x = joined.select("row", "size", F.explode("pieces").alias("x"))
-    text = F.pandas_udf(_cut, "string")(F.col("row").getField(text_col), "size", "x.from", "x.to")
+    text = F.pandas_udf(_cut, "binary")(F.col("row").getField(text_col), "size", "x.from", "x.to")
+    others = F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != text_col])
     order = F.xxhash64(F.lit(seed), F.col("row").getField(source_col), "x.pass", "x.block")
-    dealt = (x.select("row", text.alias("text"), "x.shard", order.alias("order"), F.col("x.from").alias("from"))
-             .repartition(shards, "shard").sortWithinPartitions("shard", "order", "from"))
+    dealt = (x.select(others.alias("row"), text.alias("packed"), "x.shard", order.alias("order"), F.col("x.from").alias("from"))
+             .repartition(shards, "shard").sortWithinPartitions("shard", "order", "from")
+             .withColumn("text", F.pandas_udf(_unpacked, "string")("packed")))
     value = {text_col: F.col("text")}
     if length_col in docs.columns:
         value[length_col] = F.length("text").cast(docs.schema[length_col].dataType)
-    return dealt.select(*[value.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return dealt.select(*[(value[c] if c in value else F.col("row").getField(c)).alias(c) for c in docs.columns])
