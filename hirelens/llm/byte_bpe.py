@@ -164,7 +164,7 @@ def _encode(path: str):
                         ids = known[w] = np.array(one(w), dtype=np.uint32).tobytes()
                     got.append(ids)
                 flat = np.frombuffer(b"".join(got), dtype=np.uint32)
-                rows.append((segment, k, n, len(flat), _pack(np.array([len(x) // 4 for x in got], dtype=np.uint16),
+                rows.append((segment, k, n, len(flat), _pack(np.array([len(x) // 4 for x in got], dtype=np.uint32).view(np.uint8).reshape(-1, 4).T,
                                                              flat.view(np.uint8).reshape(-1, 4).T)))
             yield pd.DataFrame(rows, columns=["segment", "bucket", "n", "n_ids", "data"])
     return run
@@ -183,8 +183,8 @@ def _together(path: str, with_ids: bool):
         ids, lens = [], []
         for r in words.sort_values("bucket").itertuples():
             raw = _unpack(r.data)
-            lens.append(np.frombuffer(raw, dtype=np.uint16, count=int(r.n)))
-            ids.append(_planes(raw, int(r.n_ids), 2 * int(r.n)))
+            lens.append(_planes(raw, int(r.n)))
+            ids.append(_planes(raw, int(r.n_ids), 4 * int(r.n)))
         of, said = [], []  # a word's ids and their decimal text, by word number
         if lens:
             flat, ends = np.concatenate(ids).tolist(), np.cumsum(np.concatenate(lens)).tolist()

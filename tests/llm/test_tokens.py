@@ -124,3 +124,9 @@ def test_op6_edges_in_many_segments(spark, edge):
 
 def test_op6_empty(spark, empty):
     assert byte_bpe.encode_decode(empty, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).count() == 0
+
+
+def test_op6_text_without_spaces(spark):
+    rows = [(1, "xq" * 500_000), (2, "short"), (3, "\u65e5\u672c\u8a9e" * 30_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bpe_rows(byte_bpe.encode_decode(df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), buckets=3)) == expected_bpe(rows)
