@@ -117,35 +117,38 @@ def passes(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[c >> np.uint64(6)] >> (c & np.uint64(63))) & np.uint64(1) == 1
 
 
-def components(edges: DataFrame, scratch: Scratch, tag: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): (node, comp) with the
     smallest node of the component, for nodes that have an edge.
 
-    Each round takes the smallest label among the neighbours and then the
-    label of that label, so paths shrink by half or better; the labels are a
-    written table each round. A node of very many edges is summed before the
-    shuffle, and its joins are split by the adaptive plan.
+    Each round, a node and the node that its label names both take the
+    smallest label's label among the node's neighbours (so whole trees are
+    hooked, whatever the order of the ids along a path), and the label of its
+    own label. Labels only shrink; the rounds end when none changes. The
+    labels are a written table each round. A node of very many edges is summed
+    before the shuffle, and its joins are split by the adaptive plan.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = scratch.save(both.where("a <> b").distinct(), f"{tag}-edges")
     label = scratch.save(
         both.groupBy("a").agg(F.min("b").alias("m"))
         .select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), f"{tag}-0")
-    for r in range(1, rounds + 1):
-        near = (both.join(label.select(F.col("node").alias("b"), "comp"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near")))
-        step = (label.join(near, "node", "left")
-                .select("node", F.col("comp").alias("was"),
-                        F.least("comp", F.coalesce("near", "comp")).alias("to")))
-        jump = label.select(F.col("node").alias("to"), F.col("comp").alias("over"))
+    r = 0
+    while True:
+        r += 1
+        over = label.join(label.select(F.col("node").alias("comp"), F.col("comp").alias("over")), "comp")
+        near = (both.join(over.select(F.col("node").alias("b"), "over"), "b")
+                .groupBy(F.col("a").alias("node")).agg(F.min("over").alias("near")))
+        sent = over.join(near, "node").withColumn("to", F.least("over", "near"))
+        sent = sent.select(F.explode(F.array(
+            F.struct("node", "to", F.col("comp").alias("was")),
+            F.struct(F.col("comp").alias("node"), "to", F.lit(None).cast("long").alias("was")))).alias("x")).select("x.*")
         new = scratch.save(
-            step.join(jump, "to", "left")
-            .select("node", F.least("to", F.coalesce("over", "to")).alias("comp"),
-                    (F.least("to", F.coalesce("over", "to")) != F.col("was")).alias("changed")),
+            sent.groupBy("node").agg(F.min("to").alias("to"), F.max("was").alias("was"))
+            .select("node", F.least("to", "was").alias("comp"), (F.col("to") < F.col("was")).alias("changed")),
             f"{tag}-{r}")
         changed = new.where("changed").limit(1).count()
         scratch.drop(f"{tag}-{r - 1}")
         label = new.select("node", "comp")
         if not changed:
             return label
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -103,6 +103,17 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
 
 
+def test_components_of_paths_with_shuffled_ids(spark):
+    rnd = random.Random(7)
+    ids = [rnd.sample(range(k * 1000, k * 1000 + 400), 400) for k in range(3)] + [[*range(5101, 5300), 5000]]
+    edges = spark.createDataFrame([e for path in ids for e in zip(path, path[1:])], "a long, b long")
+    scratch = Scratch(spark, "test-comp")
+    got = {r.node: r.comp for r in components(edges, scratch, "x").collect()}
+    assert got == {i: min(path) for path in ids for i in path}
+    rounds = [int(tag.split("-")[1]) for tag in scratch.tags if tag != "x-edges"]
+    assert max(rounds) < 20
+
+
 # mixing
 
 
