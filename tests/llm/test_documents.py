@@ -302,3 +302,63 @@ def test_op9_shared_runs_of_lines(spark):
     got = line_dedup.line_dedup(df, Scratch(spark, "test-lines")).collect()
     assert sorted(str((r.doc_id, r.text)) for r in got) == brute_lines(rows)
     assert sum(r.n_removed for r in got) > 200
+
+
+def test_op9_passages_of_50_words(spark):
+    """Of a repeated passage of 50 words or more nothing stays but at its first
+    place, whatever stands around it and however many lines it has."""
+    rnd = random.Random(9)
+    say = lambda n: " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(n))
+    passages = [[say(60)], [say(30), say(25)], [say(20), "", say(20), say(15)], [say(5), say(70), say(4)], [say(9) for _ in range(14)]]
+    own = {d: [[say(7)], [say(55)], [say(8)]] for d in range(1, 41)}
+    rows = [(d, "\n".join(own[d][0] + passages[d % 5] + own[d][1] + passages[(d + 1) % 5] + own[d][2])) for d in own]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(df, Scratch(spark, "test-lines")).collect()}
+    seen = set()
+    for d in sorted(own):
+        want = list(own[d][0])
+        for p, after in ((d % 5, own[d][1]), ((d + 1) % 5, own[d][2])):
+            want += ([] if p in seen else passages[p]) + after
+            seen.add(p)
+        assert got[d].split("\n") == want
+
+
+def test_op9_spans_reach_every_line():
+    rnd = random.Random(3)
+    for _ in range(200):
+        lines = [" ".join(["w"] * rnd.choice([0, 1, 3, 12, 30, 60])) for _ in range(rnd.randrange(1, 12))]
+        words = [len(x.split()) for x in lines]
+        for a in range(len(lines)):
+            for z in range(a + 1, len(lines) + 1):
+                if sum(words[a:z]) >= line_dedup.WORDS and words[a] and words[z - 1]:
+                    inside = [x for x in line_dedup.spans(lines) if a <= x[0] and x[1] <= z]
+                    assert set(range(a, z)) == {k for x in inside for k in range(*x)}
+
+
+def brute_passages(rows):
+    """rows: (doc_id, text), ids not repeated. What is left by the definition:
+    of chunks of two lines or more and of all runs of 50 words or more, the
+    lines of every place but the first go."""
+    places = collections.defaultdict(list)
+    for d, t in sorted(rows):
+        lines = (t or "").split("\n")
+        words = [len(x.split()) for x in lines]
+        ends = line_dedup.chunk_ends(lines).tolist() if t else []
+        found = {(a, z) for a, z in zip([0, *ends], ends) if z - a > 1}
+        for a in range(len(lines)):
+            held = 0
+            for z in range(a + 1, len(lines) + 1):
+                held += words[z - 1]
+                if held >= 50 and words[a] and words[z - 1]:
+                    found.add((a, z))
+        for a, z in sorted(found):
+            places["\n".join(lines[a:z]), z - a].append((d, a, z))
+    gone = {(d, k) for (first, *others) in places.values() for d, a, z in others
+            if d != first[0] or a >= first[2] for k in range(a, z)}
+    return {d: t and "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone) for d, t in rows}
+
+
+def test_query_op9_leaves_no_passage(spark):
+    rows = [tuple(r) for r in queries.table(spark, SF, "documents").select("doc_id", "text").collect()]
+    assert len({d for d, _ in rows}) == len(rows)
+    assert {r.doc_id: r.text for r in queries.op9_line_dedup(spark, SF).collect()} == brute_passages(rows)
