@@ -8,8 +8,10 @@ For every node it keeps how much text stands there and, for a few candidate
 texts, on how many different pages they occur (a sketch of the smallest page
 hashes, so copies of a page count once).
 
+* ``article``, else ``main``, is the text of a page that has it; of other pages
+  every block counts that varies.
 * The content node is found by going down from the body, as long as one child
-  holds most of the varying text; ``article`` and ``main`` win where present.
+  holds most of the text; it only helps to tell template.
 * A text that stands at one node on nearly all different pages is template and
   goes. This holds inside the content node only if such texts are a small part
   of it, so hosts that repeat whole articles lose none of them.
@@ -321,11 +323,7 @@ def extract(page: str | None, known: dict | None) -> str:
     base = lambda x: x.split(".")[0].split("#")[0]
     marked = [(labels, t) for labels, t in found if any(base(x) == "article" for x in labels)] or \
         [(labels, t) for labels, t in found if any(base(x) == "main" for x in labels)]
-    if marked:
-        found = marked
-    elif known:
-        path = tuple(known["path"])
-        found = [(labels, t) for labels, t in found if labels[:len(path)] == path] or found
+    found = marked or found
     gone = set(known["gone"]) if known else ()
     return "\n".join(t for _, t in found
                      if not gone or f"{xxhash.xxh3_64_intdigest(t.encode('utf-8', 'surrogatepass')):x}" not in gone)

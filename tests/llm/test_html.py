@@ -136,3 +136,14 @@ def test_simple_tree_matching():
     assert he._size(a, b) == 4  # html, a, y, c
     m = he.merge(a, b)
     assert [k["l"] for k in m["k"]] == ["b", "a", "b", "c"]
+
+
+def test_blocks_beside_the_heaviest_one_stay(spark):
+    bodies = {"h": "<h1>Headline {i}</h1><div id=content><p>{long}</p></div>",
+              "i": "<div class=intro><p>Intro {i}</p></div><div class=text><p>{long}</p><p>End {i}</p></div><p>Last {i}</p>"}
+    long = {i: f"Story {i} " + "goes on and on " * 20 + f"to {i}" for i in range(20)}
+    pages = [(100 * k + i, f"http://{h}.com/{i}", "<html><body><p>Site</p>" + b.format(i=i, long=long[i]) + "</body></html>")
+             for k, (h, b) in enumerate(bodies.items()) for i in range(20)]
+    got = texts(frame(spark, pages))
+    assert all(got[i] == f"Headline {i}\n{long[i]}" for i in range(20))
+    assert all(got[100 + i] == f"Intro {i}\n{long[i]}\nEnd {i}\nLast {i}" for i in range(20))
