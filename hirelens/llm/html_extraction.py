@@ -65,6 +65,14 @@ OUT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising ban
 consent gdpr notice notices alert popup modal overlay comment comments disqus respond replies sidebar sidebars rail menu menus nav
 navbar navigation breadcrumb breadcrumbs header masthead footer share sharing social newsletter subscribe subscription signup login
 related recommended pagination pager toolbar widget widgets skip""".split())
+# A name is such a word, or ends with one that no word before denies, or begins
+# with one and only says its part or place.
+DENIES = frozenset("no not non without with has have is hide show toggle".split())
+PARTS = frozenset("""left right top bottom main primary secondary bar box block button buttons container inner item items link links list
+outer panel row section wrap wrapper""".split())
+# These hold articles of others, so they go even if a page has no other article.
+OTHERS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond
+replies related recommended""".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>?|</[^a-zA-Z][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -83,25 +91,55 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _element(tag: str, raw: str) -> tuple[str, bool]:
-    """(label, out): the label names tag, id and classes; ``out`` says that it is never main text."""
+def _out_word(name: str) -> str | None:
+    """The word of a class or id that tells it is never main text."""
+    words = [w for w in WORDS.findall(name.lower()) if not w.isdigit()]
+    if not words or words[0] in DENIES:
+        return None
+    if words[-1] in OUT_WORDS and not DENIES & set(words):
+        return words[-1]
+    return words[0] if words[0] in OUT_WORDS and all(w in PARTS or w in OUT_WORDS for w in words[1:]) else None
+
+
+def _element(tag: str, raw: str) -> tuple[str, bool, bool]:
+    """(label, out, always): the label names tag, id and classes; ``out`` says
+    that it is never main text, ``always`` that this is not by a name alone
+    that a wrapper of the main text may have too."""
     if not raw.strip():
-        return tag, tag in OUT_TAGS
+        return tag, tag in OUT_TAGS, tag in OUT_TAGS
     attr = _attributes(raw)
     names = sorted(attr.get("class", "").split())[:3]
     label = tag + "".join("." + n for n in names)
     if attr.get("id"):
         label += "#" + attr["id"][:40]
-    words = set(WORDS.findall(" ".join([attr.get("class", ""), attr.get("id", "")]).lower()))
-    out = tag in OUT_TAGS or attr.get("role", "").lower() in OUT_ROLES
-    return label, out or (tag not in ("html", "body", "article", "main") and bool(words & OUT_WORDS))
+    always = tag in OUT_TAGS or attr.get("role", "").lower() in OUT_ROLES
+    if tag in ("html", "body", "article", "main"):
+        return label, always, always
+    told = {_out_word(n) for n in [*attr.get("class", "").split(), *attr.get("id", "").split()]} - {None}
+    return label, always or bool(told), always or bool(told & OTHERS)
 
 
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], bool, str]]:
-    """(labels from the root, out, text) of every block with text, in page order."""
+    """(labels from the root, out, text) of every block with text, in page
+    order. A name doesn't take out the element that holds the only article or
+    main of a page, nor all text of a page."""
+    found, named = _blocks(page, ())
+    if not named:
+        return found
+    left = [labels for labels, out, _ in found if not out]
+    if not any(x.split(".")[0].split("#")[0] in ("article", "main") for labels in left for x in labels):
+        again, _ = _blocks(page, ("article", "main"))
+        if sum(not out for _, out, _ in again) > len(left):
+            return again
+    return found if left else _blocks(page, None)[0]
+
+
+def _blocks(page: str | None, held: tuple[str, ...] | None) -> tuple[list[tuple[tuple[str, ...], bool, str]], bool]:
+    """The blocks, and whether a name alone took something out; names don't
+    count for elements of the tags ``held`` below them, or (None) at all."""
     page = page or ""
-    found, text = [], []
-    stack: list[tuple[str, str, bool]] = []  # tag, label, out (of it or above it)
+    found, text, named = [], [], False
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, label, out, always (of it or above it)
     at, lower = 0, None
 
     def flush():
@@ -142,8 +180,13 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], bool, str]]:
             continue
         if tag in ("html", "body") and any(s[0] == tag for s in stack):
             continue
-        label, out = _element(tag, m[3])
-        out = out or bool(stack and stack[-1][2])
+        label, out, always = _element(tag, m[3])
+        always = always or bool(stack and stack[-1][3])
+        out = always if held is None else out or bool(stack and stack[-1][2])
+        if out and not always:
+            named = True
+            if tag in held:
+                out = False
         if tag in BLOCKS or tag in OUT_TAGS or (out and not (stack and stack[-1][2])):
             flush()
         if tag in BLOCKS:
@@ -160,14 +203,14 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], bool, str]]:
             at = len(page) if end < 0 else end
             if tag in ("title", "textarea") and not out:
                 text.append(inner)
-            stack.append((tag, label, out))
+            stack.append((tag, label, out, always))
             continue
         if m[3].endswith("/") and tag not in BLOCKS:
             continue
-        stack.append((tag, label, out))
+        stack.append((tag, label, out, always))
     text.append(page[at:])
     flush()
-    return found
+    return found, named
 
 
 # The tree of a host: {label, pages, mass, texts: {hash: [length, page hashes]}, kids}

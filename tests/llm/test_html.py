@@ -147,3 +147,20 @@ def test_blocks_beside_the_heaviest_one_stay(spark):
     got = texts(frame(spark, pages))
     assert all(got[i] == f"Headline {i}\n{long[i]}" for i in range(20))
     assert all(got[100 + i] == f"Intro {i}\n{long[i]}\nEnd {i}\nLast {i}" for i in range(20))
+
+
+NAMES = [(f"<div {n}><article><h1>T</h1><p>t</p></article></div>", ["T", "t"]) for n in (
+    "class='layout no-sidebar'", "class=with-sidebar", "class=has-header", "class='widget-area content'", "id=skip-target",
+    "class=sidebar", "id=header")] + [
+    (f"<div {n}><p>no</p></div><p>yes</p>", ["yes"]) for n in (
+        "class=main-sidebar", "id=site-footer", "class='x share-buttons'", "class=cookie-notice", "class=ad-box", "id=comments")] + [
+    ("<article><p>a</p></article><div class=sidebar><article><p>b</p></article></div>", ["a"]),
+    ("<div><p>a</p></div><div class=comments><article><p>b</p></article></div>", ["a"]),
+    ("<div class=page-header><div class=body><p>a</p></div></div>", ["a"]),
+    ("<div class=no-sidebar><p>a</p></div><div class=with-comments><p>b</p></div>", ["a", "b"]),
+]
+
+
+@pytest.mark.parametrize("page,want", NAMES)
+def test_names_of_layout_wrappers(page, want):
+    assert [t for _, out, t in he.blocks(page) if not out] == want
