@@ -4,16 +4,16 @@ A page becomes a tree of its block elements; runs of like siblings are one
 repeated node. The trees of a host are aligned by simple tree matching: roots
 must agree, and the children of two matched nodes are paired in order so that
 the number of matched nodes is largest. The merged tree is the host's wrapper.
-For every node it keeps how much text stands there and, for a few candidate
-texts, on how many different pages they occur (a sketch of the smallest page
-hashes, so copies of a page count once).
+For every node it keeps how much text stands there. On how many different
+pages of the host (copies of a page count once) a text stands at a node is
+counted for all texts, nodes and pages.
 
 * ``article``, else ``main``, is the text of a page that has it; of other pages
   every block counts that varies.
 * The content node is found by going down from the body, as long as one child
   holds most of the text; it only helps to tell template.
-* A text that stands at one node on nearly all different pages is template and
-  goes. This holds inside the content node only if such texts are a small part
+* A text that stands at one node on nearly all different pages, two at least,
+  is template and goes there. This holds inside the content node only if such texts are a small part
   of it, so hosts that repeat whole articles lose none of them.
 * Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
   and reader comments go by their element, role or class names.
@@ -78,10 +78,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
-SKETCH = 32  # page hashes kept for a text
-TEXTS = 6  # candidate texts kept for a node
 MOST = 0.8  # of the different pages: a text on so many is template
-LEAST_PAGES = 8
 DEEPEST = 100  # levels of a wrapper
 SALTS = 16
 BROADCAST_BYTES = 8 << 20
@@ -213,19 +210,26 @@ def _blocks(page: str | None, held: tuple[str, ...] | None) -> tuple[list[tuple[
     return found, named
 
 
-# The tree of a host: {label, pages, mass, texts: {hash: [length, page hashes]}, kids}
+# The tree of a host: {label, mass, kids}
 
 
 def _node(label: str) -> dict:
-    return {"l": label, "m": 0, "t": {}, "k": []}
+    return {"l": label, "m": 0, "k": []}
+
+
+def _hash(text: str) -> int:
+    return (xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) ^ 1 << 63) - (1 << 63)
+
+
+def _place(labels) -> int:
+    """The hash of a node, which its labels from the root name."""
+    return _hash("\n".join(labels[:DEEPEST]))
 
 
 def page_tree(page: str | None) -> dict:
     """The block tree of one page, like siblings merged into one node."""
-    found = blocks(page)
-    mark = xxhash.xxh3_64_intdigest("\n".join(t for _, out, t in found if not out).encode("utf-8", "surrogatepass"))
     root = _node("html")
-    for labels, out, text in found:
+    for labels, out, text in blocks(page):
         if out:
             continue
         node = root
@@ -237,24 +241,19 @@ def page_tree(page: str | None) -> dict:
                 node["k"].append(nxt)
             node = nxt
         node["m"] += len(text)
-        _note(node["t"], f"{xxhash.xxh3_64_intdigest(text.encode('utf-8', 'surrogatepass')):x}", len(text), [mark])
-    root["p"] = [mark]
     return root
 
 
-def _note(texts: dict, key: str, length: int, marks: list[int]) -> None:
-    """Add page hashes to a candidate text. When all places are taken, a text
-    seen on one page only makes room; a text of nearly all pages comes again at
-    once, and stays."""
-    if key in texts:
-        texts[key][1] = sorted({*texts[key][1], *marks})[:SKETCH]
-        return
-    if len(texts) >= TEXTS:
-        lone = min(texts, key=lambda k: (len(texts[k][1]), k))
-        if len(texts[lone][1]) > len(marks):
-            return
-        del texts[lone]
-    texts[key] = [length, sorted(marks)[:SKETCH]]
+def _slots(batches):
+    """For each page the hash of its text, and its different pairs of node and
+    text with the length."""
+    for b in batches:
+        rows = []
+        for host, page in zip(b["host"], b["html"]):
+            found = [(labels, t) for labels, out, t in blocks(page) if not out]
+            slots = sorted({(_place(labels), _hash(t), len(t)) for labels, t in found})
+            rows.append((host, _hash("\n".join(t for _, t in found)), *([x[k] for x in slots] for k in range(3))))
+        yield pd.DataFrame(rows, columns=["host", "mark", "node", "text", "size"])
 
 
 def _match(a: list[dict], b: list[dict]) -> list[tuple[int, int]]:
@@ -290,10 +289,6 @@ def merge(a: dict, b: dict) -> dict:
     """The wrapper of both trees; children of ``b`` without a partner are put
     in at their place."""
     a["m"] += b["m"]
-    for key, (length, marks) in b["t"].items():
-        _note(a["t"], key, length, marks)
-    if "p" in b:
-        a["p"] = sorted({*a.get("p", []), *b["p"]})[:8 * SKETCH]
     if b["k"]:
         kids, at, pairs = [], 0, dict((j, i) for i, j in _match(a["k"], b["k"]))
         for j, kid in enumerate(b["k"]):
@@ -306,29 +301,12 @@ def merge(a: dict, b: dict) -> dict:
     return a
 
 
-def _distinct(marks: list[int], most: int) -> float:
-    """Number of different pages from the smallest hashes kept."""
-    return len(marks) if len(marks) < most else (most - 1) * 2.0 ** 64 / (marks[-1] + 1)
-
-
-def rule(tree: dict) -> dict:
-    """What extraction needs of a wrapper: the labels down to the content node
-    and the template texts."""
-    pages = _distinct(tree.get("p", []), 8 * SKETCH)
-
-    def constant(node):
-        if pages < LEAST_PAGES:
-            return {}
-        return {k: n for k, (n, marks) in node["t"].items() if _distinct(marks, SKETCH) >= MOST * pages}
-
+def rule(tree: dict, slots: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """The (text, node) that are template, of a wrapper and its ``slots`` that
+    nearly all different pages have: (node, text, length, rows with it)."""
     def mass(node):
         return node["m"] + sum(mass(k) for k in node["k"])
 
-    def template(node):
-        # a template text stands on each page once, so it holds its length on each
-        own = sum(constant(node).values()) * tree_pages
-        return own + sum(template(k) for k in node["k"])
-    tree_pages = max(1.0, pages)
     path, node = ["html"], tree
     while True:
         named = [k for k in node["k"] if k["l"].split(".")[0].split("#")[0] in ("article", "main")]
@@ -342,34 +320,28 @@ def rule(tree: dict) -> dict:
             break
         path.append(top["l"])
         node = top
-    gone = set()
-
-    def collect(n):
-        gone.update(constant(n))
-        for k in n["k"]:
-            collect(k)
-    collect(tree)
     inside = set()
 
-    def within(n):
-        inside.update(constant(n))
+    def within(n, labels):
+        inside.add(_place(labels))
         for k in n["k"]:
-            within(k)
-    within(node)
-    if inside and template(node) > 0.3 * max(1, mass(node)):
-        gone -= inside
-    return {"path": path, "gone": sorted(gone)}
+            within(k, [*labels, k["l"]])
+    within(node, path)
+    if sum(size * rows for at, _, size, rows in slots if at in inside) > 0.3 * max(1, mass(node)):
+        slots = [x for x in slots if x[0] not in inside]
+    return sorted((text, at) for at, text, _, _ in slots)
 
 
-def extract(page: str | None, known: dict | None) -> str:
+def extract(page: str | None, gone: dict[int, set[int]] | None) -> str:
+    """The text of a page; ``gone``: the nodes where a text is template."""
     found = [(labels, t) for labels, out, t in blocks(page) if not out]
     base = lambda x: x.split(".")[0].split("#")[0]
     marked = [(labels, t) for labels, t in found if any(base(x) == "article" for x in labels)] or \
         [(labels, t) for labels, t in found if any(base(x) == "main" for x in labels)]
     found = marked or found
-    gone = set(known["gone"]) if known else ()
-    return "\n".join(t for _, t in found
-                     if not gone or f"{xxhash.xxh3_64_intdigest(t.encode('utf-8', 'surrogatepass')):x}" not in gone)
+    if gone:
+        found = [(labels, t) for labels, t in found if (h := _hash(t)) not in gone or _place(labels) not in gone[h]]
+    return "\n".join(t for _, t in found)
 
 
 def _trees(batches):
@@ -407,7 +379,9 @@ def _merged(batches):
 
 def _as_rules(batches):
     for b in batches:
-        yield pd.DataFrame({"host": b["host"], "rule": [json.dumps(rule(json.loads(t))) for t in b["tree"]]})
+        lists = [[() if x is None else x.tolist() for x in b[c]] for c in ("node", "text", "size", "rows")]
+        yield pd.DataFrame({"host": b["host"], "rule": [json.dumps(rule(json.loads(t), list(zip(*x))))
+                                                        for t, *x in zip(b["tree"], *lists)]})
 
 
 def _texts(page: pd.Series, known: pd.Series) -> pd.Series:
@@ -415,7 +389,9 @@ def _texts(page: pd.Series, known: pd.Series) -> pd.Series:
     out = []
     for p, k in zip(page, known):
         if k is not None and k not in parsed:
-            parsed[k] = json.loads(k)
+            parsed[k] = {}
+            for t, at in json.loads(k):
+                parsed[k].setdefault(t, set()).add(at)
         out.append(extract(p, parsed.get(k)))
     return pd.Series(out, dtype=object)
 
@@ -427,13 +403,26 @@ def host_of(url):
 def wrappers(pages: DataFrame, scratch: Scratch, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, rule) of every host."""
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    trees = scratch.save(pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-                         .mapInPandas(_trees, "host string, tree string"), "trees")
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    different = scratch.save(
+        rows.mapInPandas(_slots, "host string, mark long, node array<long>, text array<long>, size array<long>")
+        .groupBy("host", "mark").agg(F.min(F.struct("node", "text", "size")).alias("x"), F.count("*").alias("copies")), "different")
+    count = different.groupBy("host").agg(F.count("*").alias("pages"))
+    slots = (different.select("host", "copies", F.explode(F.arrays_zip("x.node", "x.text", "x.size")).alias("x"))
+             .groupBy("host", "x.node", "x.text").agg(F.count("*").alias("n"), F.sum("copies").alias("rows"), F.min("x.size").alias("size"))
+             .where("n > 1").join(count, "host").where(F.col("n") >= F.lit(MOST) * F.col("pages")))
+    slots = slots.groupBy(F.col("host").alias("h")).agg(F.sort_array(F.collect_list(F.struct("node", "text", "size", "rows"))).alias("x"))
+    trees = scratch.save(rows.mapInPandas(_trees, "host string, tree string"), "trees")
     salted = trees.withColumn("salt", F.pmod(F.xxhash64("tree"), F.lit(SALTS)))
     for keys in (["host", "salt"], ["host"]):
         salted = (salted.repartition(n, *keys).sortWithinPartitions(*keys, F.xxhash64("tree")).select("host", "tree")
                   .mapInPandas(_merged, "host string, tree string"))
-    return scratch.save(salted.mapInPandas(_as_rules, "host string, rule string"), "rules")
+    both = salted.join(slots, F.col("host") == F.col("h"), "left").select(
+        "host", "tree", *[F.col(f"x.{c}").alias(c) for c in ("node", "text", "size", "rows")])
+    out = scratch.save(both.mapInPandas(_as_rules, "host string, rule string"), "rules")
+    scratch.drop("different")
+    scratch.drop("trees")
+    return out
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

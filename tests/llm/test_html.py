@@ -164,3 +164,24 @@ NAMES = [(f"<div {n}><article><h1>T</h1><p>t</p></article></div>", ["T", "t"]) f
 @pytest.mark.parametrize("page,want", NAMES)
 def test_names_of_layout_wrappers(page, want):
     assert [t for _, out, t in he.blocks(page) if not out] == want
+
+
+def test_template_among_many_paragraphs_and_on_few_pages(spark):
+    own = lambda h, i, k: f"Paragraph {k} of page {i} of {h} says {i * 7919 + k}."
+    rows, want = [], {}
+    for h, n in enumerate((2, 3, 7, 60, 300)):
+        for i in range(n):
+            body = [own(h, i, k) for k in range(12)]
+            want[1000 * h + i] = "\n".join(body)
+            for k in range(8):
+                body.insert((5 * i + 3 * k) % 13, f"Boilerplate {k}")
+            html = "<html><body>" + "".join(f"<p>{t}</p>" for t in body) + "</body></html>"
+            rows += [(1000 * h + i, f"http://h{h}.com/{i}", html)] * (1 + i % 2)
+    assert texts(frame(spark, rows)) == want
+
+
+def test_template_goes_at_its_node_only(spark):
+    rows = [(i, f"http://one.com/{i}", f"<body><div class=top>News</div><h1>{'News' if i == 3 else i}</h1><p>Story {i} goes on and on.</p></body>")
+            for i in range(10)]
+    got = texts(frame(spark, rows))
+    assert got[3] == "News\nStory 3 goes on and on." and got[4] == "4\nStory 4 goes on and on."
