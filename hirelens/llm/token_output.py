@@ -53,13 +53,13 @@ class _Encoder:
     pre-tokens, one after the other, so the library encodes each word once:
     texts are taken in groups, a group's distinct words are looked up among
     those known, new ones go to the library together, and the ids are laid out
-    by word number. A text with characters outside the plain set goes to the
-    library whole."""
+    by word number. A text with characters outside the plain set or with the
+    string of an added token goes to the library whole."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.feed = self._ids("\n")[0]
         self.end = np.uint32(end_id)
         self._forget()
@@ -107,7 +107,7 @@ class _Encoder:
         sizes, odd, parts, waiting = [], {}, [], []
         for t in texts:
             t = t or ""
-            if not is_plain(t):
+            if not is_plain(t) or any(x in t for x in self.added):
                 odd[len(sizes) + len(odd)] = t
                 continue
             words = pretokens(t)

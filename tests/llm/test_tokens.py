@@ -130,3 +130,13 @@ def test_op6_text_without_spaces(spark):
     rows = [(1, "xq" * 500_000), (2, "short"), (3, "\u65e5\u672c\u8a9e" * 30_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert bpe_rows(byte_bpe.encode_decode(df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), buckets=3)) == expected_bpe(rows)
+
+
+def test_op1_strings_of_added_tokens(spark):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "a <|endoftext|> b"), (2, "plain words"), (3, "<|endoftext|>"), (4, "x<|endoftext|><|endoftext|>\n<|endoftext"), (5, None),
+            (6, "\u65e5\u672c <|endoftext|> \xfc")]
+    got = written(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).orderBy("start").collect()
+    assert [list(r.ids) for r in got] == [lib.encode(t or "", add_special_tokens=False).ids + [2] for _, t in rows]
+    assert list(got[0].ids) == [64, 220, 50256, 275, 2]
