@@ -194,12 +194,11 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
     """The mix as rows of ``docs``: one for each piece drawn, its text cut to
     the piece, dealt out by shard and in seeded order there."""
     def key(doc_id, source, text_mark):
-        """Null-free parts of a row's key, so that grouping and join share one shuffle."""
+        """Null-free parts of a row's key, which grouping and join are dealt by."""
         return [F.coalesce(doc_id, F.lit(0)).alias("i"), doc_id.isNull().alias("ni"), F.coalesce(source, F.lit("")).alias("s"),
                 source.isNull().alias("ns"), text_mark.alias("k")]
     parts = ["i", "ni", "s", "ns", "k"]
-    drawn = (m.documents.where("taken > 0").select(*key(F.col("doc_id"), F.col("source"), F.col("mark")), "size", "pieces")
-             .groupBy(*parts, "size").agg(F.flatten(F.collect_list("pieces")).alias("pieces")))
+    drawn = m.documents.where("taken > 0").select(*key(F.col("doc_id"), F.col("source"), F.col("mark")), "size", "pieces")
     own = key(F.col(id_col).cast("long"), F.col(source_col).cast("string"), mark(F.col(text_col)))
     once = docs.select(*own, F.struct(*docs.columns).alias("row")).groupBy(*parts).agg(F.first("row").alias("row"))
     joined = once.join(drawn, parts)

@@ -162,8 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .orderBy("o", "doc_id").limit(sample).select("doc_id", "label"))
     rows = (_columns(docs, id_col, text_col, length_col).join(F.broadcast(chosen), "doc_id")  # ``sample`` rows at most
             .mapInPandas(_featured, "label int, doc_id long, slots binary, vals binary, stats binary"))
-    got = rows.toPandas().sort_values(["doc_id", "slots", "vals", "stats"], ignore_index=True)
-    got = got.drop_duplicates("doc_id", ignore_index=True)
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("slots", "vals", "stats")).alias("x"))  # of rows that repeat an id
+    got = one.select("doc_id", "label", "x.*").toPandas().sort_values("doc_id", ignore_index=True)
     return fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), np.frombuffer(s))
                 for a, v, s in zip(got["slots"], got["vals"], got["stats"])], got["label"].to_numpy(dtype=np.float64))
 

@@ -362,3 +362,18 @@ def test_query_op9_leaves_no_passage(spark):
     rows = [tuple(r) for r in queries.table(spark, SF, "documents").select("doc_id", "text").collect()]
     assert len({d for d, _ in rows}) == len(rows)
     assert {r.doc_id: r.text for r in queries.op9_line_dedup(spark, SF).collect()} == brute_passages(rows)
+
+
+def test_repeated_ids_are_not_collected(spark, monkeypatch):
+    """One row of an id reaches the driver (op 8), and the pieces of rows that
+    repeat are in no array together (mixing)."""
+    rows = [(i, f"text {i} " + "word " * (k % 3), "a", 9) for i in range(20) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    sizes, whole = [], type(df).toPandas
+    monkeypatch.setattr(type(df), "toPandas", lambda self: (lambda out: (sizes.append(len(out)), out)[1])(whole(self)))
+    qc.train(df, labels)
+    assert 0 < max(sizes) <= 20
+    out = mixing.mixed_rows(df, mixing.mix(df, Scratch(spark, "test-mixing"), shards=4), shards=4)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    assert out.count() > 0
