@@ -9,7 +9,7 @@ import uuid
 import zipfile
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.session import ensure_checkpoint_dir
@@ -152,3 +152,27 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         label = new.select("node", "comp")
         if not changed:
             return label
+
+
+def ordinals(df: DataFrame, key: str, order: list, bounds: list, scratch: Scratch, tag: str) -> DataFrame:
+    """``df`` with ``place`` (0, 1, .. among the rows of its key in ``order``)
+    and ``held`` (how many rows the key has).
+
+    Rows are dealt out by ranges of the key and ``bounds`` (short columns in
+    the same order as ``order``) and sorted in their range, so a key of very
+    many rows is spread over many tasks; a key's place in a range follows from
+    the counts of its earlier ranges, one small row for each range. Null keys
+    are one key. The result is read from a written table."""
+    name = F.col(key).asc_nulls_first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = (df.repartitionByRange(tasks, name, *[b.asc_nulls_first() for b in bounds])
+            .sortWithinPartitions(name, *[o.asc_nulls_first() for o in order])
+            .withColumn("_at", F.monotonically_increasing_id()))
+    laid = scratch.save(laid, tag).withColumn("_range", F.shiftright("_at", 33))
+    of_key = Window.partitionBy("_key")
+    runs = laid.groupBy(F.col(key).alias("_key"), F.col("_range").alias("_r")).agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
+    runs = runs.select("_key", "_r", "_from", F.sum("_n").over(of_key).alias("held"), F.coalesce(
+        F.sum("_n").over(of_key.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r"))
+    return (laid.join(runs, same).withColumn("place", F.col("_ahead") + F.col("_at") - F.col("_from"))
+            .drop("_at", "_range", "_key", "_r", "_from", "_ahead"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens.llm._shared import Scratch
 from hirelens.llm.byte_bpe import encode_decode
+from hirelens.llm.conversation_repair import repair, report
 from hirelens.llm.embedding_near_dedup import embedding_near_dedup
 from hirelens.llm.exact_dedup import exact_dedup
 from hirelens.llm.html_extraction import extract_pages
@@ -113,6 +114,30 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversation rows with faults that follow from each row's id and turn."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"),
+                                F.coalesce("text", F.lit(" ")).alias("text"), (F.crc32(key) % 20).alias("how"))
+    text = F.when(F.col("how") == 1, F.lit("")).when(F.col("how") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("how") == 4, F.lit("user")).otherwise(F.col("role"))
+    times = F.when(F.col("how") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where("how <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("again")).drop("again")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged, with the figures of their cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    scratch = Scratch(spark, "conversation-repair")
+    got = scratch.save(report(repair(damaged(conversations), scratch)), "report")
+    every = conversations.select("conv_id").distinct()
+    nothing = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    names = [c for c in got.columns if c != "conv"]
+    return every.join(got, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *[F.coalesce(c, nothing.get(c, F.lit(0).cast("long"))).alias(c) for c in names])
+
+
 LLM_QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
@@ -124,6 +149,7 @@ LLM_QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _OP2_SQL = r"""
