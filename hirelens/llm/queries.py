@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import Scratch
+from hirelens.llm._shared import Scratch, ordinals
 from hirelens.llm.byte_bpe import encode_decode
 from hirelens.llm.conversation_repair import repair, report
 from hirelens.llm.embedding_near_dedup import embedding_near_dedup
@@ -14,6 +14,7 @@ from hirelens.llm.html_extraction import extract_pages
 from hirelens.llm.line_dedup import line_dedup
 from hirelens.llm.mixing import mix
 from hirelens.llm.ngram_join import ngram_join
+from hirelens.llm.prefix_trie import prefix_trie, turn_key
 from hirelens.llm.quality_classifier import classify, train
 from hirelens.llm.token_output import read_tokens, write_tokens
 from hirelens.llm.url_filter import url_filter
@@ -138,6 +139,39 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *[F.coalesce(c, nothing.get(c, F.lit(0).cast("long"))).alias(c) for c in names])
 
 
+def rebuilt(conversations: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Conversations (conv, held) and their turns (conv, place, turn, size),
+    each begun with the first turns of a neighbour: of conversation c - c % 5
+    the first crc32(c) % 9, then its own after as many. Rows without an id
+    belong to no conversation."""
+    rows = conversations.where("conv_id IS NOT NULL").select(
+        F.col("conv_id").cast("long").alias("conv"), F.col("turn").alias("at"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumns({"turn": turn_key("role", "text"), "size": F.octet_length("text").cast("long")})
+    rows = ordinals(rows, "conv", [F.col("at"), F.col("role"), F.col("text")],
+                    [F.col("at"), F.left("role", F.lit(16)), F.left("text", F.lit(32))], scratch, "rows")
+    rows = scratch.save(rows.select("conv", "place", "held", "turn", "size"), "turns")
+    heads = rows.where("place = 0").select("conv", "held", (F.crc32(F.col("conv").cast("string")) % 9).alias("h"),
+                                           F.expr("conv - conv % 5").alias("lender"))
+    lent = rows.where("place = 0").select(F.col("conv").alias("lender"), F.col("held").alias("has"))
+    heads = heads.join(lent, "lender", "left").withColumn("lent", F.least("h", F.coalesce("has", F.lit(0))))
+    heads = scratch.save(heads, "heads")
+    begun = (rows.where("place < 8").withColumnRenamed("conv", "lender").drop("held")
+             .join(heads.select("conv", "lender", "h"), "lender").where("place < h").select("conv", "place", "turn", "size"))
+    own = (rows.drop("held").join(heads.select("conv", "h", "lent"), "conv").where("place >= h")
+           .select("conv", (F.col("place") - F.col("h") + F.col("lent")).alias("place"), "turn", "size"))
+    convs = heads.select("conv", (F.col("lent") + F.greatest(F.col("held") - F.col("h"), F.lit(0))).alias("held"))
+    return convs, begun.union(own)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each begun with its neighbour's turns."""
+    scratch = Scratch(spark, "prefix-trie")
+    trie = prefix_trie(*rebuilt(table(spark, sf_dir, "conversations"), scratch), scratch)
+    return trie.select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs",
+                       "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 LLM_QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
@@ -150,6 +184,7 @@ LLM_QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 _OP2_SQL = r"""
@@ -188,6 +223,41 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+_OP12_SQL = """
+WITH rows AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({'role': role, 'text': text} ORDER BY place) AS turns FROM rows GROUP BY c),
+-- crc32 of the decimal id: each byte is mixed in, then eight times a bit is shifted out
+steps AS (
+  SELECT c, turns, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM own),
+heads AS (
+  SELECT c, turns, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], s), lambda a, b:
+    CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END),
+    CAST(4294967295 AS BIGINT)) % 9 AS h FROM steps),
+built AS (
+  SELECT x.c, list_concat(coalesce(g.turns[1:x.h], []), x.turns[x.h + 1:]) AS s
+  FROM heads x LEFT JOIN own g ON g.c = x.c - x.c % 5),
+members AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM built),
+nodes AS (
+  SELECT s[1:d] AS prefix, d, min(c) AS conv, count(*) AS n,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '') AS ends,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(s)[d].text) END AS saved
+  FROM members GROUP BY 1, 2),
+children AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+leaves AS (SELECT nodes.prefix, nodes.d, nodes.saved, CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM nodes LEFT JOIN children ON children.d = nodes.d AND children.prefix = nodes.prefix),
+spread AS (SELECT prefix, saved, leaf, unnest(range(0, d + 1)) AS k FROM leaves),
+sums AS (SELECT prefix[1:k] AS prefix, k AS d, sum(saved) AS saved, sum(leaf) AS leaves FROM spread GROUP BY 1, 2)
+SELECT x.conv AS conv_id, x.d AS depth, p.conv AS parent_conv_id, x.n AS n_convs, coalesce(children.n, 0) AS n_children,
+  CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN sums ON sums.d = x.d AND sums.prefix = x.prefix
+LEFT JOIN children ON children.d = x.d AND children.prefix = x.prefix
+LEFT JOIN nodes p ON p.d = x.d - 1 AND p.prefix = x.prefix[1:x.d - 1]
+"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _OP2_SQL, "op7_exact_dedup": _OP7_SQL}
+    return {"op2_url_filter": _OP2_SQL, "op7_exact_dedup": _OP7_SQL, "op12_prefix_trie": _OP12_SQL}

@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from hirelens.llm import conversation_repair as cr, queries
+from hirelens.llm import conversation_repair as cr, prefix_trie as pt, queries
 from hirelens.llm._shared import Scratch
 
 from .conftest import SF
@@ -164,3 +164,70 @@ def test_repair_returns_the_rows_themselves(spark):
     rows = [(1, 0, "user", "hi."), (1, 1, "user", "there."), (1, 2, "assistant", "")]
     got = cr.repair(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "test-repair")).orderBy("place", "step").collect()
     assert [(r.edit, r.role, r.text) for r in got] == [("K", "user", "hi."), ("R", "assistant", "there."), ("D", "assistant", "")]
+
+
+def plain_trie(built):
+    """Rows of the trie of {conv: [(role, text), ..]}."""
+    nodes = {}
+    for c in sorted(built):
+        for d in range(len(built[c]) + 1):
+            nodes.setdefault(tuple(built[c][:d]), []).append(c)
+    out = []
+    for prefix, members in nodes.items():
+        d = len(prefix)
+        below = [p for p in nodes if p[:d] == prefix]
+        ends = [c for c in members if len(built[c]) == d]
+        leaves = [p for p in below if not any(x[:len(p)] == p and len(x) == len(p) + 1 for x in below)]
+        out.append((members[0], d, nodes[prefix[:-1]][0] if d else None, len(members), sum(len(p) == d + 1 for p in below),
+                    len(leaves), sum((len(nodes[p]) - 1) * len(p[-1][1].encode()) for p in below if p),
+                    hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()))
+    return sorted(map(str, out))
+
+
+def plain_op12(rows):
+    own = {}
+    for c, t, r, x in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        own.setdefault(c, []).append((r or "", x or ""))
+    h = {c: zlib.crc32(str(c).encode()) % 9 for c in own}
+    return plain_trie({c: own.get(c - (c % 5 if c >= 0 else -(-c % 5)), [])[:h[c]] + own[c][h[c]:] for c in own})
+
+
+def test_query_op12(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = queries.op12_prefix_trie(spark, SF)
+    assert [f"{n} {t}" for n, t in got.dtypes] == ["conv_id bigint", "depth bigint", "parent_conv_id bigint", "n_convs bigint", "n_children bigint",
+                                                   "n_leaves bigint", "saved_tokens bigint", "ends_sha256 string"]
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain_op12(rows)
+
+
+@pytest.mark.parametrize("block, shard", [(2, 3), (64, 1024)])
+def test_op12_edges(spark, tmpdir_path, monkeypatch, block, shard):
+    monkeypatch.setattr(pt, "BLOCK", block)
+    monkeypatch.setattr(pt, "SHARD", shard)
+    spread(spark, EDGE).write.parquet(f"{tmpdir_path}/conversations.parquet")
+    got = queries.op12_prefix_trie(spark, tmpdir_path)
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain_op12(EDGE)
+
+
+def test_op12_empty_table(spark, tmpdir_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmpdir_path}/conversations.parquet")
+    assert queries.op12_prefix_trie(spark, tmpdir_path).collect() == []
+
+
+def test_trie_of_long_shared_conversations(spark, monkeypatch):
+    """Many copies and long prefixes, in small shards and blocks."""
+    rng = random.Random(14)
+    stem = [("user", f"turn {i}") for i in range(150)]
+    built = {}
+    for c in range(60):
+        cut = rng.choice([0, 1, 40, 64, 65, 128, 150])
+        built[c] = stem[:cut] + [("assistant", rng.choice("abc"))] * rng.randint(0, 3)
+    from pyspark.sql import functions as F
+    turns = spark.createDataFrame([(c, i, r, x) for c, s in built.items() for i, (r, x) in enumerate(s)], "conv long, place long, role string, text string")
+    turns = turns.select("conv", "place", pt.turn_key("role", "text").alias("turn"), F.octet_length("text").cast("long").alias("size"))
+    convs = spark.createDataFrame([(c, len(s)) for c, s in built.items()], "conv long, held long")
+    monkeypatch.setattr(pt, "BLOCK", 16)
+    monkeypatch.setattr(pt, "SHARD", 4)
+    got = pt.prefix_trie(convs, turns, Scratch(spark, "test-trie"))
+    got = got.select("conv", "depth", "parent_conv", "n_convs", "n_children", "n_leaves", "saved", "ends_sha256").collect()
+    assert sorted(str(tuple(r)) for r in got) == plain_trie(built)

@@ -15,7 +15,7 @@ from .conftest import EDGE_ROWS, SF
 @pytest.mark.parametrize("name", sorted(queries.llm_oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     rel = con.execute(queries.llm_oracle_sql()[name])
     cols = [d[0] for d in rel.description]
