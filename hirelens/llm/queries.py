@@ -14,6 +14,7 @@ from hirelens.llm.html_extraction import extract_pages
 from hirelens.llm.line_dedup import line_dedup
 from hirelens.llm.mixing import mix
 from hirelens.llm.ngram_join import ngram_join
+from hirelens.llm.pii import BASE, find_personal_data
 from hirelens.llm.prefix_trie import prefix_trie, turn_key
 from hirelens.llm.quality_classifier import classify, train
 from hirelens.llm.token_output import read_tokens, write_tokens
@@ -172,6 +173,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the personal data in their texts."""
+    found = find_personal_data(table(spark, sf_dir, "documents"), Scratch(spark, "pii"))
+    counts = [F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 LLM_QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_url_filter": op2_url_filter,
@@ -185,6 +193,7 @@ LLM_QUERIES = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_pii": op13_pii,
 }
 
 _OP2_SQL = r"""
