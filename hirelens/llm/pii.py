@@ -62,15 +62,19 @@ STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Drive", "Boul
 TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora",
           "name is", "named", "heiße", "appelle", "llamo")
 WORD = r"[A-ZÀ-ÖØ-Þ][A-Za-zÀ-ÖØ-öø-ÿ'-]{1,30}"
+ANY_DIGIT = re.compile("[0-9]")
+# (kind, whether it holds a digit, texts of which it holds one, pattern)
 LOOSE = (
-    ("contact", re.compile(r"(?<![\w.-])[A-Za-z0-9._-]{2,32}(?: ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]{2,32}(?: ?[(\[]dot[)\]] ?| dot )[A-Za-z]{2,10}\b")),
-    ("contact", re.compile(r"(?<![\w+.)(/-])(?:\([0-9]{2,5}\)|0[0-9]{1,4})[ /-][0-9]{2,4}(?:[ /-]?[0-9]{2,4}){1,3}(?![\w-])")),
-    ("id", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
-    ("id", re.compile(r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])")),
-    ("address", re.compile(rf"(?<![\w.])[0-9]{{1,5}} (?:{WORD} ){{1,3}}(?:{'|'.join(STREETS)})\b")),
-    ("address", re.compile(r"(?<!\w)[A-ZÄÖÜ][a-zäöüß]{1,30}(?:straße|strasse|weg|platz|gasse) [0-9]{1,4}\b")),
-    ("address", re.compile(rf"(?<!\w)(?:[Rr]ue|[Cc]alle|[Aa]venida|[Pp]lace) (?:d[eu]s? |de la )?{WORD},? [0-9]{{1,4}}\b")),
-    ("name", re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? ({WORD}(?: {WORD}){{0,2}})")),
+    ("contact", False, ("dot",), re.compile(r"(?<![\w.-])[A-Za-z0-9._-]{2,32}(?: ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]{2,32}(?: ?[(\[]dot[)\]] ?| dot )[A-Za-z]{2,10}\b")),
+    ("contact", True, ("(", " 0", "\n0"), re.compile(r"(?<![\w+.)(/-])(?:\([0-9]{2,5}\)|0[0-9]{1,4})[ /-][0-9]{2,4}(?:[ /-]?[0-9]{2,4}){1,3}(?![\w-])")),
+    ("id", True, ("-",), re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
+    ("id", True, (), re.compile(r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])")),
+    ("address", True, STREETS, re.compile(rf"(?<![\w.])[0-9]{{1,5}} (?:{WORD} ){{1,3}}(?:{'|'.join(STREETS)})\b")),
+    ("address", True, ("straße", "strasse", "weg", "platz", "gasse"),
+     re.compile(r"(?<!\w)[A-ZÄÖÜ][a-zäöüß]{1,30}(?:straße|strasse|weg|platz|gasse) [0-9]{1,4}\b")),
+    ("address", True, ("ue ", "alle ", "venida ", "lace "),
+     re.compile(rf"(?<!\w)(?:[Rr]ue|[Cc]alle|[Aa]venida|[Pp]lace) (?:d[eu]s? |de la )?{WORD},? [0-9]{{1,4}}\b")),
+    ("name", False, TITLES, re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? ({WORD}(?: {WORD}){{0,2}})")),
 )
 ENDINGS = frozenset("com org net edu gov mil int info io de fr es uk eu us ca it nl ch at au jp cn br mx in ru".split())
 GIVEN = frozenset("anna maria peter john james mary robert michael david sarah laura thomas daniel paul julia emma lucas "
@@ -112,6 +116,8 @@ def _checked(text: str):
     if "@" in text:
         for start, end, good in _emails(text):
             yield "email", start, end, good
+    if not ANY_DIGIT.search(text):
+        return
     for m in IP.finditer(text):
         yield "ip", *m.span(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
     for m in CARD.finditer(text):
@@ -180,8 +186,10 @@ def scan(text: str) -> tuple[str, str]:
         edges = max(edges, end)
         reach.append(edges)
     starts = [b[0] for b in base]
-    for kind, pattern in LOOSE:
-        for m in pattern.finditer(text):
+    numbers = bool(ANY_DIGIT.search(text))
+    for kind, digit, parts, pattern in LOOSE:
+        possible = (numbers or not digit) and (not parts or any(p in text for p in parts))
+        for m in pattern.finditer(text) if possible else ():
             start, end = m.span(1) if kind == "name" else m.span()
             k = int(np.searchsorted(starts, end)) if starts else 0
             if not k or reach[k - 1] <= start:
