@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.session import checkpointed
+from hirelens.session import written
 
 # A side is broadcast only when a measured size is under both limits.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -39,13 +39,12 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, measure it, and hint a
+    """Write ``df`` once to the shared folder, measured on the way, and hint a
     broadcast only when it is under both limits; beyond them the plain join
     stays (sort-merge, with AQE skew splitting). Either way the join reads
     the written copy instead of recomputing ``df``."""
-    written = checkpointed(df)
-    n, b = measured_size(written)
-    return F.broadcast(written) if (n <= max_rows and b <= max_bytes) else written
+    out, n, b = written(df, "side")
+    return F.broadcast(out) if (n <= max_rows and b <= max_bytes) else out
 
 
 def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
@@ -56,16 +55,15 @@ def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
     both sides counts as a match (the row is dropped); otherwise a null-key
     row is always kept.
 
-    The batch is written once, and its distinct keys are measured. When they
-    are few (the usual daily batch), they are broadcast to one scan of the
-    stored side, which yields the matching keys only; nothing of the stored
-    side is shuffled, however large it grows. A larger batch joins the
-    distinct stored keys by shuffle, without one where the stored table is
-    bucketed by the key.
+    Only the batch's distinct keys are written beforehand (a scan of one
+    column), and measured on the write. When they are few (the usual daily
+    batch), they are broadcast to one scan of the stored side, which yields the
+    matching keys only; nothing of the stored side is shuffled, however large
+    it grows. A larger batch joins the distinct stored keys by shuffle, without
+    one where the stored table is bucketed by the key.
     """
-    batch = checkpointed(new)
-    ids = batch.select(F.col(key).alias("_id")).distinct()
-    n, size = measured_size(ids)
+    batch = new
+    ids, n, size = written(batch.select(F.col(key).alias("_id")).distinct(), "batch-keys")
     found = stored.select(F.col(key).alias("_stored_key"))
     if n <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
         same = F.col("_stored_key").eqNullSafe(F.col("_id"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings a job of this package wants; applied by ``build_session`` only.
 # Queries never change the session they are given.
@@ -87,3 +89,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return held.checkpoint(eager=True)
     finally:
         held.unpersist()
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder; what is written
+    there goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, p = file_system(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """``df`` as a Parquet table in the shared folder, with its row count and
+    an upper estimate of its bytes in memory, both observed on the write: one
+    pass, and lineage ends at the files."""
+    path, seen = shared_folder(df.sparkSession, name), Observation()
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]
+    total = sum(widths[1:], widths[0])
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(total.cast("long")).alias("bytes")).write.parquet(path)
+    got = seen.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"] or 0), int(got["bytes"] or 0)

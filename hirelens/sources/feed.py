@@ -1,5 +1,5 @@
 """Feed sources and sinks: landed JSON per category (S-1), flattening
-(S-3), CSV read/write (S-4, S-5), column-name and column-list handling
+(S-3), CSV write (S-5; the reader is in ``csvfiles``), column-name and column-list handling
 (P-2, P-3, P-4) and outer-aligned union (U-ALL)."""
 
 from __future__ import annotations
@@ -123,22 +123,6 @@ def places_text(col: Column | str) -> Column:
         F.concat(F.lit("["), F.array_join(F.transform(c, place), ", "), F.lit("]")))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             null_tokens: list[str] | None = None) -> DataFrame:
-    """S-4: header row; quoted fields and line breaks round-trip with
-    :func:`write_csv`; the listed null tokens become null (default: the
-    pandas defaults)."""
-    r = (spark.read.option("header", True).option("multiLine", True)
-         .option("escape", '"').option("mode", "PERMISSIVE"))
-    df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
-    tokens = rules.CSV_NULL_TOKENS if null_tokens is None else null_tokens
-    string_cols = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[
-        (F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`"))
-         .alias(c)) if c in string_cols else F.col(f"`{c}`")
-        for c in df.columns])
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S-5: header, no index column, quotes escaped by doubling; empty
     strings are quoted so they stay distinct from nulls."""
@@ -156,7 +140,7 @@ def csv_line(cols: list[str]) -> Column:
 
 def csv_fields(line: str, names: list[str], skip: int = 0, null_tokens: list[str] | None = None) -> list[Column]:
     """The text fields of a CSV line after the first ``skip``, null tokens as
-    null, as :func:`read_csv` reads them (S-4)."""
+    null, as :func:`hirelens.sources.csvfiles.read_csv` reads them (S-4)."""
     tokens = rules.CSV_NULL_TOKENS if null_tokens is None else null_tokens
     schema = ", ".join(f"`f{i}` string" for i in range(skip + len(names)))
     row = F.from_csv(F.col(line), schema, CSV_OPTIONS)

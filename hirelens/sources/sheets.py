@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators import first_per_key
+from hirelens.sources.csvfiles import csv_text
 from hirelens.sources.feed import union_aligned
 
 
@@ -42,16 +43,17 @@ def read_sheets(spark: SparkSession, sheets: str | list[str], *, skip: int = 1,
     ``row_no`` (grows with the row order inside a sheet).
 
     ``sheets`` is a list of files in workbook order, or a folder, whose files
-    are taken in the order of :func:`list_sheets`. Each file is one sheet that
-    people keep by hand, so it is read by one task (quoted line breaks)."""
+    are taken in the order of :func:`list_sheets`. Each file is read by its own
+    header; a large one by many tasks (:mod:`hirelens.sources.csvfiles`)."""
     paths = list_sheets(spark, sheets) if isinstance(sheets, str) else list(sheets)
     taken = [(no, p) for no, p in enumerate(paths) if (no >= skip if master is None else p.rsplit("/", 1)[-1] != master)]
     if not taken:
         raise ValueError(f"no sheet left to read of {len(paths)}")
     frames = []
     for no, path in taken:
-        one = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path))
-        frames.append(one.withColumns({"sheet": F.lit(path), "sheet_no": F.lit(no), "row_no": F.monotonically_increasing_id()}))
+        one = csv_text(spark, path, with_place=True).withColumnRenamed("at", "row_no")
+        one = one.select(*[(F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) if c != "row_no" else F.col(c)) for c in one.columns])
+        frames.append(one.withColumns({"sheet": F.lit(path), "sheet_no": F.lit(no)}))
     return first_per_key(union_aligned(frames), ["sheet", text], ["row_no"])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hirelens.plans import ingest as I
 from hirelens.schemas import CLEAN_COLUMNS
-from hirelens.sources import feed, sheets, textblock
+from hirelens.sources import csvfiles, feed, sheets, textblock
 
 
 def test_csv_round_trip_and_null_tokens(spark, tmpdir_path):
@@ -21,10 +21,10 @@ def test_csv_round_trip_and_null_tokens(spark, tmpdir_path):
         "ID string, a string, b string")
     path = os.path.join(tmpdir_path, "out")
     feed.write_csv(df, path)
-    back = feed.read_csv(spark, path, "ID string, a string, b string")
+    back = csvfiles.read_csv(spark, path, "ID string, a string, b string")
     got = sorted(tuple(r) for r in back.collect())
     assert got == [("1", 'say "hi", ok', "line1\nline2"), ("2", None, None), ("3", None, None)]
-    kept = feed.read_csv(spark, path, "ID string, a string, b string", null_tokens=[])
+    kept = csvfiles.read_csv(spark, path, "ID string, a string, b string", null_tokens=[])
     assert sorted(tuple(r) for r in kept.collect())[1] == ("2", "NA", None)
 
 
