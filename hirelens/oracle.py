@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from hirelens import rules
 from hirelens.operators.skills import SOFT, TECHNICAL, lexicon_terms
-from hirelens.plans.registry import STORED_BEFORE, WEEK_HOURS
+from hirelens.plans.registry import FIRST_LOAD, SECOND_LOAD, STORED_BEFORE, WEEK_HOURS
 from hirelens.schemas import CLEAN_COLUMNS, FACT_COLUMNS, POSTING_KEY, RAW_COLUMNS
 from hirelens.sources import fixtures as fx
 
@@ -440,6 +440,23 @@ UNION ALL SELECT ID, NULL, NULL, URL FROM raw WHERE JOB_CATEGORY = {lit(fx.CATEG
         "q_row_counts": _with(RAW) + f"""SELECT 'feed' AS step, count(*) AS rows FROM raw
 UNION ALL SELECT 'titled', count(*) FROM raw WHERE {title_regex()}
 UNION ALL SELECT 'titled_with_date', count(*) FROM raw WHERE {title_regex()} AND {job_date('DATE_CREATED')} IS NOT NULL""",
+        "q_daily_loads": POSTINGS[:-1] + f""",
+batch AS (SELECT ID, TITLE, JOB_CATEGORY, JOB_DATE, CITY FROM clean),
+first AS (SELECT * FROM batch WHERE JOB_DATE < DATE '{FIRST_LOAD}'),
+second AS (SELECT * FROM batch b WHERE JOB_DATE < DATE '{SECOND_LOAD}' AND CITY IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM first f WHERE f.ID IS NOT DISTINCT FROM b.ID))
+SELECT *, '{FIRST_LOAD}' AS LOAD_DATE FROM first UNION ALL SELECT *, '{SECOND_LOAD}' FROM second""",
+        "q_csv_typed": """SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no, l_extendedprice AS price,
+  CASE WHEN l_partkey % 5 <> 0 THEN CAST(l_suppkey AS DOUBLE) END AS supplier, l_returnflag = 'R' AS returned,
+  l_returnflag || l_linenumber AS code, 'say "' || l_linestatus || '"' || chr(10) || l_returnflag || ', ' || l_partkey AS note
+FROM lineitem""",
+        "q_sheets": f"""SELECT CAST(sheet_no AS INTEGER) AS sheet_no, CAST(doc_id AS VARCHAR) AS doc_id, Job_Title, NULLIF(text, '') AS Job_Description FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS rn, {pick(fx.DESCRIPTION_TITLES, "doc_id")} AS Job_Title,
+    dense_rank() OVER (ORDER BY source) - 1 AS sheet_no FROM documents)
+WHERE rn = 1 AND sheet_no > 0""",
+        "q_replace_view": POSTINGS + "SELECT ID, TITLE, JOB_CATEGORY, JOB_DATE FROM clean WHERE JOB_DATE IS NOT NULL",
+        "q_preview": """(SELECT event_id, ts, user_id, event_type, 'head' AS part FROM events ORDER BY ts, event_id LIMIT 5)
+UNION ALL (SELECT event_id, ts, user_id, event_type, 'tail' FROM events ORDER BY ts DESC, event_id DESC LIMIT 5)""",
         "q_distinct_function": POSTINGS + ("SELECT DISTINCT CITY, CASE WHEN CITY = 'Canberra' THEN 'none' ELSE upper(left(CITY, 3)) END "
                                            "AS code, CITY = 'Canberra' AS failed FROM clean WHERE CITY IS NOT NULL"),
     }

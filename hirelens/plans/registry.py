@@ -4,6 +4,7 @@ function ``(spark, sf_dir) -> DataFrame`` over the driver tables."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,17 @@ from pyspark.sql import functions as F
 from hirelens import functions as HF
 from hirelens import rules
 from hirelens.operators import (
-    anti_join_new, dictionary_lookup, first_per_key, ordered_distinct, recent_capped, row_counts,
+    anti_join_new, dictionary_lookup, first_per_key, ordered_distinct, preview, recent_capped, row_counts,
 )
 from hirelens.operators.skills import top_skills
 from hirelens.plans import enrich, ingest, models
-from hirelens.session import checkpointed
+from hirelens.session import checkpointed, shared_folder
 from hirelens.sources import fixtures
-from hirelens.sources.feed import csv_fields, csv_line, flatten_structs, tag_categories, union_aligned
-from hirelens.sources.tables import read_table
+from hirelens.sources.csvfiles import read_csv
+from hirelens.sources.feed import csv_fields, csv_line, flatten_structs, tag_categories, union_aligned, write_csv
+from hirelens.sources.loads import load_new, read_loads
+from hirelens.sources.sheets import later_first, read_sheets
+from hirelens.sources.tables import append_table, materialize_view, read_table, replace_table
 from hirelens.sources.textblock import csv_block_rows
 
 # Postings dated before this day form the stored table the ingest compares
@@ -286,6 +290,59 @@ def q_distinct_function(spark, d):
     return out.select(F.col("value").alias("CITY"), "code", "failed")
 
 
+# --- stores, files and tables, written and read back ------------------------------------------
+
+FIRST_LOAD, SECOND_LOAD = dt.date(1995, 1, 1), dt.date(1998, 1, 1)
+
+
+def q_daily_loads(spark, d):
+    """Two loads, each run again: the first with the same batch, the second
+    with a changed one (postings without a city are gone from it)."""
+    clean = _clean(spark, d).select("ID", "TITLE", "JOB_CATEGORY", "JOB_DATE", "CITY")
+    root = shared_folder(spark, "daily-loads")
+    first, second = clean.filter(F.col("JOB_DATE") < FIRST_LOAD), clean.filter(F.col("JOB_DATE") < SECOND_LOAD)
+    load_new(first, root, FIRST_LOAD.isoformat())
+    load_new(first, root, FIRST_LOAD.isoformat())
+    load_new(second, root, SECOND_LOAD.isoformat())
+    load_new(second.filter(F.col("CITY").isNotNull()), root, SECOND_LOAD.isoformat())
+    return read_loads(spark, root, clean.schema)
+
+
+def q_csv_typed(spark, d):
+    path = shared_folder(spark, "csv-typed")
+    write_csv(fixtures.csv_feed(spark, d), path)
+    return read_csv(spark, path)
+
+
+def q_sheets(spark, d):
+    paths = fixtures.write_sheets(spark, d, shared_folder(spark, "sheets"))
+    return later_first(read_sheets(spark, paths)).select("sheet_no", "doc_id", "Job_Title", "Job_Description")
+
+
+def q_replace_view(spark, d):
+    """A table that is replaced, then appended to by a batch of the same
+    columns (one of other columns is refused), under a view."""
+    name = f"postings_{uuid.uuid4().hex}"
+    clean = _clean(spark, d).select("ID", "TITLE", "JOB_CATEGORY", "JOB_DATE")
+    old, new = clean.filter(F.col("JOB_DATE") < STORED_BEFORE), clean.filter(F.col("JOB_DATE") >= STORED_BEFORE)
+    path = shared_folder(spark, name)
+    replace_table(clean, name, path)
+    replace_table(old, name, path)
+    append_table(new, name, path=path)
+    try:
+        append_table(new.select("TITLE", "ID", "JOB_CATEGORY", "JOB_DATE"), name, path=path)
+    except ValueError:
+        return materialize_view(spark.table(name), f"v_{name}")
+    raise AssertionError("columns in another order must be refused")
+
+
+def q_preview(spark, d):
+    ev = _events(spark, d)
+    order = [("ts", True), ("event_id", True)]
+    head, tail = preview(ev, 5, order), preview(ev, 5, order, tail=True)
+    return head.withColumn("part", F.lit("head")).union(tail.withColumn("part", F.lit("tail")))
+
+
 QUERIES: dict[str, Query] = {
     "q_title_regex": q_title_regex,
     "q_title_like": q_title_like,
@@ -329,4 +386,9 @@ QUERIES: dict[str, Query] = {
     "q_csv_text": q_csv_text,
     "q_row_counts": q_row_counts,
     "q_distinct_function": q_distinct_function,
+    "q_daily_loads": q_daily_loads,
+    "q_csv_typed": q_csv_typed,
+    "q_sheets": q_sheets,
+    "q_replace_view": q_replace_view,
+    "q_preview": q_preview,
 }

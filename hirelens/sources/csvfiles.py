@@ -113,18 +113,25 @@ def _names(header: str, spark: SparkSession) -> list[str]:
 
 def csv_text(spark: SparkSession, path: str | list[str], with_place: bool = False) -> DataFrame:
     """Every record of files that share a header as text fields; with ``at``
-    (grows with the place in its file) if asked for."""
+    (grows with the place in the files, taken in the order of their paths) if
+    asked for."""
     records = csv_records(spark, path)
     heads = records.groupBy("file").agg(F.min_by("record", "at").alias("header"), F.min("at").alias("first"))  # a row for each file
     headers = [r["header"] for r in heads.select("header").distinct().limit(2).collect()]
     if len(headers) > 1:
         raise ValueError(f"files with different headers: {headers}")
     if not headers:
-        return spark.createDataFrame([], "at struct<split:long,at:long>" if with_place else T.StructType([]))
+        return spark.createDataFrame([], "at struct<path:string,split:long,at:long>" if with_place else T.StructType([]))
     names = _names(headers[0], spark)
     schema = ", ".join(f"f{i} string" for i in range(len(names)))
-    body = records.join(broadcast_if_small(heads.select("file", "first")), "file").where("at > first")
-    fields = body.select("at", F.from_csv("record", schema, OPTIONS).alias("r"))
+    heads = heads.select("file", "first")
+    at = F.col("at")
+    if with_place:
+        named = spark.read.text(path).select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("path"))
+        heads = heads.join(named.groupBy("file").agg(F.max("path").alias("path")), "file")
+        at = F.struct("path", "at.split", "at.at").alias("at")
+    body = records.join(broadcast_if_small(heads), "file").where("at > first")
+    fields = body.select(at, F.from_csv("record", schema, OPTIONS).alias("r"))
     out = [F.col(f"r.f{i}").alias(n) for i, n in enumerate(names)]
     return fields.select(*(["at"] if with_place else []), *out)
 

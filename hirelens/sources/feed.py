@@ -124,13 +124,12 @@ def places_text(col: Column | str) -> Column:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S-5: header, no index column, quotes escaped by doubling; empty
-    strings are quoted so they stay distinct from nulls."""
-    (df.write.mode(mode).option("header", True).option("escape", '"')
-       .option("quoteAll", False).csv(path))
+    """S-5: header, no index column, quotes escaped by doubling, white space
+    kept; empty strings are quoted so they stay distinct from nulls."""
+    df.write.mode(mode).options(header=True, quoteAll=False, **CSV_OPTIONS).csv(path)
 
 
-CSV_OPTIONS = {"escape": '"'}
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def csv_line(cols: list[str]) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.schemas import CLEAN_COLUMNS, RAW_COLUMNS
+from hirelens.sources.feed import CSV_OPTIONS
 from hirelens.sources.tables import read_table
 
 TITLES = ["Senior Data Engineer", "DATA SCIENTIST II", "Metadata Analyst",
@@ -140,3 +141,24 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.concat(F.lit(ANSWER_HEAD), F.col("conv_id").cast("string"), F.lit(","), F.col("role"), F.lit(ANSWER_TAIL))
     return (conv.select("conv_id", F.col("turn").cast("int").alias("turn"), "text")
             .union(conv.select("conv_id", (-1 - F.col("turn")).cast("int").alias("turn"), block.alias("text"))))
+
+
+def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line as a row whose columns a CSV reader infers as whole
+    numbers, decimals, truth values and text, with quoted line breaks."""
+    li = read_table(spark, sf_dir, "lineitem")
+    note = F.concat(F.lit('say "'), F.col("l_linestatus"), F.lit('"\n'), F.col("l_returnflag"), F.lit(", "), F.col("l_partkey").cast("string"))
+    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"), F.col("l_extendedprice").alias("price"),
+                     F.when(F.col("l_partkey") % 5 != 0, F.col("l_suppkey")).alias("supplier"), (F.col("l_returnflag") == "R").alias("returned"),
+                     F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("code"), note.alias("note"))
+
+
+def write_sheets(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """Every document as a row of a sheet for its source, in the order of
+    their ids; the sheets' paths in the order of the sources' names."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.select("source", "doc_id", _pick(DESCRIPTION_TITLES, F.col("doc_id")).alias("Job_Title"), F.col("text").alias("Job_Description"))
+    rows = rows.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+    rows.write.partitionBy("source").options(header=True, **CSV_OPTIONS).csv(folder)
+    names = [r["source"] for r in docs.select("source").distinct().orderBy("source").collect()]  # a row for each sheet
+    return [f"{folder}/source={n}" for n in names]

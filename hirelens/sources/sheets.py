@@ -1,4 +1,4 @@
-"""Multi-sheet description source (S-10): one CSV file per sheet, in workbook
+"""Multi-sheet description source (S-10): one CSV file (or folder of part files) per sheet, in workbook
 order; the first (master) sheet is skipped unless told otherwise; each file's
 columns are read by its own header, by name; each sheet is deduplicated on the
 description (A-6); later sheets come first (U-PRE), kept as explicit order

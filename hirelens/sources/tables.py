@@ -17,7 +17,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def append_table(df: DataFrame, table: str, *, check_columns: bool = True,
-                 bucket_by: str | None = None, buckets: int | None = None) -> None:
+                 bucket_by: str | None = None, buckets: int | None = None, path: str | None = None) -> None:
     """Append sink (S-8). When the table exists, its column list must equal
     the batch's, in order (P-14).
 
@@ -31,14 +31,18 @@ def append_table(df: DataFrame, table: str, *, check_columns: bool = True,
         if [c.upper() for c in stored] != [c.upper() for c in df.columns]:
             raise ValueError(f"column mismatch for {table}: {stored} != {df.columns}")
     w = df.write.mode("append")
+    if path:
+        w = w.option("path", path)
     if bucket_by and buckets:
         w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     w.saveAsTable(table)
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Replace sink (S-9) and table materialization (S-14)."""
-    df.write.mode("overwrite").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace sink (S-9) and table materialization (S-14); with ``path`` the
+    table's files lie there instead of in the warehouse folder."""
+    w = df.write.mode("overwrite")
+    (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
