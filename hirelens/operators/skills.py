@@ -2,19 +2,27 @@
 
 The source asks a hosted model for the five most frequent technical and
 soft skills per role. Re-aimed as a distributed count: each description is
-tokenized once, its word n-grams are intersected with a skills lexicon (a
-literal array, so no join and no cross product), distinct descriptions are
-counted per (role, kind, skill), the top k per (role, kind) are kept with a
-partial group limit, and each kind becomes one column.
+searched once for all terms of a skills lexicon (one pattern, so no join and no
+cross product), distinct descriptions are counted per (role, kind, skill), the
+top k per (role, kind) are kept with a partial group limit, and each kind
+becomes one column.
+
+A lexicon finds what it lists. :func:`scored_terms` needs none: it scores every
+word and pair of words by how much more often a role's descriptions hold it
+than the others do (log-likelihood ratio of the document frequencies).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import rules
+from hirelens.operators.joins import broadcast_if_small
 from hirelens.operators.topk import top_k_per_group
+from hirelens.session import written
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 TECHNICAL = "technical"
@@ -52,24 +60,39 @@ def ngrams(tokens: Column, n: int, first_words: list[str] | None = None) -> Colu
                        lambda z: F.concat_ws(" ", *[z[f"w{k}"] for k in range(n)]))
 
 
-def matched_terms(text: Column, terms: list[str]) -> Column:
-    """Distinct lexicon terms present in ``text`` as whole word sequences.
-
-    Terms are grouped by word count; n-grams are only built where the first
-    word can start an n-word term, so the cost stays one pass over the
-    tokens whatever the text length."""
-    by_size: dict[int, list[str]] = {}
+def lexicon_pattern(terms: list[str]) -> str:
+    """One pattern that finds, at every place where a word starts, the longest
+    term that starts there (group 1, of zero width, so terms may overlap). Terms
+    are merged letter by letter, so a place is given up at its first letter that
+    no term has."""
+    gap, more = r"[^\p{L}\p{N}]++", r"[\p{L}\p{N}]"
+    root: dict = {}
     for t in sorted(set(terms)):
-        by_size.setdefault(len(t.split(" ")), []).append(t)
-    toks = words(text)
-    parts = []
-    for n, group in sorted(by_size.items()):
-        grams = ngrams(toks, n, [g.split(" ")[0] for g in group] if n > 1 else None)
-        parts.append(F.array_intersect(F.array(*[F.lit(g) for g in group]), grams))
-    out = parts[0]
-    for p in parts[1:]:
-        out = F.array_union(out, p)
-    return out
+        node = root
+        for ch in t:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def build(node: dict) -> str:
+        parts = [(gap if ch == " " else re.escape(ch)) + build(below) for ch, below in sorted(node.items()) if ch]
+        if "" in node:  # the longer ones first
+            parts.append(f"(?!{more})")
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+    begins = "".join(re.escape(ch) for ch in sorted(root))
+    return f"(?=[{begins}])(?<!{more})(?=({build(root)}))"
+
+
+def matched_terms(text: Column, terms: list[str]) -> Column:
+    """Distinct lexicon terms present in ``text`` as whole word sequences, by
+    one pass of one pattern over the text; words may be apart by any characters
+    but letters and digits."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(lexicon_pattern(terms)), F.lit(1))
+    found = F.transform(F.array_distinct(found), lambda x: F.regexp_replace(x, TOKEN_SPLIT, " "))
+    begun = {t: [p for p in sorted(set(terms)) if t.startswith(p + " ")] for t in terms}
+    if any(begun.values()):  # shorter terms that start at the same place
+        with_begun = F.create_map(*[x for t, ps in sorted(begun.items()) if ps for x in (F.lit(t), F.array(*[F.lit(p) for p in [t, *ps]]))])
+        found = F.flatten(F.transform(found, lambda x: F.coalesce(F.try_element_at(with_begun, x), F.array(x))))
+    return F.array_distinct(found)
 
 
 def skill_counts(df: DataFrame, group: str, text: str, doc_id: str,
@@ -111,3 +134,33 @@ def top_skills(df: DataFrame, group: str, text: str, doc_id: str, *, k: int = ru
         return F.array_join(F.transform(F.sort_array(mine), lambda s: s["skill"]), sep)
     return (top.groupBy(F.col(f"`{group}`").alias(group_alias))
             .agg(listed(TECHNICAL).alias(f"Top {k} Technical Skills"), listed(SOFT).alias(f"Top {k} Soft Skills")))
+
+
+def log_likelihood(a: Column, group: Column, df: Column, n: Column) -> Column:
+    """G2 of a 2 x 2 table: ``a`` of ``group`` documents of a group and ``df``
+    of all ``n`` documents hold a term."""
+    cells = [(a, group, df), (group - a, group, n - df), (df - a, n - group, df), (n - group - df + a, n - group, n - df)]
+    parts = [F.when(o > 0, o * F.ln(o * n / (r * c.cast("double")))).otherwise(F.lit(0.0)) for o, r, c in cells]
+    return 2 * (parts[0] + parts[1] + parts[2] + parts[3])
+
+
+def scored_terms(df: DataFrame, group: str, text: str, *, k: int = 10, min_docs: int = 3, sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """For each group the ``k`` terms (word sequences of the ``sizes``) that its
+    rows hold most above the others: group, term, n_docs, all_docs, score. Each
+    row is a document of its own; a term counts once a row, from ``min_docs``
+    rows of the group on. Ties go by term.
+
+    A row's terms are made distinct in the row and counted by (group, term),
+    combined map-side, so a hot group or word is a number before it moves; the
+    counts meet by term (a row for each group) for the counts over all groups."""
+    tokens = words(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    terms = F.array_distinct(F.concat(*[ngrams(tokens, n) for n in sizes]))
+    rows = df.select(F.col(f"`{group}`").alias("_group"), terms.alias("terms"))
+    held, _, _ = written(rows.groupBy("_group").agg(F.count("*").alias("rows")), "group-sizes")  # a row for each group
+    counts = rows.select("_group", F.explode("terms").alias("term")).groupBy("_group", "term").agg(F.count("*").alias("n_docs"))
+    counts = counts.withColumn("all_docs", F.sum("n_docs").over(Window.partitionBy("term"))).where(F.col("n_docs") >= min_docs)
+    held = broadcast_if_small(held.withColumn("n", held.select(F.sum("rows")).scalar()).withColumnRenamed("_group", "_g"))
+    scored = counts.join(held, F.col("_group").eqNullSafe(F.col("_g"))).where(F.col("n_docs") * F.col("n") > F.col("rows") * F.col("all_docs"))
+    score = F.round(log_likelihood(F.col("n_docs"), F.col("rows"), F.col("all_docs"), F.col("n")), 6)
+    top = top_k_per_group(scored.withColumn("score", score), ["_group"], [F.col("score").desc(), F.col("term").asc()], k)
+    return top.select(F.col("_group").alias(group), "term", "n_docs", "all_docs", "score")

@@ -356,6 +356,29 @@ def _csv_text_sql() -> str:
     return POSTINGS + f"SELECT ID, {' || chr(44) || '.join(shown(c) for c in fields)} AS line, {back} FROM clean"
 
 
+def _scored_terms_sql(k: int = 10, min_docs: int = 3) -> str:
+    def cell(o, r, c):
+        return f"CASE WHEN {o} > 0 THEN {o} * ln({o} * CAST(n AS DOUBLE) / (CAST({r} AS DOUBLE) * ({c}))) ELSE 0 END"
+    g2 = " + ".join([cell("a", "r", "df"), cell("(r - a)", "r", "(n - df)"), cell("(df - a)", "(n - r)", "df"),
+                     cell("(n - r - df + a)", "(n - r)", "(n - df)")])
+    return f"""WITH d AS (
+  SELECT DISTINCT {pick(fx.DESCRIPTION_TITLES, "doc_id")} AS g, text FROM documents WHERE text IS NOT NULL),
+toks AS (
+  SELECT g, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM d),
+held AS (
+  SELECT g, unnest(list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i+1], ' '))))) AS term FROM toks),
+sizes AS (SELECT g, count(*) AS r, sum(count(*)) OVER () AS n FROM d GROUP BY g),
+counts AS (SELECT g, term, a, sum(a) OVER (PARTITION BY term) AS df FROM (SELECT g, term, count(*) AS a FROM held GROUP BY g, term)),
+scored AS (
+  SELECT g, term, a, df, round(2 * ({g2}), 6) AS score FROM counts JOIN sizes USING (g) WHERE a >= {min_docs} AND a * n > r * df),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY score DESC, term) AS rk FROM scored)
+SELECT g AS Job_Title, term, a AS n_docs, CAST(df AS BIGINT) AS all_docs, score FROM ranked WHERE rk <= {k}"""
+
+
+def _translate_kept(c: str) -> str:
+    return f"CASE WHEN t.{c} IN ('NA', 'Canberra') THEN t.{c} ELSE upper(t.{c}) END"
+
+
 def oracle_sql() -> dict[str, str]:
     wow = FACT_BASE[:-1] + f""",
 daily AS ({_daily_sql()}),
@@ -440,6 +463,16 @@ UNION ALL SELECT ID, NULL, NULL, URL FROM raw WHERE JOB_CATEGORY = {lit(fx.CATEG
         "q_row_counts": _with(RAW) + f"""SELECT 'feed' AS step, count(*) AS rows FROM raw
 UNION ALL SELECT 'titled', count(*) FROM raw WHERE {title_regex()}
 UNION ALL SELECT 'titled_with_date', count(*) FROM raw WHERE {title_regex()} AND {job_date('DATE_CREATED')} IS NOT NULL""",
+        "q_translate_kept": POSTINGS + f"SELECT ID, {', '.join(f'{_translate_kept(c)} AS {c}' for c in ('CITY', 'STATE', 'ORGANIZATION', 'SENIORITY'))} "
+                                       f"FROM (SELECT ID, {translated_v2} FROM clean) t",
+        "q_kept_calls": POSTINGS[:-1] + f""",
+every AS (SELECT CITY AS v FROM clean WHERE CITY IS NOT NULL UNION SELECT SENIORITY FROM clean WHERE SENIORITY IS NOT NULL),
+early AS (SELECT CITY AS v FROM clean WHERE CITY IS NOT NULL AND JOB_DATE < DATE '{STORED_BEFORE}'
+  UNION SELECT SENIORITY FROM clean WHERE SENIORITY IS NOT NULL AND JOB_DATE < DATE '{STORED_BEFORE}')
+SELECT 0 AS run, count(*) AS called, count(*) FILTER (v = 'Canberra') AS failed FROM early
+UNION ALL SELECT 1, count(*), count(*) FILTER (v = 'Canberra') FROM every WHERE v = 'Canberra' OR v NOT IN (SELECT v FROM early)
+UNION ALL SELECT 2, count(*), count(*) FROM every WHERE v = 'Canberra'""",
+        "q_scored_terms": _scored_terms_sql(),
         "q_daily_loads": POSTINGS[:-1] + f""",
 batch AS (SELECT ID, TITLE, JOB_CATEGORY, JOB_DATE, CITY FROM clean),
 first AS (SELECT * FROM batch WHERE JOB_DATE < DATE '{FIRST_LOAD}'),

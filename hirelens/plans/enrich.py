@@ -6,14 +6,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import functions as HF
 from hirelens import rules
-from hirelens.operators import broadcast_if_small, digest, first_per_key
-from hirelens.operators.skills import top_skills
-from hirelens.session import checkpointed
+from hirelens.operators import anti_join_new, broadcast_if_small, digest, first_per_key
+from hirelens.operators.skills import scored_terms, top_skills
+from hirelens.session import file_system
 
 
 def seniority_levels(clean: DataFrame) -> DataFrame:
@@ -49,6 +50,30 @@ def apply_to_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.S
     return values.mapInPandas(run, f"value string, `{out_col}` string, failed boolean")
 
 
+def kept_dictionary(df: DataFrame, columns: list[str], fn: Callable[[pd.Series], pd.Series], root: str,
+                    *, out_col: str = "translated") -> tuple[DataFrame, int, int]:
+    """U-2 / U-3 with memory: a stored value -> result table at ``root``. Only
+    values of ``columns`` that it has no answer for are called; their answers
+    are appended in one commit, failures too, marked, so that a later run calls
+    them again. Returns the dictionary (value, result; one row a value), how
+    many values were called and how many failed."""
+    spark = df.sparkSession
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(out_col, T.StringType()), T.StructField("failed", T.BooleanType())])
+    fs, path = file_system(spark, root)
+
+    def stored() -> DataFrame:
+        rows = spark.read.schema(schema).parquet(root) if fs.exists(path) else spark.createDataFrame([], schema)
+        return rows.where("NOT failed")
+    values = df.select(F.explode(F.array(*[F.col(f"`{c}`").cast("string") for c in columns])).alias("value")).where("value IS NOT NULL").distinct()
+    todo = anti_join_new(values, stored(), "value")
+    seen = Observation()
+    (apply_to_distinct(todo, "value", fn, out_col)
+     .observe(seen, F.count(F.lit(1)).alias("called"), F.count_if("failed").alias("failed")).write.mode("append").parquet(root))
+    got = seen.get
+    # two runs at once may both have answered a value
+    return stored().groupBy("value").agg(F.max(out_col).alias(out_col)), int(got["called"] or 0), int(got["failed"] or 0)
+
+
 def seniority_dictionary(clean: DataFrame,
                          classifier: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
     """M-11: SENIORITY (lower case) → SENIORITY_STANDARDIZED.
@@ -75,49 +100,42 @@ TRANSLATED_COLUMNS = ["CITY", "STATE", "ORGANIZATION", "SENIORITY"]
 
 
 def translate_columns(df: DataFrame, columns: list[str] | None = None, *, variant: str = "v2",
-                      translator: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
+                      translator: Callable[[pd.Series], pd.Series] | None = None, store: str | None = None) -> DataFrame:
     """F-28, translation to English of the listed columns.
 
-    Without a ``translator`` (no external service) every value is taken as
-    already English and only the placeholder rules apply, as one column
-    expression: v1 writes 'NA' for null or empty; v2 writes 'NA' for empty
-    and for the texts 'nan' / 'na' and keeps null. With a ``translator`` the
-    distinct values are translated once and looked up (J-5): v1 defaults an
-    unmatched or null value to 'NA', v2 keeps the original.
+    The placeholder rules apply first, as one column expression: v1 writes 'NA'
+    for null or empty; v2 writes 'NA' for empty and for the texts 'nan' / 'na'
+    and keeps null. Without a ``translator`` (no external service) every other
+    value is taken as already English. With one, the distinct other values of
+    all columns are translated once and looked up (J-5); a value that fails is
+    'NA' in v1 and stays as it is in v2. With ``store`` the answers are kept
+    there, and only values without one are called (:func:`kept_dictionary`).
     """
     columns = columns or TRANSLATED_COLUMNS
     tokens = rules.TRANSLATE_SKIP_TOKENS if variant == "v2" else None
+
+    def rule(c: str):
+        shown = HF.missing_as_na(c, tokens)
+        return F.when(F.col(f"`{c}`").isNotNull(), shown) if variant == "v2" else shown
     if translator is None:
-        out = df
-        for c in columns:
-            rule = HF.missing_as_na(c, tokens)
-            if variant == "v2":
-                rule = F.when(F.col(c).isNull(), F.lit(None).cast("string")).otherwise(rule)
-            out = out.withColumn(c, rule)
-        return out
-
-    def guarded(s: pd.Series) -> pd.Series:
-        skip = s.isna() | (s == "")
-        if tokens:
-            skip |= s.fillna("").str.strip().str.lower().isin(tokens)
-        out = s.copy().astype(object)
-        todo = ~skip
-        if todo.any():
-            out[todo] = translator(s[todo])
-        out[skip] = rules.NA_TOKEN
-        return out
-
-    # one dictionary for all columns: the batch is written once, the columns
-    # are stacked, and each distinct value is translated once
-    batch = checkpointed(df)
-    stacked = batch.select(F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("value"))
-    known = apply_to_distinct(stacked, "value", guarded, "translated").filter(~F.col("failed")).select("value", "translated")
+        return df.withColumns({c: rule(c) for c in columns})
+
+    def todo(c: str):  # what the placeholder rules leave as it is, tokens of that name too
+        skip = (F.col(f"`{c}`") == "") if not tokens else (F.col(f"`{c}`") == "") | F.lower(HF.strip(F.col(f"`{c}`"))).isin(tokens)
+        return F.when(~skip, F.col(f"`{c}`"))
+    values = df.select(*[todo(c).alias(c) for c in columns])
+    if store:
+        known, _, _ = kept_dictionary(values, columns, translator, store)
+    else:
+        stacked = values.select(F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("value"))
+        known = apply_to_distinct(stacked, "value", translator, "translated").filter(~F.col("failed")).select("value", "translated")
     known = broadcast_if_small(known.withColumnsRenamed({"value": "_dk", "translated": "_dv"}))
-    out = batch
+    out = df
     for c in columns:
-        fallback = F.lit(rules.NA_TOKEN) if variant == "v1" else F.col(f"`{c}`")
-        j = out.join(known, F.col(f"`{c}`") == F.col("_dk"), "left")
-        out = j.select(*[F.coalesce("_dv", fallback).alias(x) if x == c else F.col(f"`{x}`") for x in df.columns])
+        unknown = F.lit(rules.NA_TOKEN) if variant == "v1" else F.col(f"`{c}`")
+        new = F.when(todo(c).isNotNull(), F.coalesce("_dv", unknown)).otherwise(rule(c))
+        j = out.join(known, todo(c) == F.col("_dk"), "left")
+        out = j.select(*[new.alias(x) if x == c else F.col(f"`{x}`") for x in df.columns])
     return out
 
 
@@ -144,3 +162,10 @@ def top_job_skills(descriptions: DataFrame, *, role: str = "Job_Title", text: st
                  .select("job_title",
                          *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c)
                            for c in skills.columns if c != "job_title"]))
+
+
+def role_terms(descriptions: DataFrame, *, role: str = "Job_Title", text: str = "Job_Description", k: int = 10) -> DataFrame:
+    """M-12 without a lexicon: the terms that set each role's unique
+    descriptions apart from those of the other roles."""
+    unique = first_per_key(descriptions.filter(F.col(text).isNotNull()), [role, text], ["sheet_no", "row_no"])
+    return scored_terms(unique, role, text, k=k)

@@ -290,6 +290,39 @@ def q_distinct_function(spark, d):
     return out.select(F.col("value").alias("CITY"), "code", "failed")
 
 
+def _translator():
+    """A pure stand-in for a translation client; one place it can't do."""
+    def upper(values):
+        if (values == "Canberra").any():
+            raise ValueError("no translation")
+        return values.str.upper()
+    return upper
+
+
+def q_translate_kept(spark, d):
+    """All postings translated after the stored ones, by one kept dictionary."""
+    clean = _clean(spark, d).select("ID", "CITY", "STATE", "ORGANIZATION", "SENIORITY", "JOB_DATE")
+    store = shared_folder(spark, "translations")
+    enrich.translate_columns(clean.filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE)), translator=_translator(), store=store)
+    return enrich.translate_columns(clean.drop("JOB_DATE"), translator=_translator(), store=store)
+
+
+def q_kept_calls(spark, d):
+    """Values called and failed when a kept dictionary is asked for the stored
+    postings, for all postings, and for all once more."""
+    clean = _clean(spark, d).select("CITY", "SENIORITY", "JOB_DATE")
+    root = shared_folder(spark, "kept")
+    runs = []
+    for run, rows in enumerate([clean.filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE)), clean, clean]):
+        _, called, failed = enrich.kept_dictionary(rows, ["CITY", "SENIORITY"], _translator(), root)
+        runs.append((run, called, failed))
+    return spark.createDataFrame(runs, "run int, called long, failed long")
+
+
+def q_scored_terms(spark, d):
+    return enrich.role_terms(fixtures.descriptions(spark, d))
+
+
 # --- stores, files and tables, written and read back ------------------------------------------
 
 FIRST_LOAD, SECOND_LOAD = dt.date(1995, 1, 1), dt.date(1998, 1, 1)
@@ -386,6 +419,9 @@ QUERIES: dict[str, Query] = {
     "q_csv_text": q_csv_text,
     "q_row_counts": q_row_counts,
     "q_distinct_function": q_distinct_function,
+    "q_translate_kept": q_translate_kept,
+    "q_kept_calls": q_kept_calls,
+    "q_scored_terms": q_scored_terms,
     "q_daily_loads": q_daily_loads,
     "q_csv_typed": q_csv_typed,
     "q_sheets": q_sheets,
