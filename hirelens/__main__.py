@@ -47,10 +47,10 @@ def cmd_seniority(args) -> None:
 
 def cmd_models(args) -> None:
     from hirelens.plans import enrich, models
-    from hirelens.session import checkpointed
+    from hirelens.session import written
     spark = _session(args)
     clean = spark.read.parquet(args.clean)
-    profiles = checkpointed(models.posting_profiles(clean))
+    profiles = written(models.posting_profiles(clean), "profiles")[0]
     seniority = (spark.read.parquet(args.seniority) if args.seniority
                  else enrich.seniority_dictionary(profiles))
     out = args.out.rstrip("/")

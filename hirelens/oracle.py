@@ -301,7 +301,8 @@ GROUP BY s.source"""
 def _csv_block_sql() -> str:
     # The conversation texts hold no double quotes, so a CSV row is its
     # comma-separated fields (an empty field is null), as Spark's from_csv
-    # reads it; the line and block rules are those of the Spark query.
+    # reads it; the line and block rules are those of the Spark query. The
+    # answers with quoted line breaks hold one row each, spelt out here.
     breaks = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
     return f"""WITH t AS (
   SELECT conv_id, turn,
@@ -332,7 +333,9 @@ SELECT conv_id, turn, CAST(row_no AS INTEGER) AS row_no,
        NULLIF(string_split(line, ',')[1], '') AS job_title,
        NULLIF(string_split(line, ',')[2], '') AS technical_skills,
        NULLIF(string_split(line, ',')[3], '') AS soft_skills
-FROM x"""
+FROM x
+UNION ALL SELECT conv_id, CAST(-1000 - turn AS INTEGER), 0, 'Data' || chr(10) || 'Analyst', CAST(conv_id AS VARCHAR),
+       'say "hi", then' || chr(10) || 'go' FROM conversations"""
 
 
 def _top_job_skills_sql() -> str:
@@ -488,6 +491,19 @@ FROM lineitem""",
     dense_rank() OVER (ORDER BY source) - 1 AS sheet_no FROM documents)
 WHERE rn = 1 AND sheet_no > 0""",
         "q_replace_view": POSTINGS + "SELECT ID, TITLE, JOB_CATEGORY, JOB_DATE FROM clean WHERE JOB_DATE IS NOT NULL",
+        "q_marts": FACT_BASE + """SELECT 'by_city' AS mart, JOB_CATEGORY, CITY, NULL AS ORGANIZATION, NULL AS STATE, COUNT(DISTINCT ID) AS total_jobs FROM fact GROUP BY JOB_CATEGORY, CITY
+UNION ALL SELECT 'by_org', JOB_CATEGORY, NULL, ORGANIZATION, NULL, COUNT(DISTINCT ID) FROM fact GROUP BY ORGANIZATION, JOB_CATEGORY
+UNION ALL SELECT 'by_state', JOB_CATEGORY, NULL, NULL, STATE, COUNT(DISTINCT ID) FROM fact GROUP BY JOB_CATEGORY, STATE
+UNION ALL SELECT 'by_type', JOB_CATEGORY, NULL, NULL, NULL, COUNT(DISTINCT ID) FROM fact GROUP BY JOB_CATEGORY""",
+        "q_day_states": POSTINGS + """SELECT JOB_CATEGORY, year(JOB_DATE) AS "Year", 'year' AS level, COUNT(DISTINCT ID) AS total_jobs FROM clean GROUP BY 1, 2
+UNION ALL SELECT JOB_CATEGORY, NULL, 'all', COUNT(DISTINCT ID) FROM clean GROUP BY 1""",
+        "q_json_merged": """SELECT event_id, CASE event_id % 5 WHEN 0 THEN '7' WHEN 1 THEN event_type END AS "props.code",
+  CAST(NULL AS VARCHAR) AS "props.gone", CASE WHEN event_id % 5 = 4 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS "props.k",
+  CASE WHEN event_id % 5 = 2 THEN user_id + 0.5::DOUBLE END AS "props.score", CASE WHEN event_id % 5 = 1 THEN ['a', 'b'] END AS "props.tags",
+  CASE WHEN event_id % 5 = 0 THEN user_id END AS "props.user.id", CASE WHEN event_id % 5 = 0 THEN event_type END AS "props.user.kind" FROM events""",
+        "q_landed": _with(RAW) + """SELECT JOB_CATEGORY, CASE CAST(ID AS BIGINT) % 40 WHEN 0 THEN 'malformed' WHEN 1 THEN 'not an object' WHEN 2 THEN 'wrong type'
+    WHEN 3 THEN 'no id' END AS reason, count(*) AS records, count(DISTINCT CASE WHEN CAST(ID AS BIGINT) % 40 NOT IN (0, 1, 3) THEN ID END) AS ids
+FROM raw GROUP BY 1, 2""",
         "q_preview": """(SELECT event_id, ts, user_id, event_type, 'head' AS part FROM events ORDER BY ts, event_id LIMIT 5)
 UNION ALL (SELECT event_id, ts, user_id, event_type, 'tail' FROM events ORDER BY ts DESC, event_id DESC LIMIT 5)""",
         "q_distinct_function": POSTINGS + ("SELECT DISTINCT CITY, CASE WHEN CITY = 'Canberra' THEN 'none' ELSE upper(left(CITY, 3)) END "

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.operators import collapse_max, count_distinct_by, distinct_rows, lag_trend, sum_by
-from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small, measured_sizes
+from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small
 from hirelens.schemas import FACT_COLUMNS, LINK_COLUMNS, POSTING_KEY
-from hirelens.session import checkpointed
+from hirelens.session import written
 
 
 def base_city(clean: DataFrame) -> DataFrame:
@@ -119,23 +119,23 @@ def fact_postings(clean: DataFrame, seniority: DataFrame | None = None, *, profi
     """
     from hirelens.plans.enrich import seniority_dictionary
     if profiles is None:
-        profiles = checkpointed(posting_profiles(clean))
-    seniority = seniority_dictionary(profiles) if seniority is None else checkpointed(seniority)
+        profiles, _, _ = written(posting_profiles(clean), "profiles")
+    seniority = seniority_dictionary(profiles) if seniority is None else written(seniority, "seniority")[0]
     state_dim = (base_state(base_city(profiles))
                  .filter(F.col("CITY_STANDARDIZED").isNotNull())
                  .groupBy("CITY_STANDARDIZED")
                  .agg(F.max("STATE_STANDARDIZED").alias("STATE_STANDARDIZED")))
-    city_dim = checkpointed(
+    city_dim, *city_size = written(
         profiles.select("CITY").filter(F.col("CITY").isNotNull()).distinct()
         .withColumn("CITY_STANDARDIZED", HF.city_standardized("CITY"))
-        .join(state_dim, "CITY_STANDARDIZED", "inner").select("CITY", "CITY_STANDARDIZED", "STATE_STANDARDIZED"))
-    sen_dim = checkpointed(
+        .join(state_dim, "CITY_STANDARDIZED", "inner").select("CITY", "CITY_STANDARDIZED", "STATE_STANDARDIZED"), "city-side")
+    sen_dim, *sen_size = written(
         seniority.filter(F.col("SENIORITY").isNotNull())
         .groupBy(F.col("SENIORITY").alias("_SEN_KEY"))
-        .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")))
+        .agg(F.max("SENIORITY_STANDARDIZED").alias("SENIORITY_STANDARDIZED")), "seniority-side")
     posting_sen = F.lower("SENIORITY") if seniority_match == "casefold" else F.col("SENIORITY")
     postings = clean.withColumn("_SEN", posting_sen)
-    if not all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES for n, b in measured_sizes(city_dim, sen_dim)):
+    if not all(n <= BROADCAST_MAX_ROWS and b <= BROADCAST_MAX_BYTES for n, b in (city_size, sen_size)):
         joined = (postings.join(city_dim, "CITY", "inner")
                           .join(sen_dim, F.col("_SEN") == sen_dim["_SEN_KEY"], "inner"))
         out = collapse_max(joined, POSTING_KEY, {
@@ -143,10 +143,10 @@ def fact_postings(clean: DataFrame, seniority: DataFrame | None = None, *, profi
             "SENIORITY": "SENIORITY_STANDARDIZED"})
         return out.select(*FACT_COLUMNS)
 
-    vocab = checkpointed(_vocabulary({
+    vocab, _, _ = written(_vocabulary({
         "c": (city_dim, "CITY_STANDARDIZED"),
         "s": (city_dim, "STATE_STANDARDIZED"),
-        "e": (sen_dim, "SENIORITY_STANDARDIZED")}))
+        "e": (sen_dim, "SENIORITY_STANDARDIZED")}), "vocabulary")
     city_side = (city_dim.join(F.broadcast(_codes(vocab, "c", "CITY_STANDARDIZED", "_c")), "CITY_STANDARDIZED", "left")
                  .join(F.broadcast(_codes(vocab, "s", "STATE_STANDARDIZED", "_s")), "STATE_STANDARDIZED", "left")
                  .select("CITY", "_c", "_s"))
@@ -180,8 +180,13 @@ def fact_postings_naive(clean: DataFrame, seniority: DataFrame) -> DataFrame:
 
 
 def job_links(clean: DataFrame) -> DataFrame:
-    """M-4: distinct links, sorted by (category, ID, title); nulls last."""
-    return distinct_rows(clean, LINK_COLUMNS).orderBy(*_asc("JOB_CATEGORY", "ID", "TITLE"))
+    """M-4: distinct links, sorted by (category, ID, title); nulls last.
+
+    Rows are dealt by ranges of the sort columns once: equal rows meet in a
+    range, so the distinct needs no shuffle of its own, and ranges are in
+    order, so neither does the sort."""
+    order = _asc("JOB_CATEGORY", "ID", "TITLE")
+    return distinct_rows(clean.select(*LINK_COLUMNS).repartitionByRange(*order)).orderBy(*order)
 
 
 def _asc(*cols: str):
@@ -211,6 +216,31 @@ def jobs_by_type(fact: DataFrame) -> DataFrame:
             .orderBy(*_asc("JOB_CATEGORY"), F.col("total_jobs").desc_nulls_first()))
 
 
+MARTS = {
+    "by_city": ["JOB_CATEGORY", "CITY"],
+    "by_org": ["ORGANIZATION", "JOB_CATEGORY"],
+    "by_state": ["JOB_CATEGORY", "STATE"],
+    "by_type": ["JOB_CATEGORY"],
+}
+
+
+def jobs_marts(fact: DataFrame) -> DataFrame:
+    """M-5 ... M-8 at once, by GROUPING SETS: one scan of the fact rows and one
+    pair of shuffles for all of them. ``mart`` names the set; the columns that
+    a set doesn't group by are null there."""
+    columns = list(dict.fromkeys(c for cols in MARTS.values() for c in cols))
+    grouped = fact.groupingSets([[F.col(c) for c in cols] for cols in MARTS.values()], *columns).agg(
+        F.countDistinct("ID").alias("total_jobs"), F.grouping_id().alias("_set"))
+    ids = {sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in cols): name for name, cols in MARTS.items()}
+    name = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    return grouped.select(name[F.col("_set").cast("int")].alias("mart"), *columns, "total_jobs")
+
+
+def mart(marts: DataFrame, name: str) -> DataFrame:
+    """One mart of :func:`jobs_marts`, with its own columns."""
+    return marts.where(F.col("mart") == name).select(*MARTS[name], "total_jobs")
+
+
 def jobs_daily(fact: DataFrame) -> DataFrame:
     """M-9: distinct postings per category and raw JOB_DATE, with the date,
     month and year of that date (BIGINT parts)."""

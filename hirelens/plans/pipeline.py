@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hirelens.plans import enrich, models
-from hirelens.session import checkpointed
+from hirelens.session import written
 from hirelens.sources.tables import materialize_view
 
 TABLES = ["base_city", "base_state", "job_seniority", "int_postings", "int_job_links"]
@@ -29,7 +29,7 @@ def run_models(clean: DataFrame, seniority: DataFrame | None = None) -> dict[str
     table, the dictionary is derived from the postings (M-11) and saved as
     ``job_seniority``. Returns the row count of each table written."""
     counts: dict[str, int] = {}
-    profiles = checkpointed(models.posting_profiles(clean))
+    profiles = written(models.posting_profiles(clean), "profiles")[0]
     city = _save(models.base_city(profiles), "base_city", counts)
     _save(models.base_state(city), "base_state", counts)
     if seniority is None:

@@ -16,11 +16,13 @@ from hirelens.operators import (
     anti_join_new, dictionary_lookup, first_per_key, ordered_distinct, preview, recent_capped, row_counts,
 )
 from hirelens.operators.skills import top_skills
-from hirelens.plans import enrich, ingest, models
-from hirelens.session import checkpointed, shared_folder
+from hirelens.plans import daystates, enrich, ingest, models
+from hirelens.session import shared_folder, written
 from hirelens.sources import fixtures
 from hirelens.sources.csvfiles import read_csv
-from hirelens.sources.feed import csv_fields, csv_line, flatten_structs, tag_categories, union_aligned, write_csv
+from hirelens.sources.feed import (
+    csv_fields, csv_line, flatten_json, flatten_structs, land_json, tag_categories, union_aligned, write_csv,
+)
 from hirelens.sources.loads import load_new, read_loads
 from hirelens.sources.sheets import later_first, read_sheets
 from hirelens.sources.tables import append_table, materialize_view, read_table, replace_table
@@ -40,7 +42,7 @@ def _clean(spark, d):
 
 def _fact(spark, d):
     clean = _clean(spark, d)
-    profiles = checkpointed(models.posting_profiles(clean))
+    profiles = written(models.posting_profiles(clean), "profiles")[0]
     return models.fact_postings(clean, profiles=profiles)
 
 
@@ -369,6 +371,43 @@ def q_replace_view(spark, d):
     raise AssertionError("columns in another order must be refused")
 
 
+def q_marts(spark, d):
+    return models.jobs_marts(_fact(spark, d))
+
+
+def q_day_states(spark, d):
+    """Distinct postings by category and year, and by category, from the
+    states of three loads; the second load is added twice."""
+    rows = _clean(spark, d).select("JOB_CATEGORY", "JOB_DATE", "ID")
+    root, keys = shared_folder(spark, "day-states"), ["JOB_CATEGORY", "JOB_DATE"]
+    early, late = F.col("JOB_DATE") < FIRST_LOAD, F.col("JOB_DATE") < SECOND_LOAD
+    daystates.add_load(rows.filter(early), root, FIRST_LOAD.isoformat(), keys)
+    for _ in range(2):
+        daystates.add_load(rows.filter(late & ~early), root, SECOND_LOAD.isoformat(), keys)
+    daystates.add_load(rows.filter(~late | F.col("JOB_DATE").isNull()), root, "rest", keys)
+    states = daystates.read_states(spark, root, rows.select(*keys).schema)
+    year = F.year("JOB_DATE").cast("long").alias("Year")
+    by_year = daystates.count_states(states, ["JOB_CATEGORY", year, F.lit("year").alias("level")])
+    return by_year.union(daystates.count_states(states, ["JOB_CATEGORY", F.lit(None).cast("long").alias("Year"), F.lit("all").alias("level")]))
+
+
+def q_json_merged(spark, d):
+    return flatten_json(fixtures.json_events(spark, d), "props")
+
+
+def q_landed(spark, d):
+    """Records of a landing folder by category and reason of rejection (none:
+    good rows), with the distinct IDs among them."""
+    root = shared_folder(spark, "landing")
+    fixtures.land_records(spark, d, root)
+    landed = land_json(spark, root)
+    if landed.rejects.count() + landed.rows.count() != landed.counts["records"]:
+        raise AssertionError("rows and rejects must be all records")
+    good = landed.rows.select(F.col("job_category").alias("JOB_CATEGORY"), F.lit(None).cast("string").alias("reason"), "id")
+    bad = landed.rejects.select(F.col("job_category").alias("JOB_CATEGORY"), "reason", F.get_json_object("record", "$.id").alias("id"))
+    return good.union(bad).groupBy("JOB_CATEGORY", "reason").agg(F.count("*").alias("records"), F.countDistinct("id").alias("ids"))
+
+
 def q_preview(spark, d):
     ev = _events(spark, d)
     order = [("ts", True), ("event_id", True)]
@@ -427,4 +466,8 @@ QUERIES: dict[str, Query] = {
     "q_sheets": q_sheets,
     "q_replace_view": q_replace_view,
     "q_preview": q_preview,
+    "q_marts": q_marts,
+    "q_day_states": q_day_states,
+    "q_json_merged": q_json_merged,
+    "q_landed": q_landed,
 }

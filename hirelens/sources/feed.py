@@ -4,14 +4,17 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens import rules
 from hirelens.schemas import LANDED_JSON_SCHEMA
+from hirelens.session import shared_folder
 
 
 CORRUPT = "_corrupt_record"
@@ -45,6 +48,65 @@ def corrupt_counts(spark: SparkSession, root: str, schema: T.StructType = LANDED
     return lines.groupBy(category_col).agg(F.count("*").alias("records"), F.count(record[CORRUPT]).alias("malformed"))
 
 
+@dataclass
+class Landed:
+    """Good rows, rejected records (category, record, reason) and how many of
+    each were seen on the one write that made both."""
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def land_json(spark: SparkSession, root: str, schema: T.StructType = LANDED_JSON_SCHEMA, *, required: tuple[str, ...] = ("id",),
+              category_col: str = "job_category") -> Landed:
+    """S-1 with a reject table: one scan of a landing folder, one write. Every
+    record that isn't blank is a good row or a reject with its first reason:
+    ``malformed`` (no JSON), ``not an object``, ``wrong type`` (a value that its
+    column's type can't hold) or ``no <field>`` for a required one."""
+    lines = spark.read.option("basePath", root).text(root).filter(F.trim("value") != "")
+    fields = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    record = F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    value = F.try_parse_json("value")
+    parsed = lines.select(category_col, "value", record.alias("r"), F.schema_of_variant(value).alias("kind"))
+    reason = (F.when(F.col("kind").isNull(), "malformed").when(~F.col("kind").startswith("OBJECT"), "not an object")
+              .when(F.col(f"r.{CORRUPT}").isNotNull(), "wrong type"))
+    for c in required:
+        reason = reason.when(F.col(f"r.`{c}`").isNull(), f"no {c}")
+    parsed = parsed.select(category_col, "value", "r", reason.alias("reason")).withColumn("rejected", F.col("reason").isNotNull())
+    seen, path = Observation(), shared_folder(spark, "landed")
+    reasons = ["malformed", "not an object", "wrong type", *[f"no {c}" for c in required]]
+    counts = [F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("reason") == x).alias(x) for x in reasons]]
+    parsed.observe(seen, *counts).write.partitionBy("rejected").parquet(path)
+    back = spark.read.schema(parsed.schema).parquet(path)
+    rows = back.where("NOT rejected").select(*[F.col(f"r.`{c}`").alias(c) for c in schema.fieldNames()], category_col)
+    return Landed(rows, back.where("rejected").select(category_col, F.col("value").alias("record"), "reason"),
+                  {k: int(v or 0) for k, v in seen.get.items()})
+
+
+def merged_json_schema(df: DataFrame, column: str) -> T.StructType:
+    """The schema of all JSON objects in a text column: each text's own schema,
+    merged in one distributed aggregate. Decimal numbers are double; a field
+    whose values are of types that don't meet, or always null, is text. Texts
+    that hold no JSON object add nothing."""
+    value = F.try_parse_json(F.col(f"`{column}`"))
+    objects = F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+    merged = df.select(F.schema_of_variant_agg(objects)).first()[0]
+    if not merged.startswith("OBJECT<"):
+        return T.StructType([])
+    typed = re.sub(r"DECIMAL\(\d+, ?\d+\)|FLOAT", "DOUBLE", merged)
+    typed = re.sub(r"\b(VOID|VARIANT|OBJECT<>)(?=[,>]|$)", "STRING", typed).replace("OBJECT<", "STRUCT<")
+    return T._parse_datatype_string(typed)
+
+
+def flatten_json(df: DataFrame, column: str, schema: T.StructType | None = None) -> DataFrame:
+    """S-3 without a given schema: the text column's JSON objects as
+    ``column.a.b`` columns; a missing key is null, lists stay as values."""
+    schema = merged_json_schema(df, column) if schema is None else schema
+    if not schema.fields:
+        return df.drop(column)
+    return flatten_structs(df.withColumn(column, F.from_json(F.col(f"`{column}`"), schema)))
+
+
 def union_aligned(frames: list[DataFrame]) -> DataFrame:
     """U-ALL: union all by name; a column missing from a frame is null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

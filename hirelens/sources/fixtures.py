@@ -134,13 +134,45 @@ ANSWER_HEAD = "Here it is:\nJob_Title,technical_skills,soft_skills\nData Analyst
 ANSWER_TAIL = "\nData Engineer,spark,\nData Scientist,python,curiosity\nThanks, all"
 
 
+QUOTED_HEAD = 'Job_Title,technical_skills,soft_skills\n"Data\nAnalyst",'
+QUOTED_TAIL = ',"say ""hi"", then\ngo"\nnot in the block'
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation turn, and for each one an answer that holds a CSV
-    block between other lines (with a negative turn number)."""
+    block between other lines (with a negative turn number), and one whose
+    block has quoted line breaks (a negative number from -1000 down)."""
     conv = read_table(spark, sf_dir, "conversations")
-    block = F.concat(F.lit(ANSWER_HEAD), F.col("conv_id").cast("string"), F.lit(","), F.col("role"), F.lit(ANSWER_TAIL))
+    conv_id = F.col("conv_id").cast("string")
+    block = F.concat(F.lit(ANSWER_HEAD), conv_id, F.lit(","), F.col("role"), F.lit(ANSWER_TAIL))
+    quoted = F.concat(F.lit(QUOTED_HEAD), conv_id, F.lit(QUOTED_TAIL))
     return (conv.select("conv_id", F.col("turn").cast("int").alias("turn"), "text")
-            .union(conv.select("conv_id", (-1 - F.col("turn")).cast("int").alias("turn"), block.alias("text"))))
+            .union(conv.select("conv_id", (-1 - F.col("turn")).cast("int").alias("turn"), block.alias("text")))
+            .union(conv.select("conv_id", (-1000 - F.col("turn")).cast("int").alias("turn"), quoted.alias("text"))))
+
+
+def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with a JSON text whose keys and types depend on the event:
+    a nested object, a list, a key of two types and texts without JSON."""
+    ev = read_table(spark, sf_dir, "events")
+    n = F.col("event_id") % 5
+    text = (F.when(n == 0, F.concat(F.lit('{"user": {"id": '), F.col("user_id").cast("string"), F.lit(', "kind": "'), F.col("event_type"), F.lit('"}, "code": 7}')))
+            .when(n == 1, F.concat(F.lit('{"code": "'), F.col("event_type"), F.lit('", "tags": ["a", "b"]}')))
+            .when(n == 2, F.concat(F.lit('{"score": '), F.col("user_id").cast("string"), F.lit('.5, "gone": null}')))
+            .when(n == 3, F.lit("no json")).otherwise(F.col("props")))
+    return ev.select("event_id", text.alias("props"))
+
+
+def land_records(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Every raw posting as a JSON record in a landing folder by category;
+    some are cut short, no object, of a wrong type or without an id."""
+    raw = raw_feed(spark, sf_dir).select("ID", "TITLE", "JOB_CATEGORY", "ORGANIZATION")
+    n = F.col("ID").cast("long") % 40
+    whole = F.to_json(F.struct(F.col("ID").alias("id"), F.col("TITLE").alias("title"), F.col("ORGANIZATION").alias("organization")))
+    line = (F.when(n == 0, F.left(whole, F.length(whole) - 2)).when(n == 1, F.lit("[1, 2]"))
+            .when(n == 2, F.concat(F.left(whole, F.length(whole) - 1), F.lit(', "employment_type": 5}')))
+            .when(n == 3, F.to_json(F.struct(F.col("TITLE").alias("title")))).otherwise(whole))
+    raw.select(line.alias("value"), F.col("JOB_CATEGORY").alias("job_category")).write.partitionBy("job_category").text(root)
 
 
 def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
