@@ -15,14 +15,21 @@
    that source's permuted blocks, so draws are disjoint.
 4. Within a shard, blocks are ordered by a seeded hash.
 
-The per-source table (one row for each source) is the only thing on the
-driver. Word positions come from sums in small hashed groups of documents, so a
-source with a third of all documents is spread over many tasks.
+Sizes. A shard holds about ``SHARD_WORDS`` words (``shards`` sets another
+number), one task each. A block holds ``block_words`` words, or more on a corpus
+of so many that it would have over ``MOST_BLOCKS`` blocks: the library that
+draws takes pools of less than 10^9.
+
+The per-source plan (one row for each source, with its shards' quotas) is the
+only thing on the driver. Word positions come from sums in small hashed groups
+of documents and in ranges of groups, so a source with a third of all documents
+is spread over many tasks.
 
 Defined results: a null text has no words; a document without words, or of a
 source without words, is taken 0 times and is in no shard; null sources are one
-source, the last; a null doc_id is kept; repeated rows are separate documents;
-an empty table gives an empty result. Reruns on the same rows agree.
+source, the last; a null doc_id is kept; rows that share id, source and text are
+separate documents, numbered in the order of a hash of their other columns; an
+empty table gives an empty result. Reruns on the same rows agree.
 """
 
 from __future__ import annotations
@@ -38,10 +45,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm._shared import Scratch
+from hirelens.operators.joins import broadcast_if_small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 GROUP_DOCS = 1024
+RANGE_GROUPS = 1024
+SHARD_WORDS = 1 << 24
+MOST_BLOCKS = 1 << 28
+COPIES = 4096
 BROADCAST_SOURCES = 10_000
 
 
@@ -115,15 +127,30 @@ def plan_sources(sizes: pd.DataFrame, share: float, most: float, block_words: in
 
 @dataclass
 class Mix:
-    """``documents``: doc_id, source, mark, copy, size, source_size, target,
-    taken, pieces (shard, pass, block, from, to; word positions).
-    ``sources``: the per-source plan."""
+    """``documents``: doc_id, source, mark, copies (rows of that key), copy (0,
+    1, .. among them), size, source_size, target, taken, pieces (shard, pass,
+    block, from, to; word positions). ``sources``: the per-source plan."""
     documents: DataFrame
     sources: pd.DataFrame
+    shards: int
+
+
+def _repeated(n: str, out: str) -> tuple:
+    """0 .. n - 1 as rows, by two steps so that no array holds them all."""
+    return (F.explode(F.expr(f"sequence(0L, ({n} - 1) div {COPIES})")).alias("_chunk"),
+            F.explode(F.expr(f"sequence(_chunk * {COPIES}, least({n}, (_chunk + 1) * {COPIES}) - 1)")).alias(out))
+
+
+def _shard_lookup(upto: list[np.ndarray]):
+    """The shard of each draw, from the shards' last draws of each source."""
+    def look(nth: pd.Series, draws: pd.Series) -> pd.Series:
+        return pd.Series([np.searchsorted(upto[i], np.asarray(d, dtype=np.int64), side="right").astype(np.int32) for i, d in zip(nth, draws)],
+                         dtype=object)
+    return F.pandas_udf(look, "array<int>")
 
 
 def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        share: float = 1.5, most: float = 2.0, block_words: int = 4096, shards: int = 64, seed: int = 4) -> Mix:
+        share: float = 1.5, most: float = 2.0, block_words: int = 4096, shards: int | None = None, seed: int = 4) -> Mix:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        mark(F.col(text_col)).alias("mark"),
@@ -131,40 +158,55 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     rows = scratch.save(rows.groupBy("doc_id", "source", "mark", "size").agg(F.count("*").alias("copies")), "rows")
     sizes = (rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("n_rows"))
              .orderBy(F.col("source").asc_nulls_last()).toPandas())  # a row for each source
+    words = share * float(sum(int(n) for n in sizes["source_size"]))
+    shards = shards or max(1, math.ceil(words / SHARD_WORDS))
+    block_words = max(block_words, math.ceil(words / MOST_BLOCKS))
     plan = plan_sources(sizes, share, most, block_words, shards, seed)
     table = spark.createDataFrame(
-        [(r.source, int(r.source_size), int(r.n_rows), float(r.target), int(r.blocks), int(r.draws), int(r.cut), r.mul, r.add, r.upto)
-         for r in plan.itertuples()],
-        "source string, source_size long, n_rows long, target double, blocks long, draws long, cut long, "
-        "mul array<long>, add array<long>, upto array<long>")
+        [(i, r.source, int(r.source_size), int(r.n_rows), float(r.target), int(r.blocks), int(r.draws), int(r.cut), r.mul, r.add)
+         for i, r in enumerate(plan.itertuples())],
+        "nth int, source string, source_size long, n_rows long, target double, blocks long, draws long, cut long, "
+        "mul array<long>, add array<long>")
     if len(plan) <= BROADCAST_SOURCES:  # beyond it, the join shuffles
         table = F.broadcast(table)
     placed = (rows.join(table.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))).drop("named")
               .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "mark"))
               .withColumn("group", F.expr(f"pmod(order, n_rows div {GROUP_DOCS} + 1)"))
               .withColumn("words", F.col("size") * F.col("copies")))
-    within = Window.partitionBy("source", "group").orderBy("order", "doc_id", "mark", "size").rowsBetween(Window.unboundedPreceding, -1)
-    groups = placed.groupBy("source", "group").agg(F.sum("words").alias("held"))
-    ahead = Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(F.col("source").alias("s"), F.col("group").alias("g"),
-                           F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("ahead"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    within = before(Window.partitionBy("source", "group").orderBy("order", "doc_id", "mark", "size"))
+    groups = placed.groupBy("source", "group").agg(F.sum("words").alias("held")).withColumn("range", F.expr(f"group div {RANGE_GROUPS}"))
+    ranges = groups.groupBy("source", "range").agg(F.sum("held").alias("held"))
+    ranges = ranges.select(F.col("source").alias("s"), F.col("range").alias("r"), F.sum("held").over(
+        before(Window.partitionBy("source").orderBy("range"))).alias("ranges_ahead"))
+    groups = groups.withColumn("groups_ahead", F.sum("held").over(before(Window.partitionBy("source", "range").orderBy("group"))))
+    groups = groups.join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r"))).select(
+        F.col("source").alias("s"), F.col("group").alias("g"),
+        (F.coalesce("ranges_ahead", F.lit(0)) + F.coalesce("groups_ahead", F.lit(0))).alias("ahead"))
+    chunk, copy = _repeated("copies", "copy")
     at = (placed.withColumn("before", F.coalesce(F.sum("words").over(within), F.lit(0)))
           .join(groups, F.col("source").eqNullSafe(F.col("s")) & (F.col("group") == F.col("g")))
-          .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
-          .withColumn("first", F.col("ahead") + F.col("before") + (F.col("copy") - 1) * F.col("size")))
+          .select("*", chunk).select("*", copy)
+          .withColumn("first", F.col("ahead") + F.col("before") + F.col("copy") * F.col("size")))
     pieces = F.expr(f"""
-        CASE WHEN size = 0 OR draws = 0 THEN cast(array() AS array<struct<shard:int,pass:int,block:bigint,from:bigint,to:bigint>>)
+        CASE WHEN size = 0 OR draws = 0 THEN cast(array() AS array<struct<draw:bigint,pass:int,block:bigint,from:bigint,to:bigint>>)
         ELSE filter(flatten(transform(sequence(0, size(mul) - 1), p ->
           transform(sequence(first div {block_words}, (first + size - 1) div {block_words}), k -> transform(
             array(p * blocks + (mul[p] * k + add[p]) % blocks), draw -> struct(
-              size(filter(upto, x -> x <= draw)) AS shard, p AS pass, k AS block,
+              draw, p AS pass, k AS block,
               greatest(k * {block_words} - first, 0L) AS from,
               CASE WHEN draw >= draws THEN 0L ELSE least(size, (k + 1) * {block_words} - first,
                 CASE WHEN draw = draws - 1 THEN least((k + 1) * {block_words}, source_size) - cut - first ELSE size END) END AS to))[0]))),
           x -> x.to > x.from) END""")
-    documents = at.withColumn("pieces", pieces).withColumn(
-        "taken", F.expr("aggregate(pieces, 0L, (n, x) -> n + x.to - x.from)"))
-    return Mix(documents.select("doc_id", "source", "mark", "copy", "size", "source_size", "target", "taken", "pieces"), plan)
+    look = _shard_lookup([np.asarray(u, dtype=np.int64) for u in plan["upto"]])
+    documents = at.withColumn("drawn", pieces).withColumn("in_shard", look("nth", F.col("drawn.draw")))
+    field = lambda name: F.col(f"drawn.{name}").alias(name)
+    documents = documents.withColumn("pieces", F.arrays_zip(F.col("in_shard").alias("shard"), *map(field, ("pass", "block", "from", "to"))))
+    documents = documents.withColumn("taken", F.expr("aggregate(drawn, 0L, (n, x) -> n + x.to - x.from)"))
+    documents = scratch.save(documents.select("doc_id", "source", "mark", "copies", "copy", "size", "source_size", "target", "taken", "pieces"),
+                             "documents")
+    scratch.drop("rows")
+    return Mix(documents, plan, shards)
 
 
 def mark(text):
@@ -172,16 +214,9 @@ def mark(text):
     return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
 
 
-def _cut(text: pd.Series, size: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-    """The words from ``start`` to ``end`` of each text, with what stands
-    between them, packed for the shuffle; a whole text stays as it is."""
-    out, pack = [], zstandard.ZstdCompressor(level=3).compress
-    for t, n, a, z in zip(text, size, start, end):
-        if a > 0 or z < n:
-            spans = [m.span() for i, m in enumerate(re.finditer(WORD, t)) if i in (a, z - 1)]
-            t = t[spans[0][0]:spans[-1][1]]
-        out.append(pack(t.encode("utf-8", "surrogatepass")))
-    return pd.Series(out, dtype=object)
+def _packed(text: pd.Series) -> pd.Series:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pd.Series([pack((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=object)
 
 
 def _unpacked(text: pd.Series) -> pd.Series:
@@ -189,27 +224,57 @@ def _unpacked(text: pd.Series) -> pd.Series:
     return pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
 
 
+def _cut(text: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
+    """The words from ``start`` to ``end`` of each packed text, with what
+    stands between them; null where there is no text to cut."""
+    out = []
+    pack, plain = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+    for t, a, z in zip(text, start, end):
+        if t is not None:
+            t = plain(t).decode("utf-8", "surrogatepass")
+            spans = [m.span() for i, m in enumerate(re.finditer(WORD, t)) if i in (a, z - 1)]
+            t = pack(t[spans[0][0]:spans[-1][1]].encode("utf-8", "surrogatepass"))
+        out.append(t)
+    return pd.Series(out, dtype=object)
+
+
 def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               length_col: str | None = "n_chars", seed: int = 4, shards: int = 64) -> DataFrame:
+               length_col: str | None = "n_chars", seed: int = 4) -> DataFrame:
     """The mix as rows of ``docs``: one for each piece drawn, its text cut to
-    the piece, dealt out by shard and in seeded order there."""
+    the piece, dealt out by shard (one task each) and in seeded order there.
+
+    Texts move packed: once to their pieces, by a join on the row's key, and
+    once to their shards. Only keys that several rows share are numbered first;
+    equal rows of such a key are counted before they move."""
     def key(doc_id, source, text_mark):
         """Null-free parts of a row's key, which grouping and join are dealt by."""
         return [F.coalesce(doc_id, F.lit(0)).alias("i"), doc_id.isNull().alias("ni"), F.coalesce(source, F.lit("")).alias("s"),
                 source.isNull().alias("ns"), text_mark.alias("k")]
     parts = ["i", "ni", "s", "ns", "k"]
-    drawn = m.documents.where("taken > 0").select(*key(F.col("doc_id"), F.col("source"), F.col("mark")), "size", "pieces")
+    drawn = m.documents.where("taken > 0").select(*key(F.col("doc_id"), F.col("source"), F.col("mark")), "copies", "copy", "size", "pieces")
     own = key(F.col(id_col).cast("long"), F.col(source_col).cast("string"), mark(F.col(text_col)))
-    once = docs.select(*own, F.struct(*docs.columns).alias("row")).groupBy(*parts).agg(F.first("row").alias("row"))
-    joined = once.join(drawn, parts)
-    x = joined.select("row", "size", F.explode("pieces").alias("x"))
-    text = F.pandas_udf(_cut, "binary")(F.col("row").getField(text_col), "size", "x.from", "x.to")
-    others = F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != text_col])
-    order = F.xxhash64(F.lit(seed), F.col("row").getField(source_col), "x.pass", "x.block")
-    dealt = (x.select(others.alias("row"), text.alias("packed"), "x.shard", order.alias("order"), F.col("x.from").alias("from"))
-             .repartition(shards, "shard").sortWithinPartitions("shard", "order", "from")
+    at = {c: f"o{j}" for j, c in enumerate(docs.columns) if c != text_col}  # apart from the names used here
+    others = list(at.values())
+    rows = docs.select(*own, *[F.col(f"`{c}`").alias(o) for c, o in at.items()], F.pandas_udf(_packed, "binary")(F.col(text_col)).alias("packed"))
+    once = rows.join(drawn.where("copies = 1").drop("copies", "copy").hint("shuffle_hash"), parts)
+
+    shared = broadcast_if_small(drawn.where("copies > 1 AND copy = 0").select(*parts))
+    kinds = (rows.join(shared, parts, "left_semi").withColumn("kind", F.xxhash64(*others))
+             .groupBy(*parts, "kind").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in (*others, "packed")]))
+    ahead = Window.partitionBy(*parts).orderBy("kind").rowsBetween(Window.unboundedPreceding, -1)
+    chunk, nth = _repeated("n", "nth")
+    numbered = (kinds.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).select("*", chunk).select("*", nth)
+                .select(*parts, (F.col("ahead") + F.col("nth")).alias("copy"), *others, "packed"))
+    again = numbered.join(drawn.where("copies > 1").drop("copies"), [*parts, "copy"])
+    columns = [*others, "packed", "size"]
+    x = once.select(*columns, "pieces").union(again.select(*columns, "pieces")).select(*columns, F.explode("pieces").alias("x"))
+    partly = (F.col("x.from") > 0) | (F.col("x.to") < F.col("size"))
+    cut = F.pandas_udf(_cut, "binary")(F.when(partly, F.col("packed")), "x.from", "x.to")
+    order = F.xxhash64(F.lit(seed), at[source_col], "x.pass", "x.block")
+    dealt = (x.select(*others, F.coalesce(cut, "packed").alias("packed"), "x.shard", order.alias("order"), F.col("x.from").alias("from"))
+             .repartitionById(m.shards, "shard").sortWithinPartitions("shard", "order", "from")
              .withColumn("text", F.pandas_udf(_unpacked, "string")("packed")))
     value = {text_col: F.col("text")}
     if length_col in docs.columns:
         value[length_col] = F.length("text").cast(docs.schema[length_col].dataType)
-    return dealt.select(*[(value[c] if c in value else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return dealt.select(*[(value[c] if c in value else F.col(at[c])).alias(c) for c in docs.columns])

@@ -79,9 +79,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the words that the mix takes from each."""
+    """All documents with the words that the mix takes from each, and the pieces
+    of blocks that they lie in, with their shards."""
     got = mix(table(spark, sf_dir, "documents"), Scratch(spark, "mixing"))
-    return got.documents.select("doc_id", "size", "source_size", "target", "taken")
+    return got.documents.select("doc_id", "size", "source_size", "target", "taken", "pieces")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,15 +117,24 @@ def test_components_of_paths_with_shuffled_ids(spark):
 # mixing
 
 
+def filled(sources, total):
+    """{source: (size, weight)}: how far each fills up when water rises by
+    weight and stops at twice its size; the level is found by bisection."""
+    low, high = 0.0, 2 * total + 1
+    for _ in range(300):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(w * level, 2 * n) for n, w in sources.values()) < total else (low, level)
+    return {s: min(w * high, 2 * n) for s, (n, w) in sources.items()}
+
+
 def check_mix(rows, got, share=1.5):
     """rows: (doc_id, source, text); got: rows of the query."""
     size = collections.Counter()
     for _, s, t in rows:
         size[s] += len(WORD.findall(t or ""))
     names = sorted(size, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
-    want = mixing.targets([size[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))], share * sum(size.values()))
-    goal = dict(zip(names, want))
-    assert sum(want) == pytest.approx(share * sum(size.values()))
+    goal = filled({s: (size[s], (5, 2, 1)[i % 3]) for i, s in enumerate(names)}, share * sum(size.values()))
+    assert sum(goal.values()) == pytest.approx(share * sum(size.values()))
     assert collections.Counter((r.doc_id, r.size) for r in got) == collections.Counter((d, len(WORD.findall(t or ""))) for d, _, t in rows)
     assert all(0 <= r.taken <= 2 * r.size for r in got)
     taken = collections.Counter()
@@ -143,6 +152,49 @@ def test_query_op4(spark):
     got = queries.op4_mixing(spark, SF).collect()
     check_mix(rows, got)
     assert sorted(map(str, queries.op4_mixing(spark, SF).collect())) == sorted(map(str, got))
+    assert all(r.taken == sum(x["to"] - x["from"] for x in r.pieces) for r in got)
+
+
+def test_op4_shards_follow_the_words(spark, monkeypatch):
+    """Shards of about as many words, as the splitting tree says, whose blocks
+    are whole and in one shard only."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 3000)
+    docs = queries.table(spark, SF, "documents")
+    m = mixing.mix(docs, Scratch(spark, "test-mix"), block_words=100)
+    rows = m.documents.collect()
+    words = sum(r.taken for r in rows)
+    assert m.shards == -(-words // 3000)
+    held, homes = collections.Counter(), collections.defaultdict(set)
+    for r in rows:
+        for x in r.pieces:
+            held[x.shard] += x["to"] - x["from"]
+            homes[r.source, x["pass"], x.block].add(x.shard)
+    assert all(len(s) == 1 for s in homes.values()) and set(held) == set(range(m.shards))
+    assert max(held.values()) <= 1.3 * words / m.shards
+    quota = np.diff(np.array(m.sources["upto"].tolist()), axis=1, prepend=0)
+    drawn = collections.Counter((s, k) for (s, _, _), ks in homes.items() for k in ks)
+    assert all(drawn[s, k] == quota[i, k] for i, s in enumerate(m.sources["source"]) for k in range(m.shards))
+
+
+def test_op4_plans_a_very_large_corpus():
+    """Far more words than the drawing library takes as single blocks."""
+    import pandas as pd
+    sizes = pd.DataFrame({"source": ["a", "b", None], "source_size": [10 ** 14, 3 * 10 ** 13, 5], "n_rows": [10 ** 10, 10 ** 9, 1]})
+    words = 1.5 * (13 * 10 ** 13 + 5)
+    plan = mixing.plan_sources(sizes, 1.5, 2.0, max(4096, -(-int(words) // mixing.MOST_BLOCKS)), 1000, 4)
+    assert plan["draws"].sum() < 10 ** 9 and [u[-1] for u in plan["upto"]] == plan["draws"].tolist()
+
+
+def test_op4_rows_that_share_a_key_keep_their_other_columns(spark):
+    rows = [(1, "one two three", "a", 13, k % 3) for k in range(9000)] + [(2, "four five", "a", 9, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, extra int")
+    m = mixing.mix(df, Scratch(spark, "test-mix"))
+    out = collections.Counter((r.doc_id, r.extra) for r in mixing.mixed_rows(df, m).collect())
+    taken = collections.Counter()
+    for r in m.documents.collect():
+        taken[r.doc_id] += len(r.pieces)
+    assert set(out) == {(1, 0), (1, 1), (1, 2), (2, 7)}
+    assert sum(n for (d, _), n in out.items() if d == 1) == taken[1] and min(out.values()) > 0
 
 
 def test_op4_edges(spark, edge):
@@ -169,7 +221,7 @@ def test_op4_shards_hold_disjoint_blocks_and_texts_match(spark, edge):
     assert (quota == m.sources["draws"].to_numpy()).all()
     per_shard = collections.Counter(next(iter(k)) for k in home.values())
     assert max(per_shard.values()) - min(per_shard.values()) <= 3
-    out = mixing.mixed_rows(edge, m, shards=8)
+    out = mixing.mixed_rows(edge, m)
     assert out.columns == edge.columns
     rows = out.collect()
     assert sum(len(WORD.findall(r.text)) for r in rows) == sum(n for *_, n in drawn)
@@ -374,6 +426,6 @@ def test_repeated_ids_are_not_collected(spark, monkeypatch):
     monkeypatch.setattr(type(df), "toPandas", lambda self: (lambda out: (sizes.append(len(out)), out)[1])(whole(self)))
     qc.train(df, labels)
     assert 0 < max(sizes) <= 20
-    out = mixing.mixed_rows(df, mixing.mix(df, Scratch(spark, "test-mixing"), shards=4), shards=4)
+    out = mixing.mixed_rows(df, mixing.mix(df, Scratch(spark, "test-mixing"), shards=4))
     assert "collect_list" not in out._jdf.queryExecution().toString()
     assert out.count() > 0
