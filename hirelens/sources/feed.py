@@ -91,7 +91,7 @@ def merged_json_schema(df: DataFrame, column: str) -> T.StructType:
     value = F.try_parse_json(F.col(f"`{column}`"))
     objects = F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
     merged = df.select(F.schema_of_variant_agg(objects)).first()[0]
-    if not merged.startswith("OBJECT<"):
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
         return T.StructType([])
     typed = re.sub(r"DECIMAL\(\d+, ?\d+\)|FLOAT", "DOUBLE", merged)
     typed = re.sub(r"\b(VOID|VARIANT|OBJECT<>)(?=[,>]|$)", "STRING", typed).replace("OBJECT<", "STRUCT<")
