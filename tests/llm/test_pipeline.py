@@ -9,7 +9,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from hirelens.llm import queries  # noqa: E402
 
 from .conftest import EDGE_ROWS  # noqa: E402
-from .test_documents import WORD, brute_join, brute_lines  # noqa: E402
+from .test_documents import WORD, brute_join, brute_passages  # noqa: E402
 from .test_tokens import expected_bpe  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
@@ -44,7 +44,7 @@ def test_quality_stage(spark, stages):
 
 
 def test_line_stage(stages):
-    assert sorted(map(str, pairs(stages[2]))) == brute_lines(pairs(stages[1]))
+    assert dict(pairs(stages[2])) == brute_passages(pairs(stages[1]))
     assert all(r.n_chars == len(r.text) for r in stages[2].collect())
 
 

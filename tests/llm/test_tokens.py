@@ -18,9 +18,7 @@ from .conftest import EDGE_ROWS, SF  # noqa: E402
 
 def library():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def tiktoken_library():
