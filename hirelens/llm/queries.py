@@ -18,7 +18,7 @@ from hirelens.llm.pii import BASE, find_personal_data
 from hirelens.llm.prefix_trie import prefix_trie, turn_key
 from hirelens.llm.quality_classifier import classify, train
 from hirelens.llm.token_output import read_tokens, write_tokens
-from hirelens.llm.url_filter import url_filter
+from hirelens.llm.url_filter import host_of, url_filter
 
 
 def vocabulary(name: str) -> str:
@@ -46,8 +46,8 @@ def captures_and_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched", F.expr("date_add(date'2024-01-01', cast(page_id % 366 as int))"))
     parts = pages.select(
-        "page_id", F.lower(F.regexp_extract("url", r"^[a-z]+://([^/?#:]+)", 1)).alias("host"),
-        F.lower(F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)", 1)).alias("seg")).where("host <> ''")
+        "page_id", host_of(F.col("url")).alias("host"),
+        F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)", 1).alias("seg")).where("host <> ''")
 
     def dated(kind, value, rows, listed, every, day, action):
         seeds = rows.groupBy(value.alias("value")).agg(F.min("page_id").alias("m")).where(f"m % {every} = 0")
@@ -198,9 +198,16 @@ LLM_QUERIES = {
 }
 
 _OP2_SQL = r"""
-WITH parts AS (
-  SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host,
-         lower(regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]+)', 1)) AS seg FROM pages),
+-- the authority is what stands between '//' and the next of '/?#'; its host stands behind the last '@', before a port
+WITH cut AS (
+  SELECT page_id, url, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS authority,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path FROM pages),
+named AS (SELECT *, string_split(authority, '@')[-1] AS a FROM cut),
+urls AS (
+  SELECT page_id, url, path, rtrim(lower(CASE WHEN starts_with(a, '[') THEN string_split(a, ']')[1] || ']' ELSE string_split(a, ':')[1] END), '.') AS host
+  FROM named),
+parts AS (
+  SELECT page_id, host, regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]+)', 1) AS seg FROM urls),
 hosts AS (SELECT host AS v, min(page_id) AS m FROM parts WHERE host <> '' GROUP BY 1),
 domains AS (SELECT regexp_extract(host, '([^.]+\.[^.]+)$', 1) AS v, min(page_id) AS m FROM parts WHERE host <> '' GROUP BY 1),
 prefixes AS (SELECT host || '/' || seg AS v, min(page_id) AS m FROM parts WHERE host <> '' AND seg <> '' GROUP BY 1),
@@ -212,12 +219,10 @@ events AS (
   UNION SELECT 'block', 'domain', v, 'remove', 330 + m % 20 FROM domains
   UNION SELECT 'allow', 'prefix', v, 'add', m % 300 FROM prefixes WHERE m % 3 = 0
   UNION SELECT 'watch', 'prefix', v, 'add', m % 100 FROM prefixes WHERE m % 5 = 0),
-caps AS (
-  SELECT page_id, url, page_id % 366 AS d, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
-    '/' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)', 1)) || '/' AS path FROM pages),
+caps AS (SELECT page_id, page_id % 366 AS d, coalesce(host, '') AS host, coalesce(path, '') || '/' AS path FROM urls),
 hits AS (
   SELECT c.page_id, e.l FROM caps c JOIN events e ON e.a = 'add' AND e.at <= c.d AND (
-      (e.k = 'host' AND e.v = c.host) OR (e.k = 'domain' AND ends_with('.' || c.host, '.' || e.v))
+      (e.k = 'host' AND e.v = c.host) OR (e.k = 'domain' AND c.host <> '' AND ends_with('.' || c.host, '.' || e.v))
       OR (e.k = 'prefix' AND split_part(e.v, '/', 1) = c.host AND starts_with(c.path, '/' || split_part(e.v, '/', 2) || '/')))
   WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.l = e.l AND x.k = e.k AND x.v = e.v
       AND x.at <= c.d AND (x.at > e.at OR (x.at = e.at AND x.a = 'remove'))))

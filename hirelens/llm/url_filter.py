@@ -6,6 +6,12 @@ and an as-of join evaluates every capture against the entries that are active
 at its fetch date. Kinds: ``host`` (the whole host), ``domain`` (the host or
 any parent domain) and ``prefix`` (host and leading path segments).
 
+A host is what stands between ``//``, or a user part up to the last ``@``, and a
+port, path, query or fragment; an address in brackets is whole. Hosts are
+compared in lower case without closing dots. Paths are compared as they are,
+letter case and empty segments included; a prefix ends where a segment ends,
+and closing slashes of an entry don't matter.
+
 The join is by equal key: an interval is laid out over the 32-day slices that
 it touches, and a capture looks up its keys in its own slice only, so a key
 with a long history costs a capture no more than the entries of that slice.
@@ -31,9 +37,24 @@ from pyspark.sql import functions as F
 SLICE_DAYS = 32
 
 
+def host_of(url):
+    """The host of a url, empty if it has none."""
+    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
+    return F.regexp_replace(F.lower(host), r"\.+$", "")
+
+
+def entry_value(kind, value):
+    """A listed value as urls are compared with it."""
+    at = F.locate("/", value)
+    host = F.when(at > 0, F.substring(value, F.lit(1), at - 1)).otherwise(value)
+    host = F.regexp_replace(F.lower(host), r"\.+$", "")
+    path = F.when(at > 0, F.regexp_replace(F.substring(value, at, F.length(value)), "/+$", "")).otherwise(F.lit(""))
+    return F.when(kind == "prefix", F.concat(host, path)).otherwise(F.regexp_replace(F.lower(value), r"\.+$", ""))
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """(list, kind, value, since, until) with ``until`` exclusive or null."""
-    known = events.select("list", "kind", F.lower("value").alias("value"), "action",
+    known = events.select("list", "kind", entry_value(F.col("kind"), F.col("value")).alias("value"), "action",
                           F.col("at").cast("date").alias("at")).dropna().distinct()
     daily = (known.groupBy("list", "kind", "value", "at")
              .agg(F.max(F.when(F.col("action") == "remove", 1).otherwise(0)).alias("removed")))
@@ -45,10 +66,10 @@ def intervals(events: DataFrame) -> DataFrame:
 
 def _keys(url):
     """Lookup keys of a url as an array of (kind, value)."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)", 1)
+    host = host_of(url)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
     labels = F.split(host, r"\.")
-    segments = F.filter(F.split(F.lower(path), "/"), lambda s: s != "")
+    segments = F.when(path == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(path, "/", -1))
     key = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: key("domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")))

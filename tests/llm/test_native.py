@@ -106,6 +106,20 @@ def test_url_filter_cases(spark):
     assert got == sorted((str(r[0]), *want[r[0]]) for r in rows)
 
 
+def test_hosts_and_paths_of_urls(spark):
+    listed = events(spark, [("block", "host", "Bad.com.", "add", D(0)), ("block", "prefix", "OK.com/Ad/", "add", D(0)),
+                            ("block", "host", "[::1]", "add", D(0)), ("block", "domain", "evil.net", "add", D(0)),
+                            ("block", "prefix", "ok.com/a//b", "add", D(0))])
+    cases = {"http://bad.com/x": True, "http://u@bad.com/": True, "http://u:p@bad.com/x": True, "http://bad.com./": True, "http://BAD.com:80": True,
+             "http://u@x@bad.com?q": True, "http://bad.com@good.com/": False, "http://good.com/?u@bad.com": False, "http://good.com/x@bad.com/": False,
+             "http://ok.com/Ad": True, "http://ok.com/Ad/q": True, "http://ok.com/Ad/": True, "http://ok.com/aD/q": False, "http://ok.com/Adx": False,
+             "http://ok.com//Ad": False, "http://ok.com/a//b/c": True, "http://ok.com/a/b": False, "http://[::1]:8080/": True, "http://[::2]/": False,
+             "http://a.evil.net./": True, "http://u@evil.net:1/": True, "http://notevil.net/": False, "http:///x": False, "http://": False}
+    rows = [(i, u, D(1)) for i, u in enumerate(cases)]
+    got = {r.url: r.dropped for r in url_filter.url_filter(captures(spark, rows), listed).collect()}
+    assert got == cases
+
+
 def test_url_filter_empty_sides(spark):
     none = events(spark, [])
     some = captures(spark, [(1, "http://a.com", D(1))])
