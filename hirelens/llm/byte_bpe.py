@@ -39,6 +39,7 @@ from hirelens.llm._shared import Scratch
 SEGMENT = 1_000_000
 PART = 100_000  # pre-tokens held as text at once, or one text
 LEAST_BUCKETS = 64
+MOST_BUCKETS = 16_384  # beyond, a segment's words would be a row each; Spark's limit is 100,000
 
 _cache: dict = {}
 
@@ -214,12 +215,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text
     spark = docs.sparkSession
     scratch = Scratch(spark, "byte-bpe")
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or max(LEAST_BUCKETS, 2 * shuffle)
+    buckets = buckets or min(max(LEAST_BUCKETS, 2 * shuffle), MOST_BUCKETS)
     rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     name = f"byte_bpe_{uuid.uuid4().hex}"
     (rows.mapInPandas(_segments(buckets, segment), "segment long, bucket int, doc_id string, n long, data binary")
      .write.option("compression", "uncompressed").option("path", scratch.path("segments"))
-     .bucketBy(shuffle, "segment").sortBy("segment").saveAsTable(name))
+     .bucketBy(min(shuffle, MOST_BUCKETS), "segment").sortBy("segment").saveAsTable(name))
     try:
         table = spark.table(name)
         words = (table.where("bucket >= 0").select("segment", "bucket", "n", "data")
