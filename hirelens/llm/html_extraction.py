@@ -8,6 +8,8 @@ For every node it keeps how much text stands there. On how many different
 pages of the host (copies of a page count once) a text stands at a node is
 counted for all texts, nodes and pages.
 
+Labels name the tag, classes and id of an element without the numbers in them.
+
 * ``article``, else ``main``, is the text of a page that has it; of other pages
   every block counts that varies.
 * The content node is found by going down from the body, as long as one child
@@ -16,7 +18,8 @@ counted for all texts, nodes and pages.
   is template and goes there. This holds inside the content node only if such texts are a small part
   of it, so hosts that repeat whole articles lose none of them.
 * Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-  and reader comments go by their element, role or class names.
+  and reader comments go by their element, role or class names; a ``header``
+  goes wherever it stands, in an article too.
 
 Map tasks merge the trees of their own pages first, then the wrappers of a
 host meet one by one in a salted and a final step, so no group of pages is
@@ -77,6 +80,7 @@ replies related recommended""".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>?|</[^a-zA-Z][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
+NUMBERS = re.compile(r"[-_]*[0-9]+")
 
 MOST = 0.8  # of the different pages: a text on so many is template
 DEEPEST = 100  # levels of a wrapper
@@ -105,10 +109,11 @@ def _element(tag: str, raw: str) -> tuple[str, bool, bool]:
     if not raw.strip():
         return tag, tag in OUT_TAGS, tag in OUT_TAGS
     attr = _attributes(raw)
-    names = sorted(attr.get("class", "").split())[:3]
+    # numbers vary from page to page (post-17, post-18): they are no part of a label
+    names = sorted({NUMBERS.sub("", n) for n in attr.get("class", "").split()} - {""})
     label = tag + "".join("." + n for n in names)
-    if attr.get("id"):
-        label += "#" + attr["id"][:40]
+    if NUMBERS.sub("", attr.get("id", "")):
+        label += "#" + NUMBERS.sub("", attr["id"])
     always = tag in OUT_TAGS or attr.get("role", "").lower() in OUT_ROLES
     if tag in ("html", "body", "article", "main"):
         return label, always, always
@@ -256,44 +261,50 @@ def _slots(batches):
         yield pd.DataFrame(rows, columns=["host", "mark", "node", "text", "size"])
 
 
-def _match(a: list[dict], b: list[dict]) -> list[tuple[int, int]]:
-    """Pairs of children in order with the largest simple tree matching."""
-    w = [[_size(x, y) for y in b] for x in a]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + w[i][j])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if w[i][j] and best[i][j] == best[i + 1][j + 1] + w[i][j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i][j] == best[i + 1][j]:
-            i += 1
-        else:
-            j += 1
-    return out
+def _pair(x: dict, y: dict, known: dict) -> tuple[int, list[tuple[int, int]]]:
+    """Simple tree matching of two nodes: how many nodes match (0 unless the
+    labels agree, else 1 and the best matching of the children) and the pairs
+    of children, in order, that it takes. ``known`` holds each pair of nodes
+    once, so the work is at most that of all pairs of nodes of a level."""
+    key = (id(x), id(y))
+    if key not in known:
+        if x["l"] != y["l"]:
+            return 0, []
+        a, b = x["k"], y["k"]
+        w = [[_pair(p, q, known)[0] for q in b] for p in a]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + w[i][j])
+        out, i, j = [], 0, 0
+        while i < len(a) and j < len(b):
+            if w[i][j] and best[i][j] == best[i + 1][j + 1] + w[i][j]:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i][j] == best[i + 1][j]:
+                i += 1
+            else:
+                j += 1
+        known[key] = 1 + best[0][0], out
+    return known[key]
 
 
 def _size(x: dict, y: dict) -> int:
-    """Simple tree matching: 0 unless the labels agree, else 1 and the best
-    matching of the children."""
-    if x["l"] != y["l"]:
-        return 0
-    if not x["k"] or not y["k"]:
-        return 1
-    return 1 + sum(_size(x["k"][i], y["k"][j]) for i, j in _match(x["k"], y["k"]))
+    """How many nodes of two trees match."""
+    return _pair(x, y, {})[0]
 
 
-def merge(a: dict, b: dict) -> dict:
+def merge(a: dict, b: dict, known: dict | None = None) -> dict:
     """The wrapper of both trees; children of ``b`` without a partner are put
     in at their place."""
+    known = {} if known is None else known
+    _, matched = _pair(a, b, known)
     a["m"] += b["m"]
     if b["k"]:
-        kids, at, pairs = [], 0, dict((j, i) for i, j in _match(a["k"], b["k"]))
+        kids, at, pairs = [], 0, dict((j, i) for i, j in matched)
         for j, kid in enumerate(b["k"]):
             if j in pairs:
-                kids += a["k"][at:pairs[j]] + [merge(a["k"][pairs[j]], kid)]
+                kids += a["k"][at:pairs[j]] + [merge(a["k"][pairs[j]], kid, known)]
                 at = pairs[j] + 1
             else:
                 kids.append(kid)

@@ -185,3 +185,47 @@ def test_template_goes_at_its_node_only(spark):
             for i in range(10)]
     got = texts(frame(spark, rows))
     assert got[3] == "News\nStory 3 goes on and on." and got[4] == "4\nStory 4 goes on and on."
+
+
+def test_deeply_nested_pages_align_quickly():
+    import time
+    page = "<html><body>" + "<div>" * 120 + "<p>deep {}</p><p>same</p>" + "</div>" * 120 + "</body></html>"
+    began = time.time()
+    tree = he.merge(he.page_tree(page.format(1)), he.page_tree(page.format(2)))
+    for k in range(3, 20):
+        tree = he.merge(tree, he.page_tree(page.format(k)))
+    assert time.time() - began < 5
+    assert he.extract(page.format(1), None) == "deep 1\nsame"
+
+
+def test_ids_of_pages_do_not_grow_the_wrapper():
+    page = '<html><body><div id="post-{0}" class="post post-{0} type-post"><p>text {0}</p></div><div class="box{0}"><p>other {0}</p></div></body></html>'
+    tree = he.page_tree(page.format(0))
+    for k in range(1, 60):
+        tree = he.merge(tree, he.page_tree(page.format(k)))
+
+    def count(n):
+        return 1 + sum(count(k) for k in n["k"])
+    assert count(tree) == count(he.page_tree(page.format(7)))
+
+
+def test_matching_takes_the_most_nodes():
+    """The memoised matching equals the plain recursion."""
+    import random
+    rng = random.Random(2)
+
+    def tree(depth):
+        return {"l": rng.choice("ab"), "m": 1, "k": [tree(depth - 1) for _ in range(rng.randint(0, 3))] if depth else []}
+
+    def plain(x, y):
+        if x["l"] != y["l"]:
+            return 0
+        a, b = x["k"], y["k"]
+        best = {(i, j): 0 for i in range(len(a) + 1) for j in range(len(b) + 1)}
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + plain(a[i], b[j]))
+        return 1 + best[len(a), len(b)]
+    for _ in range(200):
+        x, y = tree(3), tree(3)
+        assert he._pair(x, y, {})[0] == plain(x, y)
