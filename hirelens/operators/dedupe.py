@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,37 +39,38 @@ def digest(*cols: str) -> Column:
 def order_key(df: DataFrame, order: list[str]) -> Column | None:
     """Several whole-number columns as one decimal in the same order (nulls
     first), which a hash aggregate can take the MIN of; None if they are of
-    other types or too wide."""
-    bits = [_BITS.get(dict(df.dtypes)[c]) for c in order]
-    if None in bits or sum(b + 1 for b in bits) > 124:
+    other types. Columns whose types are too wide together are packed by the
+    ranges of their values (one scan of these columns alone), or not at all if
+    those are too wide as well."""
+    types = dict(df.dtypes)
+    bits = [_BITS.get(types[c]) for c in order]
+    if None in bits:
         return None
+    if sum(b + 1 for b in bits) <= 124:
+        low, spans = [-(2 ** (b - 1)) for b in bits], [2 ** (b + 1) for b in bits]
+    else:
+        ends = df.agg(*[f(f"`{c}`").alias(f"{f.__name__}{i}") for i, c in enumerate(order) for f in (F.min, F.max)]).first()
+        low = [ends[f"min{i}"] or 0 for i in range(len(order))]
+        spans = [(ends[f"max{i}"] or 0) - low[i] + 2 for i in range(len(order))]
+        if math.prod(spans) >= 10 ** 38:
+            return None
     out = None
-    for c, b in zip(order, bits):
-        # 0 for null, else 1 more than the distance from the type's least value
-        part = F.coalesce(F.col(f"`{c}`").cast("decimal(20,0)") + F.lit(str(2 ** (b - 1) + 1)).cast("decimal(20,0)"),
+    for c, least, span in zip(order, low, spans):
+        # 0 for null, else 1 more than the distance from the least value
+        part = F.coalesce(F.col(f"`{c}`").cast("decimal(20,0)") + F.lit(str(1 - least)).cast("decimal(20,0)"),
                           F.lit(0).cast("decimal(21,0)"))
         out = part.cast("decimal(38,0)") if out is None else \
-            (out * F.lit(str(2 ** (b + 1))).cast("decimal(38,0)") + part).cast("decimal(38,0)")
+            (out * F.lit(str(span)).cast("decimal(38,0)") + part).cast("decimal(38,0)")
     return out
 
 
-def first_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """(_key, _first): the digest of each key and its least order value. The
-    shuffle carries digests and numbers, never a text; both are combined
-    map-side, by a hash aggregate where the order is of whole numbers."""
-    packed = order_key(df, order)
-    first = F.min(F.struct(*[F.col(f"`{c}`") for c in order])) if packed is None else F.min("_order")
-    return (df.select(digest(*keys).alias("_key"), *([packed.alias("_order")] if packed is not None else
-                                                      [F.col(f"`{c}`") for c in order]))
-            .groupBy("_key").agg(first.alias("_first")))
-
-
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the first row per ``keys`` by ``order`` (A-6, pandas
     ``drop_duplicates(keep='first')`` with an explicit row order).
 
-    The least order value of each key is found on digests (see
-    :func:`first_keys`), and the rows that have it are joined back, so a text
+    The least order value of each key is found on digests of the keys, combined
+    map-side (by a hash aggregate where the order is of whole numbers, see
+    :func:`order_key`), and the rows that have it are joined back, so a text
     is neither sorted nor carried through an aggregate, and a duplicate-heavy
     key never lands whole in one task. Order columns must be unique within a
     key for a deterministic result.
@@ -75,5 +78,5 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     packed = order_key(df, order)
     mine = packed if packed is not None else F.struct(*[F.col(f"`{c}`") for c in order])
     rows = df.withColumns({"_key": digest(*keys), "_first": mine})
-    first = first_keys(df, keys, order).withColumnsRenamed({"_key": "_k", "_first": "_f"})
+    first = rows.groupBy(F.col("_key").alias("_k")).agg(F.min("_first").alias("_f"))
     return rows.join(first, (F.col("_key") == F.col("_k")) & F.col("_first").eqNullSafe(F.col("_f")), "left_semi").select(*df.columns)

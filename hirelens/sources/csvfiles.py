@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens import rules
-from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small
+from hirelens.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 from hirelens.session import written
 
 OPTIONS = {"escape": '"'}
@@ -111,29 +111,38 @@ def _names(header: str, spark: SparkSession) -> list[str]:
     return [f if f is not None else f"_c{i}" for i, f in enumerate(fields)]
 
 
+def csv_by_header(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+    """The records of all files as text fields: a frame for each different
+    header, with ``_path`` (the file) and ``_at`` (grows with the place in it).
+    All files are cut in the same passes, however many they are."""
+    records = csv_records(spark, path)
+    heads = records.groupBy("file").agg(F.min_by("record", "at").alias("header"), F.min("at").alias("first"))
+    named = (spark.read.text(path).select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("_path"))
+             .groupBy("file").agg(F.max("_path").alias("_path")))
+    heads, n, size = written(heads.join(named, "file"), "csv-heads")  # a row for each file
+    small = n <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+    out = []
+    for row in heads.select("header").distinct().orderBy("header").collect():  # a row for each header
+        mine = heads.where(F.col("header") == row["header"]).drop("header")
+        body = records.join(F.broadcast(mine) if small else mine, "file").where("at > first")
+        names = _names(row["header"], spark)
+        fields = F.from_csv("record", ", ".join(f"f{i} string" for i in range(len(names))), OPTIONS)
+        out.append(body.select("_path", F.col("at").alias("_at"), fields.alias("r")).select(
+            "_path", "_at", *[F.col(f"r.f{i}").alias(c) for i, c in enumerate(names)]))
+    return out
+
+
 def csv_text(spark: SparkSession, path: str | list[str], with_place: bool = False) -> DataFrame:
     """Every record of files that share a header as text fields; with ``at``
     (grows with the place in the files, taken in the order of their paths) if
     asked for."""
-    records = csv_records(spark, path)
-    heads = records.groupBy("file").agg(F.min_by("record", "at").alias("header"), F.min("at").alias("first"))  # a row for each file
-    headers = [r["header"] for r in heads.select("header").distinct().limit(2).collect()]
-    if len(headers) > 1:
-        raise ValueError(f"files with different headers: {headers}")
-    if not headers:
-        return spark.createDataFrame([], "at struct<path:string,split:long,at:long>" if with_place else T.StructType([]))
-    names = _names(headers[0], spark)
-    schema = ", ".join(f"f{i} string" for i in range(len(names)))
-    heads = heads.select("file", "first")
-    at = F.col("at")
-    if with_place:
-        named = spark.read.text(path).select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("path"))
-        heads = heads.join(named.groupBy("file").agg(F.max("path").alias("path")), "file")
-        at = F.struct("path", "at.split", "at.at").alias("at")
-    body = records.join(broadcast_if_small(heads), "file").where("at > first")
-    fields = body.select(at, F.from_csv("record", schema, OPTIONS).alias("r"))
-    out = [F.col(f"r.f{i}").alias(n) for i, n in enumerate(names)]
-    return fields.select(*(["at"] if with_place else []), *out)
+    frames = csv_by_header(spark, path)
+    if len(frames) > 1:
+        raise ValueError(f"files with different headers: {[f.columns[2:] for f in frames]}")
+    if not frames:
+        return spark.createDataFrame([], "at struct<path:string,at:struct<split:long,at:long>>" if with_place else T.StructType([]))
+    fields = [F.col(f"`{c}`") for c in frames[0].columns[2:]]
+    return frames[0].select(*([F.struct(F.col("_path").alias("path"), F.col("_at").alias("at")).alias("at")] if with_place else []), *fields)
 
 
 def null_tokens_out(df: DataFrame, tokens: list[str]) -> DataFrame:
