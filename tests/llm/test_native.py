@@ -57,7 +57,7 @@ def test_exact_dedup_splits_buckets_and_keeps_answers(spark):
     rows = [(i, f"text {i % 300}", None, None, None) for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     scratch = exact_dedup.Scratch(spark, "test-index")
-    index = exact_dedup.build_index(df, scratch, capacity=16, max_bits=8).collect()
+    index = exact_dedup.build_index(df, scratch, capacity=16, max_bits=8)[0].collect()
     held = {}
     for e in index:
         held[e.bucket] = held.get(e.bucket, 0) + 1
@@ -67,6 +67,28 @@ def test_exact_dedup_splits_buckets_and_keeps_answers(spark):
     assert sorted(str(tuple(r)) for r in got) == expected_dedup(rows)
 
 
+def test_texts_of_one_key_are_told_apart_by_their_bytes(spark, monkeypatch):
+    """Colliding keys: every text of a length has the same key."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(exact_dedup, "_key", lambda body: F.shiftleft(F.length(body).cast("long"), 58))
+    rows = [(i, f"text {i % 7}" if i % 3 else f"longer text {i % 40}", None, None, None) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = exact_dedup.exact_dedup(df, capacity=2).collect()
+    assert sorted(str(tuple(r)) for r in got) == expected_dedup(rows)
+
+
+def test_answers_come_through_the_directory_and_lone_texts_stay(spark, monkeypatch):
+    rows = [(i, f"text {max(i, 5)}", None, None, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    scratch = exact_dedup.Scratch(spark, "test-index")
+    index, directory, bits = exact_dedup.build_index(df, scratch, capacity=4)
+    sent = exact_dedup.chains(df, index, directory, bits).collect()
+    assert [(r.group_size, r.keep_id) for r in sent] == [(6, 5)]
+    build = exact_dedup.build_index
+    monkeypatch.setattr(exact_dedup, "build_index", lambda *a: (lambda i, d, b: (i, d.where("false"), b))(*build(*a)))
+    assert exact_dedup.exact_dedup(df, capacity=4).count() == 0
+
+
 def test_one_key_in_one_bucket(spark):
     """Copies of one text can't be split apart; they are one entry."""
     df = spark.createDataFrame([(i, "same") for i in range(500)], "doc_id long, text string")
