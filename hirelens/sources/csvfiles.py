@@ -87,7 +87,8 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         else:
             known = (lines.withColumn("_at", F.monotonically_increasing_id()).join(splits, ["file", "split"])
                      .repartition("file", "split").sortWithinPartitions("file", "split", "_at"))
-        parts = known.select("file", "split", "inside", "value", "odd").mapInPandas(_cutter(), PARTS)
+        # written once: headers, types and rows are all read from it
+        parts, _, _ = written(known.select("file", "split", "inside", "value", "odd").mapInPandas(_cutter(), PARTS), "csv-parts")
         # a record in parts begins with a tail; there are two parts a split at most
         run = F.sum(F.when(F.col("kind") == "tail", 1).otherwise(0)).over(
             Window.partitionBy("file").orderBy("split", F.col("kind") == "tail", "no").rowsBetween(Window.unboundedPreceding, 0))
