@@ -119,7 +119,8 @@ def _checked(text: str):
     if not ANY_DIGIT.search(text):
         return
     for m in IP.finditer(text):
-        yield "ip", *m.span(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+        parts = [p.lstrip("0") for p in m[0].split(".")]  # of any length
+        yield "ip", *m.span(), all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
     for m in CARD.finditer(text):
         n = len(d := _digits(m[0])) if m.end() - m.start() >= 12 else 0
         if n >= 12:

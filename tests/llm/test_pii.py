@@ -47,6 +47,11 @@ def test_base_spans_on_random_texts():
         assert pii.scan(text)[0] == ",".join(plain_base(text)), repr(text)
 
 
+def test_very_long_numbers():
+    zeros = "0" * 6000
+    assert pii.scan(f"{zeros}1.2.3.{zeros}255 9{zeros}.1.1.1")[0] == f"ip:0:{12_009}"
+
+
 def test_time_is_linear_in_the_text():
     for unit in ("x", "1", "a@", "1.", "+1 ", "1 ", "-", ". ", "Mr A", "A1", "(0", "at dot "):
         began = time.time()
