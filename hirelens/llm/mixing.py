@@ -15,8 +15,9 @@
    that source's permuted blocks, so draws are disjoint.
 4. Within a shard, blocks are ordered by a seeded hash.
 
-Sizes. A shard holds about ``SHARD_WORDS`` words (``shards`` sets another
-number), one task each. A block holds ``block_words`` words, or more on a corpus
+Sizes. A shard holds about ``SHARD_WORDS`` words, or more on a corpus that
+would have over ``MOST_SHARDS`` shards (``shards`` sets another number), and is
+one task. A block holds ``block_words`` words, or more on a corpus
 of so many that it would have over ``MOST_BLOCKS`` blocks: the library that
 draws takes pools of less than 10^9.
 
@@ -51,7 +52,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 GROUP_DOCS = 1024
 RANGE_GROUPS = 1024
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 22
+MOST_SHARDS = 1 << 18
 MOST_BLOCKS = 1 << 28
 COPIES = 4096
 BROADCAST_SOURCES = 10_000
@@ -159,7 +161,7 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     sizes = (rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("n_rows"))
              .orderBy(F.col("source").asc_nulls_last()).toPandas())  # a row for each source
     words = share * float(sum(int(n) for n in sizes["source_size"]))
-    shards = shards or max(1, math.ceil(words / SHARD_WORDS))
+    shards = shards or min(max(1, math.ceil(words / SHARD_WORDS)), MOST_SHARDS)
     block_words = max(block_words, math.ceil(words / MOST_BLOCKS))
     plan = plan_sources(sizes, share, most, block_words, shards, seed)
     table = spark.createDataFrame(
@@ -216,12 +218,14 @@ def mark(text):
 
 def _packed(text: pd.Series) -> pd.Series:
     pack = zstandard.ZstdCompressor(level=3).compress
-    return pd.Series([pack((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=object)
+    out = pd.Series([pack((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=object)
+    return out
 
 
 def _unpacked(text: pd.Series) -> pd.Series:
     plain = zstandard.ZstdDecompressor().decompress
-    return pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
+    out = pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
+    return out
 
 
 def _cut(text: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
