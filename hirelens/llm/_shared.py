@@ -3,18 +3,37 @@ to executors, fixed-size key filters and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the system's library has it
+
+
+def release() -> None:
+    """Give memory that this worker has freed back to the system; the worker
+    lives on for later stages and would keep its largest size otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def released(fn):
+    """``fn`` over the batches of a task, with :func:`release` behind the last."""
+    def run(batches):
+        yield from fn(batches)
+        release()
+    return run
 
 
 def _shared_folder(spark: SparkSession) -> str:

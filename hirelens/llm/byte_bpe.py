@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm._pretokens import PATTERN, pretokens
-from hirelens.llm._shared import Scratch
+from hirelens.llm._shared import Scratch, released
 
 SEGMENT = 1_000_000
 PART = 100_000  # pre-tokens held as text at once, or one text
@@ -218,14 +218,14 @@ def encode_decode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text
     buckets = buckets or min(max(LEAST_BUCKETS, 2 * shuffle), MOST_BUCKETS)
     rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     name = f"byte_bpe_{uuid.uuid4().hex}"
-    (rows.mapInPandas(_segments(buckets, segment), "segment long, bucket int, doc_id string, n long, data binary")
+    (rows.mapInPandas(released(_segments(buckets, segment)), "segment long, bucket int, doc_id string, n long, data binary")
      .write.option("compression", "uncompressed").option("path", scratch.path("segments"))
      .bucketBy(min(shuffle, MOST_BUCKETS), "segment").sortBy("segment").saveAsTable(name))
     try:
         table = spark.table(name)
         words = (table.where("bucket >= 0").select("segment", "bucket", "n", "data")
                  .repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                 .mapInPandas(_encode(ranks_path), "segment long, bucket int, n long, n_ids long, data binary"))
+                 .mapInPandas(released(_encode(ranks_path)), "segment long, bucket int, n long, n_ids long, data binary"))
         schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
         return scratch.save(
             table.where("bucket < 0").select("segment", "bucket", "doc_id", "n", "data").groupBy("segment")

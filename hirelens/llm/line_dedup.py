@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import Scratch, key_filter, passes
+from hirelens.llm._shared import Scratch, key_filter, passes, released
 
 DIVISOR = 3
 WORDS = 50  # lines of so many words are a passage
@@ -166,9 +166,9 @@ def line_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_c
     mark = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.xxhash64(text_col))
     name = [F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("i"), F.col(id_col).cast("long").isNull().alias("no"), mark.alias("mark")]
     rows = docs.select(*name, F.col(text_col).alias("text"))
-    often = scratch.save(rows.select("text").mapInPandas(_keys, "k0 long").groupBy("k0").agg(F.count("*").alias("n"))
+    often = scratch.save(rows.select("text").mapInPandas(released(_keys), "k0 long").groupBy("k0").agg(F.count("*").alias("n"))
                          .where("n > 1").select("k0"), "often")
-    places = scratch.save(rows.mapInPandas(_places(key_filter(often, "k0")),
+    places = scratch.save(rows.mapInPandas(released(_places(key_filter(often, "k0"))),
                                            "i long, no boolean, mark long, start int, end int, k0 long, k1 long"), "places")
     at = F.struct("no", "i", "mark", "start")
     first = scratch.save(places.groupBy("k0", "k1").agg(F.min(at).alias("first"), F.max(at).alias("last"))
@@ -181,7 +181,7 @@ def line_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_c
         "start", "end", F.col("first.start").alias("from"))).alias("x"))
     runs = scratch.save(
         listed.select("i", "no", "mark", *[F.col(f"x.{c}").alias(c) for c in ("hi", "hno", "hmark", "start", "end", "from")])
-        .mapInPandas(_runs, "i long, no boolean, mark long, hi long, hno boolean, hmark long, start int, end int, from int"), "runs")
+        .mapInPandas(released(_runs), "i long, no boolean, mark long, hi long, hno boolean, hmark long, start int, end int, from int"), "runs")
     head = ["hi", "hno", "hmark"]
     runs = runs.withColumn("to", F.expr("`from` + `end` - start"))
     wanted = runs.select(*head, "from", "to").distinct().groupBy(*head).agg(F.collect_list(F.struct("from", "to")).alias("x"))

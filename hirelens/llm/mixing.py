@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import Scratch
+from hirelens.llm._shared import Scratch, release
 from hirelens.operators.joins import broadcast_if_small
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,7 @@ SHARD_WORDS = 1 << 22
 MOST_SHARDS = 1 << 18
 MOST_BLOCKS = 1 << 28
 COPIES = 4096
+CHUNK = 512
 BROADCAST_SOURCES = 10_000
 
 
@@ -143,12 +144,13 @@ def _repeated(n: str, out: str) -> tuple:
             F.explode(F.expr(f"sequence(_chunk * {COPIES}, least({n}, (_chunk + 1) * {COPIES}) - 1)")).alias(out))
 
 
-def _shard_lookup(upto: list[np.ndarray]):
-    """The shard of each draw, from the shards' last draws of each source."""
-    def look(nth: pd.Series, draws: pd.Series) -> pd.Series:
-        return pd.Series([np.searchsorted(upto[i], np.asarray(d, dtype=np.int64), side="right").astype(np.int32) for i, d in zip(nth, draws)],
-                         dtype=object)
-    return F.pandas_udf(look, "array<int>")
+def _shard_of(upto: list[list[int]]) -> str:
+    """SQL for the shard of ``draw``, from the shards' last draws of each source
+    (constant arrays, searched by chunks, then in one chunk)."""
+    arrays = lambda rows: "array(" + ", ".join(f"cast(split('{','.join(map(str, r))}', ',') AS array<bigint>)" for r in rows) + ")"
+    ends = arrays([u[CHUNK - 1::CHUNK] or [2 ** 62] for u in upto])
+    chunk = f"{CHUNK} * size(filter({ends}[nth], x -> x <= draw))"
+    return f"{chunk} + size(filter(slice({arrays(upto)}[nth], {chunk} + 1, {CHUNK}), x -> x <= draw))"
 
 
 def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -190,21 +192,19 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
           .join(groups, F.col("source").eqNullSafe(F.col("s")) & (F.col("group") == F.col("g")))
           .select("*", chunk).select("*", copy)
           .withColumn("first", F.col("ahead") + F.col("before") + F.col("copy") * F.col("size")))
+    shard = _shard_of([list(u) for u in plan["upto"]]) if len(plan) else "0"
     pieces = F.expr(f"""
-        CASE WHEN size = 0 OR draws = 0 THEN cast(array() AS array<struct<draw:bigint,pass:int,block:bigint,from:bigint,to:bigint>>)
+        CASE WHEN size = 0 OR draws = 0 THEN cast(array() AS array<struct<shard:int,pass:int,block:bigint,from:bigint,to:bigint>>)
         ELSE filter(flatten(transform(sequence(0, size(mul) - 1), p ->
           transform(sequence(first div {block_words}, (first + size - 1) div {block_words}), k -> transform(
             array(p * blocks + (mul[p] * k + add[p]) % blocks), draw -> struct(
-              draw, p AS pass, k AS block,
+              {shard} AS shard, p AS pass, k AS block,
               greatest(k * {block_words} - first, 0L) AS from,
               CASE WHEN draw >= draws THEN 0L ELSE least(size, (k + 1) * {block_words} - first,
                 CASE WHEN draw = draws - 1 THEN least((k + 1) * {block_words}, source_size) - cut - first ELSE size END) END AS to))[0]))),
           x -> x.to > x.from) END""")
-    look = _shard_lookup([np.asarray(u, dtype=np.int64) for u in plan["upto"]])
-    documents = at.withColumn("drawn", pieces).withColumn("in_shard", look("nth", F.col("drawn.draw")))
-    field = lambda name: F.col(f"drawn.{name}").alias(name)
-    documents = documents.withColumn("pieces", F.arrays_zip(F.col("in_shard").alias("shard"), *map(field, ("pass", "block", "from", "to"))))
-    documents = documents.withColumn("taken", F.expr("aggregate(drawn, 0L, (n, x) -> n + x.to - x.from)"))
+    documents = at.withColumn("pieces", pieces)
+    documents = documents.withColumn("taken", F.expr("aggregate(pieces, 0L, (n, x) -> n + x.to - x.from)"))
     documents = scratch.save(documents.select("doc_id", "source", "mark", "copies", "copy", "size", "source_size", "target", "taken", "pieces"),
                              "documents")
     scratch.drop("rows")
@@ -219,12 +219,14 @@ def mark(text):
 def _packed(text: pd.Series) -> pd.Series:
     pack = zstandard.ZstdCompressor(level=3).compress
     out = pd.Series([pack((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=object)
+    release()
     return out
 
 
 def _unpacked(text: pd.Series) -> pd.Series:
     plain = zstandard.ZstdDecompressor().decompress
     out = pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
+    release()
     return out
 
 
@@ -259,11 +261,12 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
     own = key(F.col(id_col).cast("long"), F.col(source_col).cast("string"), mark(F.col(text_col)))
     at = {c: f"o{j}" for j, c in enumerate(docs.columns) if c != text_col}  # apart from the names used here
     others = list(at.values())
-    rows = docs.select(*own, *[F.col(f"`{c}`").alias(o) for c, o in at.items()], F.pandas_udf(_packed, "binary")(F.col(text_col)).alias("packed"))
-    once = rows.join(drawn.where("copies = 1").drop("copies", "copy").hint("shuffle_hash"), parts)
+    rows = docs.select(*own, *[F.col(f"`{c}`").alias(o) for c, o in at.items()], F.col(text_col).alias("whole"))
+    packed = F.pandas_udf(_packed, "binary")("whole").alias("packed")
+    once = rows.select(*parts, *others, packed).join(drawn.where("copies = 1").drop("copies", "copy").hint("shuffle_hash"), parts)
 
     shared = broadcast_if_small(drawn.where("copies > 1 AND copy = 0").select(*parts))
-    kinds = (rows.join(shared, parts, "left_semi").withColumn("kind", F.xxhash64(*others))
+    kinds = (rows.join(shared, parts, "left_semi").select(*parts, *others, packed).withColumn("kind", F.xxhash64(*others))
              .groupBy(*parts, "kind").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in (*others, "packed")]))
     ahead = Window.partitionBy(*parts).orderBy("kind").rowsBetween(Window.unboundedPreceding, -1)
     chunk, nth = _repeated("n", "nth")

@@ -47,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import Scratch, components, key_filter, passes
+from hirelens.llm._shared import Scratch, components, key_filter, passes, released
 
 WORDS = 5
 SKETCH_BITS = 22
@@ -129,9 +129,9 @@ def _levels(batches):
 
 
 def _global_order(texts: DataFrame, buckets: int) -> np.ndarray:
-    rows = (texts.mapInPandas(_count_cells, "slot int, counts binary")
+    rows = (texts.mapInPandas(released(_count_cells), "slot int, counts binary")
             .repartition(buckets, "slot").sortWithinPartitions("slot")
-            .mapInPandas(_levels, "slot int, levels binary")).collect()  # 4 MB, whatever the input
+            .mapInPandas(released(_levels), "slot int, levels binary")).collect()  # 4 MB, whatever the input
     order = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
     for slot, levels in rows:
         order[slot << SLOT_BITS:(slot + 1) << SLOT_BITS] = np.frombuffer(levels, dtype=np.uint8)
@@ -281,7 +281,7 @@ class _Join:
     def classes(self) -> None:
         order = _global_order(self.texts, self.buckets)
         self.sets = self.scratch.save(
-            self.texts.mapInPandas(_sets(order), "doc_id string, n long, f0 long, f1 long, prefix binary")
+            self.texts.mapInPandas(released(_sets(order)), "doc_id string, n long, f0 long, f1 long, prefix binary")
             .withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
         grouped = (self.sets.where("n > 0").groupBy("f0", "f1", "n")
                    .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
@@ -293,11 +293,11 @@ class _Join:
     def lists(self) -> None:
         """(token, cid, pos, n) of every token that several classes hold."""
         rows = self.scratch.save(self.all.select("cid", "prefix").mapInPandas(
-            _postings(self.buckets), "bucket int, token long, cid long, pos int, data binary"), "postings")
+            released(_postings(self.buckets)), "bucket int, token long, cid long, pos int, data binary"), "postings")
         self.all = self.scratch.save(self.all.drop("prefix"), "names")
         self.scratch.drop("classes")
         met = (rows.where("bucket >= 0").select("bucket", "cid", "data")
-               .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_meet, "token long, cid long, pos int"))
+               .repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(released(_meet), "token long, cid long, pos int"))
         live = rows.where("bucket < 0").select("token", "cid", "pos").union(met)
         self.live = self.scratch.save(live.join(self.all.select("cid", "n"), "cid"), "live")
         self.scratch.drop("postings")
@@ -307,15 +307,15 @@ class _Join:
         pairs = self.scratch.save(pairs, f"{tag}-pairs")
         need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         need = self.scratch.save(self.all.select("cid", "rep", "f0", "f1").join(need, "cid", "left_semi"), f"{tag}-need")
-        found = (self.texts.mapInPandas(_fetch(key_filter(need.where("rep IS NOT NULL"), "rep"),
-                                               need.where("rep IS NULL").limit(1).count() > 0),
+        found = (self.texts.mapInPandas(released(_fetch(key_filter(need.where("rep IS NOT NULL"), "rep"),
+                                               need.where("rep IS NULL").limit(1).count() > 0)),
                                         "doc_id string, f0 long, f1 long, text binary"))
         on = [found["f0"] == need["f0"], found["f1"] == need["f1"], found["doc_id"].cast("long").eqNullSafe(need["rep"])]
         # rows that repeat id and text give a class several times; the answers are the same
         texts = self.scratch.save(found.join(need, on).select("cid", "text"), f"{tag}-texts")
         got = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
                .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b"))
-        out = self.scratch.save(got.mapInPandas(_compare, "a long, b long, linked boolean").distinct(), f"{tag}-compared")
+        out = self.scratch.save(got.mapInPandas(released(_compare), "a long, b long, linked boolean").distinct(), f"{tag}-compared")
         for part in ("texts", "need", "pairs"):
             self.scratch.drop(f"{tag}-{part}")
         return out

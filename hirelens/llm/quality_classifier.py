@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import ship_package
+from hirelens.llm._shared import released, ship_package
 
 SLOTS = 1 << 14
 RANK = 8
@@ -161,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (usable.join(known, "doc_id", "left_semi").withColumn("o", F.xxhash64(F.lit(8), "doc_id"))
               .orderBy("o", "doc_id").limit(sample).select("doc_id", "label"))
     rows = (_columns(docs, id_col, text_col, length_col).join(F.broadcast(chosen), "doc_id")  # ``sample`` rows at most
-            .mapInPandas(_featured, "label int, doc_id long, slots binary, vals binary, stats binary"))
+            .mapInPandas(released(_featured), "label int, doc_id long, slots binary, vals binary, stats binary"))
     one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("slots", "vals", "stats")).alias("x"))  # of rows that repeat an id
     got = one.select("doc_id", "label", "x.*").toPandas().sort_values("doc_id", ignore_index=True)
     return fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), np.frombuffer(s))
