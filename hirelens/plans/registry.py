@@ -40,8 +40,13 @@ def _clean(spark, d):
     return fixtures.clean_postings(spark, d)
 
 
+def _clean_once(spark, d, *columns):
+    """Columns of the clean postings, written once for several passes."""
+    return written(_clean(spark, d).select(*columns), "postings")[0]
+
+
 def _fact(spark, d):
-    clean = _clean(spark, d)
+    clean = fixtures.clean_postings(spark, d, fixtures.joined_once(spark, d))
     profiles = written(models.posting_profiles(clean), "profiles")[0]
     return models.fact_postings(clean, profiles=profiles)
 
@@ -50,8 +55,12 @@ def _fact_rows(spark, d, *columns):
     return models.fact_rows(_clean(spark, d), list(columns))
 
 
+def _before(clean):
+    return clean.filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE))
+
+
 def _stored(spark, d):
-    return _clean(spark, d).filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE))
+    return _before(_clean(spark, d))
 
 
 # --- sources, projections, filters -------------------------------------------
@@ -218,14 +227,18 @@ def q_wow(spark, d):
     return models.jobs_wow_trend(q_daily(spark, d))
 
 
+def _ingested(spark, d, variant):
+    joined = fixtures.joined_once(spark, d)
+    raw = fixtures.raw_feed(spark, d, joined).drop("_CITY", "_STATE")
+    return ingest.ingest(raw, _before(fixtures.clean_postings(spark, d, joined)), variant=variant)
+
+
 def q_ingest(spark, d):
-    raw = fixtures.raw_feed(spark, d).drop("_CITY", "_STATE")
-    return ingest.ingest(raw, _stored(spark, d), variant="v2")
+    return _ingested(spark, d, "v2")
 
 
 def q_ingest_v1(spark, d):
-    raw = fixtures.raw_feed(spark, d).drop("_CITY", "_STATE")
-    return ingest.ingest(raw, _stored(spark, d), variant="v1")
+    return _ingested(spark, d, "v1")
 
 
 # --- text operators ---------------------------------------------------------------------
@@ -303,7 +316,7 @@ def _translator():
 
 def q_translate_kept(spark, d):
     """All postings translated after the stored ones, by one kept dictionary."""
-    clean = _clean(spark, d).select("ID", "CITY", "STATE", "ORGANIZATION", "SENIORITY", "JOB_DATE")
+    clean = _clean_once(spark, d, "ID", "CITY", "STATE", "ORGANIZATION", "SENIORITY", "JOB_DATE")
     store = shared_folder(spark, "translations")
     enrich.translate_columns(clean.filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE)), translator=_translator(), store=store)
     return enrich.translate_columns(clean.drop("JOB_DATE"), translator=_translator(), store=store)
@@ -312,7 +325,7 @@ def q_translate_kept(spark, d):
 def q_kept_calls(spark, d):
     """Values called and failed when a kept dictionary is asked for the stored
     postings, for all postings, and for all once more."""
-    clean = _clean(spark, d).select("CITY", "SENIORITY", "JOB_DATE")
+    clean = _clean_once(spark, d, "CITY", "SENIORITY", "JOB_DATE")
     root = shared_folder(spark, "kept")
     runs = []
     for run, rows in enumerate([clean.filter(F.col("JOB_DATE") < F.lit(STORED_BEFORE)), clean, clean]):
@@ -333,7 +346,7 @@ FIRST_LOAD, SECOND_LOAD = dt.date(1995, 1, 1), dt.date(1998, 1, 1)
 def q_daily_loads(spark, d):
     """Two loads, each run again: the first with the same batch, the second
     with a changed one (postings without a city are gone from it)."""
-    clean = _clean(spark, d).select("ID", "TITLE", "JOB_CATEGORY", "JOB_DATE", "CITY")
+    clean = _clean_once(spark, d, "ID", "TITLE", "JOB_CATEGORY", "JOB_DATE", "CITY")
     root = shared_folder(spark, "daily-loads")
     first, second = clean.filter(F.col("JOB_DATE") < FIRST_LOAD), clean.filter(F.col("JOB_DATE") < SECOND_LOAD)
     load_new(first, root, FIRST_LOAD.isoformat())
@@ -378,7 +391,7 @@ def q_marts(spark, d):
 def q_day_states(spark, d):
     """Distinct postings by category and year, and by category, from the
     states of three loads; the second load is added twice."""
-    rows = _clean(spark, d).select("JOB_CATEGORY", "JOB_DATE", "ID")
+    rows = _clean_once(spark, d, "JOB_CATEGORY", "JOB_DATE", "ID")
     root, keys = shared_folder(spark, "day-states"), ["JOB_CATEGORY", "JOB_DATE"]
     early, late = F.col("JOB_DATE") < FIRST_LOAD, F.col("JOB_DATE") < SECOND_LOAD
     daystates.add_load(rows.filter(early), root, FIRST_LOAD.isoformat(), keys)

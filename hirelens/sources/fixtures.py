@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hirelens import functions as HF
 from hirelens.schemas import CLEAN_COLUMNS, RAW_COLUMNS
+from hirelens.session import written
 from hirelens.sources.feed import CSV_OPTIONS
 from hirelens.sources.tables import read_table
 
@@ -68,15 +69,22 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(sp, li.l_suppkey == sp.s_suppkey, "inner"))
 
 
+def joined_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows, written to the shared folder, for queries that go over
+    the postings more than once: the join shuffles once, not in every pass."""
+    return written(_joined(spark, sf_dir), "lineitem-joined")[0]
+
+
 def _place(city: Column, state: Column) -> Column:
     return F.concat(F.lit(PLACE_PREFIX), F.coalesce(city, F.lit("")), F.lit(PLACE_MIDDLE),
                     F.coalesce(state, F.lit("")), F.lit(PLACE_SUFFIX))
 
 
-def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_feed(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
     """The 44-column raw feed (all strings), plus the adapter's CITY/STATE
-    ground truth as ``_CITY`` / ``_STATE``."""
-    j = _joined(spark, sf_dir)
+    ground truth as ``_CITY`` / ``_STATE``. ``joined``: the rows of
+    :func:`joined_once`, else they are joined anew in every pass."""
+    j = _joined(spark, sf_dir) if joined is None else joined
     pk, ln = F.col("l_partkey"), F.col("l_linenumber")
     ok = F.col("l_orderkey")
     id_ = ok.cast("string")
@@ -104,10 +112,10 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*cols, city.alias("_CITY"), state.alias("_STATE"))
 
 
-def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_postings(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
     """The 31-column clean postings table: CITY/STATE are the adapter's
     values, the other derived columns use the ingest functions."""
-    raw = raw_feed(spark, sf_dir)
+    raw = raw_feed(spark, sf_dir, joined)
     derived = {
         "JOB_DATE": HF.date_from_text("DATE_CREATED"),
         "CITY": F.col("_CITY"),
