@@ -3,7 +3,7 @@ defaulted dictionary lookup (J-5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.session import written
@@ -47,6 +47,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(out) if (n <= max_rows and b <= max_bytes) else out
 
 
+_PACKED_TYPES = ("string", "bigint", "int", "smallint", "tinyint")
+
+
+def _slot(key: str, packed: bool) -> tuple[Column, Column]:
+    """A key as (slot, bit). A key written as a plain whole number shares its
+    slot, one of 64 neighbours, with them and has a bit of its own; any other
+    key has a slot of its own, and so has null (null)."""
+    c = F.col(f"`{key}`")
+    if not packed:
+        return c, F.lit(1).cast("bigint")
+    n = c.try_cast("bigint")
+    whole = n.cast("string") == c.cast("string")
+    slot = F.when(whole, F.concat(F.lit("#"), F.shiftright(n, 6).cast("string"))).otherwise(F.concat(F.lit("="), c.cast("string")))
+    return slot, F.when(whole, F.call_function("shiftleft", F.lit(1).cast("bigint"), n.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(1).cast("bigint"))
+
+
 def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
                   null_safe: bool = True) -> DataFrame:
     """Rows of ``new`` whose key is not among ``stored`` keys (J-4).
@@ -56,21 +72,25 @@ def anti_join_new(new: DataFrame, stored: DataFrame, key: str = "ID", *,
     row is always kept.
 
     Only the batch's distinct keys are written beforehand (a scan of one
-    column), and measured on the write. When they are few (the usual daily
-    batch), they are broadcast to one scan of the stored side, which yields the
+    column), packed (:func:`_slot`) and measured on the write. When they are few
+    rows (the usual daily batch; neighbouring whole numbers share a row), they
+    are broadcast to one scan of the stored side, which yields the
     matching keys only; nothing of the stored side is shuffled, however large
     it grows. A larger batch joins the distinct stored keys by shuffle, without
     one where the stored table is bucketed by the key.
     """
     batch = new
-    ids, n, size = written(batch.select(F.col(key).alias("_id")).distinct(), "batch-keys")
+    packed = dict(new.dtypes)[key] == dict(stored.dtypes)[key] and dict(new.dtypes)[key] in _PACKED_TYPES
+    slot, bit = _slot(key, packed)
+    ids, n, size = written(batch.select(slot.alias("_slot"), bit.alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits")), "batch-keys")
     found = stored.select(F.col(key).alias("_stored_key"))
     if n <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
-        same = F.col("_stored_key").eqNullSafe(F.col("_id"))
-        hits = found.join(F.broadcast(ids), same, "left_semi").distinct()
-        match = F.col(f"`{key}`").eqNullSafe(F.col("_stored_key")) if null_safe \
-            else F.col(f"`{key}`") == F.col("_stored_key")
-        return batch.join(F.broadcast(hits), match, "left_anti")  # no more rows than ``ids``
+        at, one = _slot("_stored_key", packed)
+        held = F.col("_at").eqNullSafe(F.col("_slot")) & (F.col("_one").bitwiseAND(F.col("_bits")) != 0)
+        hits = (found.select(at.alias("_at"), one.alias("_one")).join(F.broadcast(ids), held, "left_semi")
+                .groupBy("_at").agg(F.bit_or("_one").alias("_hit")))
+        same = slot.eqNullSafe(F.col("_at")) if null_safe else slot == F.col("_at")
+        return batch.join(F.broadcast(hits), same & (bit.bitwiseAND(F.col("_hit")) != 0), "left_anti")  # no more rows than ``ids``
     out = batch.join(found.filter(F.col("_stored_key").isNotNull()).distinct(),
                      F.col(f"`{key}`") == F.col("_stored_key"), "left_anti")
     if null_safe:

@@ -65,7 +65,12 @@ def load_new(batch: DataFrame, root: str, load: str, key: str = "ID", load_col:
     """Load the rows of ``batch`` whose key no other load holds (J-4). The
     load's own partition is left out of the comparison and pruned from its
     scan, or a repeated load would find its own rows and write none."""
-    stored = read_loads(batch.sparkSession, root, batch.schema, load_col).where(F.col(load_col) != load)
+    spark = batch.sparkSession
+    fs, p = file_system(spark, root)
+    own = {f"{load_col}={load}", "_SUCCESS", "_temporary"}
+    if not fs.exists(p) or all(f.getPath().getName() in own for f in fs.listStatus(p)):
+        return write_load(batch, root, load, load_col)  # no other load
+    stored = read_loads(spark, root, batch.schema, load_col).where(F.col(load_col) != load)
     return write_load(anti_join_new(batch, stored, key), root, load, load_col)
 
 
