@@ -14,7 +14,7 @@ from hirelens import functions as HF
 from hirelens import rules
 from hirelens.operators import anti_join_new, broadcast_if_small, digest, first_per_key
 from hirelens.operators.skills import scored_terms, top_skills
-from hirelens.session import file_system
+from hirelens.session import file_system, written
 
 
 def seniority_levels(clean: DataFrame) -> DataFrame:
@@ -65,6 +65,7 @@ def kept_dictionary(df: DataFrame, columns: list[str], fn: Callable[[pd.Series],
         rows = spark.read.schema(schema).parquet(root) if fs.exists(path) else spark.createDataFrame([], schema)
         return rows.where("NOT failed")
     values = df.select(F.explode(F.array(*[F.col(f"`{c}`").cast("string") for c in columns])).alias("value")).where("value IS NOT NULL").distinct()
+    values, _, _ = written(values, "values")  # compared and called: ``df`` is read once
     todo = anti_join_new(values, stored(), "value")
     seen = Observation()
     (apply_to_distinct(todo, "value", fn, out_col)
