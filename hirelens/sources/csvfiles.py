@@ -6,8 +6,8 @@ come from all values by a type lattice, as a data frame library infers them.
    quotes; the parity of all splits before it tells whether a split begins
    inside a quoted field. One small row for each split is gathered.
 2. Where a file's lines all have even quotes, every line is a record and nothing
-   but Spark's own functions runs. Otherwise the lines of a split pass one by
-   one, carrying the quote state; a record that crosses into another split is
+   but Spark's own functions runs. Otherwise the lines of a split pass in
+   batches, carrying the quote state; a record that crosses into another split is
    put together from its parts, one or two a split.
 3. Records are parsed by Spark's CSV parser; the first one of each file is its
    header.
@@ -20,7 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,28 +47,48 @@ def _odd_quotes(value: str) -> Column:
 def _cutter():
     """The function that cuts the lines of splits into records (made here, so
     that tasks get it by value)."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Records and parts of records, from lines in the order of their
         split: a part is a ``head`` (ends a record of an earlier split), a
         ``tail`` (goes on in the next one) or goes ``through`` a whole split."""
-        names = ["file", "split", "no", "kind", "record"]
-        at, held, is_open, begun_open, no = None, [], False, False, 0
-        for pdf in batches:
-            out: list[tuple] = []
-            for file, split, inside, value, odd in zip(pdf["file"], pdf["split"], pdf["inside"], pdf["value"], pdf["odd"]):
-                if (file, split) != at:
+        at, held, is_open, begun_open, no = None, [], 0, False, 0
+
+        def rows(offsets, lines, kinds):
+            n = len(kinds)
+            record = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines), "\n")
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, at[0]), pa.int64()), pa.array(np.full(n, at[1]), pa.int64()), pa.array(no + offsets[:-1], pa.int64()),
+                 pa.array(kinds, pa.string()), record], names=["file", "split", "no", "kind", "record"])
+
+        def rest():
+            lines = pa.concat_arrays(held)
+            return rows(np.array([0, len(lines)]), lines, ["through" if begun_open else "tail"])
+        for batch in batches:
+            file, split, inside, odd = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "split", "inside", "odd"))
+            turns = np.flatnonzero((file[1:] != file[:-1]) | (split[1:] != split[:-1])) + 1
+            for lo, hi in zip([0, *turns], [*turns, len(file)]):
+                if lo == hi:
+                    continue
+                if (file[lo], split[lo]) != at:
                     if held:
-                        out.append((*at, no, "through" if begun_open else "tail", "\n".join(held)))
-                    at, held, is_open, begun_open, no = (file, split), [], bool(inside), bool(inside), 0
-                held.append(value)
-                is_open ^= bool(odd)
-                if not is_open:
-                    out.append((*at, no, "head" if begun_open else "whole", held[0] if len(held) == 1 else "\n".join(held)))
-                    no, held, begun_open = no + len(held), [], False
-            if out:
-                yield pd.DataFrame(out, columns=names)
+                        yield rest()
+                    at, held, begun_open, no = (file[lo], split[lo]), [], bool(inside[lo]), 0
+                    is_open = int(begun_open)
+                after = (is_open + np.cumsum(odd[lo:hi].astype(np.int64))) % 2  # inside quotes behind each line
+                is_open = int(after[-1])
+                ends = np.flatnonzero(after == 0) + 1
+                lines = batch.column("value").slice(lo, hi - lo)
+                if not len(ends):
+                    held.append(lines)
+                    continue
+                before = sum(len(x) for x in held)
+                offsets = np.concatenate([[0], before + ends])
+                whole = pa.concat_arrays([*held, lines.slice(0, ends[-1])])
+                yield rows(offsets, whole, ["head" if begun_open else "whole"] + ["whole"] * (len(ends) - 1))
+                held = [lines.slice(ends[-1])] if ends[-1] < len(lines) else []
+                no, begun_open = no + int(offsets[-1]), False
         if held:
-            yield pd.DataFrame([(*at, no, "through" if begun_open else "tail", "\n".join(held))], columns=names)
+            yield rest()
     return cut
 
 
@@ -88,7 +110,7 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
             known = (lines.withColumn("_at", F.monotonically_increasing_id()).join(splits, ["file", "split"])
                      .repartition("file", "split").sortWithinPartitions("file", "split", "_at"))
         # written once: headers, types and rows are all read from it
-        parts, _, _ = written(known.select("file", "split", "inside", "value", "odd").mapInPandas(_cutter(), PARTS), "csv-parts")
+        parts, _, _ = written(known.select("file", "split", "inside", "value", "odd").mapInArrow(_cutter(), PARTS), "csv-parts")
         # a record in parts begins with a tail; there are two parts a split at most
         run = F.sum(F.when(F.col("kind") == "tail", 1).otherwise(0)).over(
             Window.partitionBy("file").orderBy("split", F.col("kind") == "tail", "no").rowsBetween(Window.unboundedPreceding, 0))
