@@ -154,10 +154,12 @@ def scored_terms(df: DataFrame, group: str, text: str, *, k: int = 10, min_docs:
     combined map-side, so a hot group or word is a number before it moves; the
     counts meet by term (a row for each group) for the counts over all groups."""
     tokens = words(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    terms = F.array_distinct(F.concat(*[ngrams(tokens, n) for n in sizes]))
-    rows = df.select(F.col(f"`{group}`").alias("_group"), terms.alias("terms"))
+    terms = F.array_distinct(F.concat(*[ngrams(F.col("_tokens"), n) for n in sizes]))
+    # a column of its own: a text is cut into words once, not for every place in ``terms``
+    rows = df.select(F.col(f"`{group}`").alias("_group"), tokens.alias("_tokens")).select("_group", terms.alias("terms"))
     held, _, _ = written(rows.groupBy("_group").agg(F.count("*").alias("rows")), "group-sizes")  # a row for each group
-    counts = rows.select("_group", F.explode("terms").alias("term")).groupBy("_group", "term").agg(F.count("*").alias("n_docs"))
+    # explode_outer: for explode, a filter on the terms is put before the join of ``df``, which finds them all once more
+    counts = rows.select("_group", F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("_group", "term").agg(F.count("*").alias("n_docs"))
     counts = counts.withColumn("all_docs", F.sum("n_docs").over(Window.partitionBy("term"))).where(F.col("n_docs") >= min_docs)
     held = broadcast_if_small(held.withColumn("n", held.select(F.sum("rows")).scalar()).withColumnRenamed("_group", "_g"))
     scored = counts.join(held, F.col("_group").eqNullSafe(F.col("_g"))).where(F.col("n_docs") * F.col("n") > F.col("rows") * F.col("all_docs"))

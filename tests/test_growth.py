@@ -87,3 +87,10 @@ def test_records_cut_from_batches_of_any_size():
     for size in (1, 2, 3, 100):
         batches = [pa.RecordBatch.from_pylist(rows[i:i + size]) for i in range(0, len(rows), size)]
         assert [tuple(r.values()) for b in csvfiles._cutter()(batches) for r in b.to_pylist()] == want
+
+
+def test_texts_are_cut_into_words_once(spark):
+    from hirelens.operators.skills import scored_terms
+    df = spark.createDataFrame([("a", "x y"), ("b", "y z"), ("a", None)], "g string, t string")
+    plan = scored_terms(df, "g", "t", min_docs=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lower(") == 1
