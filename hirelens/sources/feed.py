@@ -29,7 +29,7 @@ def read_landed_json(spark: SparkSession, root: str, schema: T.StructType = LAND
     ``corrupt_col`` its text is kept in that column; :func:`corrupt_counts`
     reports how many a category has.
     """
-    full = schema.add(T.StructField(category_col, T.StringType(), True)) \
+    full = T.StructType([*schema.fields, T.StructField(category_col, T.StringType(), True)]) \
         if category_col not in schema.fieldNames() else schema
     reader = spark.read.option("mode", "PERMISSIVE").option("basePath", root)
     if corrupt_col:

@@ -94,3 +94,14 @@ def test_texts_are_cut_into_words_once(spark):
     df = spark.createDataFrame([("a", "x y"), ("b", "y z"), ("a", None)], "g string, t string")
     plan = scored_terms(df, "g", "t", min_docs=1)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(lower(") == 1
+
+
+def test_reading_leaves_the_schema_as_it_is(spark, tmpdir_path):
+    from hirelens.sources import feed
+    folder = os.path.join(tmpdir_path, "feed", "job_category=Data Engineer")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write('{"id": "1"}')
+    names = list(feed.LANDED_JSON_SCHEMA.names)
+    assert [feed.read_landed_json(spark, os.path.dirname(folder)).columns[-1] for _ in range(2)] == ["job_category"] * 2
+    assert feed.LANDED_JSON_SCHEMA.names == names
