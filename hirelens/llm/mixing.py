@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,6 +58,7 @@ MOST_SHARDS = 1 << 18
 MOST_BLOCKS = 1 << 28
 COPIES = 4096
 CHUNK = 512
+STEP = 1 << 20
 BROADCAST_SOURCES = 10_000
 
 
@@ -216,32 +218,48 @@ def mark(text):
     return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
 
 
-def _packed(text: pd.Series) -> pd.Series:
+def _stepwise(make):
+    """A pandas UDF's function: ``make()``'s function of one row's values, over
+    the rows of a task. Results leave in batches of about ``STEP`` bytes, so that
+    a worker and its executor hold few of them at once, however many rows a
+    batch had that came in. Texts come and go as UTF-8, never as strings."""
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            one, out, held = make(), [], 0
+            for row in zip(*(columns if isinstance(columns, tuple) else (columns,))):
+                out.append(one(*row))
+                held += len(out[-1] or "")
+                if held >= STEP:
+                    yield pd.Series(out, dtype=object)
+                    out, held = [], 0
+            if out:
+                yield pd.Series(out, dtype=object)
+            del columns, out
+            release()
+    return run
+
+
+def _packed():
     pack = zstandard.ZstdCompressor(level=3).compress
-    out = pd.Series([pack((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=object)
-    release()
-    return out
+    return lambda t: pack(t or b"")
 
 
-def _unpacked(text: pd.Series) -> pd.Series:
-    plain = zstandard.ZstdDecompressor().decompress
-    out = pd.Series([plain(t).decode("utf-8", "surrogatepass") for t in text], dtype=object)
-    release()
-    return out
+def _unpacked():
+    return zstandard.ZstdDecompressor().decompress
+
 
+def _cut():
+    """The words from ``start`` to ``end`` of a packed text, with what stands
+    between them; null where there is no text to cut."""
+    pack, plain, word = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress, re.compile(WORD.encode())
 
-def _cut(text: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-    """The words from ``start`` to ``end`` of each packed text, with what
-    stands between them; null where there is no text to cut."""
-    out = []
-    pack, plain = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
-    for t, a, z in zip(text, start, end):
-        if t is not None:
-            t = plain(t).decode("utf-8", "surrogatepass")
-            spans = [m.span() for i, m in enumerate(re.finditer(WORD, t)) if i in (a, z - 1)]
-            t = pack(t[spans[0][0]:spans[-1][1]].encode("utf-8", "surrogatepass"))
-        out.append(t)
-    return pd.Series(out, dtype=object)
+    def cut(t, start, end):
+        if t is None:
+            return None
+        t = plain(t)
+        spans = [m.span() for i, m in enumerate(word.finditer(t)) if i in (start, end - 1)]
+        return pack(t[spans[0][0]:spans[-1][1]])
+    return cut
 
 
 def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -262,7 +280,7 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
     at = {c: f"o{j}" for j, c in enumerate(docs.columns) if c != text_col}  # apart from the names used here
     others = list(at.values())
     rows = docs.select(*own, *[F.col(f"`{c}`").alias(o) for c, o in at.items()], F.col(text_col).alias("whole"))
-    packed = F.pandas_udf(_packed, "binary")("whole").alias("packed")
+    packed = F.pandas_udf(_stepwise(_packed), "binary")(F.col("whole").cast("binary")).alias("packed")
     once = rows.select(*parts, *others, packed).join(drawn.where("copies = 1").drop("copies", "copy").hint("shuffle_hash"), parts)
 
     shared = broadcast_if_small(drawn.where("copies > 1 AND copy = 0").select(*parts))
@@ -276,11 +294,11 @@ def mixed_rows(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str =
     columns = [*others, "packed", "size"]
     x = once.select(*columns, "pieces").union(again.select(*columns, "pieces")).select(*columns, F.explode("pieces").alias("x"))
     partly = (F.col("x.from") > 0) | (F.col("x.to") < F.col("size"))
-    cut = F.pandas_udf(_cut, "binary")(F.when(partly, F.col("packed")), "x.from", "x.to")
+    cut = F.pandas_udf(_stepwise(_cut), "binary")(F.when(partly, F.col("packed")), "x.from", "x.to")
     order = F.xxhash64(F.lit(seed), at[source_col], "x.pass", "x.block")
     dealt = (x.select(*others, F.coalesce(cut, "packed").alias("packed"), "x.shard", order.alias("order"), F.col("x.from").alias("from"))
              .repartitionById(m.shards, "shard").sortWithinPartitions("shard", "order", "from")
-             .withColumn("text", F.pandas_udf(_unpacked, "string")("packed")))
+             .withColumn("text", F.pandas_udf(_stepwise(_unpacked), "binary")("packed").cast("string")))
     value = {text_col: F.col("text")}
     if length_col in docs.columns:
         value[length_col] = F.length("text").cast(docs.schema[length_col].dataType)

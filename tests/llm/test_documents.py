@@ -229,6 +229,26 @@ def test_op4_shards_hold_disjoint_blocks_and_texts_match(spark, edge):
     assert all(any(r.text in t for t in whole) and r.n_chars == len(r.text) for r in rows)
 
 
+def test_op4_texts_leave_workers_in_small_batches(spark, edge, monkeypatch):
+    """Each pandas UDF of the mix answers a large batch in several small ones,
+    with the same values; texts are UTF-8 on both sides, wide characters too."""
+    import pandas as pd
+    made, whole = [], mixing.F.pandas_udf
+    monkeypatch.setattr(mixing.F, "pandas_udf", lambda f, kind: (made.append(f), whole(f, kind))[1])
+    mixing.mixed_rows(edge, mixing.mix(edge, Scratch(spark, "test-mix")))
+    pack, cut, unpack = made
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(("日本", "word", "é")) + str(rnd.random()) for _ in range(400)).encode() for _ in range(600)] + [None, b""]
+    packed = list(pack(iter([pd.Series(texts, dtype=object), pd.Series([], dtype=object)])))
+    plain = list(unpack(iter(packed)))
+    n = len(packed[0])
+    parts = list(unpack(cut(iter([(packed[0], pd.Series([2] * n), pd.Series([5] * n))]))))
+    for out in (packed, plain, parts):
+        assert all(sum(map(len, s.iloc[:-1])) < mixing.STEP for s in out)
+    assert len(plain) > 4 and [t for s in plain for t in s] == [t or b"" for t in texts]
+    assert [t for s in parts for t in s] == [b" ".join(t.split(b" ")[2:5]) for t in texts[:n]]
+
+
 def test_targets_reshare_until_none_is_above():
     got = mixing.targets([100, 10, 1000, 0], [5, 2, 1, 5], 1665)
     assert got == pytest.approx([200, 20, 1445, 0])
