@@ -21,8 +21,8 @@ _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the system's li
 
 
 def release() -> None:
-    """Give memory that this worker has freed back to the system; the worker
-    lives on for later stages and would keep its largest size otherwise."""
+    """Give memory that this process has freed back to the system; a worker, and
+    the driver, lives on for later stages and would keep its largest size otherwise."""
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)
@@ -126,6 +126,8 @@ def key_filter(keys: DataFrame, col: str, bits: int = FILTER_BITS) -> np.ndarray
     out = np.zeros(1 << (bits - 6), dtype=np.int64)
     got = words.toPandas()
     out[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64)
+    del got
+    release()
     return out.view(np.uint64)
 
 
@@ -145,7 +147,8 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     hooked, whatever the order of the ids along a path), and the label of its
     own label. Labels only shrink; the rounds end when none changes. The
     labels are a written table each round. A node of very many edges is summed
-    before the shuffle, and its joins are split by the adaptive plan.
+    before the shuffle, and its joins are split by the adaptive plan. What the
+    neighbours send and a node's own label meet in one sum, without a join.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = scratch.save(both.where("a <> b").distinct(), f"{tag}-edges")
@@ -157,8 +160,9 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         r += 1
         over = label.join(label.select(F.col("node").alias("comp"), F.col("comp").alias("over")), "comp")
         near = (both.join(over.select(F.col("node").alias("b"), "over"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("over").alias("near")))
-        sent = over.join(near, "node").withColumn("to", F.least("over", "near"))
+                .select(F.col("a").alias("node"), F.col("over").alias("to"), F.lit(None).cast("long").alias("comp")))
+        own = over.select("node", F.col("over").alias("to"), "comp")
+        sent = near.union(own).groupBy("node").agg(F.min("to").alias("to"), F.max("comp").alias("comp"))
         sent = sent.select(F.explode(F.array(
             F.struct("node", "to", F.col("comp").alias("was")),
             F.struct(F.col("comp").alias("node"), "to", F.lit(None).cast("long").alias("was")))).alias("x")).select("x.*")

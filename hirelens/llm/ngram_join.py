@@ -56,7 +56,6 @@ FLUSH = 4_000_000  # postings that a map task holds
 STAR_ROUNDS = 2
 SMALLER = "9 * pos <= n"
 LEAST_BUCKETS = 64
-BROADCAST_ROWS = 1_000_000  # of two longs
 MAY_LINK = "9 * least(n - pos, n2 - pos2) >= 4 * (n + n2) AND 5 * least(n, n2) >= 4 * greatest(n, n2)"
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -326,10 +325,8 @@ class _Join:
         if label is None:
             rows = self.live.withColumn("comp", F.col("cid"))
         else:
-            label = label.withColumnRenamed("node", "cid")
-            if label.count() <= BROADCAST_ROWS:  # beyond it, the join shuffles
-                label = F.broadcast(label)
-            rows = self.live.join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+            # labels grow with the corpus: Spark broadcasts them below its own threshold only
+            rows = self.live.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         several = rows.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.expr(SMALLER)).alias("early"),
             F.min(F.struct("pos", "cid", "n", "comp")).alias("x")).where("lo < hi AND early")

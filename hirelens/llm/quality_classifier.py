@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm._shared import released, ship_package
+from hirelens.llm._shared import release, released, ship_package
 
 SLOTS = 1 << 14
 RANK = 8
@@ -164,8 +164,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .mapInPandas(released(_featured), "label int, doc_id long, slots binary, vals binary, stats binary"))
     one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("slots", "vals", "stats")).alias("x"))  # of rows that repeat an id
     got = one.select("doc_id", "label", "x.*").toPandas().sort_values("doc_id", ignore_index=True)
-    return fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), np.frombuffer(s))
-                for a, v, s in zip(got["slots"], got["vals"], got["stats"])], got["label"].to_numpy(dtype=np.float64))
+    machine = fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), np.frombuffer(s))
+                   for a, v, s in zip(got["slots"], got["vals"], got["stats"])], got["label"].to_numpy(dtype=np.float64))
+    del got
+    release()  # the driver lives on
+    return machine
 
 
 def _scorer(machine: Machine):

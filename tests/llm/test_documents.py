@@ -9,8 +9,8 @@ import zlib
 import numpy as np
 import pytest
 
-from hirelens.llm import line_dedup, mixing, ngram_join, quality_classifier as qc, queries
-from hirelens.llm._shared import Scratch, components
+from hirelens.llm import _shared, line_dedup, mixing, ngram_join, quality_classifier as qc, queries
+from hirelens.llm._shared import Scratch, components, key_filter, passes
 
 from .conftest import EDGE_ROWS, SF
 
@@ -85,6 +85,13 @@ def test_op3_groups_of_near_copies(spark, seed, monkeypatch):
     assert join_rows(ngram_join.ngram_join(df)) == brute_join(rows)
 
 
+def test_labels_of_the_join_are_not_forced_through_the_driver(spark, edge, monkeypatch):
+    def refuse(df):
+        raise AssertionError("labels grow with the corpus")
+    monkeypatch.setattr(ngram_join.F, "broadcast", refuse)
+    assert join_rows(ngram_join.ngram_join(edge)) == brute_join([(r[0], r[1]) for r in EDGE_ROWS])
+
+
 def test_prefixes_of_linked_sets_meet():
     rnd = np.random.default_rng(0)
     order = rnd.integers(0, 200, 1 << ngram_join.SKETCH_BITS).astype(np.uint8)
@@ -114,6 +121,21 @@ def test_components_of_paths_with_shuffled_ids(spark):
     assert max(rounds) < 20
 
 
+def test_a_round_of_components_joins_twice(spark):
+    """Small tables are broadcast, and the driver holds them: labels meet in sums where they can."""
+    plans = []
+
+    class Seen(Scratch):
+        def save(self, df, tag):
+            plans.append((tag, df._jdf.queryExecution().optimizedPlan().toString()))
+            return super().save(df, tag)
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (6, 6)], "a long, b long")
+    assert sorted(map(tuple, components(edges, Seen(spark, "test-comp"), "x").collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    rounds = [p for tag, p in plans if tag not in ("x-edges", "x-0")]
+    # the labels' own join stands in both parts of the sum, and is the same there
+    assert rounds and all(len(re.findall(r"Join Inner", p)) == 3 and "Union" in p for p in rounds)
+
+
 # mixing
 
 
@@ -290,6 +312,20 @@ def test_op8_edges(spark, edge, empty):
     assert qc.accepted(edge, model, threshold=0.0).columns == edge.columns
 
 
+def test_the_driver_gives_back_what_fitting_and_filters_held(spark, edge, monkeypatch):
+    """The driver keeps a model and a bitmap, not the rows that they were made of."""
+    calls, fit = [], qc.fit
+    monkeypatch.setattr(qc, "fit", lambda *a: (calls.append("fit"), fit(*a))[1])
+    monkeypatch.setattr(qc, "release", lambda: calls.append("released"))
+    monkeypatch.setattr(_shared, "release", lambda: calls.append("released"))
+    qc.train(edge, spark.createDataFrame([(5, 1), (9, 0), (6, 1)], "doc_id long, quality int"))
+    assert calls == ["fit", "released"]
+    keys = np.array([3, -7, 1 << 40])
+    bitmap = key_filter(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k")
+    assert passes(bitmap, keys).all() and not passes(bitmap, keys + 1).any()
+    assert calls == ["fit", "released", "released"]
+
+
 def test_op8_learns_only_from_rows_that_are_not_held_out(spark, edge):
     ids = [d for d in range(1, 10) if zlib.crc32(str(d).encode()) % 4 == 2]
     labels = spark.createDataFrame([(d, d % 2) for d in ids], "doc_id long, quality int")
